@@ -16,7 +16,7 @@ from storeloom.plans import features as ML
 from storeloom.plans import gold as G
 from storeloom.plans import metrics as M
 from storeloom.plans import silver as S
-from storeloom.session import apply_settings
+from storeloom.session import apply_settings, cut_lineage
 from storeloom.sources import retail, writers
 from storeloom.sources.readers import read_table
 from storeloom.sources.schemas import EXPECTED_ROWS, FOREIGN_KEYS, PRIMARY_KEYS
@@ -35,7 +35,7 @@ class Lake:
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark, self.base = spark, base
         self._bronze: dict[str, DataFrame] = {}
-        self._silver: dict[str, DataFrame] = {}
+        self._silver: dict[tuple[str, bool], DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
         return read_table(self.spark, self.base, name)
@@ -45,17 +45,18 @@ class Lake:
             self._bronze[name] = retail.BRONZE_TABLES[name](self.spark, self.base)
         return self._bronze[name]
 
-    def full(self, name: str) -> DataFrame:
+    def full(self, name: str, keyed: bool = False) -> DataFrame:
         """Silver table with its audit columns."""
-        if name not in self._silver:
+        if (name, keyed) not in self._silver:
             tables = {name: self.b(name)}
             if name in ("customers", "sellers"):
                 tables["geolocation"] = self.b("geolocation")
-            self._silver[name] = S.silver(tables, RUN_TS)[name]
-        return self._silver[name]
+            self._silver[name, keyed] = S.silver(tables, RUN_TS, keyed)[name]
+        return self._silver[name, keyed]
 
     def s(self, name: str) -> DataFrame:
-        return S.without_audit(self.full(name))
+        """Silver table for readers; bronze holds one row per key."""
+        return S.without_audit(self.full(name, keyed=True))
 
     @cached_property
     def regions(self) -> DataFrame:
@@ -101,16 +102,30 @@ class Lake:
     def customer_orders(self) -> DataFrame:
         return M.with_customer_column(self.s("orders"), self.s("customers"), "customer_unique_id")
 
+    # Frames that a query reads more than once are written once, as a gold table would be.
+
+    @cached_property
+    def stored_seller_orders(self) -> DataFrame:
+        return cut_lineage(self.seller_orders)
+
+    @cached_property
+    def stored_routes(self) -> DataFrame:
+        return cut_lineage(self.routes)
+
+    @cached_property
+    def stored_metrics(self) -> DataFrame:
+        return cut_lineage(self.metrics)
+
     @cached_property
     def features(self) -> DataFrame:
         return ML.delay_features(self.metrics, self.s("order_items"), self.s("products"),
-                                 self.routes, self.s("order_payments"), self.s("order_reviews"))
+                                 self.stored_routes, self.s("order_payments"), self.s("order_reviews"))
 
     @cached_property
     def halves(self) -> tuple[DataFrame, DataFrame]:
         """Order metrics before and from the middle of the period on."""
         at, cut = F.col("order_purchase_timestamp"), F.lit(HALF).cast("timestamp_ntz")
-        return self.metrics.filter(at < cut), self.metrics.filter(at >= cut)
+        return self.stored_metrics.filter(at < cut), self.stored_metrics.filter(at >= cut)
 
     @cached_property
     def run_log(self) -> DataFrame:
@@ -592,7 +607,7 @@ def quantiles(t):
 
 @query
 def seller_history_features(t):
-    return ML.seller_history_features(t.seller_orders, t.s("order_reviews"))
+    return ML.seller_history_features(t.stored_seller_orders, t.s("order_reviews"))
 
 
 @query
@@ -642,17 +657,17 @@ def _silver_queries(table):
     keys = PRIMARY_KEYS[table]
 
     def transform(t):
-        return t.s(table)
+        return S.without_audit(t.full(table))
 
     def volume(t):
-        return K.volumetry(t.b(table), t.s(table))
+        return K.volumetry(t.b(table), t.full(table))
 
     def integrity(t):
-        return K.key_integrity(t.s(table), keys)
+        return K.key_integrity(t.full(table), keys)
 
     def record(t):
-        return K.run_result(table, K.volumetry(t.b(table), t.s(table)),
-                            K.key_integrity(t.s(table), keys))
+        return K.run_result(table, K.volumetry(t.b(table), t.full(table)),
+                            K.key_integrity(t.full(table), keys))
 
     for name, f in {"silver": transform, "volumetry": volume, "key_integrity": integrity,
                     "run_result": record}.items():
@@ -666,7 +681,7 @@ for _table in retail.BRONZE_TABLES:
 
 @query
 def audit_check(t):
-    return K.audit_check(t.full("orders"), ["processed_at", "updated_at", "created_at"]) \
+    return K.audit_check(t.full("orders", True), ["processed_at", "updated_at", "created_at"]) \
         .withColumns({c: F.col(c).cast("timestamp_ntz")
                       for c in ("min_processed_at", "max_processed_at")})
 
@@ -701,7 +716,7 @@ def not_null_check(t):
 def _suite_queries(layer, suites):
     for table, suite in suites.items():
         def run(t, table=table, suite=suite):
-            return contracts.run_suite(t.b(table) if layer == "bronze" else t.full(table), suite)
+            return contracts.run_suite(t.b(table) if layer == "bronze" else t.full(table, True), suite)
         run.__name__ = f"{layer}_suite_{table}"
         query(run)
 
@@ -713,7 +728,7 @@ _suite_queries("silver", contracts.SILVER_SUITES)
 def _checkpoints(t):
     runs = [contracts.run_checkpoint(t.b(n), s, f"bronze_{n}", "run-1", "2002-01-01")
             for n, s in contracts.BRONZE_SUITES.items()]
-    runs += [contracts.run_checkpoint(t.full(n), s, f"silver_{n}", "run-2", "2002-01-02")
+    runs += [contracts.run_checkpoint(t.full(n, True), s, f"silver_{n}", "run-2", "2002-01-02")
              for n, s in contracts.SILVER_SUITES.items()]
     return A.union_metrics(runs)
 
@@ -721,7 +736,7 @@ def _checkpoints(t):
 @query
 def suite_statistics(t):
     suite = contracts.SILVER_SUITES["customers"]
-    return contracts.suite_statistics(contracts.run_suite(t.full("customers"), suite), "customers")
+    return contracts.suite_statistics(contracts.run_suite(t.full("customers", True), suite), "customers")
 
 
 @query
@@ -733,7 +748,7 @@ def suite_failures(t):
 @query
 def suite_summary(t):
     return contracts.summarise([
-        contracts.suite_statistics(contracts.run_suite(t.full(n), s), n)
+        contracts.suite_statistics(contracts.run_suite(t.full(n, True), s), n)
         for n, s in contracts.SILVER_SUITES.items()])
 
 
@@ -769,7 +784,8 @@ def stale_tables(t):
 
 @query
 def column_statistics(t):
-    return observe.column_statistics(t.s("order_items"), ["price", "freight_value"],
+    cols = ["price", "freight_value"]
+    return observe.column_statistics(cut_lineage(t.s("order_items").select(*cols)), cols,
                                      "order_items", AS_OF)
 
 
@@ -1046,7 +1062,6 @@ def temporal_split(t):
 
 
 def _scores(t):
-    from storeloom.session import cut_lineage
     rows = cut_lineage(ML.temporal_split(t.features, "order_purchase_timestamp",
                                          TRAIN_END, VAL_END))
     parts = [rows.filter(F.col("split") == p) for p in ("train", "val", "test")]

@@ -1,4 +1,9 @@
-"""Bronze to silver: one function per table, columns in their published order."""
+"""Bronze to silver: one function per table, columns in their published order.
+
+Each transform ends in DISTINCT. Where the load has already left one row per key, ``keyed``
+drops that step: it would change nothing, cost an exchange of whole rows, and keep readers of a
+few columns from pruning the others.
+"""
 
 from __future__ import annotations
 
@@ -16,27 +21,32 @@ from storeloom.sources.schemas import AUDIT_COLUMNS, BRAZIL_BOX
 GEO = ["geolocation_lat", "geolocation_lng", "has_geolocation"]
 
 
-def silver_customers(customers: DataFrame, geo: DataFrame, run_ts: str) -> DataFrame:
+def _distinct(df: DataFrame, keyed: bool) -> DataFrame:
+    return df if keyed else distinct_rows(df)
+
+
+def silver_customers(customers: DataFrame, geo: DataFrame, run_ts: str,
+                     keyed: bool = False) -> DataFrame:
     base = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
             "customer_state"]
-    unique = distinct_rows(customers.select(*base))
+    unique = _distinct(customers.select(*base), keyed)
     located = enrich_geolocation(unique, "customer_zip_code_prefix", geo)
     return clean.with_audit(located.select(*base, *GEO), run_ts)
 
 
-def silver_orders(orders: DataFrame, run_ts: str) -> DataFrame:
+def silver_orders(orders: DataFrame, run_ts: str, keyed: bool = False) -> DataFrame:
     stamps = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
               "order_delivered_customer_date", "order_estimated_delivery_date"]
-    tidy = distinct_rows(orders.select(
+    tidy = _distinct(orders.select(
         "order_id", "customer_id", C.clean_lower("order_status").alias("order_status"),
-        *[C.strict_timestamp(c).alias(c) for c in stamps]))
+        *[C.strict_timestamp(c).alias(c) for c in stamps]), keyed)
     flagged = clean.presence_flags(tidy, {
         "is_approved": "order_approved_at", "is_shipped": "order_delivered_carrier_date",
         "is_delivered": "order_delivered_customer_date"})
     return clean.with_audit(flagged, run_ts)
 
 
-def silver_products(products: DataFrame, run_ts: str) -> DataFrame:
+def silver_products(products: DataFrame, run_ts: str, keyed: bool = False) -> DataFrame:
     sides = ["product_length_cm", "product_height_cm", "product_width_cm"]
     # The photo flag reads the raw column, so a missing count gives NULL and not FALSE.
     flagged = clean.threshold_flag(products, "has_photos", "product_photos_qty", ">", 0)
@@ -48,26 +58,27 @@ def silver_products(products: DataFrame, run_ts: str) -> DataFrame:
     tidy = clean.presence_flags(tidy, {"has_category": "product_category_name",
                                        "has_weight": "product_weight_g"})
     tidy = clean.all_present_flag(tidy, "has_dimensions", sides)
-    ordered = distinct_rows(tidy.select(
+    ordered = _distinct(tidy.select(
         "product_id", "product_category_name", "product_name_length",
         "product_description_length", "product_photos_qty", "product_weight_g", *sides,
-        "product_volume_cm3", "has_category", "has_weight", "has_photos", "has_dimensions"))
+        "product_volume_cm3", "has_category", "has_weight", "has_photos", "has_dimensions"), keyed)
     return clean.with_audit(ordered, run_ts)
 
 
-def silver_sellers(sellers: DataFrame, geo: DataFrame, run_ts: str) -> DataFrame:
+def silver_sellers(sellers: DataFrame, geo: DataFrame, run_ts: str,
+                   keyed: bool = False) -> DataFrame:
     base = ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
-    unique = distinct_rows(sellers.select(
-        *base[:-1], C.clean_upper("seller_state").alias("seller_state")))
+    unique = _distinct(sellers.select(
+        *base[:-1], C.clean_upper("seller_state").alias("seller_state")), keyed)
     located = enrich_geolocation(unique, "seller_zip_code_prefix", geo)
     return clean.with_audit(located.select(*base, *GEO), run_ts)
 
 
-def silver_order_items(items: DataFrame, run_ts: str) -> DataFrame:
-    typed = distinct_rows(items.select(
+def silver_order_items(items: DataFrame, run_ts: str, keyed: bool = False) -> DataFrame:
+    typed = _distinct(items.select(
         "order_id", "order_item_id", "product_id", "seller_id",
         C.money("price").alias("price"), C.money("freight_value").alias("freight_value"),
-        C.strict_timestamp("shipping_limit_date").alias("shipping_limit_date")))
+        C.strict_timestamp("shipping_limit_date").alias("shipping_limit_date")), keyed)
     out = clean.item_total_value(typed)
     out = clean.threshold_flag(out, "has_price", "price", ">", 0)
     out = clean.threshold_flag(out, "has_freight", "freight_value", ">", 0)
@@ -75,11 +86,11 @@ def silver_order_items(items: DataFrame, run_ts: str) -> DataFrame:
     return clean.with_audit(out, run_ts)
 
 
-def silver_order_payments(payments: DataFrame, run_ts: str) -> DataFrame:
-    typed = distinct_rows(payments.select(
+def silver_order_payments(payments: DataFrame, run_ts: str, keyed: bool = False) -> DataFrame:
+    typed = _distinct(payments.select(
         "order_id", "payment_sequential", C.clean_lower("payment_type").alias("payment_type"),
         F.col("payment_installments").cast("int").alias("payment_installments"),
-        C.money("payment_value").alias("payment_value")))
+        C.money("payment_value").alias("payment_value")), keyed)
     out = clean.threshold_flag(typed, "has_value", "payment_value", ">", 0)
     out = clean.threshold_flag(out, "is_installment", "payment_installments", ">", 1)
     out = clean.equals_flag(out, "is_credit_card", "payment_type", "credit_card")
@@ -87,13 +98,13 @@ def silver_order_payments(payments: DataFrame, run_ts: str) -> DataFrame:
     return clean.with_audit(out, run_ts)
 
 
-def silver_order_reviews(reviews: DataFrame, run_ts: str) -> DataFrame:
-    typed = distinct_rows(reviews.select(
+def silver_order_reviews(reviews: DataFrame, run_ts: str, keyed: bool = False) -> DataFrame:
+    typed = _distinct(reviews.select(
         "review_id", "order_id", F.col("review_score").cast("int").alias("review_score"),
         F.trim("review_comment_title").alias("review_comment_title"),
         F.trim("review_comment_message").alias("review_comment_message"),
         C.strict_timestamp("review_creation_date").alias("review_creation_date"),
-        C.strict_timestamp("review_answer_timestamp").alias("review_answer_timestamp")))
+        C.strict_timestamp("review_answer_timestamp").alias("review_answer_timestamp")), keyed)
     out = typed.withColumn("comment_length", C.trimmed_length("review_comment_message"))
     out = clean.presence_flags(out, {"has_comment_title": "review_comment_title",
                                      "has_comment_message": "review_comment_message",
@@ -119,17 +130,17 @@ def silver_geolocation(geo_raw: DataFrame, run_ts: str, box=BRAZIL_BOX) -> DataF
     return clean.with_audit(out, run_ts)
 
 
-def silver(bronze: Mapping[str, DataFrame], run_ts: str) -> dict[str, DataFrame]:
+def silver(bronze: Mapping[str, DataFrame], run_ts: str, keyed: bool = False) -> dict[str, DataFrame]:
     """Every silver table whose bronze input is given."""
     geo = bronze.get("geolocation")
     build = {
-        "customers": lambda t: silver_customers(t, geo, run_ts),
-        "sellers": lambda t: silver_sellers(t, geo, run_ts),
-        "products": lambda t: silver_products(t, run_ts),
-        "orders": lambda t: silver_orders(t, run_ts),
-        "order_items": lambda t: silver_order_items(t, run_ts),
-        "order_payments": lambda t: silver_order_payments(t, run_ts),
-        "order_reviews": lambda t: silver_order_reviews(t, run_ts),
+        "customers": lambda t: silver_customers(t, geo, run_ts, keyed),
+        "sellers": lambda t: silver_sellers(t, geo, run_ts, keyed),
+        "products": lambda t: silver_products(t, run_ts, keyed),
+        "orders": lambda t: silver_orders(t, run_ts, keyed),
+        "order_items": lambda t: silver_order_items(t, run_ts, keyed),
+        "order_payments": lambda t: silver_order_payments(t, run_ts, keyed),
+        "order_reviews": lambda t: silver_order_reviews(t, run_ts, keyed),
         "geolocation": lambda t: silver_geolocation(t, run_ts),
     }
     return {name: build[name](table) for name, table in bronze.items()}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeloom.operators.dedup import dedupe_keep_first
 from storeloom.sources.readers import read_table, zip_prefix
 
 
@@ -78,16 +79,9 @@ def order_items_raw(spark: SparkSession, base: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, base: str) -> DataFrame:
-    """One row per (order_id, order_item_id): the smallest payload wins.
-
-    The minimum of a struct is combined on the map side, so a key that holds a large share of
-    the rows leaves each map task as a single row.
-    """
+    """One row per (order_id, order_item_id): the smallest payload wins."""
     payload = ["product_id", "seller_id", "_price", "shipping_limit_date", "_quantity"]
-    kept = (order_items_raw(spark, base)
-            .groupBy("order_id", "order_item_id")
-            .agg(F.min(F.struct(*payload)).alias("kept"))
-            .select("order_id", "order_item_id", "kept.*"))
+    kept = dedupe_keep_first(order_items_raw(spark, base), ["order_id", "order_item_id"], payload)
     return kept.select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
         F.col("_price").cast("decimal(10,2)").alias("price"),
