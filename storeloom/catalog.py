@@ -901,7 +901,7 @@ def surrogate_key_sequence(t):
 
 @query
 def fact_sales(t):
-    return G.fact_sales(t.s("order_items"), t.metrics)
+    return G.fact_sales(t.s("order_items"), t.stored_metrics)
 
 
 @query
@@ -910,7 +910,7 @@ def fact_sales_lookup(t):
     dims = {f"{who}s": G.surrogate_key(t.s(f"{who}s").select(f"{who}_id"), [f"{who}_id"],
                                        f"{who}_sk", how="sequence")
             for who in ("customer", "product", "seller")}
-    return G.fact_sales(t.s("order_items"), t.metrics, dims)
+    return G.fact_sales(t.s("order_items"), t.stored_metrics, dims)
 
 
 @query

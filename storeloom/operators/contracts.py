@@ -171,8 +171,8 @@ def run_suite(df: DataFrame, suite: Sequence[dict]) -> DataFrame:
             aggregates += [evaluated.alias(f"e{i}"),
                            F.count_if(_unexpected(kind, args)).alias(f"u{i}")]
             wide.append(F.struct(*row(F.col(f"e{i}"), F.col(f"u{i}"))))
-    one_pass = df.agg(*aggregates).select(F.inline(F.array(*wide)))
-    return reduce(DataFrame.unionByName, extra, one_pass)
+    one_pass = [df.agg(*aggregates).select(F.inline(F.array(*wide)))] if wide else []
+    return reduce(DataFrame.unionByName, one_pass + extra)
 
 
 def suite_statistics(results: DataFrame, table: str) -> DataFrame:

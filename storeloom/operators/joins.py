@@ -1,4 +1,5 @@
-"""Joins. No side is broadcast by hand: runtime statistics decide, on measured sizes."""
+"""Joins. Runtime statistics pick the strategy, on measured sizes; the one broadcast by hand,
+of the zip lookup, is behind a count of its rows."""
 
 from __future__ import annotations
 
@@ -12,10 +13,21 @@ from storeloom.functions import columns as C
 from storeloom.operators.clean import drop_null_keys
 from storeloom.operators.dedup import distinct_on
 from storeloom.operators.ordered import ordered_scan
+from storeloom.session import cut_lineage
 
 ZIP, LAT, LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
 
 
+ZIP_LIMIT = 100_000  # as many as five digits can name
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = ZIP_LIMIT) -> DataFrame:
+    """The frame written once and counted: broadcast up to ``max_rows``. Beyond that it joins by
+    shuffle from its own exchange, where a hot key of the other side is split at run time."""
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
 def one_coordinate_per_zip(geo: DataFrame) -> DataFrame:
     """Rows without coordinates go; the smallest (lat, lng, city) stays."""
     return (distinct_on(drop_null_keys(geo, [LAT, LNG]), [ZIP], [LAT, LNG, "geolocation_city"])
@@ -24,7 +36,7 @@ def one_coordinate_per_zip(geo: DataFrame) -> DataFrame:
 
 def enrich_geolocation(df: DataFrame, zip_col: str, geo: DataFrame) -> DataFrame:
     """Left lookup of coordinates: missing ones become 0.0 and ``has_geolocation`` tells."""
-    point = one_coordinate_per_zip(geo)
+    point = checked_broadcast(one_coordinate_per_zip(geo))
     found = df.join(point, F.col(zip_col) == F.col(ZIP), "left").drop(ZIP)
     kinds = {f.name: f.dataType for f in point.schema}
     return (found.withColumn("has_geolocation", C.all_present(LAT, LNG))
@@ -86,8 +98,8 @@ def customer_seller_distance(orders: DataFrame, items: DataFrame, customers: Dat
 
     ``geo`` holds one row per zip.
     """
-    point = geo.select(ZIP, F.col(LAT).cast("double").alias("lat"),
-                       F.col(LNG).cast("double").alias("lng"))
+    point = checked_broadcast(geo.select(ZIP, F.col(LAT).cast("double").alias("lat"),
+                                         F.col(LNG).cast("double").alias("lng")))
 
     def located(df: DataFrame, key: str, zip_col: str, who: str) -> DataFrame:
         return (df.join(point, F.col(zip_col) == F.col(ZIP))

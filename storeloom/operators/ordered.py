@@ -78,16 +78,20 @@ def quantile_values(df: DataFrame, value: str, shares: Sequence[float],
     """Exact quantiles with linear interpolation between neighbours, long form:
     ``by..., share, quantile``. Needs no group to fit in one task."""
     spread = value_positions(df, value, by)
-    size = spread.groupBy(*by).agg(F.max("upto").alias("_size"))
-    wanted = size.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    position = (F.col("_size") - 1) * F.col("share")
-    wanted = wanted.withColumns({"_lo": F.floor(position) + 1, "_hi": F.ceil(position) + 1,
-                                 "_frac": position - F.floor(position)})
-    # One row per group and share, so this side stays as small as the list of quantiles.
-    hit = spread.join(wanted, list(by)) if by else spread.crossJoin(F.broadcast(wanted))
-    first = F.col("upto") - F.col("n") + 1
-    hit = hit.filter(((F.col("_lo") >= first) & (F.col("_lo") <= F.col("upto")))
-                     | ((F.col("_hi") >= first) & (F.col("_hi") <= F.col("upto"))))
+    size = F.max("upto").alias("_size")
+    if by:
+        spread = spread.join(spread.groupBy(*by).agg(size), list(by))
+    else:
+        spread = spread.withColumn("_size", spread.agg(size).scalar())
+    # Every quantile lies between two neighbouring rows; a distinct value keeps the shares for
+    # which it holds one of them, and nearly all values keep none.
+    first, last = F.col("upto") - F.col("n") + 1, F.col("upto")
+    at = lambda share: (F.col("_size") - 1) * share + 1
+    holds = lambda row: (row >= first) & (row <= last)
+    mine = F.filter(F.array(*[F.lit(float(s)) for s in shares]),
+                    lambda s: holds(F.floor(at(s))) | holds(F.ceil(at(s))))
+    hit = (spread.withColumn("share", F.explode(mine))
+           .withColumn("_frac", at(F.col("share")) - F.floor(at(F.col("share")))))
     low, high = F.min(value).cast("double"), F.max(value).cast("double")
     return hit.groupBy(*by, "share").agg(
         (low + F.max("_frac") * (high - low)).alias("quantile"))

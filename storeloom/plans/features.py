@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
 from storeloom.operators.ordered import history_before
+from storeloom.session import ensure_checkpoint_dir
 
 NUMERIC = [
     "total_value", "total_items", "unique_products", "unique_sellers", "payment_count",
@@ -132,6 +133,7 @@ def train_delay_model(train: DataFrame, val: DataFrame | None = None, rounds: in
                       depth: int = 6, step: float = 0.1, positive_weight: float = 1.8,
                       seed: int = 7) -> PipelineModel:
     """Encoders, scaler and boosted trees; ``val`` rows stop the rounds early."""
+    ensure_checkpoint_dir(train.sparkSession)
     rows = _prepared(train).withColumn("_val", F.lit(False))
     if val is not None:
         rows = rows.unionByName(_prepared(val).withColumn("_val", F.lit(True)))
@@ -141,7 +143,7 @@ def train_delay_model(train: DataFrame, val: DataFrame | None = None, rounds: in
     coded = [f"{c}_code" for c in CATEGORICAL]
     trees = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="_weight",
                           maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed,
-                          maxBins=256, checkpointInterval=-1)
+                          maxBins=256, checkpointInterval=10)
     if val is not None:
         trees = trees.setValidationIndicatorCol("_val")
     return Pipeline(stages=[

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
-from storeloom.operators.joins import (LAT, LNG, ZIP, customer_seller_distance,
-                                       one_coordinate_per_zip)
+from storeloom.operators.joins import (LAT, LNG, ZIP, checked_broadcast,
+                                       customer_seller_distance, one_coordinate_per_zip)
 from storeloom.operators.ordered import ordered_scan
 from storeloom.sources.schemas import BRAZIL_REGIONS
 
@@ -92,7 +92,7 @@ def customer_metrics(customers: DataFrame, orders: DataFrame, items: DataFrame,
              F.sum("spent").cast("decimal(20,2)").alias("total_spent"),
              C.ratio(F.sum("spent"), F.sum("priced")).alias("avg_order_value"),
              C.ratio(F.sum("score_sum"), F.sum("scores")).alias("avg_review_score")))
-    point = one_coordinate_per_zip(geo)
+    point = checked_broadcast(one_coordinate_per_zip(geo))
     return (customers.select("customer_id", "customer_unique_id", "customer_zip_code_prefix",
                              "customer_city", "customer_state")
             .join(point, F.col("customer_zip_code_prefix") == F.col(ZIP), "left").drop(ZIP)
@@ -317,7 +317,11 @@ def scd2_validity(versions: DataFrame, key: str) -> DataFrame:
 def fact_sales(items: DataFrame, metrics: DataFrame,
                dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Item grain. MD5 keys are computed in place; pass ``dims`` (customers, products, sellers
-    with their ``_sk``) to look the keys up instead, which leaves unknown members NULL."""
+    with their ``_sk``) to look the keys up instead, which leaves unknown members NULL.
+
+    Pass ``metrics`` as a stored table: both sides then meet in exchanges of their own, and an
+    order with very many items is split over several tasks at run time.
+    """
     rows = items.select("order_id", "order_item_id", "product_id", "seller_id", "price",
                         "freight_value").join(
         metrics.select("order_id", "customer_id", "order_purchase_timestamp", "is_delivered",

@@ -37,7 +37,8 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The folder the cluster names; one of our own only for a local session that names none."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
@@ -52,5 +53,5 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
