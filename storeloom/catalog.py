@@ -18,7 +18,6 @@ from storeloom.plans import metrics as M
 from storeloom.plans import silver as S
 from storeloom.session import apply_settings, cut_lineage
 from storeloom.sources import retail, writers
-from storeloom.sources.readers import read_table
 from storeloom.sources.schemas import EXPECTED_ROWS, FOREIGN_KEYS, PRIMARY_KEYS
 
 RUN_TS = "2002-01-01 00:00:00"
@@ -33,16 +32,14 @@ class Lake:
     """Bronze, silver and gold frames over one folder, each planned once."""
 
     def __init__(self, spark: SparkSession, base: str) -> None:
-        self.spark, self.base = spark, base
+        self.spark = spark
+        self.source = retail.reader(spark, base)
         self._bronze: dict[str, DataFrame] = {}
         self._silver: dict[tuple[str, bool], DataFrame] = {}
 
-    def source(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.base, name)
-
     def b(self, name: str) -> DataFrame:
         if name not in self._bronze:
-            self._bronze[name] = retail.BRONZE_TABLES[name](self.spark, self.base)
+            self._bronze[name] = retail.BRONZE_TABLES[name](self.source)
         return self._bronze[name]
 
     def full(self, name: str, keyed: bool = False) -> DataFrame:
@@ -60,11 +57,11 @@ class Lake:
 
     @cached_property
     def regions(self) -> DataFrame:
-        return retail.state_regions(self.spark, self.base)
+        return retail.state_regions(self.source)
 
     @cached_property
     def raw_items(self) -> DataFrame:
-        return retail.order_items_raw(self.spark, self.base)
+        return retail.order_items_raw(self.source)
 
     @cached_property
     def metrics(self) -> DataFrame:

@@ -15,7 +15,7 @@ def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str |
     """Row number and running sums over the whole table in the given order.
 
     The rows are range-partitioned by ``order_by`` (which must identify a row, so that equal
-    values cannot pile up in one range) and the layout is checkpointed. Each range then counts
+    values cannot pile up in one range) and the layout is stored. Each range then counts
     for itself, and the totals of the ranges before it are added: one row per range, a number
     fixed by the shuffle settings and not by the data.
 

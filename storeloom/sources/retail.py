@@ -6,16 +6,21 @@ arithmetic, so that any engine derives the same tables from the same files.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache, partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom.operators.dedup import dedupe_keep_first
 from storeloom.sources.readers import read_table, zip_prefix
 
+Reader = Callable[[str], DataFrame]
+
 
-def customers(spark: SparkSession, base: str) -> DataFrame:
-    nation = read_table(spark, base, "nation").select("n_nationkey", "n_name")
-    return (read_table(spark, base, "customer")
+def customers(read: Reader) -> DataFrame:
+    nation = read("nation").select("n_nationkey", "n_name")
+    return (read("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("customer_id"),
                     F.expr("c_custkey div 3").alias("customer_unique_id"),
@@ -24,9 +29,9 @@ def customers(spark: SparkSession, base: str) -> DataFrame:
                     F.col("n_name").alias("customer_state")))
 
 
-def sellers(spark: SparkSession, base: str) -> DataFrame:
-    nation = read_table(spark, base, "nation").select("n_nationkey", "n_name")
-    return (read_table(spark, base, "supplier")
+def sellers(read: Reader) -> DataFrame:
+    nation = read("nation").select("n_nationkey", "n_name")
+    return (read("supplier")
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.col("s_suppkey").alias("seller_id"),
                     zip_prefix("s_nationkey").alias("seller_zip_code_prefix"),
@@ -34,10 +39,10 @@ def sellers(spark: SparkSession, base: str) -> DataFrame:
                     F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("seller_state")))
 
 
-def products(spark: SparkSession, base: str) -> DataFrame:
+def products(read: Reader) -> DataFrame:
     key = F.col("p_partkey")
     sparse = key % 50 != 0
-    return read_table(spark, base, "part").select(
+    return read("part").select(
         key.alias("product_id"),
         F.when(sparse, F.col("p_type")).alias("product_category_name"),
         F.length("p_name").alias("product_name_lenght"),
@@ -49,9 +54,9 @@ def products(spark: SparkSession, base: str) -> DataFrame:
         (8 + key % 15).cast("int").alias("product_width_cm"))
 
 
-def orders(spark: SparkSession, base: str) -> DataFrame:
+def orders(read: Reader) -> DataFrame:
     key, bought, status = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
-    return read_table(spark, base, "orders").select(
+    return read("orders").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(status == "F", " Delivered ").when(status == "O", "SHIPPED")
@@ -66,9 +71,9 @@ def orders(spark: SparkSession, base: str) -> DataFrame:
         (bought + F.expr("INTERVAL '20' DAY")).alias("order_estimated_delivery_date"))
 
 
-def order_items_raw(spark: SparkSession, base: str) -> DataFrame:
+def order_items_raw(read: Reader) -> DataFrame:
     """Line items before deduplication: (order_id, order_item_id) repeats here."""
-    return read_table(spark, base, "lineitem").select(
+    return read("lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
@@ -78,17 +83,17 @@ def order_items_raw(spark: SparkSession, base: str) -> DataFrame:
         F.col("l_quantity").alias("_quantity"))
 
 
-def order_items(spark: SparkSession, base: str) -> DataFrame:
+def order_items(read: Reader) -> DataFrame:
     """One row per (order_id, order_item_id): the smallest payload wins."""
     payload = ["product_id", "seller_id", "_price", "shipping_limit_date", "_quantity"]
-    kept = dedupe_keep_first(order_items_raw(spark, base), ["order_id", "order_item_id"], payload)
+    kept = dedupe_keep_first(order_items_raw(read), ["order_id", "order_item_id"], payload)
     return kept.select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
         F.col("_price").cast("decimal(10,2)").alias("price"),
         (F.col("product_id") % 40).cast("decimal(10,2)").alias("freight_value"))
 
 
-def order_payments(spark: SparkSession, base: str) -> DataFrame:
+def order_payments(read: Reader) -> DataFrame:
     key = F.col("o_orderkey")
     total = F.col("o_totalprice").cast("decimal(10,2)")
     first = F.when(key % 7 == 0, (total / 2).cast("decimal(10,2)")).otherwise(total)
@@ -100,7 +105,7 @@ def order_payments(spark: SparkSession, base: str) -> DataFrame:
         F.struct(F.lit(1).alias("seq"), first.alias("value")),
         F.struct(F.lit(2).alias("seq"), (total - first).cast("decimal(10,2)").alias("value")),
     )).otherwise(F.array(F.struct(F.lit(1).alias("seq"), first.alias("value"))))
-    return (read_table(spark, base, "orders")
+    return (read("orders")
             .select(key.alias("order_id"), kind.alias("payment_type"),
                     (1 + key % 10).cast("int").alias("payment_installments"),
                     F.explode(parts).alias("part"))
@@ -108,14 +113,14 @@ def order_payments(spark: SparkSession, base: str) -> DataFrame:
                     "payment_installments", F.col("part.value").alias("payment_value")))
 
 
-def order_reviews(spark: SparkSession, base: str) -> DataFrame:
+def order_reviews(read: Reader) -> DataFrame:
     """Nine of ten orders have a review; its text is a whole document, spread over all of them."""
     key = F.col("order_id")
     late = F.coalesce(F.col("order_delivered_customer_date")
                       > F.col("order_estimated_delivery_date"), F.lit(False))
     created = F.coalesce("order_delivered_customer_date", "order_estimated_delivery_date")
-    docs = read_table(spark, base, "documents").select("doc_id", "text")
-    reviewed = (orders(spark, base)
+    docs = read("documents").select("doc_id", "text")
+    reviewed = (orders(read)
                 .filter(key % 10 != 9)
                 # Orders without text get keys of their own: no document has them, and they
                 # spread over the join instead of meeting in one NULL partition.
@@ -132,9 +137,9 @@ def order_reviews(spark: SparkSession, base: str) -> DataFrame:
                      .alias("review_answer_timestamp")))
 
 
-def geolocation(spark: SparkSession, base: str) -> DataFrame:
+def geolocation(read: Reader) -> DataFrame:
     """Five readings per zip but the last one: four agree, the fifth is off by half a degree."""
-    nation = read_table(spark, base, "nation")
+    nation = read("nation")
     n = F.col("n_nationkey")
     last = nation.agg(F.max("n_nationkey")).scalar()
     shift = F.when(F.col("copy") == 4, F.lit(0.5)).otherwise(F.lit(0.0))
@@ -149,10 +154,10 @@ def geolocation(spark: SparkSession, base: str) -> DataFrame:
                     F.lower("n_name").alias("geolocation_state")))
 
 
-def state_regions(spark: SparkSession, base: str) -> DataFrame:
+def state_regions(read: Reader) -> DataFrame:
     """State to region lookup, one row per state."""
-    region = read_table(spark, base, "region")
-    return (read_table(spark, base, "nation")
+    region = read("region")
+    return (read("nation")
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("n_name").alias("state"), F.col("r_name").alias("region")))
 
@@ -169,6 +174,12 @@ BRONZE_TABLES = {
 }
 
 
+def reader(spark: SparkSession, base: str) -> Reader:
+    """Source tables by name; each is opened once."""
+    return cache(partial(read_table, spark, base))
+
+
 def bronze(spark: SparkSession, base: str, *names: str) -> dict[str, DataFrame]:
     """The named bronze tables, or all eight."""
-    return {n: BRONZE_TABLES[n](spark, base) for n in names or BRONZE_TABLES}
+    read = reader(spark, base)
+    return {n: BRONZE_TABLES[n](read) for n in names or BRONZE_TABLES}
