@@ -107,7 +107,8 @@ class Lake:
 
     @cached_property
     def stored_routes(self) -> DataFrame:
-        return cut_lineage(self.routes)
+        return cut_lineage(G.order_routes(self.s("order_items"), self.stored_metrics,
+                                          self.s("customers"), self.s("sellers"), self.regions))
 
     @cached_property
     def stored_metrics(self) -> DataFrame:
@@ -115,7 +116,7 @@ class Lake:
 
     @cached_property
     def features(self) -> DataFrame:
-        return ML.delay_features(self.metrics, self.s("order_items"), self.s("products"),
+        return ML.delay_features(self.stored_metrics, self.s("order_items"), self.s("products"),
                                  self.stored_routes, self.s("order_payments"), self.s("order_reviews"))
 
     @cached_property
@@ -593,7 +594,8 @@ def rfm_scores(t):
 def global_row_numbers(t):
     return ordered.ordered_scan(
         t.source("lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("lines")),
-        ["l_partkey", "l_suppkey"], number="row_number", running={"running_lines": "lines"})
+        ["l_partkey", "l_suppkey"], number="row_number",
+        running={"running_lines": "lines"}).drop("running_lines_total")
 
 
 @query

@@ -115,14 +115,12 @@ def psi(base: DataFrame, cur: DataFrame, col: str, bins: int = 10, epsilon: floa
     The ``bins - 1`` edges are the exact baseline values at ranks ``ceil(i * rows / bins)``.
     """
     spread = value_positions(base, col)
-    size = spread.agg(F.max("upto")).scalar()
     wanted = F.transform(F.sequence(F.lit(1), F.lit(bins - 1)),
-                         lambda i: F.ceil(i * F.col("_size") / bins))
+                         lambda i: F.ceil(i * F.col("upto_total") / bins))
     first = F.col("upto") - F.col("n") + 1
     covered = F.size(F.filter(wanted, lambda r: (r >= first) & (r <= F.col("upto"))))
     # bins - 1 values in all, so the array is as small as the histogram.
-    edges = (spread.withColumn("_size", size).withColumn("_times", covered)
-             .filter(F.col("_times") > 0)
+    edges = (spread.withColumn("_times", covered).filter(F.col("_times") > 0)
              .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(col), F.col("_times"))))))
              .scalar())
     tagged = (base.select(col, F.lit(1).alias("b"), F.lit(0).alias("c"))
@@ -151,14 +149,12 @@ def ks_statistics(base: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataF
 
     counts = (tall(base, 1).unionByName(tall(cur, 0)).groupBy("feature", "value")
               .agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
-    scan = ordered_scan(counts, ["feature", "value"], running={"cum_b": "b", "cum_c": "c"})
-    per = scan.groupBy("feature").agg(
-        F.min(F.col("cum_b") - F.col("b")).alias("b0"), F.max("cum_b").alias("b1"),
-        F.min(F.col("cum_c") - F.col("c")).alias("c0"), F.max("cum_c").alias("c1"))
-    n, m = F.col("b1") - F.col("b0"), F.col("c1") - F.col("c0")
-    gap = F.abs(C.ratio(F.col("cum_b") - F.col("b0"), n) - C.ratio(F.col("cum_c") - F.col("c0"), m))
+    scan = ordered_scan(counts, ["value"], running={"b_upto": "b", "c_upto": "c"},
+                        within=["feature"])
+    n, m = F.col("b_upto_total"), F.col("c_upto_total")
+    gap = F.abs(C.ratio(F.col("b_upto"), n) - C.ratio(F.col("c_upto"), m))
     limit = 1.36 * F.sqrt(F.try_divide((n + m).cast("double"), n.cast("double") * m))
-    return (scan.join(per, "feature").groupBy("feature")
+    return (scan.groupBy("feature")
             .agg(F.round(F.max(gap), 6).alias("statistic"),
                  F.round(F.max(limit), 6).alias("threshold"))
             .withColumn("test", F.lit("ks")))

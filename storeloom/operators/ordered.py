@@ -11,40 +11,51 @@ from storeloom.session import cut_lineage
 
 
 def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str | None = None,
-                 running: dict[str, str] | None = None, total: str | None = None) -> DataFrame:
+                 running: dict[str, str] | None = None, total: str | None = None,
+                 within: Sequence[str] = ()) -> DataFrame:
     """Row number and running sums over the whole table in the given order.
 
     The rows are range-partitioned by ``order_by`` (which must identify a row, so that equal
-    values cannot pile up in one range) and the layout is stored. Each range then counts
-    for itself, and the totals of the ranges before it are added: one row per range, a number
-    fixed by the shuffle settings and not by the data.
+    values cannot pile up in one range) and the layout is stored. Each range then counts for
+    itself, and the totals of the ranges before it are added: one row per range, a number fixed
+    by the shuffle settings and not by the data.
 
-    ``running`` maps new columns to the columns they sum; ``total`` names a row-count column.
+    ``running`` maps new columns to the columns they sum, and adds the sum over all rows as
+    ``<new column>_total``; ``total`` names a row-count column. With ``within``, the leading
+    columns of the order, everything starts anew in each of their groups.
     """
     running = running or {}
-    ranged = cut_lineage(df.repartitionByRange(*order_by).withColumn("_range", F.spark_partition_id()))
-    sizes = ranged.groupBy("_range").agg(
+    ranged = cut_lineage(
+        df.repartitionByRange(*within, *order_by).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range", *within).agg(
         F.count("*").alias("_rows"),
         *[F.sum(c).alias(f"_sum_{name}") for name, c in running.items()])
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*within)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        "_range",
+        F.col("_range").alias("_start_range"), *[F.col(c).alias(f"_start_{c}") for c in within],
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
-        F.sum("_rows").over(Window.partitionBy()).alias("_all_rows"),
-        *[F.sum(f"_sum_{name}").over(before).alias(f"_before_{name}") for name in running])
-    local = Window.partitionBy("_range").orderBy(*order_by)
+        F.sum("_rows").over(whole).alias("_all_rows"),
+        *[F.sum(f"_sum_{name}").over(before).alias(f"_before_{name}") for name in running],
+        *[F.sum(f"_sum_{name}").over(whole).alias(f"_all_{name}") for name in running])
+    local = Window.partitionBy("_range", *within).orderBy(*order_by)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = ranged.withColumn("_at", F.row_number().over(local)).withColumns(
         {f"_upto_{name}": F.sum(c).over(upto) for name, c in running.items()})
-    out = out.join(F.broadcast(starts), "_range")
+    same = F.col("_range") == F.col("_start_range")
+    for c in within:
+        same = same & F.col(c).eqNullSafe(F.col(f"_start_{c}"))
+    # Without groups there is one row per range; with groups Spark goes by the measured size.
+    out = out.join(starts if within else F.broadcast(starts), same)
     keep = [F.col(c) for c in df.columns]
     if number:
         keep.append((F.col("_rows_before") + F.col("_at")).alias(number))
     for name, c in running.items():
         kind = df.select(F.sum(c)).schema[0].dataType
-        before_sum = F.coalesce(F.col(f"_before_{name}").cast(kind), F.lit(0).cast(kind))
-        keep.append((before_sum + F.coalesce(F.col(f"_upto_{name}"), F.lit(0).cast(kind)))
-                    .cast(kind).alias(name))
+        parts = [F.coalesce(F.col(f"_{p}_{name}").cast(kind), F.lit(0).cast(kind))
+                 for p in ("before", "upto")]
+        keep += [(parts[0] + parts[1]).cast(kind).alias(name),
+                 F.col(f"_all_{name}").cast(kind).alias(f"{name}_total")]
     if total:
         keep.append(F.col("_all_rows").alias(total))
     return out.select(*keep)
@@ -61,16 +72,11 @@ def ntile(df: DataFrame, order_by: Sequence[Column | str], n: int, name: str) ->
 
 
 def value_positions(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct non-NULL values with their multiplicity ``n`` and the rows up to and including
-    them, per ``by`` group: the exact empirical distribution, one row per distinct value."""
+    """The exact empirical distribution per ``by`` group, one row per distinct non-NULL value:
+    its rows ``n``, the rows up to and including it ``upto``, and all rows ``upto_total``."""
     counts = (df.filter(F.col(value).isNotNull()).groupBy(*by, value)
               .agg(F.count("*").alias("n")))
-    scan = ordered_scan(counts, [*by, value], running={"_cum": "n"})
-    if not by:
-        return scan.withColumnRenamed("_cum", "upto")
-    first = scan.groupBy(*by).agg(F.min(F.col("_cum") - F.col("n")).alias("_start"))
-    return (scan.join(first, list(by))
-            .select(*by, value, "n", (F.col("_cum") - F.col("_start")).alias("upto")))
+    return ordered_scan(counts, [value], running={"upto": "n"}, within=by)
 
 
 def quantile_values(df: DataFrame, value: str, shares: Sequence[float],
@@ -78,15 +84,10 @@ def quantile_values(df: DataFrame, value: str, shares: Sequence[float],
     """Exact quantiles with linear interpolation between neighbours, long form:
     ``by..., share, quantile``. Needs no group to fit in one task."""
     spread = value_positions(df, value, by)
-    size = F.max("upto").alias("_size")
-    if by:
-        spread = spread.join(spread.groupBy(*by).agg(size), list(by))
-    else:
-        spread = spread.withColumn("_size", spread.agg(size).scalar())
     # Every quantile lies between two neighbouring rows; a distinct value keeps the shares for
     # which it holds one of them, and nearly all values keep none.
     first, last = F.col("upto") - F.col("n") + 1, F.col("upto")
-    at = lambda share: (F.col("_size") - 1) * share + 1
+    at = lambda share: (F.col("upto_total") - 1) * share + 1
     holds = lambda row: (row >= first) & (row <= last)
     mine = F.filter(F.array(*[F.lit(float(s)) for s in shares]),
                     lambda s: holds(F.floor(at(s))) | holds(F.ceil(at(s))))

@@ -189,7 +189,7 @@ def pareto(df: DataFrame, entity: str, measure: str, share: float = 0.8) -> Data
     reach ``share`` of the total. ``df`` holds one row per entity."""
     scan = ordered_scan(df.select(entity, measure), [F.desc(measure), entity], number="rank",
                         running={"running": measure}, total="entities")
-    total = scan.agg(F.sum(measure)).scalar()
+    total = F.col("running_total")
     before = C.ratio(F.col("running") - F.col(measure), total)
     return scan.select(entity, measure, "rank", "running", "entities",
                        C.ratio(F.col("running"), total).alias("running_share"),

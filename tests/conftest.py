@@ -25,7 +25,7 @@ def spark(tmp_path_factory):
 def rows(df, *order):
     """Rows as dicts, sorted by the given columns."""
     out = [r.asDict(recursive=True) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple((r[c] is None, r[c]) for c in order)) if order else out
+    return sorted(out, key=lambda r: tuple((r[c] is None, r[c] if r[c] is not None else 0) for c in order)) if order else out
 
 
 def one(df):
