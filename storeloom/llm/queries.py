@@ -6,8 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storeloom.llm import bpe, mixing, quality, tokenfile
+from storeloom.llm import (
+    bpe,
+    licenses,
+    mixing,
+    pii,
+    quality,
+    tokenfile,
+    topk,
+    toxicity,
+    warc,
+)
 from storeloom.llm.common import shared_folder, table
 
 
@@ -23,6 +34,23 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, files, with_ids=False)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.paths_of(table(spark, sf_dir, "documents")))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"bigint(size(filter(base, x -> x.kind = {k})))").alias(f"n_{kind}")
+              for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+                        pii.span_text("spans").alias("spans"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit_severity(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -35,7 +63,22 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_quality(docs, model, keep_columns=["doc_id"])
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warc.register(spark)
+    folder = shared_folder(spark, "warc")
+    warc.with_revisits(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(folder)
+    return spark.read.format("warc").load(folder).select(
+        warc.page_of("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_token_files, op6_byte_bpe, op8_quality_rules)}
+    f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_licenses, op4_personal_data,
+                              op5_toxicity, op6_byte_bpe, op8_quality_rules, op9_exact_top_k, op10_warc)}
 
 ORACLE: dict[str, str] = {}
