@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from storeloom.llm import (
     bpe,
+    jaccard,
     licenses,
     mixing,
     pii,
@@ -57,6 +58,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -79,6 +84,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_licenses, op4_personal_data,
-                              op5_toxicity, op6_byte_bpe, op8_quality_rules, op9_exact_top_k, op10_warc)}
+                              op5_toxicity, op6_byte_bpe, op7_jaccard_join, op8_quality_rules, op9_exact_top_k, op10_warc)}
 
 ORACLE: dict[str, str] = {}
