@@ -1,37 +1,57 @@
-"""Stages from raw documents to token ids; each takes and returns documents."""
+"""Stages from raw documents to token ids; each but the last takes and returns documents."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storeloom.llm import bpe, mixing, quality
+from storeloom.llm import bpe, jaccard, mixing, pii, quality
 from storeloom.llm.common import shared_folder, table
 
 
+def _with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the texts as they are now, where documents have that column."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, judged against their own corpus."""
     return quality.keep_good(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of texts that share four fifths of their five-word runs."""
+    return jaccard.keep_first(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    return _with_length(pii.redact(docs))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes, one row for each stretch of a document that one of its runs takes."""
-    return mixing.mixed_documents(docs)
+    return _with_length(mixing.mixed_documents(docs))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, with digests of the ids and of the bytes that they decode to."""
+    """Digests of each row's token ids and of the bytes that they decode to."""
     return bpe.encoding_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                 public_tokenizers.PATTERN)
 
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
+    ("personal_data", personal_data),
     ("mix_sources", mix_sources),
     ("byte_bpe", byte_bpe),
 ]
 
-#: The score, the links and the mix are no SQL; tests compare the stages with plain versions.
+#: Scores, links and draws are no SQL; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
