@@ -21,6 +21,7 @@ from storeloom.llm import (
     warc,
 )
 from storeloom.llm.common import shared_folder, table
+from storeloom.llm.oracle import ORACLE
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,4 +87,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_licenses, op4_personal_data,
                               op5_toxicity, op6_byte_bpe, op7_jaccard_join, op8_quality_rules, op9_exact_top_k, op10_warc)}
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
