@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.common import slices, texts_of
+from storeloom.llm.common import slices, texts_of, unused, without
 
 #: No pair: larger than any rank.
 NONE = np.int64(1 << 40)
@@ -238,7 +238,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
                      keep: list[str] | None = None) -> DataFrame:
     """``keep`` (``doc_id`` by default) with ``ids``: the ids of each whole text.
 
-    A null or empty text has no ids; repeated rows are encoded alike, one by one.
+    A null or empty text has no ids; repeated rows are encoded alike, one by one. A result column
+    takes the place of a kept one of its name.
     """
     return _encoded(docs, path, pattern, text, keep, "ids array<int>", ["ids"],
                     lambda ids, _: [pa.array(ids, pa.list_(pa.int32()))])
@@ -263,7 +264,7 @@ def encoding_digests(docs: DataFrame, path: str, pattern: str, text: str = "text
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids",
                      keep: list[str] | None = None) -> DataFrame:
     """``keep`` with ``text``: the text that the ids stand for; null ids give an empty text."""
-    kept = ["doc_id"] if keep is None else keep
+    kept = without(["doc_id"] if keep is None else keep, ["text"])
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = ranks_of(path).bytes_of
@@ -274,18 +275,19 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids",
                 [*batch.columns[:-1], pa.array(texts, pa.string())], [*kept, "text"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*kept).schema)
-    return encoded.select(*kept, F.col(ids).alias("_ids")).mapInArrow(back, f"{kinds}, text string")
+    return encoded.select(*kept, F.col(ids).alias(unused("_ids", kept))).mapInArrow(back, f"{kinds}, text string")
 
 
 def _encoded(docs, path, pattern, text, keep, schema, names, columns) -> DataFrame:
-    kept = ["doc_id"] if keep is None else keep
+    kept = without(["doc_id"] if keep is None else keep, names)
+    body = unused("_text", kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        for batch in slices(batches, "_text"):
-            ids = encoder.encode(texts_of(batch, "_text"))
+        for batch in slices(batches, body):
+            ids = encoder.encode(texts_of(batch, body))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *columns(ids, encoder.ranks.bytes_of)], [*kept, *names])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, f"{kinds}, {schema}")
+    return docs.select(*kept, F.col(text).alias(body)).mapInArrow(run, f"{kinds}, {schema}")

@@ -58,3 +58,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, empty where they are null."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+
+
+def without(names: list[str], results: list[str]) -> list[str]:
+    """The names of kept columns; a result column takes the place of a kept one of its name."""
+    taken = {r.lower() for r in results}
+    return [n for n in names if n.lower() not in taken]
+
+
+def unused(name: str, names: list[str]) -> str:
+    """The name, longer if a column has it."""
+    while name.lower() in {n.lower() for n in names}:
+        name += "_"
+    return name
