@@ -42,11 +42,11 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path).drop("year", "month")
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
+def preview(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def sample_rows(df: DataFrame, n: int = 10_000) -> DataFrame:
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
     """Unordered row sample. Contracts never use it by themselves; they read whole tables."""
     return df.limit(n)
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from storeloom.operators.checks import CheckFailed
 from storeloom.operators.dedup import dedupe_keep_first
 
 SNAPSHOT = "_snapshot"
+BUCKET = "_bucket"
 
 
 # --- bronze ---------------------------------------------------------------------------------
@@ -39,16 +43,28 @@ def full_refresh(df: DataFrame, table: str) -> None:
 
 
 def materialize(df: DataFrame, table: str) -> DataFrame:
-    """Drop and rebuild a table from a query."""
+    """Rebuild a table from a query, which may read the old one. The new rows are complete under a
+    name of their own before the old table goes, so a failed build leaves it as it was."""
     spark = df.sparkSession
+    building = f"{table}_building"
+    spark.sql(f"DROP TABLE IF EXISTS {building}")
+    df.write.format("parquet").saveAsTable(building)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.format("parquet").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
     return spark.table(table)
 
 
-def assert_same_count(source: DataFrame, target: DataFrame) -> int:
-    """Both sides hold the same number of rows, or the load fails."""
-    expected, actual = source.count(), target.count()
+def write_counted(df: DataFrame, path: str) -> int:
+    """Writes the frame and returns the rows that the write itself saw."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
+
+
+def assert_same_count(source: DataFrame | int, target: DataFrame | int) -> int:
+    """Both sides hold the same number of rows, or the load fails. A count that a write has
+    returned is taken as it is."""
+    expected, actual = (x if isinstance(x, int) else x.count() for x in (source, target))
     if expected != actual:
         raise CheckFailed(f"source has {expected} rows, target {actual}")
     return actual
@@ -61,7 +77,8 @@ def _with_month(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def export_partitioned(df: DataFrame, path: str, ts_col: str = "processed_at") -> str:
-    """``year=YYYY/month=MM`` folders of snappy parquet; returns ``skipped`` for no rows.
+    """``year=YYYY/month=MM`` folders of snappy parquet; returns ``skipped`` for no rows, for which
+    ``skipped_export`` is the record.
 
     The rebalance hint gathers each month in few files, and splits a month that is larger than
     the advised partition size over several tasks.
@@ -74,6 +91,13 @@ def export_partitioned(df: DataFrame, path: str, ts_col: str = "processed_at") -
     return "success"
 
 
+def skipped_export(spark: SparkSession, table: str) -> DataFrame:
+    """Status record of a table that had nothing to export."""
+    return spark.createDataFrame(
+        [(table, "skipped", "empty table", 0, 0)],
+        "table_name string, status string, reason string, records bigint, partitions bigint")
+
+
 def export_manifest(df: DataFrame, ts_col: str, table: str) -> DataFrame:
     """Rows per partition of an export."""
     month = _with_month(df, ts_col).groupBy("year", "month").agg(F.count("*").alias("records"))
@@ -91,50 +115,111 @@ def export_summary(manifests: Sequence[DataFrame]) -> DataFrame:
 # --- incremental ----------------------------------------------------------------------------
 
 def incremental_merge(target: DataFrame, updates: DataFrame, key: Sequence[str],
-                      order_col: str) -> DataFrame:
-    """Upsert: the newest update per key replaces the target's row."""
-    newest = dedupe_keep_first(updates, key, [F.desc(order_col)])
-    return (target.join(newest.select(*key), list(key), "left_anti").select(*target.columns)
-            .unionByName(newest.select(*target.columns)))
+                      order_col: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Upsert: of a key's target row and its updates the newest stays, so a late update changes
+    nothing. Rows of the same instant are told apart by ``ties``, the largest first, and then by
+    all other columns, so that the result does not depend on the order of arrival."""
+    rest = [c for c in target.columns if c not in (*key, order_col, *ties)]
+    return dedupe_keep_first(target.unionByName(updates.select(*target.columns)), key,
+                             [F.desc_nulls_last(c) for c in (order_col, *ties, *rest)])
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest complete snapshot below ``path``."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's path class, the path and its file system."""
+    kind = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = kind(path)
+    return kind, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    kind, root, fs = _folder(spark, f"{path}/{SNAPSHOT}s")
     if not fs.exists(root):
-        return None
-    done = []
-    for entry in fs.listStatus(root):
-        folder = entry.getPath()
-        name = folder.getName()
-        if name.startswith(f"{SNAPSHOT}=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
-            done.append(int(name.split("=")[1]))
-    return max(done, default=None)
+        return []
+    names = (entry.getPath().getName() for entry in fs.listStatus(root))
+    return sorted(int(n.removesuffix(".json")) for n in names if not n.startswith("."))
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest snapshot below ``path``."""
+    return max(_snapshots(spark, path), default=None)
+
+
+def _manifest(spark: SparkSession, path: str, number: int) -> dict:
+    return json.loads(spark.read.text(f"{path}/{SNAPSHOT}s/{number}.json", wholetext=True).first()[0])
+
+
+def _publish(spark: SparkSession, path: str, number: int, manifest: dict) -> None:
+    """The manifest appears under its name at once, or not at all if the number is taken."""
+    kind, final, fs = _folder(spark, f"{path}/{SNAPSHOT}s/{number}.json")
+    hidden = kind(f"{path}/{SNAPSHOT}s/.{number}-{uuid.uuid4().hex}")
+    out = fs.create(hidden)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(hidden, final):
+        fs.delete(hidden, False)
+        raise RuntimeError(f"snapshot {number} of {path} was written by somebody else")
+
+
+def _expire(spark: SparkSession, path: str, keep: int) -> None:
+    """Drops all but the newest ``keep`` snapshots, and the bucket folders that none of those uses."""
+    kind, root, fs = _folder(spark, f"{path}/{SNAPSHOT}s")
+    numbers = _snapshots(spark, path)
+    used = {f for n in numbers[-keep:] for f in _manifest(spark, path, n)["buckets"].values()}
+    for n in numbers[:-keep]:
+        gone = set(_manifest(spark, path, n)["buckets"].values()) - used
+        for folder in gone:
+            fs.delete(kind(f"{path}/{folder}"), True)
+        fs.delete(kind(f"{path}/{SNAPSHOT}s/{n}.json"), False)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     number = latest_snapshot(spark, path)
-    return None if number is None else spark.read.parquet(f"{path}/{SNAPSHOT}={number}")
+    if number is None:
+        return None
+    manifest = _manifest(spark, path, number)
+    schema = StructType.fromJson(manifest["schema"])
+    folders = [f"{path}/{f}" for f in manifest["buckets"].values()]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def merge_into_path(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str],
-                    order_col: str, number: int | None = None) -> int:
-    """Merge into the next snapshot folder. Readers keep the old one until the new one is
-    complete, and repeating a number rewrites it from the same predecessor."""
+                    order_col: str, ties: Sequence[str] = (), source: str | None = None,
+                    batch: int = 0, buckets: int = 64, keep: int = 2) -> int:
+    """Merge into the next snapshot and return its number.
+
+    A snapshot is a small manifest that names one folder for each key bucket. A merge reads and
+    rewrites the buckets that the updates touch, keeps the others, and publishes a manifest
+    with the next number; readers see the old snapshot until then, and the newest ``keep`` stay on
+    disk. The number of buckets is fixed by the first merge. One writer at a time: a second one
+    that takes the same number fails.
+
+    With ``source``, the manifest remembers the last batch of each source, and a batch that is
+    repeated after a failure changes nothing. A source that starts anew must have a new name.
+    """
     last = latest_snapshot(spark, path)
-    if number is None:
-        number = 0 if last is None else last + 1
-    if last is not None and last >= number:
-        last = number - 1 if number > 0 else None
-    if last is None:
-        merged = dedupe_keep_first(updates, key, [F.desc(order_col)])
-    else:
-        merged = incremental_merge(spark.read.parquet(f"{path}/{SNAPSHOT}={last}"), updates, key,
-                                   order_col)
-    merged.write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={number}")
+    manifest = {"buckets": {}, "count": buckets, "applied": {}} if last is None else _manifest(
+        spark, path, last)
+    if source is not None and manifest["applied"].get(source, -1) >= batch:
+        return last
+    number = 0 if last is None else last + 1
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(manifest["count"])).cast("int")
+    schema = updates.schema if last is None else StructType.fromJson(manifest["schema"])
+    new = updates.select(*schema.names).withColumn(BUCKET, bucket)
+    # At most one row per bucket.
+    touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
+    old = [f"{path}/{manifest['buckets'][str(b)]}" for b in touched if str(b) in manifest["buckets"]]
+    if touched:
+        held = (spark.read.schema(schema).parquet(*old) if old
+                else spark.createDataFrame([], schema)).withColumn(BUCKET, bucket)
+        folder = f"data-{number}-{uuid.uuid4().hex[:8]}"
+        (incremental_merge(held, new, [*key, BUCKET], order_col, ties).hint("rebalance", BUCKET)
+         .write.partitionBy(BUCKET).parquet(f"{path}/{folder}"))
+        manifest["buckets"] |= {str(b): f"{folder}/{BUCKET}={b}" for b in touched}
+    manifest["schema"] = schema.jsonValue()
+    if source is not None:
+        manifest["applied"][source] = batch
+    _publish(spark, path, number, manifest)
+    _expire(spark, path, keep)
     return number
 
 

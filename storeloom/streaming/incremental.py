@@ -11,14 +11,18 @@ from storeloom.sources.writers import merge_into_path
 
 
 def merge_new_files(spark: SparkSession, source: str, schema: str, target: str,
-                    key: Sequence[str], order_col: str, checkpoint: str) -> StreamingQuery:
+                    key: Sequence[str], order_col: str, checkpoint: str,
+                    ties: Sequence[str] = ()) -> StreamingQuery:
     """Merge the files that arrived since the last run, then stop.
 
-    The batch number names the snapshot, so a batch repeated after a failure rewrites its own
-    snapshot and takes effect once.
+    The target remembers the last batch of each stream, by the id in the stream's checkpoint, so a
+    batch repeated after a failure takes effect once. A new checkpoint is a new stream: it merges
+    all files again, which changes nothing that is not newer.
     """
     def merge(batch, number: int) -> None:
-        merge_into_path(batch.sparkSession, target, batch, key, order_col, number)
+        session = batch.sparkSession
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_into_path(session, target, batch, key, order_col, ties, stream, number)
 
     return (spark.readStream.schema(schema).parquet(source)
             .writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

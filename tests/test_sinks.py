@@ -97,22 +97,90 @@ def test_empty_table_is_skipped(spark, tmp_path):
 
 
 def test_incremental_merge_keeps_the_newest(spark):
-    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k int, v string, at int")
-    updates = spark.createDataFrame([(2, "c", 2), (2, "d", 3), (3, "e", 1)], "k int, v string, at int")
-    out = writers.incremental_merge(target, updates, ["k"], "at")
-    assert [(r["k"], r["v"]) for r in rows(out, "k")] == [(1, "a"), (2, "d"), (3, "e")]
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (4, "z", 9), (5, "m", 3)], "k int, v string, at int")
+    updates = spark.createDataFrame([(2, "c", 2), (2, "d", 3), (3, "e", 1), (4, "late", 2), (5, "n", 3), (5, "k", 3)],
+                                    "k int, v string, at int")
+    out = writers.incremental_merge(target, updates, ["k"], "at", ["v"])
+    assert [(r["k"], r["v"]) for r in rows(out, "k")] == [(1, "a"), (2, "d"), (3, "e"), (4, "z"), (5, "n")]
+
+
+def _held(spark, path):
+    return [(r["k"], r["v"]) for r in rows(writers.read_snapshot(spark, path), "k")]
+
+
+def _batch(spark, *data):
+    return spark.createDataFrame(list(data), "k int, v string, at int")
 
 
 def test_snapshots_and_repeated_batches(spark, tmp_path):
     path = str(tmp_path / "table")
-    def batch(*data):
-        return spark.createDataFrame(list(data), "k int, v string, at int")
     assert writers.read_snapshot(spark, path) is None
-    assert writers.merge_into_path(spark, path, batch((1, "a", 1), (1, "b", 2)), ["k"], "at") == 0
-    assert writers.merge_into_path(spark, path, batch((2, "c", 1)), ["k"], "at", 1) == 1
-    assert writers.merge_into_path(spark, path, batch((2, "d", 1)), ["k"], "at", 1) == 1
-    out = rows(writers.read_snapshot(spark, path), "k")
-    assert [(r["k"], r["v"]) for r in out] == [(1, "b"), (2, "d")]
+    merge = lambda *data, **kw: writers.merge_into_path(spark, path, _batch(spark, *data), ["k"], "at", **kw)
+    assert merge((1, "a", 1), (1, "b", 2)) == 0
+    assert merge((2, "c", 1)) == 1
+    assert [merge((n, "s", 1), source="one", batch=n - 3) for n in (3, 4, 5)] == [2, 3, 4]
+    assert _held(spark, path) == [(1, "b"), (2, "c"), (3, "s"), (4, "s"), (5, "s")]
+    # A repeated batch, and one before it, change nothing; a stream with a new checkpoint goes on.
+    assert merge((5, "again", 9), source="one", batch=2) == 4 == merge((3, "x", 9), source="one", batch=0)
+    assert merge((3, "t", 2), (1, "late", 1), source="two", batch=0) == 5
+    assert merge(source="two", batch=1) == 6
+    assert _held(spark, path) == [(1, "b"), (2, "c"), (3, "t"), (4, "s"), (5, "s")]
+
+
+def test_untouched_buckets_stay_and_old_snapshots_go(spark, tmp_path):
+    path = str(tmp_path / "table")
+    writers.merge_into_path(spark, path, _batch(spark, *[(k, "a", 1) for k in range(60)]), ["k"], "at", buckets=8)
+    first = writers._manifest(spark, path, 0)["buckets"]
+    writers.merge_into_path(spark, path, _batch(spark, (7, "b", 2)), ["k"], "at")
+    second = writers._manifest(spark, path, 1)["buckets"]
+    assert len(first) == 8 and sum(first[b] != second[b] for b in first) == 1
+    for n in range(4):
+        writers.merge_into_path(spark, path, _batch(spark, *[(k, f"c{n}", 3 + n) for k in range(60)]), ["k"], "at")
+    assert writers._snapshots(spark, path) == [4, 5]
+    left = {f.split("/")[0] for n in (4, 5) for f in writers._manifest(spark, path, n)["buckets"].values()}
+    full = {d for d in os.listdir(path) if d.startswith("data-") and any(
+        x.startswith("_bucket") for x in os.listdir(f"{path}/{d}"))}
+    assert full == left
+    assert _held(spark, path) == [(k, "c3") for k in range(60)]
+
+
+def test_a_taken_number_is_refused(spark, tmp_path):
+    path = str(tmp_path / "table")
+    writers.merge_into_path(spark, path, _batch(spark, (1, "a", 1)), ["k"], "at")
+    with pytest.raises(RuntimeError):
+        writers._publish(spark, path, 0, {})
+    assert _held(spark, path) == [(1, "a")]
+
+
+def test_reset_checkpoint_loses_nothing(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    writers.merge_into_path(spark, target, _batch(spark, (1, "seed", 1), (9, "seed", 9)), ["k"], "at")
+    for state, data in (("a", (2, "x", 1)), ("a", (9, "late", 2)), ("b", (3, "y", 1))):
+        _batch(spark, data).write.mode("append").parquet(source)
+        merge_new_files(spark, source, "k int, v string, at int", target, ["k"], "at",
+                        str(tmp_path / state)).awaitTermination(120)
+    assert _held(spark, target) == [(1, "seed"), (2, "x"), (3, "y"), (9, "seed")]
+
+
+def test_materialize_swaps(spark):
+    writers.materialize(_batch(spark, (1, "a", 1)), "swap_test")
+    writers.materialize(spark.table("swap_test").union(_batch(spark, (2, "b", 1))), "swap_test")
+    assert spark.table("swap_test").count() == 2
+    with pytest.raises(Exception):
+        writers.materialize(spark.table("swap_test").selectExpr("raise_error('no') AS k"), "swap_test")
+    assert spark.table("swap_test").count() == 2
+
+
+def test_counted_write_and_skip_record(spark, tmp_path):
+    df = _batch(spark, (1, "a", 1), (2, "b", 1))
+    assert writers.assert_same_count(writers.write_counted(df, str(tmp_path / "t")), df) == 2
+    record = writers.skipped_export(spark, "orders").first()
+    assert (record.table_name, record.status, record.records, record.partitions) == ("orders", "skipped", 0, 0)
+
+
+def test_previews_and_sorted_writes(spark):
+    df = _batch(spark, (3, "c", 1), (1, "a", 1), (2, "b", 1))
+    assert readers.preview(df, 2).count() == 2 and readers.sample_rows(df, 5).count() == 3
 
 
 def test_new_files_are_merged_once(spark, tmp_path):
@@ -127,3 +195,13 @@ def test_new_files_are_merged_once(spark, tmp_path):
     arrive((2, "c", 2), (3, "d", 1))
     assert [(r["k"], r["v"]) for r in rows(writers.read_snapshot(spark, target), "k")] == [
         (1, "a"), (2, "c"), (3, "d")]
+
+
+def test_sorted_writes_cluster_each_file(spark, tmp_path):
+    from storeloom.operators.clean import sort_for_write
+
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 AS k").repartition(2)
+    sort_for_write(df, ["k"]).write.parquet(str(tmp_path / "sorted"))
+    for name in (tmp_path / "sorted").glob("*.parquet"):
+        found = [r.k for r in spark.read.parquet(str(name)).collect()]
+        assert found == sorted(found)
