@@ -24,7 +24,7 @@ CTES = {
                    AS product_description_lenght,
                CASE WHEN p_partkey % 50 <> 0 THEN CAST(p_partkey % 6 AS INT) END
                    AS product_photos_qty,
-               p_size * 100 AS product_weight_g,
+               p_size * 300 AS product_weight_g,
                CAST(10 + p_partkey % 20 AS INT) AS product_length_cm,
                CASE WHEN p_partkey % 40 <> 0 THEN CAST(5 + p_partkey % 10 AS INT) END
                    AS product_height_cm,
@@ -84,7 +84,7 @@ CTES = {
                     + INTERVAL 1 DAY END AS review_answer_timestamp
         FROM b_orders o
         LEFT JOIN documents d ON o.order_id % 5 = 0
-             AND d.doc_id = o.order_id % (SELECT count(*) FROM documents)
+             AND d.doc_id = (o.order_id // 5) % (SELECT count(*) FROM documents)
         WHERE o.order_id % 10 <> 9""",
     "b_geolocation": """
         SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
@@ -190,7 +190,8 @@ CTES = {
                delay_days,
                order_delivered_customer_date > order_estimated_delivery_date AS is_late,
                order_status = 'delivered' AS is_delivered,
-               CASE WHEN delay_days <= 0 THEN 'ON_TIME' WHEN delay_days <= 3 THEN '1-3d'
+               CASE WHEN order_delivered_customer_date IS NULL THEN NULL
+                    WHEN delay_days <= 0 THEN 'ON_TIME' WHEN delay_days <= 3 THEN '1-3d'
                     WHEN delay_days <= 7 THEN '4-7d' WHEN delay_days <= 15 THEN '8-15d'
                     ELSE '>15d' END AS delay_category,
                review_score, has_review_comment, payment_types, total_payment_value,

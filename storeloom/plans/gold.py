@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
-from storeloom.operators.joins import (LAT, LNG, ZIP, checked_broadcast,
+from storeloom.operators.joins import (LAT, LNG, ZIP,
                                        customer_seller_distance, one_coordinate_per_zip)
 from storeloom.operators.ordered import ordered_scan
 from storeloom.sources.schemas import BRAZIL_REGIONS
@@ -48,7 +48,8 @@ def _latest_review(reviews: DataFrame) -> DataFrame:
 
 def order_metrics(orders: DataFrame, items: DataFrame, reviews: DataFrame,
                   payments: DataFrame) -> DataFrame:
-    """One row per order that has items, with values, days, review and payments."""
+    """One row per order that has items, with values, days, review and payments. An order that is
+    not delivered has 0 delay days, as published, and no delay category."""
     price, freight = F.col("price"), F.col("freight_value")
     basket = items.groupBy("order_id").agg(
         F.sum(price).alias("total_items_value"), F.sum(freight).alias("total_freight"),
@@ -69,7 +70,7 @@ def order_metrics(orders: DataFrame, items: DataFrame, reviews: DataFrame,
                     C.elapsed_days(delivered, "order_purchase_timestamp").alias("delivery_days"),
                     days.alias("delay_days"), C.is_late(delivered, promised).alias("is_late"),
                     (F.col("order_status") == "delivered").alias("is_delivered"),
-                    C.delay_class(days).alias("delay_category"),
+                    F.when(F.col(delivered).isNotNull(), C.delay_class(days)).alias("delay_category"),
                     "review_score", "has_review_comment", "payment_types",
                     "total_payment_value", "avg_installments"))
 
@@ -92,7 +93,7 @@ def customer_metrics(customers: DataFrame, orders: DataFrame, items: DataFrame,
              F.sum("spent").cast("decimal(20,2)").alias("total_spent"),
              C.ratio(F.sum("spent"), F.sum("priced")).alias("avg_order_value"),
              C.ratio(F.sum("score_sum"), F.sum("scores")).alias("avg_review_score")))
-    point = checked_broadcast(one_coordinate_per_zip(geo))
+    point = one_coordinate_per_zip(geo)
     return (customers.select("customer_id", "customer_unique_id", "customer_zip_code_prefix",
                              "customer_city", "customer_state")
             .join(point, F.col("customer_zip_code_prefix") == F.col(ZIP), "left").drop(ZIP)

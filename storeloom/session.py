@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,17 +40,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder the cluster names; one of our own only for a local session that names none."""
+    """The folder that the cluster names, or one below its warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="storeloom-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

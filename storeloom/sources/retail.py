@@ -48,7 +48,7 @@ def products(read: Reader) -> DataFrame:
         F.length("p_name").alias("product_name_lenght"),
         F.when(sparse, (key % 1000).cast("int")).alias("product_description_lenght"),
         F.when(sparse, (key % 6).cast("int")).alias("product_photos_qty"),
-        (F.col("p_size") * 100).alias("product_weight_g"),
+        (F.col("p_size") * 300).alias("product_weight_g"),
         (10 + key % 20).cast("int").alias("product_length_cm"),
         F.when(key % 40 != 0, (5 + key % 10).cast("int")).alias("product_height_cm"),
         (8 + key % 15).cast("int").alias("product_width_cm"))
@@ -114,7 +114,8 @@ def order_payments(read: Reader) -> DataFrame:
 
 
 def order_reviews(read: Reader) -> DataFrame:
-    """Nine of ten orders have a review; its text is a whole document, spread over all of them."""
+    """Nine of ten orders have a review; one in five of their numbers has a whole document as its
+    text, and every document is reached."""
     key = F.col("order_id")
     late = F.coalesce(F.col("order_delivered_customer_date")
                       > F.col("order_estimated_delivery_date"), F.lit(False))
@@ -124,7 +125,8 @@ def order_reviews(read: Reader) -> DataFrame:
                 .filter(key % 10 != 9)
                 # Orders without text get keys of their own: no document has them, and they
                 # spread over the join instead of meeting in one NULL partition.
-                .withColumn("_doc", F.when(key % 5 == 0, key % docs.agg(F.count("*")).scalar())
+                .withColumn("_doc", F.when(key % 5 == 0, F.expr("order_id div 5")
+                                                % docs.agg(F.count("*")).scalar())
                             .otherwise(-1 - key)))
     return (reviewed.join(docs, F.col("_doc") == F.col("doc_id"), "left")
             .select(key.alias("review_id"), key,

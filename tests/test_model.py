@@ -27,15 +27,33 @@ def test_model_finds_the_signal(spark, features):
     train, test = features.filter("order_id < 400"), features.filter("order_id >= 400")
     model = ML.train_delay_model(train, rounds=5, depth=3)
     scores = ML.score_orders(model, test)
-    assert ML.auc(scores) > 0.65
+    found = one(ML.rank_auc(scores, "delay_probability", "actual_outcome"))
+    assert found["auc"] > 0.65 and found["sample_size"] == 200
     assert ML.feature_importance(model)[0][0] == "delay_rate_history"
     figures = one(ML.evaluate(scores))
     assert figures["orders"] == 200 and 0 < figures["f1"] <= 1
     levels = one(ML.risk_alert(scores, limit=0))
     assert levels["high"] + levels["medium"] + levels["low"] == 200
     assert levels["alert"] == (levels["high"] > 0)
-    drift = ML.performance_drift(scores, scores, baseline_auc=0.99)
+    frame = lambda auc: spark.createDataFrame([(auc, 200)], "auc double, sample_size bigint")
+    drift = one(ML.performance_drift(frame(0.8), frame(0.99), "2020-01-01 00:00:00"))
     assert drift["status"] == "CRITICAL" and drift["sample_size"] == 200
+    assert [one(ML.performance_drift(frame(x), frame(0.8), "2020-01-01 00:00:00"))["status"]
+            for x in (0.8, 0.75, 0.9)] == ["OK", "WARNING", "OK"]
+
+
+def test_many_categories_and_unknown_outcomes(spark, features):
+    rows = features.withColumn("category_name", F.concat(F.lit("c"), F.col("order_id") % 300)).withColumn(
+        "is_delayed", F.when(F.col("order_id") % 10 != 0, F.col("is_delayed")))
+    scores = ML.score_orders(ML.train_delay_model(rows, rounds=2, depth=2), rows)
+    assert scores.count() == 600 and scores.filter("delay_probability IS NULL").count() == 0
+    assert one(ML.evaluate(scores))["orders"] == 540
+
+
+def test_auc_counts_ties_half(spark):
+    df = spark.createDataFrame([(0.1, 0), (0.5, 1), (0.5, 0), (0.9, 1), (None, 1), (0.3, None)],
+                               "s double, y int")
+    assert one(ML.rank_auc(df, "s", "y")) == {"auc": 0.875, "sample_size": 4}
 
 
 def test_risk_levels_and_metrics_at_the_limits(spark):

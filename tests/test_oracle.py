@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from oracle.queries import ORACLE
+from storeloom.catalog import QUERIES
+from storeloom.sources.retail import bronze
 from tests.conftest import SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -47,8 +50,14 @@ def test_matches_sql(spark, con, name):
     assert _sorted(df.collect(), df.columns) == _sorted(cursor.fetchall(), columns)
 
 
-def test_only_the_trained_model_has_no_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"score_orders", "model_evaluation"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_every_document_is_reached(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    texts = bronze(spark, SMALL, "order_reviews")["order_reviews"].select("review_comment_message").distinct()
+    assert texts.count() > 0.9 * docs
 
 
 def test_entry(spark):
