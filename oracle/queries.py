@@ -287,6 +287,15 @@ sql("fk_cardinality", "SELECT " + _distinct(
 sql("csv_statistics", f"""SELECT payment_type, count(*) AS total,
     {mean('payment_value')} AS mean_value, sum(payment_value) AS sum_value
     FROM b_order_payments GROUP BY 1""")
+sql("item_statistics", f"""SELECT count(*) AS total, {mean('price')} AS mean_price,
+    {mean('freight_value')} AS mean_freight_value, count(*) - count(order_id) AS null_order_id,
+    count(*) - count(product_id) AS null_product_id, count(*) - count(seller_id) AS null_seller_id,
+    count(*) - count(price) AS null_price, count(*) - count(freight_value) AS null_freight_value,
+    count(DISTINCT order_id) AS unique_orders, count(DISTINCT product_id) AS unique_products,
+    count(DISTINCT seller_id) AS unique_sellers FROM b_order_items""")
+sql("review_statistics", """SELECT review_score, count(*) AS total,
+    count(review_comment_title) AS with_title, count(review_comment_message) AS with_message
+    FROM b_order_reviews GROUP BY 1""")
 sql("repeat_customers", """SELECT customer_unique_id, count(DISTINCT customer_id) AS num_orders
     FROM b_customers GROUP BY 1 HAVING count(DISTINCT customer_id) > 1""")
 TOTALS = "SELECT order_id, sum(price + freight_value) AS total FROM b_order_items GROUP BY 1"
@@ -574,12 +583,15 @@ sql("dim_date", f"""SELECT {day_key('d')} AS date_sk, CAST(d AS TIMESTAMP) AS da
 ACTIVE = "coalesce(CAST({} AS DATE) >= DATE '2001-12-31' - INTERVAL 6 MONTH, FALSE)"
 sql("dim_customers", _rfm("s_orders", "customer_id") + f"""SELECT
     {md5_of('g.customer_id')} AS customer_sk, g.customer_id, customer_unique_id, customer_city,
-    customer_state, geolocation_lat AS customer_lat, geolocation_lng AS customer_lng,
-    first_order_date, last_order_date, total_orders, total_spent, avg_order_value,
+    customer_state, region AS customer_region, customer_city = (SELECT min(c.customer_city)
+        FROM b_customers c WHERE c.customer_state = g.customer_state) AS is_capital,
+    geolocation_lat AS customer_lat, geolocation_lng AS customer_lng, first_order_date, last_order_date, total_orders, total_spent, avg_order_value,
     avg_review_score, recency_days AS recency, frequency, monetary, rfm_score,
     CASE WHEN rfm_score IS NOT NULL THEN {SEGMENT} END AS customer_segment,
-    {ACTIVE.format('last_order_date')} AS is_active
-    FROM g_customers g LEFT JOIN coded ON coded.customer_id = g.customer_id""")
+    {ACTIVE.format('last_order_date')} AS is_active, TIMESTAMP '2001-01-01' AS effective_from,
+    CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
+    FROM g_customers g LEFT JOIN coded ON coded.customer_id = g.customer_id
+    LEFT JOIN state_regions ON state = customer_state""")
 sql("scd2_merge", """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4 = 0
             THEN lower(customer_city) ELSE customer_city END AS customer_city, customer_state
         FROM b_customers WHERE customer_id % 10 <> 7),
@@ -630,7 +642,8 @@ sql("surrogate_key_sequence", """SELECT product_id, row_number() OVER (ORDER BY
 
 
 def _fact_sales(keys: str, joins: str = "") -> str:
-    return f"""SELECT {day_key(BOUGHT)} AS date_sk, {keys}, i.order_id, i.order_item_id,
+    return f"""SELECT md5(CAST(i.order_id AS VARCHAR) || '~' || CAST(i.order_item_id AS VARCHAR))
+    AS sale_sk, {day_key(BOUGHT)} AS date_sk, {keys}, i.order_id, i.order_item_id,
     1 AS quantity, i.price AS unit_price, i.freight_value,
     CAST(i.price + i.freight_value AS DECIMAL(10,2)) AS total_value, is_delivered, is_late,
     delivery_days, delay_days, review_score

@@ -506,6 +506,16 @@ def csv_statistics(t):
     return A.csv_statistics(t.b("order_payments"))
 
 
+@query
+def item_statistics(t):
+    return A.item_statistics(t.b("order_items"))
+
+
+@query
+def review_statistics(t):
+    return A.review_statistics(t.b("order_reviews"))
+
+
 @query
 def repeat_customers(t):
     return A.repeat_customers(t.b("customers"))
@@ -847,7 +857,10 @@ def dim_date(t):
 @query
 def dim_customers(t):
     rfm = M.rfm_segments(t.s("orders"), t.s("order_items"), "customer_id", AS_OF)
-    return G.dim_customers(t.customer_metrics, rfm, AS_OF)
+    capitals = t.b("customers").groupBy(F.col("customer_state").alias("state")).agg(
+        F.min("customer_city").alias("city"))
+    return _moment(G.dim_customers(t.customer_metrics, rfm, AS_OF, t.regions, capitals, "2001-01-01"),
+                   "effective_from", "effective_to")
 
 
 @query

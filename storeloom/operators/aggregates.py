@@ -142,6 +142,27 @@ def csv_statistics(payments: DataFrame) -> DataFrame:
         F.sum("payment_value").alias("sum_value"))
 
 
+def item_statistics(items: DataFrame) -> DataFrame:
+    """Statistics of one load of items: keys, means and missing values."""
+    null = lambda c: F.count_if(F.col(c).isNull()).alias(f"null_{c}")
+    keys = ["order_id", "product_id", "seller_id"]
+    plain = items.agg(F.count("*").alias("total"), C.mean("price").alias("mean_price"),
+                      C.mean("freight_value").alias("mean_freight_value"),
+                      *[null(c) for c in (*keys, "price", "freight_value")])
+    # Each key from a pass of its own over that column: several DISTINCTs in one aggregate would
+    # multiply every row.
+    distinct = [items.groupBy(k).agg(F.lit(1)).agg(F.count(k)).scalar().alias(f"unique_{k[:-3]}s")
+                for k in keys]
+    return plain.select("*", *distinct)
+
+
+def review_statistics(reviews: DataFrame) -> DataFrame:
+    """Statistics of one load of reviews: per score, with a title and with a message."""
+    return reviews.groupBy("review_score").agg(
+        F.count("*").alias("total"), F.count("review_comment_title").alias("with_title"),
+        F.count("review_comment_message").alias("with_message"))
+
+
 # --- orders, payments, reviews --------------------------------------------------------------
 
 def order_totals(items: DataFrame) -> DataFrame:
@@ -274,10 +295,10 @@ def top_categories_delivered(products: DataFrame, items: DataFrame, orders: Data
 
 
 def sales_by_state(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Delivered orders and revenue per customer state."""
+    """Delivered orders and revenue per customer state; an order is one row of ``orders``."""
     money = order_totals(items)
     per_customer = (_delivered(orders).select("order_id", "customer_id").join(money, "order_id")
-                    .groupBy("customer_id").agg(F.countDistinct("order_id").alias("n"),
+                    .groupBy("customer_id").agg(F.count("*").alias("n"),
                                                 F.sum("total").alias("money")))
     return (per_customer.join(customers.select("customer_id", "customer_state"), "customer_id")
             .groupBy("customer_state")

@@ -222,19 +222,27 @@ def dim_date(spark: SparkSession, start: str | Column = "2016-01-01",
             .select(*out.columns, "is_holiday"))
 
 
-def dim_customers(metrics: DataFrame, rfm: DataFrame, as_of: str) -> DataFrame:
-    """Customers with order metrics, RFM segment and activity.
+def dim_customers(metrics: DataFrame, rfm: DataFrame, as_of: str, regions: DataFrame,
+                  capitals: DataFrame, effective_date: str) -> DataFrame:
+    """Customers with region, order metrics, RFM segment and activity, current from a day on.
 
-    ``metrics`` from ``customer_metrics``, ``rfm`` from ``rfm_segments`` by customer_id.
+    ``metrics`` from ``customer_metrics``, ``rfm`` from ``rfm_segments`` by customer_id; ``regions``
+    has ``state, region`` and ``capitals`` the ``state, city`` of each capital, one row per state.
+    Later days go through ``scd2_merge``.
     """
+    places = regions.join(capitals.select("state", F.col("city").alias("_capital")), "state", "left")
+    metrics = metrics.join(places, F.col("customer_state") == F.col("state"), "left")
     scores = rfm.select("customer_id", F.col("recency_days").alias("recency"), "frequency",
                         "monetary", "rfm_score", F.col("segment").alias("customer_segment"))
     return metrics.join(scores, "customer_id", "left").select(
         C.md5_key(["customer_id"]).alias("customer_sk"), "customer_id", "customer_unique_id",
-        "customer_city", "customer_state", F.col(LAT).alias("customer_lat"),
-        F.col(LNG).alias("customer_lng"), "first_order_date", "last_order_date", "total_orders",
+        "customer_city", "customer_state", F.col("region").alias("customer_region"),
+        F.coalesce(F.col("customer_city") == F.col("_capital"), F.lit(False)).alias("is_capital"),
+        F.col(LAT).alias("customer_lat"), F.col(LNG).alias("customer_lng"), "first_order_date", "last_order_date", "total_orders",
         "total_spent", "avg_order_value", "avg_review_score", "recency", "frequency", "monetary",
-        "rfm_score", "customer_segment", is_active("last_order_date", as_of).alias("is_active"))
+        "rfm_score", "customer_segment", is_active("last_order_date", as_of).alias("is_active"),
+        F.lit(effective_date).cast("date").alias("effective_from"),
+        F.lit(None).cast("date").alias("effective_to"), F.lit(True).alias("is_current"))
 
 
 def dim_products(metrics: DataFrame, as_of: str) -> DataFrame:
@@ -273,12 +281,20 @@ def scd2_merge(current: DataFrame, updates: DataFrame, key: str, tracked: Sequen
     New keys open a row. A changed key closes its row on the day the next one starts. A key
     missing from the batch closes. Unchanged rows and past versions stay as they are, so the
     same batch twice changes nothing. Dates are half-open: ``effective_to`` is the next start.
+
+    A key that is NULL or twice in the batch, and a day before the start of a row that changes,
+    make the query fail.
     """
     day = F.lit(effective_date).cast("date")
     nobody = F.lit(None).cast("date")
     live = current.filter("is_current").select(
         F.col(key), F.struct(*tracked).alias("old"), F.col("effective_from"))
-    batch = updates.select(F.col(key), F.struct(*tracked).alias("new"))
+    # The aggregate is on the join's key: it costs no exchange of its own.
+    batch = updates.groupBy(key).agg(F.min(F.struct(*tracked)).alias("new"), F.count("*").alias("_n"))
+    wrong = F.concat(F.lit(f"{key} is NULL or repeated in the batch: "),
+                     F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    batch = batch.select(key, F.when((F.col("_n") > 1) | F.col(key).isNull(), F.raise_error(wrong))
+                         .otherwise(F.col("new")).alias("new"))
     both = live.join(batch, key, "full_outer")
     known, present = F.col("effective_from").isNotNull(), F.col("new").isNotNull()
     same = known & present & F.col("old").eqNullSafe(F.col("new"))
@@ -288,7 +304,10 @@ def scd2_merge(current: DataFrame, updates: DataFrame, key: str, tracked: Sequen
                         stop.alias("effective_to"), F.lit(is_current).alias("is_current"))
 
     kept = version("old", F.col("effective_from"), nobody, True)
-    closed = version("old", F.col("effective_from"), day, False)
+    late = F.lit(f"{effective_date} is before the version that it would close")
+    start = F.when(day < F.col("effective_from"), F.raise_error(late).cast("date")).otherwise(
+        F.col("effective_from"))
+    closed = version("old", start, day, False)
     opened = version("new", day, nobody, True)
     rows = (F.when(same, F.array(kept)).when(known & present, F.array(closed, opened))
             .when(known, F.array(closed)).otherwise(F.array(opened)))
@@ -334,6 +353,7 @@ def fact_sales(items: DataFrame, metrics: DataFrame,
         else:
             rows = rows.join(dims[f"{who}s"].select(key, sk), key, "left")
     return rows.select(
+        C.md5_key(["order_id", "order_item_id"]).alias("sale_sk"),
         C.date_sk("order_purchase_timestamp").alias("date_sk"), "customer_sk", "product_sk",
         "seller_sk", "order_id", "order_item_id", F.lit(1).alias("quantity"),
         F.col("price").alias("unit_price"), "freight_value",

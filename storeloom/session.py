@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,14 +50,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
 
 
+#: Paths of the stored frames that no ``scratch`` block has removed yet.
+_stored: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the frames that were stored inside the block. What reads them has to be written or
+    collected before the block ends."""
+    before = len(_stored)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_stored) > before:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame as a table written once below ``spark.checkpoint.dir``.
 
     Later steps read it like any table (pruned, with a measured size) and no lost executor can
-    make them repeat what led to it.
+    make them repeat what led to it. It stays until the ``scratch`` block around it ends.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -444,3 +444,19 @@ def test_missing_path(spark):
         read_table(spark, "/nowhere", "t")
     with pytest.raises(FileNotFoundError):
         require_path(spark, "/nowhere/t.parquet")
+
+
+@pytest.mark.parametrize("batch", [[(1, "a"), (1, "b")], [(None, "a")]])
+def test_scd2_refuses_repeated_and_null_keys(spark, batch):
+    people = lambda data: spark.createDataFrame(data, "id int, city string")
+    first = G.scd2_start(people([(1, "a")]), "id", ["city"], "2020-01-01")
+    with pytest.raises(Exception, match="NULL or repeated"):
+        G.scd2_merge(first, people(batch), "id", ["city"], "2020-02-01").collect()
+
+
+def test_scd2_refuses_a_day_before_the_open_version(spark):
+    people = lambda data: spark.createDataFrame(data, "id int, city string")
+    first = G.scd2_start(people([(1, "a")]), "id", ["city"], "2020-01-01")
+    with pytest.raises(Exception, match="before the version"):
+        G.scd2_merge(first, people([(1, "b")]), "id", ["city"], "2019-12-31").collect()
+    assert G.scd2_merge(first, people([(1, "a")]), "id", ["city"], "2019-12-31").count() == 1

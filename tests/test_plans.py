@@ -2,12 +2,14 @@
 
 import contextlib
 import io
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from storeloom.operators.dedup import dedupe_keep_first
+from storeloom.operators.ordered import ntile, ordered_scan
 from storeloom.sources.readers import read_table
 from tests.conftest import SMALL
 
@@ -53,3 +55,30 @@ def test_keyed_reviews_prune_the_text(spark):
     """A query on scores alone never reads the review texts."""
     text = plan(driver.queries()["nps"](spark, SMALL))
     assert "text:string" not in text
+
+
+def test_row_numbers_need_no_exchange_after_the_stored_layout(spark):
+    df = read_table(spark, SMALL, "orders")
+    for scan in (ordered_scan(df, ["o_orderkey"], number="nr", total="n"), ntile(df, ["o_orderkey"], 5, "tile")):
+        tree = plan(scan).split("\n\n\n")[0]
+        rows, starts = tree.split("BroadcastExchange")
+        assert "Exchange" not in rows and "Window" not in rows and "Exchange" in starts
+
+
+def test_building_a_cohort_matrix_stores_nothing(spark):
+    from storeloom import session
+
+    before = list(session._stored)
+    driver.queries()["cohort_matrix"](spark, SMALL)
+    assert session._stored == before
+
+
+def test_scratch_removes_what_was_stored(spark):
+    from storeloom import session
+
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    with session.scratch(spark):
+        assert driver.queries()["rfm_segments"](spark, SMALL).count() > 0
+        assert set(os.listdir(folder)) != before
+    assert set(os.listdir(folder)) == before
