@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
-from storeloom.operators.ordered import ordered_scan, quantile_values, value_positions
+from storeloom.operators.ordered import ordered_scan, quantile_values
 
 
 def freshness(tables: Sequence[tuple[str, str, DataFrame, str]], as_of: str) -> DataFrame:
@@ -112,22 +112,19 @@ def share_drift(base: DataFrame, cur: DataFrame, col: str) -> DataFrame:
 def psi(base: DataFrame, cur: DataFrame, col: str, bins: int = 10, epsilon: float = 1e-4) -> DataFrame:
     """Population Stability Index over the baseline's quantile bins.
 
-    The ``bins - 1`` edges are the exact baseline values at ranks ``ceil(i * rows / bins)``.
+    The ``bins - 1`` edges are the exact baseline values at ranks ``ceil(i * rows / bins)``. Both
+    samples are read once, for one count per value.
     """
-    spread = value_positions(base, col)
-    wanted = F.transform(F.sequence(F.lit(1), F.lit(bins - 1)),
-                         lambda i: F.ceil(i * F.col("upto_total") / bins))
-    first = F.col("upto") - F.col("n") + 1
-    covered = F.size(F.filter(wanted, lambda r: (r >= first) & (r <= F.col("upto"))))
-    # bins - 1 values in all, so the array is as small as the histogram.
-    edges = (spread.withColumn("_times", covered).filter(F.col("_times") > 0)
-             .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(col), F.col("_times"))))))
-             .scalar())
-    tagged = (base.select(col, F.lit(1).alias("b"), F.lit(0).alias("c"))
+    counts = (base.select(col, F.lit(1).alias("b"), F.lit(0).alias("c"))
               .unionByName(cur.select(col, F.lit(0).alias("b"), F.lit(1).alias("c")))
-              .filter(F.col(col).isNotNull()).withColumn("_edges", edges))
-    histogram = (tagged.groupBy(F.size(F.filter("_edges", lambda e: e < F.col(col))).alias("bin"))
-                 .agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
+              .filter(F.col(col).isNotNull()).groupBy(col)
+              .agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
+    scan = ordered_scan(counts, [col], running={"upto": "b"})
+    # An edge is below a value when its rank is among the baseline rows below that value.
+    ranks = F.transform(F.sequence(F.lit(1), F.lit(bins - 1)),
+                        lambda i: F.ceil(i * F.col("upto_total") / bins))
+    below = F.size(F.filter(ranks, lambda r: r <= F.col("upto") - F.col("b")))
+    histogram = scan.groupBy(below.alias("bin")).agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     totals = histogram.agg(F.struct(F.sum("b").alias("b"), F.sum("c").alias("c"))).scalar()
     p = F.greatest(C.ratio(F.col("b"), totals["b"]), F.lit(epsilon))
     q = F.greatest(C.ratio(F.col("c"), totals["c"]), F.lit(epsilon))

@@ -68,9 +68,11 @@ def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str |
     return out.select(*keep)
 
 
-def ntile(df: DataFrame, order_by: Sequence[Column | str], n: int, name: str) -> DataFrame:
-    """``NTILE(n)`` over the whole table; the first ``rows mod n`` tiles get one row more."""
-    scan = ordered_scan(df, order_by, number="_nr", total="_rows")
+def ntile(df: DataFrame, order_by: Sequence[Column | str], n: int, name: str,
+          within: Sequence[str] = ()) -> DataFrame:
+    """``NTILE(n)`` over the whole table, or each group ``within``; the first ``rows mod n`` tiles
+    get one row more."""
+    scan = ordered_scan(df, order_by, number="_nr", total="_rows", within=within)
     at, size, extra = F.col("_nr") - 1, F.floor(F.col("_rows") / n), F.col("_rows") % n
     wide = extra * (size + 1)
     tile = F.when(at < wide, F.floor(at / (size + 1)) + 1).otherwise(

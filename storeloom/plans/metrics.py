@@ -31,12 +31,23 @@ def with_customer_column(orders: DataFrame, customers: DataFrame, col: str) -> D
 def rfm_scores(df: DataFrame, customer_col: str, n: int = 5) -> DataFrame:
     """NTILE scores of recency_days (fewer is better), frequency and monetary.
 
-    Ties go by customer, so every score is one exact global order; each comes from a
-    distributed scan instead of a one-task window.
+    Ties go by customer, so every score is one exact global order. The three orders come from one
+    distributed scan over a row per customer and measure, of which only one carries the customer's
+    columns.
     """
-    out = ntile(df, [F.desc("recency_days"), customer_col], n, "r_score")
-    out = ntile(out, ["frequency", customer_col], n, "f_score")
-    return ntile(out, ["monetary", customer_col], n, "m_score")
+    wide = "decimal(22,2)"
+    late = F.coalesce(-F.col("recency_days"), F.lit(10 ** 12)).cast(wide)  # unknown ones come last
+    measures = {"r": late, "f": F.col("frequency").cast(wide), "m": F.col("monetary").cast(wide)}
+    row = F.struct(*df.columns)
+    tall = df.select(F.col(customer_col).alias("_who"), F.inline(F.array(*[
+        F.struct(F.lit(m).alias("_measure"), v.alias("_value"),
+                 (row if m == "r" else F.when(F.lit(False), row)).alias("_row_of"))
+        for m, v in measures.items()])))
+    tiles = ntile(tall, ["_value", "_who"], n, "_tile", within=["_measure"])
+    scores = tiles.groupBy("_who").agg(
+        F.any_value("_row_of", F.lit(True)).alias("_row_of"),
+        *[F.max(F.when(F.col("_measure") == m, F.col("_tile"))).alias(f"{m}_score") for m in measures])
+    return scores.select("_row_of.*", *[f"{m}_score" for m in measures])
 
 
 def rfm_base(orders: DataFrame, items: DataFrame, customer_col: str, as_of: str) -> DataFrame:
