@@ -33,7 +33,7 @@ NONE = np.int64(1 << 40)
 #: Matches up to this many bytes share a tree array.
 WIDE = 64
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _SPACED = re.compile(r"(?<=\S) (?=\S)")
 
 

@@ -39,7 +39,7 @@ def whole_text(column: str) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
-           most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+           most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text, so that a task's memory does not
     depend on how long the texts are (a single longer text is a batch of its own)."""
     for batch in batches:

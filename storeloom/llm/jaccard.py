@@ -37,7 +37,7 @@ RECALL = 0.9999
 #: Representatives of a block; a task holds two blocks at most.
 BLOCK = 512
 #: Word hashes that a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, TRIES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = np.random.default_rng(8).integers(0, 1 << 63, TRIES * DEPTH, np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
