@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -76,3 +77,47 @@ def test_awkward_paths(spark):
 def test_native(spark, docs):
     plan = licenses.scan(licenses.paths_of(docs))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+GNU = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+
+
+def test_wrapped_headers_and_tags(spark):
+    text = {n: t for n, t in licenses.TEXTS if t.count("\n") > 5}
+    mark = lambda t, m: "\n".join(f"{m} {x}".rstrip() for x in t.split("\n"))
+    code = "\n" + "\n".join(f"value_{i} = compute(value_{i - 1}, other[{i}])" for i in range(300))
+    holder = "Copyright (c) 2021 Ada Example and others\n\n"
+    narrow = lambda t: "\n".join(textwrap.wrap(t, 32))
+    files = [
+        ("BSD-3-Clause", mark(holder + text["BSD-3-Clause"], "#") + code),
+        ("BSD-2-Clause", "/*\n" + mark(holder + text["BSD-2-Clause"], " *") + "\n */" + code),
+        ("MIT", mark(holder + text["MIT"], "//") + code), ("MIT", "/*\n" + holder + text["MIT"] + "*/" + code),
+        ("GPL-3.0", mark(holder + GNU, "#") + code), ("GPL-3.0", mark(narrow(GNU), "--") + code),
+        ("GPL-2.0", mark(GNU.replace("version 3", "version 2"), "#") + code),
+        ("LGPL-2.1", mark(GNU.replace("version 3", "version 2.1").replace("GNU ", "GNU Lesser "), "#") + code),
+        ("AGPL-3.0", mark(GNU.replace("GNU ", "GNU Affero "), "#") + code),
+        ("MPL-2.0", "/* " + MPL + " */" + code), ("MPL-2.0", mark(narrow(MPL), ";") + code),
+        ("MIT", "# SPDX-License-Identifier: MIT\n" + code), ("Apache-2.0", "/* SPDX-License-Identifier: Apache-2.0 */"),
+        ("MIT OR (GPL-2.0-only WITH Classpath-exception-2.0)",
+         "<!-- SPDX-License-Identifier: MIT OR (GPL-2.0-only WITH Classpath-exception-2.0) -->" + code),
+        (None, code), (None, "January 2004\n\nby\n\nthe source of the program is in the files" + code)]
+    df = spark.createDataFrame([(i, f"d{i}/x.py", t) for i, (_, t) in enumerate(files)],
+                               "doc_id long, path string, text string")
+    got = {r.doc_id: r.own_license for r in licenses.scan(df).collect()}
+    assert got == {i: n for i, (n, _) in enumerate(files)}
+
+
+def test_full_texts(spark):
+    text = [(n, t) for n, t in licenses.TEXTS if t.count("\n") > 5]
+    assert len(text) == 15
+    files = [(2 * i, f"{n}/about", "Copyright 2020 Somebody Else\n\n" + t) for i, (n, t) in enumerate(text)]
+    files += [(2 * i + 1, f"{n}/src/x", "print") for i, (n, _) in enumerate(text)]
+    got = {r.doc_id: r.license for r in licenses.scan(
+        spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert got == {2 * i + k: n for i, (n, _) in enumerate(text) for k in (0, 1)}
