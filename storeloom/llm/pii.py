@@ -1,12 +1,14 @@
 """Personal data by fixed patterns, and by contexts learned from what those patterns find.
 
 The base kinds are regular expressions with a check on each match. Their matches are seeds: every
-token with a digit is an instance, the two words before and the two words after it are its lexical
-patterns. On the graph of patterns and instances, a pattern's score is the lower bound (Wilson) of
-the share of its distinct instances that are trusted, and an instance's score is the chance that
-at least one of its accepted patterns is right. Instances that reach ``CONFIDENCE`` become trusted,
-which can lift further patterns in the next round. Occurrences of the instances found this way are
-spans of kind ``id``. Everything is DataFrame functions.
+base span and every other token, whatever its characters, is an instance; the one and two tokens
+before and after it are its lexical patterns. On the graph of patterns and instances, a pattern's score
+is the lower bound (Wilson) of the share of its distinct instances that are trusted, and an instance's
+score is the chance that at least one of its accepted patterns is right. Instances that reach
+``CONFIDENCE`` become trusted, which can lift further patterns, until no instance is new. One without
+a digit must also have accepted patterns for ``SHARE`` of its distinct ones, or it is a common word.
+Occurrences of the instances found this way are spans of kind ``id``. Everything is DataFrame
+functions.
 """
 
 from __future__ import annotations
@@ -30,13 +32,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-#: A token with a digit, and what of it is an instance.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-CORE = r"[A-Za-z0-9](?:[\s\S]*[A-Za-z0-9])?"
-#: Characters of the neighbourhood in which the two context words are looked for.
-CONTEXT = 80
+#: A character that stands for those of base spans, and what stands for it where texts have it.
+MASK, UNMASK = "\ue000", "\ue001"
+#: A masked span, or a token from its first to its last letter or digit.
+TOKEN = (rf"{MASK}+|[\p{{L}}\p{{N}}](?:[^\x20\x09-\x0D{MASK}]*[\p{{L}}\p{{M}}\p{{N}}])?")
 CONFIDENCE = 0.9
-ROUNDS = 3
+SHARE = 0.25
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -90,33 +91,57 @@ def base_spans(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_base", F.expr(f"concat({spans})")).drop(*[f"_{k}" for k in KINDS])
 
 
-def instances(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with ``_instances``: each token with a digit, its place, its patterns, and whether
-    a base match of ``_base`` covers some of it."""
-    found, parts = match_spans(F.col(text), TOKEN)
-    docs = docs.withColumn("_found", found)
-    docs = docs.withColumn("_parts", F.when(F.size("_found") > 0, parts))
-    docs = docs.withColumn("_at", F.when(F.size("_found") > 0, _located("_found", "_parts")))
-    word = r"[\p{L}\p{N}'_-]+"
-    left = (f"regexp_extract(lower(right(_parts[i], {CONTEXT})), "
-            rf"'({word}[^\\p{{L}}\\p{{N}}]+{word})[^\\p{{L}}\\p{{N}}]*$', 1)").replace(
-        r"\p{L}\p{N}'_", r"\\p{L}\\p{N}\'_")
-    right = (f"regexp_extract(lower(left(_parts[i + 1], {CONTEXT})), "
-             rf"'^[^\\p{{L}}\\p{{N}}]*({word}[^\\p{{L}}\\p{{N}}]+{word})', 1)").replace(
-        r"\p{L}\p{N}'_", r"\\p{L}\\p{N}\'_")
-    core = CORE.replace("\\", "\\\\")
-    return docs.withColumn("_instances", F.expr(f"""coalesce(transform(transform(_at, (x, i) ->
-        named_struct('token', x, 'value', regexp_extract(x.value, '{core}', 0),
-                     'before', {left}, 'after', {right})),
-        y -> named_struct(
-            'value', y.value,
-            'start', y.token.start + instr(y.token.value, y.value) - 1,
-            'end', y.token.start + instr(y.token.value, y.value) - 1 + length(y.value),
-            'patterns', filter(array(if(y.before = '', null, concat('< ', y.before)),
-                                     if(y.after = '', null, concat('> ', y.after))),
-                               p -> p is not null),
-            'seed', exists(_base, b -> b.start < y.token.end and b.end > y.token.start))),
-        array())""")).drop("_found", "_parts", "_at")
+def masked(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``_masked``, the text with each character of a base span replaced by ``MASK``, and
+    ``_seeds``, the stretches so replaced, in order."""
+    body = f"a.out, substring({text}, a.at + 1, greatest(x.start - a.at, 0))"
+    return docs.withColumn("_spans", F.expr(
+        "array_sort(transform(_base, x -> named_struct('start', x.start, 'end', x.end)))")).withColumn(
+        "_out", F.expr(f"""if(size(_base) = 0, null, aggregate(_spans,
+            named_struct('at', 0, 'from', -1, 'out', '', 'seeds', cast(array() as array<string>)),
+            (a, x) -> if(x.end <= a.at, a, named_struct(
+                'at', x.end, 'from', if(a.from < 0 or x.start > a.at, x.start, a.from),
+                'out', concat({body}, repeat('{MASK}', x.end - greatest(x.start, a.at))),
+                'seeds', if(a.from < 0 or x.start <= a.at, a.seeds, concat(a.seeds, array(
+                    substring({text}, a.from + 1, a.at - a.from)))))),
+            a -> named_struct('text', concat(a.out, substring({text}, a.at + 1)), 'seeds', concat(
+                a.seeds, array(substring({text}, a.from + 1, a.at - a.from))))))""")).withColumn(
+        "_masked", F.coalesce("_out.text", text)).withColumn(
+        "_seeds", F.coalesce("_out.seeds", F.expr("cast(array() as array<string>)"))).drop("_spans", "_out")
+
+
+def _edges(scanned: DataFrame, *keep: str) -> DataFrame:
+    """Each instance with each of its patterns: ``keep``, ``value``, ``seed``, ``pattern``. All masked
+    stretches are alike as words of patterns; as instances they are those of ``_seeds``."""
+    tokens = F.regexp_extract_all("_masked", F.lit(TOKEN), F.lit(0))
+    none = F.array(F.lit(None).cast("string"))
+    c = F.col("_tokens")
+    around = F.arrays_zip(
+        c.alias("x"), F.concat(none, c).alias("b1"), F.concat(none, none, c).alias("b2"),
+        F.expr("slice(_tokens, 2, greatest(size(_tokens), 1))").alias("a1"),
+        F.expr("slice(_tokens, 3, greatest(size(_tokens), 1))").alias("a2"))
+    word = lambda n: F.when(F.col(n).startswith(MASK), F.lit(MASK)).otherwise(F.lower(n))
+    each = scanned.select(*keep, "_seeds", tokens.alias("_tokens")).select(*keep, "_seeds", F.posexplode(
+        around).alias("_at", "_y")).select(*keep, "_seeds", "_at", "_y.*").where("x is not null")
+    flat = each.select(*keep, "_seeds", "_at", "x", F.explode(F.array_compact(F.array(
+        F.concat(F.lit("< "), word("b1")), F.concat(F.lit("< "), word("b2"), F.lit(" "), word("b1")),
+        F.concat(F.lit("> "), word("a1")), F.concat(F.lit("> "), word("a1"), F.lit(" "), word("a2"))))
+    ).alias("pattern"))
+    return flat.select(*keep, F.col("x").alias("value"), F.col("x").startswith(MASK).alias("seed"), "pattern")
+
+
+def _seed_edges(scanned: DataFrame) -> DataFrame:
+    """Distinct base spans with each of their patterns: ``pattern``, ``value``."""
+    c = "_tokens"
+    word = lambda k: f"if(startswith(get({c}, i + {k}), '{MASK}'), '{MASK}', lower(get({c}, i + {k})))"
+    at = F.expr(f"filter(transform({c}, (x, i) -> if(startswith(x, '{MASK}'), i, null)), i -> i is not null)")
+    return (scanned.where("size(_seeds) > 0")
+            .withColumn(c, F.regexp_extract_all("_masked", F.lit(TOKEN), F.lit(0)))
+            .withColumn("_places", at)
+            .select(F.expr(f"""inline(transform(_places, (i, k) -> named_struct('value', get(_seeds, k), 'patterns',
+                array_compact(array(concat('< ', {word(-1)}), concat('< ', {word(-2)}, ' ', {word(-1)}),
+                                    concat('> ', {word(1)}), concat('> ', {word(1)}, ' ', {word(2)}))))))"""))
+            .select("value", F.explode("patterns").alias("pattern")).distinct())
 
 
 def _wilson(trusted: Column, all_: Column, z: float = 1.96) -> Column:
@@ -126,26 +151,62 @@ def _wilson(trusted: Column, all_: Column, z: float = 1.96) -> Column:
     return (middle - spread) / (1 + z * z / all_)
 
 
-def bootstrap(edges: DataFrame, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame | None:
-    """Instances found: ``value`` and ``score``. ``edges`` has ``pattern, value, seed``, one row for each
-    pair; None when no pattern leads to an instance that is not a seed."""
-    found = None
-    for _ in range(rounds):
-        trusted = F.col("seed").cast("double")
-        known = edges
+def bootstrap(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame | None:
+    """Instances found: ``value`` and ``score``; None when no pattern leads to one. ``scanned`` has
+    ``_row``, ``_masked`` and ``_seeds``.
+
+    More instances that are not trusted only lower a pattern's score. So patterns that fall short on the
+    rows with trusted instances alone are left out before the patterns of all rows are looked up.
+    """
+    seeds = cut_lineage(_seed_edges(scanned))
+    seeded = seeds.groupBy("pattern").agg(F.count("*").cast("double").alias("_seeded"))
+    found, known = None, 0
+    while True:
+        rows = scanned.where("size(_seeds) > 0")
+        trusted = seeded.select("pattern", "_seeded")
         if found is not None:
-            known = edges.join(found.select("value", "score"), "value", "left")
-            trusted = F.greatest(trusted, F.coalesce("score", F.lit(0.0)))
-        patterns = (known.groupBy("pattern")
-                    .agg(_wilson(F.sum(trusted), F.count("*")).alias("right"))
-                    .where(F.col("right") >= confidence))
+            held = cut_lineage(_edges(scanned, "_row").where("not seed").join(found, "value")
+                               .select("_row", "pattern", "value", "score"))
+            rows = rows.unionByName(scanned.where("size(_seeds) = 0").join(
+                held.select("_row").distinct(), "_row", "left_semi"))
+            trusted = trusted.withColumnRenamed("_seeded", "_sum").unionByName(
+                held.select("pattern", "value", "score").distinct().groupBy("pattern").agg(
+                    F.sum("score").alias("_sum"))).groupBy("pattern").agg(F.sum("_sum").alias("_seeded"))
+        # With nothing else around it, a pattern would have all of its instances trusted.
+        may = cut_lineage(trusted.where(_wilson(F.col("_seeded"), F.ceil("_seeded")) >= confidence))
+
+        def scored(part: DataFrame, may: DataFrame) -> tuple[DataFrame, DataFrame]:
+            edges = cut_lineage(_edges(part).where("not seed").select("pattern", "value").join(
+                may.select("pattern"), "pattern").distinct())
+            others = edges.groupBy("pattern").agg(F.count("*").alias("_others"))
+            sums = may.join(seeded.withColumnRenamed("_seeded", "_own"), "pattern", "left").join(
+                others, "pattern", "left")
+            right = _wilson(F.col("_seeded"), F.coalesce("_own", F.lit(0.0)) + F.coalesce("_others", F.lit(0)))
+            return edges, sums.select("pattern", "_seeded", right.alias("right")).where(
+                F.col("right") >= confidence)
+
+        if may.isEmpty():
+            return found
+        may = cut_lineage(scored(rows, may)[1].select("pattern", "_seeded"))
+        if may.isEmpty():
+            return found
+        edges, patterns = scored(scanned, may)
+        patterns = cut_lineage(patterns)
         wrong = F.exp(F.sum(F.log1p(-F.least(F.col("right"), F.lit(1 - 1e-9)))))
-        new = cut_lineage(edges.where("not seed").join(patterns, "pattern").groupBy("value").agg(
-            (1 - wrong).alias("score")).where(F.col("score") >= confidence))
-        if new.isEmpty():
+        new = cut_lineage(edges.join(patterns, "pattern").groupBy("value").agg(
+            (1 - wrong).alias("score"), F.count("*").alias("_accepted")).where(F.col("score") >= confidence))
+        words = cut_lineage(new.where("not value rlike '[0-9]'"))
+        common = _edges(scanned).where("not seed").select("value", "pattern").join(
+            words, "value").distinct().groupBy("value").agg(
+            F.count("*").alias("_all"), F.max("_accepted").alias("_accepted")).where(
+            F.col("_accepted") < SHARE * F.col("_all"))
+        if not words.isEmpty():
+            new = new.join(common.select("value"), "value", "left_anti")
+        new = cut_lineage(new.select("value", "score"))
+        size = new.count()
+        if size <= known:
             return found
-        found = new
-    return found
+        found, known = new, size
 
 
 def detect(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
@@ -156,22 +217,32 @@ def detect(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     A null or empty text has no spans. Repeated rows are treated alike. Added spans never
     overlap base ones, which all stay.
     """
-    source = docs.select(F.col(id_col).alias("doc_id"), whole_text(text).alias("_text"),
-                         *[F.struct(*keep).alias("row")] * bool(keep))
-    scanned = cut_lineage(instances(base_spans(source, "_text"), "_text").drop("_text").withColumn(
+    source = docs.select(F.col(id_col).alias("doc_id"), F.translate(
+        whole_text(text), MASK, UNMASK).alias("_text"), *[F.struct(*keep).alias("row")] * bool(keep))
+    scanned = cut_lineage(masked(base_spans(source, "_text"), "_text").drop("_text").withColumn(
         "_row", F.monotonically_increasing_id()))
-    single = scanned.select(F.explode("_instances").alias("x"))
-    edges = cut_lineage(single.select("x.value", "x.seed", F.explode("x.patterns").alias("pattern"))
-                        .groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
-    found = bootstrap(edges, confidence)
+    found = bootstrap(scanned.select("_row", "_masked", "_seeds"), confidence)
     columns = ["doc_id", F.col("_base").alias("base")]
     if found is None:
         return scanned.select(*columns, F.col("_base").alias("spans"), *["row"] * bool(keep))
-    kind = F.lit(len(KINDS)).alias("kind")
-    added = (scanned.select("_row", F.explode("_instances").alias("x")).where("not x.seed")
-             .join(found.select("value"), F.col("x.value") == F.col("value"))
-             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(
-                 kind, F.col("x.start").alias("start"), F.col("x.end").alias("end")))).alias("_added")))
+    kind = F.lit(len(KINDS))
+    tokens, between = match_spans(F.col("_masked"), TOKEN)
+    hits = cut_lineage(
+        scanned.select("_row", F.posexplode(tokens).alias("_i", "value")).join(found.select("value"), "value")
+        .groupBy("_row").agg(F.sort_array(F.collect_list("_i")).alias("_hits")))
+    # What lies between the hit before and this one: tokens and gaps.
+    length = ("aggregate(slice(_tokens, a.i + 1, i - a.i), 0, (n, t) -> n + length(t)) + "
+              "aggregate(slice(_between, a.i + 1, i - a.i), 0, (n, t) -> n + length(t))")
+    added = (scanned.select("_row", "_masked").join(hits, "_row")
+             .select("_row", "_hits", tokens.alias("_tokens"), between.alias("_between"))
+             .withColumn("_places", F.expr(f"""aggregate(_hits,
+                named_struct('i', 0, 'at', 0, 'out', cast(array() as array<struct<start:int,end:int>>)),
+                (a, i) -> named_struct('i', i, 'at', a.at + {length}, 'out', concat(a.out, array(named_struct(
+                    'start', a.at + {length} + length(_between[i]),
+                    'end', a.at + {length} + length(_between[i]) + length(_tokens[i]))))),
+                a -> a.out)"""))
+             .select("_row", F.transform("_places", lambda x: F.struct(
+                 kind.alias("kind"), x.start.alias("start"), x.end.alias("end"))).alias("_added")))
     both = F.when(F.col("_added").isNull(), F.col("_base")).otherwise(F.concat("_base", "_added"))
     return scanned.join(added, "_row", "left").select(
         *columns, both.alias("spans"), *["row"] * bool(keep))

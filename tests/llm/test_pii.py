@@ -75,3 +75,16 @@ def test_empty(spark, docs):
 def test_native(spark, docs):
     plan = pii.detect(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_shapes_one_word_cues_and_all_rounds(spark):
+    name = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+    # Each cue is accepted only once what the cue before it finds is trusted.
+    rows = [f"cue{'abcde'[k]}: {y}" for k in range(5) for y in (
+        *[f"{name(i)}@example.com" for i in range(150)],
+        *[f"qz{'abcde'[j]}(at){name(i)}" for j in (k - 1, k) if j >= 0 for i in range(6)])]
+    rows += ["cuea: table", *[f"the table {name(i)} and {name(i + 1)} table" for i in range(50)]]
+    got = pii.detect(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    for r in got:
+        said = [rows[r.doc_id][s.start:s.end] for s in r.spans]
+        assert said == ([] if "table" in rows[r.doc_id] else [rows[r.doc_id].split()[-1]])
