@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from storeloom.llm import (
     bpe,
+    collocate,
+    exact,
+    hardnegs,
     jaccard,
     licenses,
     mixing,
@@ -83,8 +86,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest", "record_type", warc.page_of("refers_to").alias("refers_to"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", noisy)
+    return hardnegs.mine(vectors, vectors.where("vec_id % 50 = 0"), 5, 3, 50, 95)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocate.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.mark(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_token_files, op3_licenses, op4_personal_data,
-                              op5_toxicity, op6_byte_bpe, op7_jaccard_join, op8_quality_rules, op9_exact_top_k, op10_warc)}
+    f.__name__: f for f in (
+        op1_mix_sources, op2_token_files, op3_licenses, op4_personal_data, op5_toxicity,
+        op6_byte_bpe, op7_jaccard_join, op8_quality_rules, op9_exact_top_k, op10_warc,
+        op11_hard_negatives, op12_collocations, op13_exact_dedup)}
 
 __all__ = ["ORACLE", "QUERIES"]
