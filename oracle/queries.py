@@ -35,12 +35,13 @@ sql("export_summary", f"""SELECT table_name, CAST(sum(records) AS BIGINT) AS rec
     {_manifest("order_reviews", "review_creation_date")} UNION ALL
     {_manifest("order_items", "shipping_limit_date")}) GROUP BY table_name""")
 sql("incremental_merge", """SELECT order_id,
-    CASE WHEN order_id % 3 = 0 THEN 'canceled' ELSE order_status END AS order_status,
+    CASE WHEN order_id % 3 = 0 THEN 'canceled' WHEN order_id % 5 = 0 THEN 'zz tied'
+         ELSE order_status END AS order_status,
     CASE WHEN order_id % 3 = 0 THEN order_purchase_timestamp + INTERVAL 1 DAY
          ELSE order_purchase_timestamp END AS order_purchase_timestamp FROM s_orders
     UNION ALL
     SELECT -1 - order_id, 'canceled', order_purchase_timestamp + INTERVAL 1 DAY FROM s_orders
-    WHERE order_id % 3 = 0 AND (-1 - order_id) % 3 = 0""")
+    WHERE order_id % 3 = 0""")
 
 # --- projections and filters ----------------------------------------------------------------
 
@@ -676,6 +677,18 @@ sql("fact_orders", f"""SELECT order_id, {md5_of('order_id')} AS order_sk,
     {day_key(DONE)} AS date_key_delivery, total_order_value AS total_value, total_items,
     delivery_days, delay_days, is_late AS is_delayed, delay_category, review_score,
     {SENTIMENT} AS review_sentiment FROM g_metrics""")
+MARCH = "date_trunc('month', order_purchase_timestamp) = DATE '1998-03-01'"
+SPRING = "order_purchase_timestamp >= DATE '1998-02-01' AND order_purchase_timestamp < DATE '1998-05-01'"
+sql("fact_orders_upserted", f"""SELECT order_id, {md5_of('order_id')} AS order_sk,
+    {md5_of('customer_id')} AS customer_sk, {day_key(BOUGHT)} AS date_key_purchase,
+    {day_key(DONE)} AS date_key_delivery, total_order_value AS total_value, total_items,
+    CASE WHEN {MARCH} THEN delivery_days WHEN {SPRING} THEN -1 END AS delivery_days, delay_days,
+    is_late AS is_delayed, delay_category, CASE WHEN {SPRING} THEN review_score END AS review_score,
+    {SENTIMENT} AS review_sentiment,
+    CASE WHEN {MARCH} THEN TIMESTAMP '1998-04-01' WHEN {SPRING} THEN TIMESTAMP '1998-03-01'
+         ELSE TIMESTAMP '1998-01-01' END AS updated_at,
+    CAST(order_purchase_timestamp::DATE AS TIMESTAMP) AS purchase_date,
+    strftime(order_purchase_timestamp, '%Y-%m') AS month FROM g_metrics""")
 sql("fact_order_items", f"""SELECT {md5_of('order_id')} AS order_sk, order_item_id,
     {md5_of('product_id')} AS product_sk, {md5_of('seller_id')} AS seller_sk, price,
     freight_value AS freight, item_total_value AS total FROM s_order_items""")

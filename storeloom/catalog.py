@@ -16,7 +16,7 @@ from storeloom.plans import features as ML
 from storeloom.plans import gold as G
 from storeloom.plans import metrics as M
 from storeloom.plans import silver as S
-from storeloom.session import apply_settings, cut_lineage
+from storeloom.session import apply_settings, cut_lineage, new_folder
 from storeloom.sources import retail, writers
 from storeloom.sources.schemas import EXPECTED_ROWS, FOREIGN_KEYS, PRIMARY_KEYS
 
@@ -191,15 +191,36 @@ def export_summary(t):
 
 @query
 def incremental_merge(t):
-    """Orders upserted by themselves: every third order arrives again, cancelled, a day later."""
+    """Orders upserted by themselves: every third order arrives again, cancelled, a day later. Of
+    every fourth order a late state comes as well, and of every fifth one of the same instant."""
     base = t.s("orders").select("order_id", "order_status", "order_purchase_timestamp")
-    again = base.filter(F.col("order_id") % 3 == 0).withColumns({
-        "order_status": F.lit("canceled"),
-        "order_purchase_timestamp": F.col("order_purchase_timestamp") + F.expr("INTERVAL 1 DAY")})
+    later = lambda df, days: df.withColumn(
+        "order_purchase_timestamp", F.col("order_purchase_timestamp") + F.make_dt_interval(F.lit(days)))
+    again = later(base.filter("order_id % 3 = 0").withColumn("order_status", F.lit("canceled")), 1)
+    late = later(base.filter("order_id % 4 = 0").withColumn("order_status", F.lit("zz late")), -1)
+    tied = base.filter("order_id % 5 = 0").withColumn("order_status", F.lit("zz tied"))
     new = again.withColumn("order_id", -1 - F.col("order_id"))
-    return writers.incremental_merge(base, base.unionByName(again).unionByName(new)
-                                     .filter(F.col("order_id") % 3 == 0),
-                                     ["order_id"], "order_purchase_timestamp")
+    updates = base.unionByName(again).unionByName(late).unionByName(tied).unionByName(new)
+    return writers.incremental_merge(base, updates, ["order_id"], "order_purchase_timestamp")
+
+
+@query
+def fact_orders_upserted(t):
+    """Order facts in five loads: all as of the purchase, then a month, the months around it
+    with older states of it, the first batch again, and a state of the same instant."""
+    facts = cut_lineage(G.fact_orders(t.metrics))
+    state = lambda where, change, at: facts.filter(where).withColumns(
+        change | {"updated_at": F.lit(at).cast("timestamp_ntz")})
+    month, day = F.expr("date_key_purchase div 100"), "1998-0{}-01 00:00:00".format
+    bought = {"delivery_days": F.lit(None).cast("int"), "review_score": F.lit(None).cast("int")}
+    target = new_folder(t.spark)
+    for batch in (state(F.lit(True), bought, day(1)), state(month == 199803, {}, day(4)),
+                  state(month.between(199802, 199804), {"delivery_days": F.lit(-1)}, day(3)),
+                  state(month == 199803, {}, day(4)),
+                  state(month == 199803, {"customer_sk": F.lit("")}, day(4))):
+        G.upsert_fact_orders(t.spark, target, batch)
+    held = writers.read_months(t.spark, target, batch.withColumn("purchase_date", F.current_date()).schema)
+    return _moment(held, "purchase_date")
 
 
 # --- projections and filters ----------------------------------------------------------------

@@ -16,6 +16,7 @@ from storeloom.operators.joins import (LAT, LNG, ZIP,
                                        customer_seller_distance, one_coordinate_per_zip)
 from storeloom.operators.ordered import ordered_scan
 from storeloom.sources.schemas import BRAZIL_REGIONS
+from storeloom.sources.writers import upsert_months
 
 ACTIVE_MONTHS = 6
 
@@ -391,6 +392,14 @@ def fact_orders(metrics: DataFrame) -> DataFrame:
         C.sentiment("review_score").alias("review_sentiment"))
 
 
+def upsert_fact_orders(spark: SparkSession, path: str, facts: DataFrame,
+                       updated: str = "updated_at") -> list[str]:
+    """Order facts with the day of their purchase and the time of their last change, merged into
+    the purchase months that they touch. Orders of the same instant are told apart by all columns."""
+    dated = facts.withColumn("purchase_date", F.to_date(F.col("date_key_purchase").cast("string"), "yyyyMMdd"))
+    return upsert_months(spark, path, dated, ["order_id"], "purchase_date", updated)
+
+
 def fact_order_items(items: DataFrame) -> DataFrame:
     return items.select(
         C.md5_key(["order_id"]).alias("order_sk"), "order_item_id",

@@ -68,6 +68,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own below ``spark.checkpoint.dir``, removed with the ``scratch`` block around it."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    _stored.append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame as a table written once below ``spark.checkpoint.dir``.
 
@@ -75,8 +83,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     make them repeat what led to it. It stays until the ``scratch`` block around it ends.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
-    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -13,9 +11,10 @@ from pyspark.sql.types import StructType
 
 from storeloom.operators.checks import CheckFailed
 from storeloom.operators.dedup import dedupe_keep_first
+from storeloom.session import cut_lineage
 
-SNAPSHOT = "_snapshot"
-BUCKET = "_bucket"
+#: Partition column of tables that are upserted by month.
+MONTH = "month"
 
 
 # --- bronze ---------------------------------------------------------------------------------
@@ -124,103 +123,65 @@ def incremental_merge(target: DataFrame, updates: DataFrame, key: Sequence[str],
                              [F.desc_nulls_last(c) for c in (order_col, *ties, *rest)])
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's path class, the path and its file system."""
-    kind = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target = kind(path)
-    return kind, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write the frame's partitions in place of those of the same values; all others stay. The same
+    frame twice leaves one copy of its rows."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
+    df.sparkSession.catalog.refreshByPath(path)
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    kind, root, fs = _folder(spark, f"{path}/{SNAPSHOT}s")
-    if not fs.exists(root):
-        return []
-    names = (entry.getPath().getName() for entry in fs.listStatus(root))
-    return sorted(int(n.removesuffix(".json")) for n in names if not n.startswith("."))
-
-
-def latest_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest snapshot below ``path``."""
-    return max(_snapshots(spark, path), default=None)
-
-
-def _manifest(spark: SparkSession, path: str, number: int) -> dict:
-    return json.loads(spark.read.text(f"{path}/{SNAPSHOT}s/{number}.json", wholetext=True).first()[0])
-
-
-def _publish(spark: SparkSession, path: str, number: int, manifest: dict) -> None:
-    """The manifest appears under its name at once, or not at all if the number is taken."""
-    kind, final, fs = _folder(spark, f"{path}/{SNAPSHOT}s/{number}.json")
-    hidden = kind(f"{path}/{SNAPSHOT}s/.{number}-{uuid.uuid4().hex}")
-    out = fs.create(hidden)
-    out.write(bytearray(json.dumps(manifest).encode()))
-    out.close()
-    if fs.exists(final) or not fs.rename(hidden, final):
-        fs.delete(hidden, False)
-        raise RuntimeError(f"snapshot {number} of {path} was written by somebody else")
-
-
-def _expire(spark: SparkSession, path: str, keep: int) -> None:
-    """Drops all but the newest ``keep`` snapshots, and the bucket folders that none of those uses."""
-    kind, root, fs = _folder(spark, f"{path}/{SNAPSHOT}s")
-    numbers = _snapshots(spark, path)
-    used = {f for n in numbers[-keep:] for f in _manifest(spark, path, n)["buckets"].values()}
-    for n in numbers[:-keep]:
-        gone = set(_manifest(spark, path, n)["buckets"].values()) - used
-        for folder in gone:
-            fs.delete(kind(f"{path}/{folder}"), True)
-        fs.delete(kind(f"{path}/{SNAPSHOT}s/{n}.json"), False)
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    number = latest_snapshot(spark, path)
-    if number is None:
-        return None
-    manifest = _manifest(spark, path, number)
-    schema = StructType.fromJson(manifest["schema"])
-    folders = [f"{path}/{f}" for f in manifest["buckets"].values()]
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def merge_into_path(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str],
-                    order_col: str, ties: Sequence[str] = (), source: str | None = None,
-                    batch: int = 0, buckets: int = 64, keep: int = 2) -> int:
-    """Merge into the next snapshot and return its number.
-
-    A snapshot is a small manifest that names one folder for each key bucket. A merge reads and
-    rewrites the buckets that the updates touch, keeps the others, and publishes a manifest
-    with the next number; readers see the old snapshot until then, and the newest ``keep`` stay on
-    disk. The number of buckets is fixed by the first merge. One writer at a time: a second one
-    that takes the same number fails.
-
-    With ``source``, the manifest remembers the last batch of each source, and a batch that is
-    repeated after a failure changes nothing. A source that starts anew must have a new name.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def read_months(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table written by ``upsert_months``, with its month; empty before the first batch."""
+    full = StructType([f for f in schema if f.name != MONTH]).add(MONTH, "string")
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
+
+
+def upsert_months(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str],
+                  at: str, order_col: str, ties: Sequence[str] = (),
+                  moves: bool = False) -> list[str]:
+    """Upsert into a table of one folder per month of ``at``; returns the months written.
+
+    The updates' months are read, merged by ``incremental_merge`` and put in place of the old ones;
+    the files of all other months are neither read nor written. A batch that comes twice changes
+    nothing the second time, and a late row only replaces an older one. Rows without ``at`` have
+    a folder of their own.
+
+    ``at`` is taken to be fixed for a key, as the day of a purchase is. With ``moves`` it may change:
+    the keys' present months are looked up first, a scan of the key columns only, and belong
+    to the batch, so that a key leaves the month that it was in.
+
+    One writer at a time. Spark puts the months in place when the job commits: a job that fails
+    before leaves the table as it was. A driver lost during the commit itself, between taking the
+    old month away and renaming the new one, leaves that month in the staging folder.
     """
-    last = latest_snapshot(spark, path)
-    manifest = {"buckets": {}, "count": buckets, "applied": {}} if last is None else _manifest(
-        spark, path, last)
-    if source is not None and manifest["applied"].get(source, -1) >= batch:
-        return last
-    number = 0 if last is None else last + 1
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in key]), F.lit(manifest["count"])).cast("int")
-    schema = updates.schema if last is None else StructType.fromJson(manifest["schema"])
-    new = updates.select(*schema.names).withColumn(BUCKET, bucket)
-    # At most one row per bucket.
-    touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())
-    old = [f"{path}/{manifest['buckets'][str(b)]}" for b in touched if str(b) in manifest["buckets"]]
-    if touched:
-        held = (spark.read.schema(schema).parquet(*old) if old
-                else spark.createDataFrame([], schema)).withColumn(BUCKET, bucket)
-        folder = f"data-{number}-{uuid.uuid4().hex[:8]}"
-        (incremental_merge(held, new, [*key, BUCKET], order_col, ties).hint("rebalance", BUCKET)
-         .write.partitionBy(BUCKET).parquet(f"{path}/{folder}"))
-        manifest["buckets"] |= {str(b): f"{folder}/{BUCKET}={b}" for b in touched}
-    manifest["schema"] = schema.jsonValue()
-    if source is not None:
-        manifest["applied"][source] = batch
-    _publish(spark, path, number, manifest)
-    _expire(spark, path, keep)
-    return number
+    month = F.coalesce(F.date_format(at, "yyyy-MM"), F.lit("none"))
+    new = updates.withColumn(MONTH, month)
+    held = read_months(spark, path, updates.schema)
+    touched = new.select(MONTH)
+    if moves:
+        touched = touched.union(held.select(*key, MONTH).join(
+            new.select(*key).distinct(), list(key), "left_semi").select(MONTH))
+    # One row per month.
+    months = sorted(r[0] for r in touched.distinct().collect())
+    if not months:
+        return []
+    merged = incremental_merge(held.filter(F.col(MONTH).isin(months)), new.select(*held.columns),
+                               list(key) if moves else [*key, MONTH], order_col, ties)
+    if moves:
+        merged = cut_lineage(merged)
+        for gone in set(months) - {r[0] for r in merged.select(MONTH).distinct().collect()}:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{MONTH}={gone}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    replace_partitions(merged, path, [MONTH])
+    return months
 
 
 # --- audit ----------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from storeloom.operators.checks import CheckFailed, check_tables
 from storeloom.operators.dedup import dedupe_keep_first
 from storeloom.sources import readers, writers
 from storeloom.sources.schemas import BRONZE
-from storeloom.streaming.incremental import merge_new_files
+from storeloom.streaming.incremental import upsert_new_files
 from tests.conftest import one, rows
 
 
@@ -104,62 +104,91 @@ def test_incremental_merge_keeps_the_newest(spark):
     assert [(r["k"], r["v"]) for r in rows(out, "k")] == [(1, "a"), (2, "d"), (3, "e"), (4, "z"), (5, "n")]
 
 
+def _batch(spark, *data):
+    return spark.createDataFrame(list(data), "k int, v string, at int")
+
+
+SALE = "k int, v string, sold timestamp_ntz, at int"
+
+
+def _sales(spark, *data):
+    return spark.createDataFrame([(k, v, dt.datetime.fromisoformat(d) if d else None, at)
+                                  for k, v, d, at in data], SALE)
+
+
 def _held(spark, path):
-    return [(r["k"], r["v"]) for r in rows(writers.read_snapshot(spark, path), "k")]
+    held = writers.read_months(spark, path, _sales(spark).schema)
+    return [(r["k"], r["v"], r["month"]) for r in rows(held, "k")]
 
 
-def _batch(spark, *data):
-    return spark.createDataFrame(list(data), "k int, v string, at int")
+def _files(path):
+    return {d: {(f, os.stat(f"{path}/{d}/{f}").st_mtime_ns) for f in os.listdir(f"{path}/{d}")}
+            for d in os.listdir(path) if d.startswith("month=")}
+
+
+def _seed(spark, path):
+    return writers.upsert_months(spark, path, _sales(spark, *[
+        (k, "a", f"2020-{1 + k % 4:02d}-05", 1) for k in range(40)], (99, "a", None, 1)), ["k"], "sold", "at")
 
 
-def test_snapshots_and_repeated_batches(spark, tmp_path):
+def test_a_batch_rewrites_its_months_only(spark, tmp_path):
     path = str(tmp_path / "table")
-    assert writers.read_snapshot(spark, path) is None
-    merge = lambda *data, **kw: writers.merge_into_path(spark, path, _batch(spark, *data), ["k"], "at", **kw)
-    assert merge((1, "a", 1), (1, "b", 2)) == 0
-    assert merge((2, "c", 1)) == 1
-    assert [merge((n, "s", 1), source="one", batch=n - 3) for n in (3, 4, 5)] == [2, 3, 4]
-    assert _held(spark, path) == [(1, "b"), (2, "c"), (3, "s"), (4, "s"), (5, "s")]
-    # A repeated batch, and one before it, change nothing; a stream with a new checkpoint goes on.
-    assert merge((5, "again", 9), source="one", batch=2) == 4 == merge((3, "x", 9), source="one", batch=0)
-    assert merge((3, "t", 2), (1, "late", 1), source="two", batch=0) == 5
-    assert merge(source="two", batch=1) == 6
-    assert _held(spark, path) == [(1, "b"), (2, "c"), (3, "t"), (4, "s"), (5, "s")]
-
-
-def test_untouched_buckets_stay_and_old_snapshots_go(spark, tmp_path):
+    assert _held(spark, path) == []
+    assert _seed(spark, path) == ["2020-01", "2020-02", "2020-03", "2020-04", "none"]
+    before = _files(path)
+    assert writers.upsert_months(spark, path, _sales(spark, (2, "b", "2020-03-05", 2), (40, "n", "2020-03-31", 1)),
+                                 ["k"], "sold", "at") == ["2020-03"]
+    after = _files(path)
+    assert {d for d in after if after[d] != before[d]} == {"month=2020-03"}
+    held = dict((k, v) for k, v, _ in _held(spark, path))
+    assert len(held) == 42 and held[2] == "b" and held[6] == "a" and held[99] == "a"
+    assert writers.upsert_months(spark, path, _sales(spark), ["k"], "sold", "at") == []
+
+
+def test_repeated_late_and_tied_batches(spark, tmp_path):
     path = str(tmp_path / "table")
-    writers.merge_into_path(spark, path, _batch(spark, *[(k, "a", 1) for k in range(60)]), ["k"], "at", buckets=8)
-    first = writers._manifest(spark, path, 0)["buckets"]
-    writers.merge_into_path(spark, path, _batch(spark, (7, "b", 2)), ["k"], "at")
-    second = writers._manifest(spark, path, 1)["buckets"]
-    assert len(first) == 8 and sum(first[b] != second[b] for b in first) == 1
-    for n in range(4):
-        writers.merge_into_path(spark, path, _batch(spark, *[(k, f"c{n}", 3 + n) for k in range(60)]), ["k"], "at")
-    assert writers._snapshots(spark, path) == [4, 5]
-    left = {f.split("/")[0] for n in (4, 5) for f in writers._manifest(spark, path, n)["buckets"].values()}
-    full = {d for d in os.listdir(path) if d.startswith("data-") and any(
-        x.startswith("_bucket") for x in os.listdir(f"{path}/{d}"))}
-    assert full == left
-    assert _held(spark, path) == [(k, "c3") for k in range(60)]
-
-
-def test_a_taken_number_is_refused(spark, tmp_path):
+    _seed(spark, path)
+    upsert = lambda *data: writers.upsert_months(spark, path, _sales(spark, *data), ["k"], "sold", "at")
+    batches = [[(2, "b", "2020-03-05", 3)], [(2, "late", "2020-03-05", 2), (99, "z", None, 2)],
+               [(2, "b", "2020-03-05", 3)], [(3, "A", "2020-04-05", 1), (7, "t", "2020-04-05", 1)]]
+    for batch in batches:
+        upsert(*batch)
+    held = dict((k, v) for k, v, _ in _held(spark, path))
+    # Of two states of one instant the larger stays, whichever came first.
+    assert (held[2], held[99], held[3], held[7]) == ("b", "z", "a", "t") and len(held) == 41
+
+
+def test_a_key_may_move_to_another_month(spark, tmp_path):
     path = str(tmp_path / "table")
-    writers.merge_into_path(spark, path, _batch(spark, (1, "a", 1)), ["k"], "at")
-    with pytest.raises(RuntimeError):
-        writers._publish(spark, path, 0, {})
-    assert _held(spark, path) == [(1, "a")]
+    writers.upsert_months(spark, path, _sales(spark, (1, "a", "2020-01-05", 1), (2, "a", "2020-02-05", 1),
+                                              (3, "a", "2020-02-06", 1)), ["k"], "sold", "at")
+    move = lambda *data: writers.upsert_months(spark, path, _sales(spark, *data), ["k"], "sold", "at", moves=True)
+    assert move((1, "b", "2020-02-01", 2)) == ["2020-01", "2020-02"]
+    assert _held(spark, path) == [(1, "b", "2020-02"), (2, "a", "2020-02"), (3, "a", "2020-02")]
+    assert not os.path.exists(f"{path}/month=2020-01")
+    move((1, "late", "2020-01-05", 1), (3, "c", "2020-03-01", 2))
+    assert _held(spark, path) == [(1, "b", "2020-02"), (2, "a", "2020-02"), (3, "c", "2020-03")]
 
 
-def test_reset_checkpoint_loses_nothing(spark, tmp_path):
+def test_new_files_are_merged_batch_by_batch(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    writers.merge_into_path(spark, target, _batch(spark, (1, "seed", 1), (9, "seed", 9)), ["k"], "at")
-    for state, data in (("a", (2, "x", 1)), ("a", (9, "late", 2)), ("b", (3, "y", 1))):
-        _batch(spark, data).write.mode("append").parquet(source)
-        merge_new_files(spark, source, "k int, v string, at int", target, ["k"], "at",
-                        str(tmp_path / state)).awaitTermination(120)
-    assert _held(spark, target) == [(1, "seed"), (2, "x"), (3, "y"), (9, "seed")]
+    _seed(spark, target)
+
+    def run(state):
+        query = upsert_new_files(spark, source, SALE, target, ["k"], "sold", "at", str(tmp_path / state),
+                                 files_per_batch=1)
+        query.awaitTermination(120)
+        return sum(1 for p in query.recentProgress if p.numInputRows)
+
+    arrivals = [[(2, "x", "2020-03-05", 2), (41, "n", "2020-05-01", 1)], [(2, "late", "2020-03-05", 1)],
+                [(41, "m", "2020-05-01", 2)]]
+    for state, data in zip("aab", arrivals, strict=True):
+        _sales(spark, *data).coalesce(1).write.mode("append").parquet(source)
+        before = _files(target)
+        assert run(state) == (1 if state == "a" else 3)
+        assert _files(target)["month=2020-01"] == before["month=2020-01"]
+    held = dict((k, v) for k, v, _ in _held(spark, target))
+    assert len(held) == 42 and (held[2], held[41], held[1]) == ("x", "m", "a")
 
 
 def test_materialize_swaps(spark):
@@ -183,20 +212,6 @@ def test_previews_and_sorted_writes(spark):
     assert readers.preview(df, 2).count() == 2 and readers.sample_rows(df, 5).count() == 3
 
 
-def test_new_files_are_merged_once(spark, tmp_path):
-    source, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
-    schema = "k int, v string, at int"
-
-    def arrive(*data):
-        spark.createDataFrame(list(data), schema).write.mode("append").parquet(source)
-        merge_new_files(spark, source, schema, target, ["k"], "at", state).awaitTermination(120)
-
-    arrive((1, "a", 1), (2, "b", 1))
-    arrive((2, "c", 2), (3, "d", 1))
-    assert [(r["k"], r["v"]) for r in rows(writers.read_snapshot(spark, target), "k")] == [
-        (1, "a"), (2, "c"), (3, "d")]
-
-
 def test_sorted_writes_cluster_each_file(spark, tmp_path):
     from storeloom.operators.clean import sort_for_write
 
