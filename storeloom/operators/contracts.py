@@ -208,17 +208,23 @@ def run_checkpoint(df: DataFrame, suite: Sequence[dict], suite_name: str, run_id
         F.lit(run_at).cast("timestamp_ntz").alias("run_at"), "*")
     if store is None:
         return results
-    (results.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "suite").parquet(store))
-    return read_store(df.sparkSession, store).filter(
+    # A row per rule: one small file for each run and suite.
+    (results.withColumn("run_date", F.to_date("run_at")).coalesce(1)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date", "run_id", "suite").parquet(store))
+    return read_store(df.sparkSession, store, since=run_at).filter(
         (F.col("run_id") == run_id) & (F.col("suite") == suite_name))
 
 
-def read_store(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(
+def read_store(spark: SparkSession, store: str, since: str | None = None) -> DataFrame:
+    """Stored results; with ``since`` only the folders of runs from that day on are read."""
+    rows = spark.read.schema(
         "run_at timestamp_ntz, position int, expectation_type string, column_name string, "
         "evaluated bigint, unexpected bigint, observed bigint, mostly double, success boolean, "
-        "run_id string, suite string").parquet(store)
+        "run_date date, run_id string, suite string").parquet(store)
+    if since is not None:
+        rows = rows.filter(F.col("run_date") >= F.to_date(F.lit(since)))
+    return rows.drop("run_date")
 
 
 def top_failures(store: DataFrame, k: int = 5) -> DataFrame:

@@ -31,24 +31,29 @@ def stale_tables(report: DataFrame, minutes: int = 1440) -> DataFrame:
     return report.filter(F.col("minutes_ago") > minutes)
 
 
+def column_values(listing: DataFrame, name: str) -> DataFrame:
+    """Each listed column's type and nullability as one text."""
+    text = F.concat_ws(" ", "data_type", F.when(F.col("is_nullable"), "NULL").otherwise("NOT NULL"))
+    return listing.select("table_name", "column_name", text.alias(name))
+
+
+def value_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``previous_value`` against ``current_value``: every column with its change and severity."""
+    both = old.join(new, ["table_name", "column_name"], "full_outer")
+    was, now = F.col("previous_value"), F.col("current_value")
+    return (both.withColumn("change_type", F.when(was.isNull(), "ADDED")
+                            .when(now.isNull(), "REMOVED").when(was != now, "MODIFIED")
+                            .otherwise("UNCHANGED"))
+            .withColumn("severity", F.when(F.col("change_type") == "REMOVED", "CRITICAL")
+                        .when(F.col("change_type") == "MODIFIED", "WARNING").otherwise("INFO")))
+
+
 def schema_diff(previous: DataFrame, current: DataFrame) -> DataFrame:
     """Two column listings compared: every column with its change and severity.
 
     ``INFO`` for a new column, ``CRITICAL`` for a lost one, ``WARNING`` for another type.
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
-        text = F.concat_ws(" ", "data_type", F.when(F.col("is_nullable"), "NULL")
-                           .otherwise("NOT NULL"))
-        return df.select("table_name", "column_name", text.alias(name))
-
-    both = side(previous, "previous_value").join(
-        side(current, "current_value"), ["table_name", "column_name"], "full_outer")
-    old, new = F.col("previous_value"), F.col("current_value")
-    return (both.withColumn("change_type", F.when(old.isNull(), "ADDED")
-                            .when(new.isNull(), "REMOVED").when(old != new, "MODIFIED")
-                            .otherwise("UNCHANGED"))
-            .withColumn("severity", F.when(F.col("change_type") == "REMOVED", "CRITICAL")
-                        .when(F.col("change_type") == "MODIFIED", "WARNING").otherwise("INFO")))
+    return value_changes(column_values(previous, "previous_value"), column_values(current, "current_value"))
 
 
 def column_statistics(df: DataFrame, cols: Sequence[str], table: str, as_of: str) -> DataFrame:

@@ -80,19 +80,21 @@ def ntile(df: DataFrame, order_by: Sequence[Column | str], n: int, name: str,
     return scan.select(*df.columns, tile.cast("int").alias(name))
 
 
-def value_positions(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def value_positions(df: DataFrame, value: str, by: Sequence[str] = (),
+                    weight: str | None = None) -> DataFrame:
     """The exact empirical distribution per ``by`` group, one row per distinct non-NULL value:
-    its rows ``n``, the rows up to and including it ``upto``, and all rows ``upto_total``."""
+    its rows ``n``, the rows up to and including it ``upto``, and all rows ``upto_total``. A row
+    stands for ``weight`` rows where that is given."""
     counts = (df.filter(F.col(value).isNotNull()).groupBy(*by, value)
-              .agg(F.count("*").alias("n")))
+              .agg((F.sum(weight) if weight else F.count("*")).alias("n")))
     return ordered_scan(counts, [value], running={"upto": "n"}, within=by)
 
 
 def quantile_values(df: DataFrame, value: str, shares: Sequence[float],
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between neighbours, long form:
     ``by..., share, quantile``. Needs no group to fit in one task."""
-    spread = value_positions(df, value, by)
+    spread = value_positions(df, value, by, weight)
     # Every quantile lies between two neighbouring rows; a distinct value keeps the shares for
     # which it holds one of them, and nearly all values keep none.
     first, last = F.col("upto") - F.col("n") + 1, F.col("upto")
