@@ -593,7 +593,7 @@ sql("dim_customers", _rfm("s_orders", "customer_id") + f"""SELECT
     CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
     FROM g_customers g LEFT JOIN coded ON coded.customer_id = g.customer_id
     LEFT JOIN state_regions ON state = customer_state""")
-sql("scd2_merge", """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4 = 0
+HISTORY = """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4 = 0
             THEN lower(customer_city) ELSE customer_city END AS customer_city, customer_state
         FROM b_customers WHERE customer_id % 10 <> 7),
     old AS (SELECT customer_id, customer_city, customer_state FROM b_customers
@@ -611,7 +611,36 @@ sql("scd2_merge", """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4
     WHERE new_city <> customer_city
     UNION ALL
     SELECT customer_id, customer_city, customer_state, TIMESTAMP '1998-01-01', NULL, TRUE
-    FROM now WHERE customer_id % 10 = 3""")
+    FROM now WHERE customer_id % 10 = 3"""
+sql("scd2_merge", HISTORY)
+# What each day of a customer says, by whom it says most; then days that say nothing new go.
+LATE = f"""WITH history AS ({HISTORY}),
+    late AS (
+        SELECT customer_id, TIMESTAMP '1997-03-05' AS day, 2 AS rank, 'late' AS city, customer_state
+        FROM b_customers WHERE customer_id % 5 = 0
+        UNION ALL SELECT customer_id, TIMESTAMP '1994-02-01', 2, 'early', customer_state
+        FROM b_customers WHERE customer_id % 6 = 0
+        UNION ALL SELECT customer_id, TIMESTAMP '1998-01-01', 2, 'fixed', customer_state
+        FROM b_customers WHERE customer_id % 11 = 0
+        UNION ALL SELECT customer_id, TIMESTAMP '1999-05-01', 2, 'after', customer_state
+        FROM b_customers WHERE customer_id % 7 = 0
+        UNION ALL SELECT customer_id, TIMESTAMP '1997-07-01', 2, customer_city, customer_state
+        FROM b_customers WHERE customer_id % 9 = 0),
+    told AS (
+        SELECT * FROM late
+        UNION ALL SELECT customer_id, effective_from, 1, customer_city, customer_state FROM history
+        UNION ALL SELECT customer_id, effective_to, 0, NULL, NULL FROM history
+        WHERE effective_to IS NOT NULL),
+    days AS (SELECT * FROM told
+             QUALIFY row_number() OVER (PARTITION BY customer_id, day ORDER BY rank DESC) = 1),
+    changes AS (SELECT * FROM days WINDOW w AS (PARTITION BY customer_id ORDER BY day)
+                QUALIFY lag(day) OVER w IS NULL OR lag(city) OVER w IS DISTINCT FROM city
+                OR lag(customer_state) OVER w IS DISTINCT FROM customer_state)
+    SELECT customer_id, city AS customer_city, customer_state, day AS effective_from, until AS effective_to,
+           until IS NULL AS is_current
+    FROM (SELECT *, lead(day) OVER (PARTITION BY customer_id ORDER BY day) AS until FROM changes)
+    WHERE customer_state IS NOT NULL"""
+sql("scd2_late_versions", LATE)
 sql("scd2_validity", f"""SELECT customer_id, order_status, effective_from,
     lead(effective_from) OVER w AS effective_to, lead(effective_from) OVER w IS NULL AS is_current
     FROM (SELECT customer_id, CAST(CAST({BOUGHT} AS DATE) AS TIMESTAMP) AS effective_from,
@@ -657,6 +686,12 @@ sql("fact_sales_lookup", _fact_sales("customer_sk, product_sk, seller_sk", " ".j
     f"""LEFT JOIN (SELECT {w}_id, row_number() OVER (ORDER BY {w}_id) AS {w}_sk FROM s_{w}s) d{n}
     ON d{n}.{w}_id = {a}.{w}_id""" for n, (w, a) in enumerate(
         [("customer", "m"), ("product", "i"), ("seller", "i")]))))
+sql("fact_sales_versioned", _fact_sales(
+    f"v.customer_sk, {md5_of('product_id')} AS product_sk, {md5_of('seller_id')} AS seller_sk",
+    f"""LEFT JOIN (SELECT *, md5(CAST(customer_id AS VARCHAR) || '~' || strftime(effective_from, '%Y-%m-%d'))
+               AS customer_sk FROM ({LATE})) v
+    ON v.customer_id = m.customer_id AND CAST({BOUGHT} AS DATE) >= v.effective_from
+       AND (v.effective_to IS NULL OR CAST({BOUGHT} AS DATE) < v.effective_to)"""))
 sql("fact_deliveries", f"""SELECT f.order_id, f.seller_id, delivery_days, delay_days, sla_met,
     distance_km, freight_value,
     CASE WHEN distance_km > 0 THEN round(CAST(freight_value AS DOUBLE) / distance_km, 6) END

@@ -889,17 +889,46 @@ def dim_customers(t):
                    "effective_from", "effective_to")
 
 
+TRACKED = ["customer_city", "customer_state"]
+
+
+def _customer_history(t):
+    people, key = t.b("customers").select("customer_id", *TRACKED), F.col("customer_id")
+    first = G.scd2_start(people.filter(key % 10 != 3), "customer_id", TRACKED, "1996-01-01")
+    batch = people.filter(key % 10 != 7).withColumn("customer_city", F.when(
+        key % 4 == 0, F.lower("customer_city")).otherwise(F.col("customer_city")))
+    return G.scd2_merge(first, batch, "customer_id", TRACKED, "1998-01-01")
+
+
 @query
 def scd2_merge(t):
     """Customers loaded in 1996; in 1998 some are gone, some moved and some are new."""
-    people, key = t.b("customers").select("customer_id", "customer_city", "customer_state"), \
-        F.col("customer_id")
-    tracked = ["customer_city", "customer_state"]
-    first = G.scd2_start(people.filter(key % 10 != 3), "customer_id", tracked, "1996-01-01")
-    batch = people.filter(key % 10 != 7).withColumn("customer_city", F.when(
-        key % 4 == 0, F.lower("customer_city")).otherwise(F.col("customer_city")))
-    merged = G.scd2_merge(first, batch, "customer_id", tracked, "1998-01-01")
-    return _moment(merged, "effective_from", "effective_to")
+    return _moment(_customer_history(t), "effective_from", "effective_to")
+
+
+def _with_late_versions(t):
+    """Late versions inside, before and after a customer's intervals, on the day of a known one, and
+    some that say what held already."""
+    people, key = t.b("customers").select("customer_id", *TRACKED), F.col("customer_id")
+    arrivals = [(5, "1997-03-05", "late"), (6, "1994-02-01", "early"), (11, "1998-01-01", "fixed"),
+                (7, "1999-05-01", "after"), (9, "1997-07-01", None)]
+    late = [people.filter(key % n == 0).withColumns(
+        {"effective_from": F.lit(day).cast("date"),
+         "customer_city": F.lit(city) if city else F.col("customer_city")}) for n, day, city in arrivals]
+    return G.scd2_insert(_customer_history(t), A.union_metrics(late), "customer_id", TRACKED)
+
+
+@query
+def scd2_late_versions(t):
+    return _moment(_with_late_versions(t), "effective_from", "effective_to")
+
+
+@query
+def fact_sales_versioned(t):
+    """Sales with the key of the customer's version on the purchase day."""
+    versions = _with_late_versions(t).withColumn(
+        "customer_sk", C.md5_key(["customer_id", "effective_from"]))
+    return G.fact_sales(t.s("order_items"), t.stored_metrics, customer_versions=versions)
 
 
 @query

@@ -136,3 +136,46 @@ def history_before(points: DataFrame, events: DataFrame, key: str, at: str,
             .select(key, at, *[(F.coalesce(F.col(f"_in_{m}"), nil)
                                 + F.coalesce(F.col(f"_before_{m}"), nil)).alias(m)
                                for m in measures]))
+
+
+def version_at(facts: DataFrame, versions: DataFrame, key: str, at: str, start: str, stop: str,
+               columns: Sequence[str], grain: str = "month") -> DataFrame:
+    """As-of join: each fact with ``columns`` of the version of its key that is valid at its instant
+    (``start <= at < stop``; no end where ``stop`` is NULL), NULL where none is.
+
+    One sorted union of facts and versions, no range join. The line of a key is cut into slots of
+    ``grain``, and each slot begins with the version that its key had before it, so that a key with a
+    large share of the facts is spread over its slots. Versions of a key must not overlap. Pass
+    ``facts`` as a stored table; it is read twice.
+    """
+    day = lambda c: F.col(c).cast("timestamp_ntz")
+    known = F.col(key).isNotNull() & F.col(at).isNotNull()
+    version = F.struct(day(stop).alias("_stop"), *columns)
+    told = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        F.col(key).alias("_key"), day(start).alias("_at"), version.alias("_version"))
+    kind = told.schema["_version"].dataType
+    asked = facts.filter(known).select(
+        F.col(key).alias("_key"), day(at).alias("_at"), F.lit(None).cast(kind).alias("_version"),
+        F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"))
+
+    slot = F.date_trunc(grain, "_at").cast("timestamp_ntz")
+    slots = (told.unionByName(asked.drop("_fact")).groupBy("_key", slot.alias("_slot"))
+             .agg(F.max_by("_version", F.when(F.col("_version").isNotNull(), F.col("_at"))).alias("_last")))
+    before = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = slots.withColumn("_version", F.last("_last", ignorenulls=True).over(before)).filter(
+        F.col("_version").isNotNull())
+
+    nobody = F.lit(None).cast(asked.schema["_fact"].dataType).alias("_fact")
+    first = carried.select("_key", F.col("_slot").alias("_at"), "_version", nobody, F.lit(0).alias("_kind"))
+    later = told.select("_key", "_at", "_version", nobody, F.lit(1).alias("_kind"))
+    line = first.unionByName(later).unionByName(asked.withColumn("_kind", F.lit(2)))
+    upto = (Window.partitionBy("_key", "_slot").orderBy("_at", "_kind")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = (line.withColumn("_slot", slot)
+             .withColumn("_valid", F.last("_version", ignorenulls=True).over(upto))
+             .filter(F.col("_kind") == 2))
+    open_then = F.col("_valid._stop").isNull() | (F.col("_at") < F.col("_valid._stop"))
+    out = found.select("_fact.*", *[F.when(open_then, F.col(f"_valid.{c}")).alias(c) for c in columns])
+    unknown = facts.filter(~known).select(
+        "*", *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in columns])
+    return out.unionByName(unknown)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from storeloom.functions import columns as C
 from storeloom.operators.joins import (LAT, LNG, ZIP,
                                        customer_seller_distance, one_coordinate_per_zip)
-from storeloom.operators.ordered import ordered_scan
+from storeloom.operators.ordered import ordered_scan, version_at
 from storeloom.sources.schemas import BRAZIL_REGIONS
 from storeloom.sources.writers import upsert_months
 
@@ -319,6 +319,44 @@ def scd2_merge(current: DataFrame, updates: DataFrame, key: str, tracked: Sequen
     return past.unionByName(merged)
 
 
+def scd2_insert(history: DataFrame, late: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """Versions that arrive late, each with its own ``effective_from``, put into a type 2 history.
+
+    A late version holds from its day to the next day on which the history knows something else: it
+    splits the interval that it falls into, precedes the first version, follows a key's end, or
+    replaces the version that starts on the same day. Versions that say the same as the one before them
+    merge with it. Keys without late versions stay as they are and are not sorted.
+
+    A late version without a key or a day, and two for one key and day, make the query fail.
+    """
+    said = F.struct(*tracked)
+    start, stop = F.col("effective_from"), F.col("effective_to")
+    nothing = F.lit(None).cast(history.select(said.alias("d")).schema["d"].dataType)
+    wrong = F.concat(F.lit("late version without key or day, or two of one day: "),
+                     F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    fresh = (late.groupBy(key, "effective_from").agg(F.min(said).alias("data"), F.count("*").alias("_n"))
+             .select(key, start.alias("day"), F.when(
+                 (F.col("_n") > 1) | F.col(key).isNull() | start.isNull(), F.raise_error(wrong))
+                     .otherwise(F.lit(2)).cast("int").alias("rank"), "data"))
+    touched = late.select(key).distinct()
+    old = history.join(touched, key, "left_semi").select(key, F.explode(F.array(
+        F.struct(start.alias("day"), F.lit(1).alias("rank"), said.alias("data")),
+        F.struct(stop.alias("day"), F.lit(0).alias("rank"), nothing.alias("data")))).alias("e")).select(
+        key, "e.*").filter(F.col("day").isNotNull())
+    # What holds from a day on: the late version, else the one that starts, else nothing.
+    events = (old.unionByName(fresh).repartition(key).groupBy(key, "day")
+              .agg(F.max_by("data", "rank").alias("data")))
+    line = Window.partitionBy(key).orderBy("day")
+    changes = events.withColumn("_first", F.row_number().over(line) == 1).withColumn(
+        "_before", F.lag("data").over(line)).filter(
+        F.col("_first") | ~F.col("data").eqNullSafe(F.col("_before")))
+    ends = changes.withColumn("effective_to", F.lead("day").over(line)).filter(F.col("data").isNotNull())
+    merged = ends.select(key, *[F.col(f"data.{c}").alias(c) for c in tracked],
+                         F.col("day").alias("effective_from"), "effective_to",
+                         F.col("effective_to").isNull().alias("is_current"))
+    return history.join(touched, key, "left_anti").select(*merged.columns).unionByName(merged)
+
+
 def scd2_start(df: DataFrame, key: str, tracked: Sequence[str], effective_date: str) -> DataFrame:
     """First load: every row current from the given day."""
     return df.select(key, *tracked, F.lit(effective_date).cast("date").alias("effective_from"),
@@ -336,19 +374,29 @@ def scd2_validity(versions: DataFrame, key: str) -> DataFrame:
 # --- facts ----------------------------------------------------------------------------------
 
 def fact_sales(items: DataFrame, metrics: DataFrame,
-               dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
+               dims: Mapping[str, DataFrame] | None = None,
+               customer_versions: DataFrame | None = None) -> DataFrame:
     """Item grain. MD5 keys are computed in place; pass ``dims`` (customers, products, sellers
     with their ``_sk``) to look the keys up instead, which leaves unknown members NULL.
 
+    With ``customer_versions`` (a type 2 history with its ``customer_sk``), the customer's key is that
+    of the version valid on the purchase day, NULL where none is; it is looked up once per order.
+
     Pass ``metrics`` as a stored table: both sides then meet in exchanges of their own, and an
     order with very many items is split over several tasks at run time.
     """
+    orders = metrics.select("order_id", "customer_id", "order_purchase_timestamp", "is_delivered",
+                            "is_late", "delivery_days", "delay_days", "review_score")
+    if customer_versions is not None:
+        day = orders.withColumn("_day", F.to_date("order_purchase_timestamp"))
+        orders = version_at(day, customer_versions, "customer_id", "_day", "effective_from",
+                            "effective_to", ["customer_sk"]).drop("_day")
     rows = items.select("order_id", "order_item_id", "product_id", "seller_id", "price",
-                        "freight_value").join(
-        metrics.select("order_id", "customer_id", "order_purchase_timestamp", "is_delivered",
-                       "is_late", "delivery_days", "delay_days", "review_score"), "order_id")
+                        "freight_value").join(orders, "order_id")
     for who in ("customer", "product", "seller"):
         key, sk = f"{who}_id", f"{who}_sk"
+        if who == "customer" and customer_versions is not None:
+            continue
         if dims is None:
             rows = rows.withColumn(sk, C.md5_key([key]))
         else:

@@ -460,3 +460,31 @@ def test_scd2_refuses_a_day_before_the_open_version(spark):
     with pytest.raises(Exception, match="before the version"):
         G.scd2_merge(first, people([(1, "b")]), "id", ["city"], "2019-12-31").collect()
     assert G.scd2_merge(first, people([(1, "a")]), "id", ["city"], "2019-12-31").count() == 1
+
+
+def test_scd2_late_versions(spark):
+    cols = "id int, city string, effective_from date, effective_to date, is_current boolean"
+    day = dt.date
+    history = spark.createDataFrame([
+        (1, "a", day(2020, 1, 1), day(2020, 6, 1), False), (1, "b", day(2020, 6, 1), None, True),
+        (2, "a", day(2020, 1, 1), day(2020, 3, 1), False), (2, "c", day(2020, 5, 1), day(2020, 9, 1), False),
+        (3, "x", day(2020, 1, 1), None, True), (4, None, day(2020, 1, 1), None, True)], cols)
+    late = spark.createDataFrame([
+        (1, "late", day(2020, 3, 1)), (1, "first", day(2019, 1, 1)), (1, "b", day(2020, 7, 1)),
+        (2, "gap", day(2020, 4, 1)), (2, "c", day(2020, 8, 1)), (2, "back", day(2021, 1, 1)),
+        (4, "known", day(2020, 1, 1)), (5, "new", day(2020, 2, 2))], "id int, city string, effective_from date")
+    out = G.scd2_insert(history, late, "id", ["city"])
+    found = [(r["id"], r["city"], str(r["effective_from"]), str(r["effective_to"])) for r in rows(out, "id", "effective_from")]
+    assert found == [
+        (1, "first", "2019-01-01", "2020-01-01"), (1, "a", "2020-01-01", "2020-03-01"),
+        (1, "late", "2020-03-01", "2020-06-01"), (1, "b", "2020-06-01", "None"),
+        (2, "a", "2020-01-01", "2020-03-01"), (2, "gap", "2020-04-01", "2020-05-01"),
+        (2, "c", "2020-05-01", "2020-09-01"), (2, "back", "2021-01-01", "None"),
+        (3, "x", "2020-01-01", "None"), (4, "known", "2020-01-01", "None"), (5, "new", "2020-02-02", "None")]
+    assert all(r["is_current"] == (r["effective_to"] is None) for r in out.collect())
+    assert rows(G.scd2_insert(out, late, "id", ["city"]), "id", "effective_from") == rows(out, "id", "effective_from")
+    for bad in ((1, "q", None), (None, "q", day(2020, 1, 1))):
+        with pytest.raises(Exception, match="late version"):
+            G.scd2_insert(history, spark.createDataFrame([bad], late.schema), "id", ["city"]).collect()
+    with pytest.raises(Exception, match="late version"):
+        G.scd2_insert(history, late.union(late), "id", ["city"]).collect()

@@ -108,3 +108,29 @@ def test_psi_identical_shifted_and_empty_bins(spark):
     moved = one(observe.psi(a, a.withColumn("x", F.col("x") + 10_000), "x"))["psi"]
     # Nine baseline bins are empty now; all of the current rows fall into the last.
     assert moved > 5
+
+
+def test_version_at_against_a_range_join(spark):
+    """Gaps, open ends, several versions in a slot, instants on a border, hot and unknown keys."""
+    rng = random.Random(5)
+    start = dt.datetime(2020, 1, 1)
+    versions = []
+    for k in range(8):
+        day = rng.randint(0, 40)
+        for n in range(rng.randint(0, 6)):
+            stop = day + rng.choice([1, 2, 9, 40])
+            versions.append((k, start + dt.timedelta(days=day), start + dt.timedelta(days=stop), f"v{k}-{n}"))
+            day = stop + rng.choice([0, 0, 3])
+        if k % 2:
+            versions.append((k, start + dt.timedelta(days=day), None, f"open{k}"))
+    facts = [(i, 1 if i % 3 == 0 else rng.randint(0, 9), start + dt.timedelta(hours=12 * rng.randint(-60, 400)))
+             for i in range(600)]
+    facts += [(600, None, start), (601, 1, None), (602, 1, versions[0][1])]
+    f = spark.createDataFrame(facts, "id int, k int, at timestamp_ntz")
+    v = spark.createDataFrame(versions, "k int, since timestamp_ntz, until timestamp_ntz, name string")
+    want = {i: next((n for k2, a, b, n in versions if k2 == k and at and a <= at and (b is None or at < b)), None)
+            for i, k, at in facts}
+    for grain in ("month", "day"):
+        got = ordered.version_at(f, v, "k", "at", "since", "until", ["name"], grain)
+        assert {r.id: r.name for r in got.collect()} == want and got.columns == ["id", "k", "at", "name"]
+    assert ordered.version_at(f, v.limit(0), "k", "at", "since", "until", ["name"]).filter("name IS NULL").count() == 603
