@@ -7,7 +7,7 @@ unpartitioned window.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,54 +30,126 @@ def composite_distinct(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.agg(F.countDistinct(F.struct(*keys)).alias("unique_keys"))
 
 
+#: A figure of a summary: how a group of rows gives its parts, how parts are merged, and the result.
+Figure = tuple[dict[str, Callable[[Column], Column]], Callable[[Column], Column],
+               Callable[[dict[str, Column]], Column]]
+
+
+def _figure(merge, **parts) -> Figure:
+    return parts, merge, lambda p: next(iter(p.values()))
+
+
+def rows_counted() -> Figure:
+    return _figure(F.sum, n=F.count_if)
+
+
+def counted(col: str) -> Figure:
+    return _figure(F.sum, n=lambda own: F.count(F.when(own, F.col(col))))
+
+
+def counted_if(condition: Column) -> Figure:
+    return _figure(F.sum, n=lambda own: F.count_if(own & condition))
+
+
+def nulls(col: str) -> Figure:
+    return counted_if(F.col(col).isNull())
+
+
+def summed(col: str) -> Figure:
+    return _figure(F.sum, s=lambda own: F.sum(F.when(own, F.col(col))))
+
+
+def largest(col: str) -> Figure:
+    return _figure(F.max, m=lambda own: F.max(F.when(own, F.col(col))))
+
+
+def smallest(col: str) -> Figure:
+    return _figure(F.min, m=lambda own: F.min(F.when(own, F.col(col))))
+
+
+def averaged(col: str) -> Figure:
+    parts = {"s": lambda own: F.sum(F.when(own, F.col(col))), "n": lambda own: F.count(F.when(own, F.col(col)))}
+    return parts, F.sum, lambda p: F.try_divide(p["s"].cast("double"), p["n"])
+
+
+def summary(df: DataFrame, figures: Mapping[str, Figure | str]) -> DataFrame:
+    """One row of figures; a column name stands for the number of its distinct values.
+
+    One scan, whatever the number of distinct counts: each row gives one (column, value) entry
+    for each of them, entries are counted by value on the map side first, and the first column's entries
+    carry the other figures. Spark's own plan for several DISTINCTs repeats each row, with all its
+    columns, once more than there are of them.
+    """
+    distinct = [f for f in figures.values() if isinstance(f, str)] or [df.columns[0]]
+    kinds = {df.schema[c].dataType for c in distinct}
+    entries = [F.struct(F.lit(i).alias("which"), (F.col(c) if len(kinds) == 1 else F.col(c).cast("string"))
+                        .alias("value")) for i, c in enumerate(distinct)]
+    own = F.col("_entry.which") == 0
+    parts = {f"{name}_{p}": (of(own), merge) for name, figure in figures.items()
+             if not isinstance(figure, str) for (made, merge, _) in [figure] for p, of in made.items()}
+    tall = df.select("*", F.explode(F.array(*entries)).alias("_entry"))
+    groups = tall.groupBy(F.col("_entry.which").alias("which"), F.col("_entry.value").alias("value")).agg(
+        *([c.alias(f"_{n}") for n, (c, _) in parts.items()] or [F.count("*").alias("_any")]))
+    merged = groups.agg(
+        *[F.count_if((F.col("which") == i) & F.col("value").isNotNull()).alias(f"_distinct_{i}")
+          for i in range(len(distinct))],
+        *[merge(f"_{n}").alias(f"_{n}") for n, (_, merge) in parts.items()])
+
+    def result(name: str, figure: Figure | str) -> Column:
+        if isinstance(figure, str):
+            return F.col(f"_distinct_{distinct.index(figure)}")
+        made, merge, final = figure
+        value = final({p: F.col(f"_{name}_{p}") for p in made})
+        counts = merge is F.sum and list(made) == ["n"]
+        return F.coalesce(value, F.lit(0)) if counts else value
+
+    return merged.select(*[result(n, f).alias(n) for n, f in figures.items()])
+
+
 def bronze_summary(table: str, df: DataFrame) -> DataFrame:
     """The post-load summary of one bronze table."""
-    n, d, null = F.count("*").alias("total_records"), F.countDistinct, lambda c: F.count_if(F.col(c).isNull())
-    measures = {
-        "customers": lambda: [
-            n, d("customer_id").alias("unique_customers"),
-            d("customer_unique_id").alias("unique_customer_unique_ids"),
-            d("customer_state").alias("unique_states"), null("customer_id").alias("null_pks")],
-        "sellers": lambda: [
-            n, d("seller_id").alias("unique_sellers"), d("seller_state").alias("unique_states"),
-            d("seller_city").alias("unique_cities"), null("seller_id").alias("null_pks"),
-            null("seller_state").alias("null_states")],
-        "products": lambda: [
-            n, d("product_id").alias("unique_products"),
-            d("product_category_name").alias("unique_categories"),
-            null("product_id").alias("null_pks"),
-            null("product_category_name").alias("null_categories"),
-            null("product_weight_g").alias("null_weights"),
-            C.mean("product_weight_g").alias("avg_weight"),
-            F.max("product_weight_g").alias("max_weight")],
-        "orders": lambda: [
-            n, d("order_id").alias("unique_orders"), d("customer_id").alias("unique_customers"),
-            null("order_id").alias("null_pks"), null("customer_id").alias("null_fks"),
-            F.count_if(C.clean_lower("order_status") == "delivered").alias("delivered_orders"),
-            null("order_delivered_customer_date").alias("null_delivery_dates")],
-        "order_items": lambda: [
-            n, d("order_id").alias("unique_orders"), d("product_id").alias("unique_products"),
-            d("seller_id").alias("unique_sellers"), C.mean("price").alias("avg_price"),
-            C.mean("freight_value").alias("avg_freight"), F.max("price").alias("max_price"),
-            F.min("price").alias("min_price")],
-        "order_payments": lambda: [
-            n, d("order_id").alias("unique_orders"),
-            d("payment_type").alias("unique_payment_types"),
-            C.mean("payment_value").alias("avg_payment"),
-            F.sum("payment_value").alias("total_payment"),
-            C.mean("payment_installments").alias("avg_installments"),
-            F.max("payment_installments").alias("max_installments")],
-        "order_reviews": lambda: [
-            n, d("review_id").alias("unique_reviews"), d("order_id").alias("unique_orders"),
-            C.mean("review_score").alias("avg_score"),
-            F.count("review_comment_title").alias("reviews_with_title"),
-            F.count("review_comment_message").alias("reviews_with_message")],
-        "geolocation": lambda: [
-            n, d("geolocation_zip_code_prefix").alias("unique_zips"),
-            d("geolocation_state").alias("unique_states"),
-            d("geolocation_city").alias("unique_cities")],
+    figures = {
+        "customers": lambda: {
+            "total_records": rows_counted(), "unique_customers": "customer_id",
+            "unique_customer_unique_ids": "customer_unique_id", "unique_states": "customer_state",
+            "null_pks": nulls("customer_id")},
+        "sellers": lambda: {
+            "total_records": rows_counted(), "unique_sellers": "seller_id",
+            "unique_states": "seller_state", "unique_cities": "seller_city",
+            "null_pks": nulls("seller_id"), "null_states": nulls("seller_state")},
+        "products": lambda: {
+            "total_records": rows_counted(), "unique_products": "product_id",
+            "unique_categories": "product_category_name", "null_pks": nulls("product_id"),
+            "null_categories": nulls("product_category_name"),
+            "null_weights": nulls("product_weight_g"), "avg_weight": averaged("product_weight_g"),
+            "max_weight": largest("product_weight_g")},
+        "orders": lambda: {
+            "total_records": rows_counted(), "unique_orders": "order_id",
+            "unique_customers": "customer_id", "null_pks": nulls("order_id"),
+            "null_fks": nulls("customer_id"),
+            "delivered_orders": counted_if(C.clean_lower("order_status") == "delivered"),
+            "null_delivery_dates": nulls("order_delivered_customer_date")},
+        "order_items": lambda: {
+            "total_records": rows_counted(), "unique_orders": "order_id",
+            "unique_products": "product_id", "unique_sellers": "seller_id",
+            "avg_price": averaged("price"), "avg_freight": averaged("freight_value"),
+            "max_price": largest("price"), "min_price": smallest("price")},
+        "order_payments": lambda: {
+            "total_records": rows_counted(), "unique_orders": "order_id",
+            "unique_payment_types": "payment_type", "avg_payment": averaged("payment_value"),
+            "total_payment": summed("payment_value"),
+            "avg_installments": averaged("payment_installments"),
+            "max_installments": largest("payment_installments")},
+        "order_reviews": lambda: {
+            "total_records": rows_counted(), "unique_reviews": "review_id",
+            "unique_orders": "order_id", "avg_score": averaged("review_score"),
+            "reviews_with_title": counted("review_comment_title"),
+            "reviews_with_message": counted("review_comment_message")},
+        "geolocation": lambda: {
+            "total_records": rows_counted(), "unique_zips": "geolocation_zip_code_prefix",
+            "unique_states": "geolocation_state", "unique_cities": "geolocation_city"},
     }
-    return df.agg(*measures[table]())
+    return summary(df, figures[table]())
 
 
 # --- distributions --------------------------------------------------------------------------
@@ -106,9 +178,8 @@ def items_per_position(items: DataFrame, k: int = 10) -> DataFrame:
 
 
 def fk_cardinality(items: DataFrame) -> DataFrame:
-    return items.agg(F.countDistinct("order_id").alias("unique_orders"),
-                     F.countDistinct("product_id").alias("unique_products"),
-                     F.countDistinct("seller_id").alias("unique_sellers"))
+    return summary(items, {"unique_orders": "order_id", "unique_products": "product_id",
+                           "unique_sellers": "seller_id"})
 
 
 def flag_rates(df: DataFrame, flags: Sequence[str],
@@ -144,16 +215,12 @@ def csv_statistics(payments: DataFrame) -> DataFrame:
 
 def item_statistics(items: DataFrame) -> DataFrame:
     """Statistics of one load of items: keys, means and missing values."""
-    null = lambda c: F.count_if(F.col(c).isNull()).alias(f"null_{c}")
     keys = ["order_id", "product_id", "seller_id"]
-    plain = items.agg(F.count("*").alias("total"), C.mean("price").alias("mean_price"),
-                      C.mean("freight_value").alias("mean_freight_value"),
-                      *[null(c) for c in (*keys, "price", "freight_value")])
-    # Each key from a pass of its own over that column: several DISTINCTs in one aggregate would
-    # multiply every row.
-    distinct = [items.groupBy(k).agg(F.lit(1)).agg(F.count(k)).scalar().alias(f"unique_{k[:-3]}s")
-                for k in keys]
-    return plain.select("*", *distinct)
+    return summary(items, {
+        "total": rows_counted(), "mean_price": averaged("price"),
+        "mean_freight_value": averaged("freight_value"),
+        **{f"null_{c}": nulls(c) for c in (*keys, "price", "freight_value")},
+        **{f"unique_{k[:-3]}s": k for k in keys}})
 
 
 def review_statistics(reviews: DataFrame) -> DataFrame:

@@ -488,3 +488,15 @@ def test_scd2_late_versions(spark):
             G.scd2_insert(history, spark.createDataFrame([bad], late.schema), "id", ["city"]).collect()
     with pytest.raises(Exception, match="late version"):
         G.scd2_insert(history, late.union(late), "id", ["city"]).collect()
+
+
+def test_summary_of_nulls_and_no_rows(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, None, 2.5), (None, "b", 3.5), (None, None, None)],
+                               "k int, s string, x double")
+    figures = {"n": A.rows_counted(), "keys": "k", "texts": "s", "xs": "x", "no_k": A.nulls("k"),
+               "mean": A.averaged("x"), "top": A.largest("x"), "least": A.smallest("x"), "all": A.summed("x"),
+               "has_s": A.counted("s")}
+    assert one(A.summary(df, figures)) == {"n": 4, "keys": 1, "texts": 2, "xs": 2, "no_k": 2, "mean": 3.0,
+                                           "top": 3.5, "least": 2.5, "all": 6.0, "has_s": 2}
+    assert one(A.summary(df.limit(0), figures)) == {
+        "n": 0, "keys": 0, "texts": 0, "xs": 0, "no_k": 0, "mean": None, "top": None, "least": None, "all": None, "has_s": 0}

@@ -51,6 +51,15 @@ def test_no_python_in_the_plan(spark, name):
     assert "Python" not in text and "Pandas" not in text
 
 
+@pytest.mark.parametrize("name, scans", [
+    ("bronze_summary_customers", 2), ("bronze_summary_orders", 1), ("bronze_summary_order_items", 1),
+    ("bronze_summary_products", 1), ("fk_cardinality", 1), ("item_statistics", 1)])
+def test_several_distinct_counts_take_one_scan(spark, name, scans):
+    """Customers are a join of two files."""
+    text = plan(driver.queries()[name](spark, SMALL))
+    assert "Expand" not in text and text.count("\nLocation: ") == scans
+
+
 def test_keyed_reviews_prune_the_text(spark):
     """A query on scores alone never reads the review texts."""
     text = plan(driver.queries()["nps"](spark, SMALL))
