@@ -6,9 +6,9 @@ are a dictionary, and how often each occurs is its parse frequency. Phrases are
 distinct chunks only, weighted by that frequency. The windows where chunks overlap are in
 both, so a phrase belongs to the chunk that owns its first word.
 
-Counts go up by length: a phrase of k words is counted only if both of its parts of k - 1 words are
-frequent. Which are is known from a bitmap of hashes with a fixed largest size; hashes that share a bit
-cost rows, not correctness, because the last pass counts the phrases themselves.
+Counts go up by length: words first, then pairs of frequent words, then longer phrases of which every
+pair is frequent. What is frequent is known from a bitmap of hashes with a fixed largest size; hashes
+that share a bit cost rows, not correctness, because the last pass counts the phrases themselves.
 """
 
 from __future__ import annotations
@@ -19,18 +19,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.llm.common import slices, whole_text
+from storeloom.operators.ordered import ordered_scan
 from storeloom.session import cut_lineage
 
 #: A chunk starts at one window in so many.
 ONE_IN = 32
 #: Bits for each frequent phrase, and in all (32 MB, what is broadcast at most).
 BITS_EACH, MOST_BITS = 16, 1 << 28
-#: Tasks that rank the phrases of one language before its first ones meet.
-RANKERS = 64
 UNKNOWN = "und"
 _BLANK, _BREAK = 32, 10
 _FOLDED = np.arange(256, dtype=np.uint8)
@@ -150,6 +149,16 @@ def chunks_of(words: Words, overlap: int, one_in: int) -> tuple[list[bytes], np.
     return [body[a:b] for a, b in zip(begin, end, strict=True)], ends - starts, words.rows[starts]
 
 
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """The bytes from each start to its end, which may overlap."""
+    lengths = ends - starts
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    at = np.arange(int(offsets[-1])) + np.repeat(starts - offsets[:-1], lengths)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[at])]).cast(pa.binary())
+
+
 def dictionary(docs: DataFrame, text: str, lang: str, overlap: int, one_in: int) -> DataFrame:
     """Distinct chunks of each language with their parse frequency."""
     kinds = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("owned", pa.int64())])
@@ -186,7 +195,9 @@ class Grams:
         self.length = 1
 
     def known(self) -> np.ndarray:
-        """Places whose phrase of the present length may be frequent."""
+        """Places whose phrase of the present length may be frequent, as far as that is known."""
+        if self.length > len(self.frequent):
+            return self.alive
         bits = self.frequent[self.length - 1]
         at = self.hashes & np.uint64(8 * len(bits) - 1)
         return self.alive & ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
@@ -203,25 +214,30 @@ class Grams:
                 self.hashes[:n - k] * np.uint64(_MULTIPLIER) + self.words.hashes[k:])
 
 
-def _level(parsed: DataFrame, frequent: list[np.ndarray], least: int) -> DataFrame:
-    """Hashes of phrases one word longer than ``frequent`` knows, counted, from ``least`` on."""
-    spark = parsed.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)
-    kinds = pa.schema([("hash", pa.int64()), ("f", pa.int64())])
+def _frequent(parsed: DataFrame, known: list[np.ndarray], upto: int, least: int) -> list[np.ndarray]:
+    """Bitmaps of the phrases that occur ``least`` times at least, for lengths after those ``known`` to
+    ``upto``, from one pass over the dictionary."""
+    shared = parsed.sparkSession.sparkContext.broadcast(known)
+    kinds = pa.schema([("k", pa.int32()), ("hash", pa.int64()), ("f", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "chunk"):
+        for batch in slices(batches, "chunk", 1 << 23):
             grams = Grams(batch, shared.value)
-            for _ in shared.value:
-                grams.lengthen()
-            here = grams.alive & grams.mine
-            found, place = np.unique(grams.hashes[here], return_inverse=True)
-            sums = np.zeros(len(found), np.int64)
-            np.add.at(sums, place, grams.weights[here])
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(sums)], schema=kinds)
+            for k in range(1, upto + 1):
+                if k > len(shared.value):
+                    here = grams.alive & grams.mine
+                    found = pa.table([pa.array(grams.hashes[here].view(np.int64)), pa.array(grams.weights[here])],
+                                     ["hash", "f"]).group_by("hash", use_threads=False).aggregate([("f", "sum")])
+                    for part in found.to_batches():
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(part.num_rows, k, np.int32)), part.column("hash"),
+                             part.column("f_sum")], schema=kinds)
+                if k < upto:
+                    grams.lengthen()
 
-    return cut_lineage(parsed.mapInArrow(count, "hash long, f long").groupBy("hash").agg(
-        F.sum("f").alias("f")).where(F.col("f") >= least).select("hash"))
+    hashes = cut_lineage(parsed.mapInArrow(count, "k int, hash long, f long").groupBy("k", "hash").agg(
+        F.sum("f").alias("f")).where(F.col("f") >= least).select("k", "hash"))
+    return [_bitmap(hashes.where(F.col("k") == k)) for k in range(len(known) + 1, upto + 1)]
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -247,21 +263,25 @@ def _phrases(parsed: DataFrame, frequent: list[np.ndarray], least: int) -> DataF
     kinds = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "chunk"):
+        for batch in slices(batches, "chunk", 1 << 23):
             grams = Grams(batch, shared.value)
-            words, body = grams.words, grams.words.data.tobytes()
-            langs = batch.column(4)
+            words = grams.words
+            langs = batch.column(4).dictionary_encode()
             for k in range(1, len(shared.value) + 1):
                 at = np.flatnonzero(grams.known() & grams.mine)
-                found = pa.array([body[a:b] for a, b in zip(
-                    words.starts[at].tolist(), words.ends[at + k - 1].tolist(), strict=True)], pa.binary())
-                counted = pa.table([langs.take(pa.array(words.rows[at])), found,
-                                    pa.array(grams.weights[at])], ["lang", "phrase", "f"]).group_by(
-                    ["lang", "phrase"]).aggregate([("f", "sum")])
+                found = spans(words.data, words.starts[at], words.ends[at + k - 1]).dictionary_encode()
+                # One number for language and phrase.
+                lang_of = langs.indices.to_numpy(zero_copy_only=False)[words.rows[at]].astype(np.int64)
+                pairs = lang_of * len(found.dictionary) + found.indices.to_numpy(zero_copy_only=False)
+                counted = pa.table([pa.array(pairs), pa.array(grams.weights[at])], ["pair", "f"]).group_by(
+                    "pair", use_threads=False).aggregate([("f", "sum")])
                 for part in counted.to_batches():
+                    pair = part.column("pair").to_numpy(zero_copy_only=False)
+                    size = max(1, len(found.dictionary))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("lang"), part.column("phrase").cast(pa.string()),
-                         pa.array(np.full(part.num_rows, k, np.int32)), part.column("f_sum")], schema=kinds)
+                        [langs.dictionary.take(pa.array(pair // size)),
+                         found.dictionary.take(pa.array(pair % size)).cast(pa.string()),
+                         pa.array(np.full(len(pair), k, np.int32)), part.column("f_sum")], schema=kinds)
                 if k < len(shared.value):
                     grams.lengthen()
 
@@ -276,8 +296,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     parse = dictionary(docs, text, lang, longest - 1, one_in)
     parsed = parse.select(F.xxhash64("lang").alias("salt"), "chunk", "owned", "weight", "lang")
     frequent: list[np.ndarray] = []
-    for _ in range(longest):
-        frequent.append(_bitmap(_level(parsed, frequent, least)))
+    for upto in sorted({1, min(2, longest), longest}):
+        frequent += _frequent(parsed, frequent, upto, least)
     totals = parse.groupBy("lang").agg(F.sum(F.col("owned") * F.col("weight")).alias("n"))
     return _phrases(parsed, frequent, least), totals
 
@@ -325,11 +345,6 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longes
         "lang", "phrase", "a", F.col("best.l").alias("l"), F.col("best.r").alias("r"), "n",
         F.col("best.score").alias("score"))
 
-    # The first ones of each share of a language, then the first of those: no task sorts a language.
-    order = [F.desc("score"), F.desc("a"), "phrase"]
-    share = F.pmod(F.xxhash64("phrase"), F.lit(RANKERS)).alias("share")
-    first = (kept.select("*", share)
-             .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order)))
-             .where(F.col("rank") <= top))
-    return (first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
-            .where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+    # Numbered in range partitions of (lang, order): no task sorts a language.
+    ranked = ordered_scan(kept, [F.desc("score"), F.desc("a"), "phrase"], number="rank", within=["lang"])
+    return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
