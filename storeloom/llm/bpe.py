@@ -6,46 +6,37 @@ takes the position at the root, joins the token there with its right neighbour,
 two or three leaves whose pairs changed, each along one path to the root.
 
 Matches of up to 64 bytes are encoded many at a time, one row of a tree array for each; longer
-ones have a tree of their own. Workers keep what they encoded, by text between two single spaces:
-no match of the pattern crosses the place between a character that is no white space and a space
-which another such character follows.
+ones have a tree of their own. Workers keep what they encoded, by pieces between two single spaces.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.common import slices, texts_of, unused, without
+from storeloom.llm import pieces
+from storeloom.llm.common import slices, unused, whole_text, without
 
 #: No pair: larger than any rank.
 NONE = np.int64(1 << 40)
 #: Matches up to this many bytes share a tree array.
 WIDE = 64
-#: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 250_000
-_SPACED = re.compile(r"(?<=\S) (?=\S)")
+#: Pieces, and matches, that a worker remembers before it starts anew.
+REMEMBERED = pieces.REMEMBERED
 
 
 def pieces_of(text: str) -> list[str]:
-    """The text cut before each space that stands alone between characters that are no white
-    space; ``"".join`` gives it back, and no match of the split pattern crosses a cut."""
-    if not text:
-        return []
-    # Most texts have single spaces and line ends only, which plain splitting handles.
-    parts = _SPACED.split(text) if re.search(r"\s ", text) or re.search(r" \s", text) or \
-        text[0] == " " or text[-1] == " " else text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
+    """The pieces of a text, which give it back one after another."""
+    found = pieces.Pieces(pa.array([text], pa.string()))
+    return [found.distinct[i].decode() for i in found.index.tolist()]
 
 
 class Ranks:
@@ -67,6 +58,8 @@ class Ranks:
         self.keys = np.array(sorted(pairs), np.int64)
         self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
         self.of_byte = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
+        self.byte_parts = pa.array(self.bytes_of, pa.large_binary())
+        self.number_parts = pa.array([f"{i} " for i in range(len(self.bytes_of))], pa.large_string())
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, ``NONE`` where the two do not merge."""
@@ -191,37 +184,36 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.ranks = ranks_of(path)
         self.pattern = regex.compile(pattern)
-        self.pieces: dict[str, bytes] = {}
-        self.matches: dict[bytes, bytes] = {}
-
-    def _learn(self, new: list[str]) -> None:
-        """Encodes pieces that are not known yet; what one piece leaves unknown is done at once."""
-        found = {p: [m.encode() for m in self.pattern.findall(p)] for p in new}
-        unknown = {m for ms in found.values() for m in ms if m not in self.matches}
+        self.memory = pieces.Memory()
+        self.matches: dict[bytes, np.ndarray] = {}
+
+    def _learn(self, new: list[bytes]) -> list[np.ndarray]:
+        """Ids of pieces that are not known yet; what they leave unknown is done at once."""
+        if len(self.matches) > REMEMBERED:
+            self.matches.clear()
+        found = [[m.encode() for m in self.pattern.findall(p.decode())] for p in new]
+        unknown = {m for ms in found for m in ms if m not in self.matches}
         short = []
         for m in unknown:
             whole = self.ranks.ids.get(m)
             if whole is not None:
-                self.matches[m] = np.uint32(whole).tobytes()
+                self.matches[m] = np.array([whole], np.uint32)
             elif len(m) > WIDE:
-                self.matches[m] = np.array(self.ranks.one(m), np.uint32).tobytes()
+                self.matches[m] = np.array(self.ranks.one(m), np.uint32)
             else:
                 short.append(m)
         for m, ids in zip(short, self.ranks.many(short), strict=True):
-            self.matches[m] = ids.astype(np.uint32).tobytes()
-        for p, ms in found.items():
-            self.pieces[p] = b"".join([self.matches[m] for m in ms])
+            self.matches[m] = ids.astype(np.uint32)
+        return [self.matches[ms[0]] if len(ms) == 1 else np.concatenate([self.matches[m] for m in ms])
+                for ms in found]
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of texts, and the place of each text's first id."""
+        return self.memory.encode(column, self._learn, REMEMBERED)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [pieces_of(t) for t in texts]
-        for known in (self.pieces, self.matches):
-            if len(known) > REMEMBERED:
-                known.clear()
-        known = self.pieces
-        new = set().union(*cut).difference(known)
-        if new:
-            self._learn(list(new))
-        return [np.frombuffer(b"".join([known[p] for p in ps]), np.uint32) for ps in cut]
+        ids, bounds = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 @lru_cache(maxsize=4)
@@ -238,23 +230,36 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
                      keep: list[str] | None = None) -> DataFrame:
     """``keep`` (``doc_id`` by default) with ``ids``: the ids of each whole text.
 
-    A null or empty text has no ids; repeated rows are encoded alike, one by one. A result column
-    takes the place of a kept one of its name.
+    A null or empty text has no ids; repeated rows are encoded alike, one by one; a very long text is a
+    batch of its own. An empty table gives no rows. A result column takes the place of a kept one
+    of its name.
     """
-    return _encoded(docs, path, pattern, text, keep, "ids array<int>", ["ids"],
-                    lambda ids, _: [pa.array(ids, pa.list_(pa.int32()))])
+    def lists(ids: np.ndarray, bounds: np.ndarray, _) -> list[pa.Array]:
+        return [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))]
+
+    return _encoded(docs, path, pattern, text, keep, "ids array<int>", ["ids"], lists)
+
+
+def _joined(parts: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> tuple[memoryview, list[int]]:
+    """The parts that the ids stand for one after another, and where each text's ones begin."""
+    taken = parts.take(pa.array(ids))
+    _, offsets, data = taken.buffers()
+    places = np.frombuffer(offsets, np.int64)[taken.offset:taken.offset + len(taken) + 1]
+    return memoryview(data or b""), places[bounds].tolist()
 
 
 def encoding_digests(docs: DataFrame, path: str, pattern: str, text: str = "text",
                      keep: list[str] | None = None) -> DataFrame:
     """As ``encode_documents``, with digests of the ids and of the bytes decoded from them."""
-    def digests(ids: list[np.ndarray], vocabulary: list[bytes]) -> list[pa.Array]:
-        numbers = [str(i) for i in range(len(vocabulary))]
-        return [pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(" ".join([numbers[i] for i in x.tolist()]).encode())
-                          .hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(decode(x, vocabulary)).hexdigest() for x in ids],
-                         pa.string())]
+    def digests(ids: np.ndarray, bounds: np.ndarray, ranks: Ranks) -> list[pa.Array]:
+        numbers, n = _joined(ranks.number_parts, ids, bounds)
+        decoded, d = _joined(ranks.byte_parts, ids, bounds)
+        sha = hashlib.sha256
+        return [pa.array(np.diff(bounds), pa.int64()),
+                # Each number has a space after it, the last one of a text too many.
+                pa.array([sha(numbers[a:max(a, b - 1)]).hexdigest() for a, b in zip(n, n[1:], strict=False)],
+                         pa.string()),
+                pa.array([sha(decoded[a:b]).hexdigest() for a, b in zip(d, d[1:], strict=False)], pa.string())]
 
     return _encoded(docs, path, pattern, text, keep,
                     "n_tokens long, ids_sha256 string, decoded_sha256 string",
@@ -285,9 +290,9 @@ def _encoded(docs, path, pattern, text, keep, schema, names, columns) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
         for batch in slices(batches, body):
-            ids = encoder.encode(texts_of(batch, body))
+            ids, bounds = encoder.encode_column(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns(ids, encoder.ranks.bytes_of)], [*kept, *names])
+                [*batch.columns[:-1], *columns(ids, bounds, encoder.ranks)], [*kept, *names])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return docs.select(*kept, F.col(text).alias(body)).mapInArrow(run, f"{kinds}, {schema}")
+    return docs.select(*kept, whole_text(text).alias(body)).mapInArrow(run, f"{kinds}, {schema}")

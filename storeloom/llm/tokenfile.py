@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,14 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm.bpe import pieces_of
-from storeloom.llm.common import slices, texts_of
+from storeloom.llm import pieces
+from storeloom.llm.common import slices, whole_text
 
 MAGIC = b"DAC1"
 SEGMENT = 1 << 20
 BLOCK = 512
-#: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 600_000
 _TAIL = struct.Struct("<qqqq4s")
 
 
@@ -209,32 +206,33 @@ class LibraryEncoder:
         self.pattern = regex.compile(pattern)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
-        self.pieces: dict[str, bytes] = {}
-        self.matches: dict[str, bytes] = {}
+        self.memory = pieces.Memory()
+        self.matches: dict[str, list[int]] = {}
 
-    def _match(self, match: str) -> bytes:
+    def _match(self, match: str) -> list[int]:
         tokens = self.tokenizer.model.tokenize(
             match.encode().decode("latin-1").translate(self.letters))
-        ids = self.matches[match] = array("I", [t.id for t in tokens]).tobytes()
+        ids = self.matches[match] = [t.id for t in tokens]
         return ids
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> list[int]:
         if any(t in piece for t in self.added):
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            return array("I", ids).tobytes()
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
         known = self.matches
-        return b"".join([known[m] if m in known else self._match(m)
-                         for m in self.pattern.findall(piece)])
+        return [i for m in self.pattern.findall(piece) for i in (known.get(m) or self._match(m))]
+
+    def _learn(self, new: list[bytes]) -> list[np.ndarray]:
+        if len(self.matches) > pieces.REMEMBERED:
+            self.matches.clear()
+        return [np.array(self._piece(p.decode()), np.uint32) for p in new]
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column of texts, and the place of each text's first id."""
+        return self.memory.encode(column, self._learn, pieces.REMEMBERED)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [pieces_of(t) for t in texts]
-        for known in (self.pieces, self.matches):
-            if len(known) > REMEMBERED:
-                known.clear()
-        known = self.pieces
-        for p in set().union(*cut).difference(known):
-            known[p] = self._piece(p)
-        return [np.frombuffer(b"".join([known[p] for p in ps]), np.uint32) for ps in cut]
+        ids, bounds = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 @lru_cache(maxsize=4)
@@ -254,7 +252,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, pattern: str, folder: str, tex
     ranged = (docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text).alias("_text"))
               .withColumn("_tie", F.xxhash64("_text"))
               .repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
-              .select("_id", "_text"))
+              .select("_id", whole_text("_text").alias("_text")))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = writer = None
@@ -265,21 +263,21 @@ def write_tokens(docs: DataFrame, tokenizer: str, pattern: str, folder: str, tex
         part = context.partitionId()
         name = f"{base}/part-{part:06d}.dac"
         own = f"{base}/.{part:06d}-{context.taskAttemptId()}"
-        end = np.array([end_id], np.uint32)
         for batch in slices(batches, "_text"):
             if writer is None:
                 system.create_dir(base, recursive=True)
                 encoder, writer = library_encoder(tokenizer, pattern), _Writer(
                     system.open_output_stream(own))
-            for i, tokens in zip(batch.column(0).to_pylist(),
-                                 encoder.encode(texts_of(batch, "_text")), strict=True):
-                ids.append(i)
-                starts.append(writer.tokens)
-                writer.add(tokens)
-                writer.add(end)
+            tokens, bounds = encoder.encode_column(batch.column(1))
+            ids += batch.column(0).to_pylist()
+            starts += (writer.tokens + bounds[:-1] + np.arange(len(bounds) - 1)).tolist()
+            writer.add(np.insert(tokens, bounds[1:], end_id))
         if writer:
             writer.close(ids, starts)
             writer.out.close()
+            # A rename onto a name that is taken fails on some file systems.
+            if system.get_file_info(name).type != files.FileType.NotFound:
+                system.delete_file(name)
             system.move(own, name)
             yield pa.RecordBatch.from_pylist(
                 [{"part": part, "file": name.rsplit("/", 1)[1], "docs": len(ids),

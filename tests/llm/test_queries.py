@@ -24,7 +24,7 @@ def documents():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
@@ -92,6 +92,22 @@ def test_the_rest_imports_without_the_subpackage(tmp_path):
         [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), *e.queries())"],
         cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
     assert "op1_" not in done.stdout and "pipeline" not in done.stdout.split()
-    assert int(done.stdout.split()[0]) == len(driver.queries()) - 11
+    assert int(done.stdout.split()[0]) == len(driver.queries()) - len(QUERIES) - 1
 
 
+@pytest.mark.parametrize("left", ["empty folder with compiled files", "no tokenizer package"])
+def test_the_rest_imports_with_leftovers(tmp_path, left):
+    ignore = shutil.ignore_patterns("__pycache__", *(["llm"] if left.startswith("empty") else []))
+    for name in ("storeloom", "oracle"):
+        shutil.copytree(f"{REPO}/{name}", tmp_path / name, ignore=ignore)
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        shutil.copy(f"{REPO}/{name}", tmp_path)
+    if left.startswith("empty"):
+        (tmp_path / "storeloom/llm/__pycache__").mkdir(parents=True)
+        (tmp_path / "storeloom/llm/__pycache__/queries.cpython-313.pyc").write_bytes(b"")
+    else:
+        (tmp_path / "public_tokenizers.py").write_text("raise ImportError('no tokenizers here')")
+    done = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), *e.queries())"],
+        cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    assert int(done.stdout.split()[0]) == len(driver.queries()) - len(QUERIES) - 1
