@@ -51,6 +51,7 @@ _MEMBER = struct.Struct("<4sIBBH2sHII")
 _CHUNK = 1 << 16
 #: Bytes read at first, which hold the headers of nearly every record.
 _HEAD = 1024
+_BLANK = b"\r\n\r\n"
 _SCHEMA = pa.schema([(c, pa.string()) for c in (
     "record_id", "record_type", "target_uri", "date", "payload_digest", "refers_to")] + [
     ("payload_length", pa.int64()), ("payload", pa.binary())])
@@ -155,6 +156,15 @@ class _Record:
             pass
         return self.plain[self.first:upto]
 
+    def upto(self, mark: bytes) -> bytes:
+        """The block to the end of the first ``mark`` at least; all of it if there is none."""
+        upto, seen = self.first + self.content, self.first
+        while self.plain.find(mark, seen, upto) < 0 and len(self.plain) < upto:
+            seen = max(self.first, len(self.plain) - len(mark) + 1)
+            if not self._more(_HEAD):
+                break
+        return self.plain[self.first:upto]
+
     def end(self) -> int:
         """Place of the next record."""
         if self.stream is None:
@@ -235,15 +245,15 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
     def _payload(self, record: _Record, digest: str | None, kind: str | None) -> dict:
-        """Length of the whole payload by the HTTP headers, and the payload itself if the record
-        has it and it is wanted; a payload that does not match its digest is an error."""
+        """Length of the payload and the payload itself if the record has it and it is wanted. The
+        HTTP headers tell the length, or else the block without them does, whether or not the
+        payload is read; a payload that does not match its digest is an error."""
         http = "application/http" in record.headers.get("content-type", "")
         if not self.payload and not http:
             return {"payload_length": record.content, "payload": None}
-        block = record.block() if self.payload or record.content < _HEAD else record.plain[
-            record.first:record.first + record.content]
-        head, _, body = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
-        length = len(body)
+        block = record.block() if self.payload else record.upto(_BLANK)
+        head, blank, body = block.partition(_BLANK) if http else (b"", b"", block)
+        length = record.content - len(head) - len(blank)
         for line in head.split(b"\r\n")[1:]:
             name, _, value = line.partition(b":")
             if name.strip().lower() == b"content-length":

@@ -98,6 +98,32 @@ def test_other_archives(spark, tmp_path):
         read(spark, str(tmp_path)).collect()
 
 
+def test_lengths_without_an_http_length(spark, tmp_path):
+    """Records of other writers: chunked payloads, long HTTP headers, none, and no blank line at all."""
+    def record(k, block):
+        return (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:{k}>\r\nContent-Type: application/http\r\n"
+                f"Content-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    long_head = b"HTTP/1.1 200 OK\r\nX: " + b"y" * 150_000 + b"\r\n\r\n"
+    blocks = [chunked + b"p" * 9000, chunked + b"a\r\n\r\nb" * 20_000, long_head + b"q" * 70_000, long_head,
+              b"HTTP/1.1 200 OK" + b"z" * 5000, b"", b"HTTP/1.1 200 OK\r\nContent-Length: 12345\r\n\r\n" + b"r" * 12345]
+    want = {f"urn:{k}": len(b.partition(b"\r\n\r\n")[2]) for k, b in enumerate(blocks)}
+    records = [record(k, b) for k, b in enumerate(blocks)]
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain/a.warc").write_bytes(b"".join(records))
+    (tmp_path / "members").mkdir()
+    (tmp_path / "members/a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "own").mkdir()
+    (tmp_path / "own/a.warc.gz").write_bytes(b"".join(map(warc.member_bytes, records)))
+    warc.register(spark)
+    for name in ("plain", "members", "own"):
+        for payload in ("true", "false"):
+            rows = read(spark, str(tmp_path / name), payload=payload).collect()
+            assert {r.record_id: r.payload_length for r in rows} == want
+            assert all((r.payload is None) == (payload == "false") for r in rows)
+
+
 def test_empty(spark, tmp_path):
     warc.register(spark)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
