@@ -191,7 +191,11 @@ class Encoder:
         """Ids of pieces that are not known yet; what they leave unknown is done at once."""
         if len(self.matches) > REMEMBERED:
             self.matches.clear()
-        found = [[m.encode() for m in self.pattern.findall(p.decode())] for p in new]
+        found = []
+        for p in new:
+            t = p.decode()
+            one = t[1:].isalpha() and (t[0] == " " or t[0].isalpha())
+            found.append([p] if one else [m.encode() for m in self.pattern.findall(t)])
         unknown = {m for ms in found for m in ms if m not in self.matches}
         short = []
         for m in unknown:
@@ -289,7 +293,7 @@ def _encoded(docs, path, pattern, text, keep, schema, names, columns) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        for batch in slices(batches, body):
+        for batch in slices(batches, body, pieces.AT_ONCE):
             ids, bounds = encoder.encode_column(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *columns(ids, bounds, encoder.ranks)], [*kept, *names])

@@ -1,9 +1,11 @@
 """Texts as numbered pieces, for encoders that look at a piece once.
 
-A column of texts is cut, without a string for any piece, before each space that stands between
-two characters that are no white space: no match of a split pattern crosses such a place. Equal pieces of a
-batch get one number, and what a worker knows of a piece is kept in one flat array, so that the ids
-of whole texts are gathered by position.
+A column of texts is cut, without a string for any piece, before each space that stands between two
+characters that are no white space, between an ASCII letter and a stop or line feed after it, and
+between a line feed that stands alone and an ASCII letter. No match of a split pattern crosses such
+a place if its letters never take in a stop, and its words nothing before them but one character
+that is no line feed. Equal pieces of a batch get one number, and what a worker knows of a piece is kept in one flat
+array, so that the ids of whole texts are gathered by position.
 """
 
 from __future__ import annotations
@@ -13,12 +15,20 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-#: Pieces that a worker remembers before it goes on with those of the batch at hand.
-REMEMBERED = 250_000
+#: Pieces that a worker remembers before it forgets those that it rarely met.
+REMEMBERED = 300_000
+#: Bytes of text that are cut at once.
+AT_ONCE = 3_000_000
 _SPACE = 0x20
 #: Bytes that are white space, or end or begin a character that may be: no cut beside them.
 _NEAR = np.zeros(256, bool)
 _NEAR[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,;:!?\n")] = True
 
 
 class Pieces:
@@ -38,6 +48,10 @@ class Pieces:
         before = _NEAR[data[spaces - 1]] | (data[np.maximum(spaces - 2, 0)] == 0xC2) | (
             (data[np.maximum(spaces - 3, 0)] >= 0xE1) & (data[np.maximum(spaces - 3, 0)] <= 0xE3))
         new[spaces[~(before | _NEAR[data[spaces + 1]])]] = True
+        letter, feed = _LETTER[data], data == 0x0A
+        new[1:n] |= letter[:-1] & _STOP[data[1:]]
+        # What follows more than one white space can change how they are split.
+        new[2:n] |= _VISIBLE[data[:-2]] & feed[1:-1] & letter[2:]
         new[bounds] = True
         starts = np.flatnonzero(new[:n])
         ends = np.append(starts, n).astype(np.int32)
@@ -55,12 +69,8 @@ class Memory:
 
     def __init__(self):
         self.slots: dict[bytes, int] = {}
-        self._start_anew([], np.zeros(0, np.uint32), np.zeros(0, np.int64))
-
-    def _start_anew(self, pieces: list[bytes], flat: np.ndarray, lengths: np.ndarray) -> None:
-        self.slots = {p: i for i, p in enumerate(pieces)}
-        self.flat, self.lengths = flat, lengths
-        self.starts = np.cumsum(lengths) - lengths
+        self.flat = np.zeros(0, np.uint32)
+        self.lengths = self.starts = self.met = np.zeros(0, np.int64)
 
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces in these slots one after another, and how many each has."""
@@ -70,22 +80,40 @@ class Memory:
         at = np.arange(total) + np.repeat(self.starts[slots] - (after - lengths), lengths)
         return self.flat[at], lengths
 
+    def _forget(self, needed: np.ndarray, most: int) -> None:
+        """Keeps what was met in more than one batch, and what the batch at hand needs."""
+        keep = self.met > 1
+        keep[needed] = True
+        if keep.sum() > most // 2:
+            keep[:] = False
+            keep[needed] = True
+        kept = np.flatnonzero(keep)
+        names = list(self.slots)
+        self.flat, self.lengths = self.gather(kept)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.met = np.zeros(len(kept), np.int64)
+        self.slots = {names[k]: i for i, k in enumerate(kept.tolist())}
+
     def encode(self, column: pa.Array, learn: Callable[[list[bytes]], list[np.ndarray]],
                most: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts without nulls, and the place of each text's first id, with the
         end of the last. ``learn`` gives the ids of pieces that are not known yet."""
         pieces = Pieces(column)
-        known = self.slots
-        new = [p for p in pieces.distinct if p not in known]
-        if new:
+        get = self.slots.get
+        slots = np.array([get(p, -1) for p in pieces.distinct], np.int64)
+        unknown = np.flatnonzero(slots < 0)
+        if len(unknown):
+            new = [pieces.distinct[i] for i in unknown.tolist()]
             found = learn(new)
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            first = len(self.slots)
+            slots[unknown] = np.arange(first, first + len(new))
+            self.slots.update(zip(new, range(first, first + len(new)), strict=True))
             self.flat = np.concatenate([self.flat, *found])
-            self.lengths = np.append(self.lengths, [len(x) for x in found])
+            self.lengths = np.append(self.lengths, np.fromiter(map(len, found), np.int64, len(found)))
             self.starts = np.cumsum(self.lengths) - self.lengths
-        slots = np.array([known[p] for p in pieces.distinct], np.int64)
-        if len(known) > most:
-            self._start_anew(pieces.distinct, *self.gather(slots))
-            slots = np.arange(len(slots))
+            self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        self.met[slots] += 1
         ids, lengths = self.gather(slots[pieces.index])
+        if len(self.slots) > most:
+            self._forget(slots, most)
         return ids, np.concatenate([[0], np.cumsum(lengths)])[pieces.first]

@@ -193,10 +193,11 @@ def byte_letters() -> dict[int, str]:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, which each worker asks once for a match.
+    """Ids of whole texts by the tokenizers library, which a worker asks once for a piece.
 
     The library's model gets each match of the split pattern by itself, as its pre-tokenizer would
     pass it on; a piece that holds an added token of the vocabulary goes to the whole library.
+    Added tokens must not reach over the places where texts are cut into pieces.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -207,24 +208,28 @@ class LibraryEncoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.memory = pieces.Memory()
-        self.matches: dict[str, list[int]] = {}
 
-    def _match(self, match: str) -> list[int]:
-        tokens = self.tokenizer.model.tokenize(
-            match.encode().decode("latin-1").translate(self.letters))
-        ids = self.matches[match] = [t.id for t in tokens]
-        return ids
-
-    def _piece(self, piece: str) -> list[int]:
-        if any(t in piece for t in self.added):
-            return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        known = self.matches
-        return [i for m in self.pattern.findall(piece) for i in (known.get(m) or self._match(m))]
+    def _ids(self, match: str) -> list[int]:
+        """Ids of one match of the split pattern."""
+        if match.isascii() and match.isprintable():
+            match = match.replace(" ", self.letters[32])
+        else:
+            match = match.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenizer.model.tokenize(match)]
 
     def _learn(self, new: list[bytes]) -> list[np.ndarray]:
-        if len(self.matches) > pieces.REMEMBERED:
-            self.matches.clear()
-        return [np.array(self._piece(p.decode()), np.uint32) for p in new]
+        texts = [p.decode() for p in new]
+        added = [t for t in self.added if any(t in p for p in texts)]
+        out = []
+        for p in texts:
+            if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()):  # one match
+                ids = self._ids(p)
+            elif any(t in p for t in added):
+                ids = self.tokenizer.encode(p, add_special_tokens=False).ids
+            else:
+                ids = [i for m in self.pattern.findall(p) for i in self._ids(m)]
+            out.append(np.array(ids, np.uint32))
+        return out
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and the place of each text's first id."""
@@ -263,7 +268,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, pattern: str, folder: str, tex
         part = context.partitionId()
         name = f"{base}/part-{part:06d}.dac"
         own = f"{base}/.{part:06d}-{context.taskAttemptId()}"
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", pieces.AT_ONCE):
             if writer is None:
                 system.create_dir(base, recursive=True)
                 encoder, writer = library_encoder(tokenizer, pattern), _Writer(
