@@ -8,12 +8,12 @@ CTES = {
     # --- bronze -----------------------------------------------------------------------------
     "b_customers": """
         SELECT c_custkey AS customer_id, c_custkey // 3 AS customer_unique_id,
-               lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
+               lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
                c_mktsegment AS customer_city, n_name AS customer_state
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "b_sellers": """
         SELECT s_suppkey AS seller_id,
-               lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
+               lpad(CAST(s_suppkey % 100000 AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
                s_name AS seller_city, ' ' || lower(n_name) || ' ' AS seller_state
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "b_products": """
@@ -39,7 +39,8 @@ CTES = {
                    AS order_approved_at,
                CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 2 DAY END
                    AS order_delivered_carrier_date,
-               CASE WHEN o_orderstatus = 'F' THEN o_orderdate + to_days(CAST(3 + o_orderkey % 25 AS INT))
+               CASE WHEN o_orderstatus = 'F' THEN o_orderdate + to_days(CAST(3 + o_orderkey % 20
+                        + CASE WHEN isodow(o_orderdate) >= 6 THEN 10 ELSE 0 END AS INT))
                     + to_hours(CAST(o_orderkey % 24 AS INT)) END AS order_delivered_customer_date,
                o_orderdate + INTERVAL 20 DAY AS order_estimated_delivery_date
         FROM orders""",
@@ -71,31 +72,37 @@ CTES = {
               FROM orders)
         JOIN (SELECT 1 AS seq UNION ALL SELECT 2) ON seq = 1 OR order_id % 7 = 0""",
     "b_order_reviews": """
-        SELECT o.order_id AS review_id, o.order_id,
-               CAST(5 - CASE WHEN order_delivered_customer_date > order_estimated_delivery_date
-                             THEN 2 ELSE 0 END - o.order_id % 3 AS INT) AS review_score,
-               CASE WHEN o.order_id % 4 = 0 THEN ' Review ' || CAST(o.order_id AS VARCHAR) || ' ' END
-                   AS review_comment_title,
-               d.text AS review_comment_message,
-               coalesce(order_delivered_customer_date, order_estimated_delivery_date)
+        WITH first_reviews AS (
+            SELECT o.order_id,
+                   CAST(5 - CASE WHEN order_delivered_customer_date > order_estimated_delivery_date
+                                 THEN 2 ELSE 0 END - o.order_id % 3 AS INT) AS score,
+                   CASE WHEN o.order_id % 4 = 0 THEN ' Review ' || CAST(o.order_id AS VARCHAR) || ' ' END
+                       AS review_comment_title,
+                   d.text AS review_comment_message,
+                   coalesce(order_delivered_customer_date, order_estimated_delivery_date) AS created
+            FROM b_orders o
+            LEFT JOIN documents d ON o.order_id % 5 = 0
+                 AND d.doc_id = (o.order_id // 5) % (SELECT count(*) FROM documents)
+            WHERE o.order_id % 10 <> 9)
+        SELECT CASE WHEN nr = 1 THEN order_id ELSE -1 - order_id END AS review_id, order_id,
+               CASE WHEN nr = 1 THEN score ELSE 6 - score END AS review_score,
+               review_comment_title, review_comment_message,
+               CASE WHEN nr = 1 OR order_id % 16 = 0 THEN created ELSE created + INTERVAL 1 DAY END
                    AS review_creation_date,
-               CASE WHEN o.order_id % 6 <> 0 THEN
-                    coalesce(order_delivered_customer_date, order_estimated_delivery_date)
-                    + INTERVAL 1 DAY END AS review_answer_timestamp
-        FROM b_orders o
-        LEFT JOIN documents d ON o.order_id % 5 = 0
-             AND d.doc_id = (o.order_id // 5) % (SELECT count(*) FROM documents)
-        WHERE o.order_id % 10 <> 9""",
+               CASE WHEN order_id % 6 <> 0 THEN created + INTERVAL 1 DAY END AS review_answer_timestamp
+        FROM first_reviews JOIN (SELECT 1 AS nr UNION ALL SELECT 2) ON nr = 1 OR order_id % 8 = 0""",
     "b_geolocation": """
-        SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
-               CAST(-30 + (n_nationkey * 7) % 33 + CASE WHEN copy = 4 THEN 0.5 ELSE 0 END
-                    + CASE WHEN n_nationkey % 12 = 5 THEN 40 ELSE 0 END AS DECIMAL(10,8))
+        SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
+               CAST(-30 + (c_custkey * 7) % 33 + CASE WHEN copy = 4 THEN 0.5 ELSE 0 END
+                    + CASE WHEN c_custkey % 12 = 5 THEN 40 ELSE 0 END AS DECIMAL(10,8))
                    AS geolocation_lat,
-               CAST(-70 + (n_nationkey * 11) % 33 + CASE WHEN copy = 4 THEN 0.5 ELSE 0 END
+               CAST(-70 + (c_custkey * 11) % 33 + CASE WHEN copy = 4 THEN 0.5 ELSE 0 END
                     AS DECIMAL(11,8)) AS geolocation_lng,
                ' ' || lower(n_name) || ' ' AS geolocation_city, lower(n_name) AS geolocation_state
-        FROM nation, range(5) AS copies(copy)
-        WHERE n_nationkey < (SELECT max(n_nationkey) FROM nation)""",
+        FROM customer JOIN nation ON c_nationkey = n_nationkey, range(5) AS copies(copy)
+        WHERE c_custkey < 100000 AND c_custkey % 25 <> 24""",
+    "b_holidays": """
+        SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS day FROM orders""",
     "state_regions": """
         SELECT n_name AS state, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey""",
     # --- silver -----------------------------------------------------------------------------

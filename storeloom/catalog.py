@@ -59,6 +59,10 @@ class Lake:
     def regions(self) -> DataFrame:
         return retail.state_regions(self.source)
 
+    @cached_property
+    def holidays(self) -> DataFrame:
+        return retail.holidays(self.source)
+
     @cached_property
     def raw_items(self) -> DataFrame:
         return retail.order_items_raw(self.source)
@@ -117,7 +121,8 @@ class Lake:
     @cached_property
     def features(self) -> DataFrame:
         return ML.delay_features(self.stored_metrics, self.s("order_items"), self.s("products"),
-                                 self.stored_routes, self.s("order_payments"), self.s("order_reviews"))
+                                 self.stored_routes, self.s("order_payments"),
+                                 self.s("order_reviews"), self.holidays)
 
     @cached_property
     def halves(self) -> tuple[DataFrame, DataFrame]:
@@ -877,7 +882,7 @@ def dim_date(t):
     span = t.b("orders").agg(F.struct(
         F.min(F.to_date("order_purchase_timestamp")).alias("a"),
         F.max(F.to_date("order_estimated_delivery_date")).alias("b"))).scalar()
-    return _moment(G.dim_date(t.spark, span["a"], span["b"]), "date")
+    return _moment(G.dim_date(t.spark, span["a"], span["b"], t.holidays), "date")
 
 
 @query
@@ -1128,11 +1133,24 @@ def temporal_split(t):
                                              TRAIN_END, VAL_END))
 
 
-def _scores(t):
-    rows = cut_lineage(ML.temporal_split(t.features, "order_purchase_timestamp",
-                                         TRAIN_END, VAL_END))
-    parts = [rows.filter(F.col("split") == p) for p in ("train", "val", "test")]
-    return ML.score_orders(ML.train_delay_model(*parts[:2]), parts[2])
+SCORED_AT = "2001-09-01 06:00:00"
+
+
+def _trained(t):
+    rows = cut_lineage(ML.temporal_split(t.features, "order_purchase_timestamp", TRAIN_END, VAL_END))
+    train, val, test = (rows.filter(F.col("split") == p) for p in ("train", "val", "test"))
+    return ML.train_delay_model(train, val), test
+
+
+def _predictions(t):
+    """The test period scored by a model that was saved and loaded, without outcomes, which are
+    filled in later; and the features."""
+    model, test = _trained(t)
+    models, store = new_folder(t.spark), new_folder(t.spark)
+    ML.save_model(model, models, "v1")
+    ML.save_predictions(ML.score_batch(ML.load_model(models, "v1"), test, "v1", SCORED_AT), store)
+    ML.fill_outcomes(t.spark, store, test.select("order_id", "is_delayed"))
+    return ML.read_predictions(t.spark, store), test
 
 
 @query
@@ -1140,21 +1158,42 @@ def score_orders(t):
     """Every order of the test period, delivered or not, with what any model must keep: a
     probability, and the level that belongs to it."""
     p, level = F.col("delay_probability"), F.col("risk_level")
-    return _scores(t).select(
-        "order_id", p.between(0, 1).alias("probability_valid"),
+    return _predictions(t)[0].select(
+        "prediction_id", "order_id", "predicted_at", "actual_outcome",
+        p.between(0, 1).alias("probability_valid"),
         (level == F.when(p > 0.7, "HIGH").when(p < 0.4, "LOW").otherwise("MEDIUM")).alias("level_valid"),
         "model_version")
 
 
 @query
 def model_evaluation(t):
-    """Known outcomes of the test period, and whether the figures follow from the four counts."""
+    """Known outcomes of the test period, whether the figures follow from the four counts, and what a
+    model without skill fails: a better order than the seller's history gives, and more
+    delays among the orders that it fears most."""
+    scores, test = _predictions(t)
+    history = test.select((F.col("delay_rate_history") / 100).alias("rate"), "is_delayed")
     tp, fp, fn = (F.col(f"{c}") for c in ("true_positive", "false_positive", "false_negative"))
-    return ML.evaluate(_scores(t)).select(
+    auc = ML.rank_auc(scores, "delay_probability", "actual_outcome").select("auc").scalar()
+    tenths = ML.calibration(scores).agg(
+        (F.max_by("observed_rate", "tile") > F.min_by("observed_rate", "tile")).alias("rises")).scalar()
+    return ML.evaluate(scores).select(
         "orders", (tp + fn).alias("delayed"),
         (F.coalesce(F.abs(F.col("precision") * (tp + fp) - tp) < 1e-6, tp + fp == 0)
          & F.coalesce(F.abs(F.col("recall") * (tp + fn) - tp) < 1e-6, tp + fn == 0)
-         & (tp + fp + fn <= F.col("orders"))).alias("figures_valid"))
+         & (tp + fp + fn <= F.col("orders"))).alias("figures_valid"),
+        (auc > 0.6).alias("has_skill"),
+        (auc > ML.rank_auc(history, "rate", "is_delayed").select("auc").scalar()).alias("beats_history"),
+        tenths.alias("tenths_rise"))
+
+
+@query
+def feature_importance(t):
+    """All features have an importance, and what delays depend on in these tables leads: the day of
+    the week, and the order's number modulo 20, of which installments show the last digit."""
+    rows = ML.importance_rows(t.spark, _trained(t)[0])
+    return rows.agg(F.count("*").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("adds_up"),
+                    F.min_by("feature", "rank").isin("order_dow", "is_weekend", "max_installments")
+                    .alias("cause_leads"))
 
 
 # The seller's delay rate so far, as a score that any engine computes alike.

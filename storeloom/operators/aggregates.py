@@ -376,15 +376,18 @@ def sales_by_state(customers: DataFrame, orders: DataFrame, items: DataFrame) ->
 
 def seller_performance(sellers: DataFrame, items: DataFrame, reviews: DataFrame,
                        min_orders: int = 10) -> DataFrame:
-    """Sellers with at least ``min_orders`` orders; each item carries its order's reviews."""
+    """Sellers with at least ``min_orders`` orders. As in the published join, an item and its price
+    count once for each review of its order, and once without one; no row is multiplied here."""
     per_order = items.groupBy("seller_id", "order_id").agg(
         F.count("order_item_id").alias("items"), F.sum("price").alias("money"),
         F.count("price").alias("priced"))
     scored = per_order.join(_per_order_reviews(reviews), "order_id", "left")
+    times = F.coalesce("reviews", F.lit(1))
+    money, priced = F.sum(F.col("money") * times), F.sum(F.col("priced") * times)
     per_seller = (scored.groupBy("seller_id")
-                  .agg(F.count("*").alias("num_orders"), F.sum("items").alias("num_items"),
-                       F.sum("money").cast("decimal(20,2)").alias("total_revenue"),
-                       C.ratio(F.sum("money"), F.sum("priced")).alias("avg_item_price"),
+                  .agg(F.count("*").alias("num_orders"), F.sum(F.col("items") * times).alias("num_items"),
+                       money.cast("decimal(20,2)").alias("total_revenue"),
+                       C.ratio(money, priced).alias("avg_item_price"),
                        C.ratio(F.sum(F.col("items") * F.col("score_sum")),
                                F.sum(F.col("items") * F.col("scores"))).alias("avg_review_score"),
                        F.coalesce(F.sum(F.col("items") * F.col("negative")), F.lit(0))

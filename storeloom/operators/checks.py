@@ -183,14 +183,19 @@ def not_null_check(df: DataFrame, col: str) -> DataFrame:
     return null_counts(df, [col])
 
 
-def run_result(table: str, volumes: DataFrame, keys: DataFrame) -> DataFrame:
-    """One-row record of a silver run from its volumetry and key reports."""
+def run_result(table: str, volumes: DataFrame, keys: DataFrame,
+               loads: DataFrame | None = None) -> DataFrame:
+    """One-row record of a silver run from its volumetry and key reports. With ``loads`` (of
+    ``load_reports``), also the broken records and coerced cells of the table's load."""
     left = volumes.withColumn("table_name", F.lit(table))
     right = keys.select("pk_integrity").withColumn("table_name", F.lit(table))
     ok = (F.col("volumetry_status") != "ERROR") & (F.col("pk_integrity") == "OK")
-    return left.join(right, "table_name").select(
+    out = left.join(right, "table_name").select(
         "table_name", F.when(ok, "success").otherwise("failed").alias("status"),
         "bronze_records", "silver_records", "completeness_pct")
+    if loads is None:
+        return out
+    return out.join(loads.select("table_name", "rejected", "coerced_cells"), "table_name", "left")
 
 
 def require_ok(report: DataFrame, status: str, bad: Sequence[str] = ("ERROR", "FAIL")) -> None:

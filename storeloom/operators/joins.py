@@ -57,26 +57,32 @@ def fk_report(tables: Mapping[str, DataFrame], fks: Sequence[tuple[str, str, str
               ignore_null: bool = False) -> DataFrame:
     """Orphans of every foreign key with OK or FAIL.
 
-    A child is read once for all its keys: its rows are counted per (key name, value), and the
-    counts of all children meet all parents in one anti join.
+    A table is read once as a child, for all its keys, and once as a parent, for all that point at it:
+    child rows are counted per (key name, value), and all keys of one type meet in one anti join.
     """
     names = {fk: f"{fk[0]}.{fk[1]} -> {fk[2]}" for fk in fks}
-    counts, parents = [], []
-    for child in dict.fromkeys(fk[0] for fk in fks):
-        keys = F.array(*[F.struct(F.lit(name).alias("fk"), F.col(fk[1]).cast("string").alias("_key"))
-                         for fk, name in names.items() if fk[0] == child])
-        counts.append(tables[child].select(F.explode(keys).alias("x")).groupBy("x.fk", "x._key")
-                      .agg(F.count("*").alias("n")))
-    for fk, name in names.items():
-        parents.append(tables[fk[2]].select(F.lit(name).alias("fk"),
-                                            F.col(fk[3]).cast("string").alias("_key")))
-    all_keys = reduce(DataFrame.unionByName, counts)
-    if ignore_null:
-        all_keys = all_keys.filter(F.col("_key").isNotNull())
-    lone = (all_keys.join(reduce(DataFrame.unionByName, parents), ["fk", "_key"], "left_anti")
-            .groupBy("fk").agg(F.sum("n").alias("n")))
+    kinds = {fk: tables[fk[0]].schema[fk[1]].dataType for fk in fks}
+    lone = []
+    for kind in dict.fromkeys(kinds.values()):
+        mine = [fk for fk in fks if kinds[fk] == kind]
+
+        def named(table: str, keys: list[tuple[str, str]], kind=kind) -> DataFrame:
+            entries = [F.struct(F.lit(name).alias("fk"), F.col(c).cast(kind).alias("_key")) for name, c in keys]
+            return tables[table].select(F.inline(F.array(*entries)))
+
+        counts = [named(child, [(names[fk], fk[1]) for fk in mine if fk[0] == child])
+                  .groupBy("fk", "_key").agg(F.count("*").alias("n"))
+                  for child in dict.fromkeys(fk[0] for fk in mine)]
+        parents = [named(parent, [(names[fk], fk[3]) for fk in mine if fk[2] == parent])
+                   for parent in dict.fromkeys(fk[2] for fk in mine)]
+        keys = reduce(DataFrame.unionByName, counts)
+        if ignore_null:
+            keys = keys.filter(F.col("_key").isNotNull())
+        lone.append(keys.join(reduce(DataFrame.unionByName, parents), ["fk", "_key"], "left_anti"))
+    found = reduce(DataFrame.unionByName, [x.select("fk", "n") for x in lone]).groupBy("fk").agg(
+        F.sum("n").alias("n"))
     listed = tables[fks[0][0]].sparkSession.createDataFrame([(n,) for n in names.values()], "fk string")
-    return listed.join(lone, "fk", "left").select(
+    return listed.join(found, "fk", "left").select(
         "fk", F.coalesce("n", F.lit(0)).alias("orphans"),
         F.when(F.col("n").isNull(), "OK").otherwise("FAIL").alias("status"))
 
@@ -128,8 +134,8 @@ def basket_category_pairs(items: DataFrame, products: DataFrame) -> DataFrame:
     Equal products of an order first collapse to one row with a weight, and products get a global
     number, written in base 16. Two different products differ first at exactly one digit, so
     counting category totals per (order, leading digits, digit) and combining the totals of
-    different digits counts every pair once. What meets in a join is at most 16 digits times the
-    number of categories, however large the order is.
+    different digits counts every pair once. What is gathered per (order, leading digits) is at most
+    16 digits times the number of categories, however large the order is, and is paired in place.
     """
     weights = items.groupBy("order_id", "product_id").agg(F.count("*").alias("w"))
     category = products.select("product_id", F.col("product_category_name").alias("category"))
@@ -137,7 +143,7 @@ def basket_category_pairs(items: DataFrame, products: DataFrame) -> DataFrame:
                            number="nr", total="products")
     numbered = weights.join(category, "product_id").join(numbers, "product_id")
     return _pairs_by_digit(numbered).groupBy("category_a", "category_b").agg(
-        F.sum(F.col("wa") * F.col("wb")).alias("co_purchase_count"))
+        F.sum("pairs").alias("co_purchase_count"))
 
 
 def _pairs_by_digit(numbered: DataFrame, base: int = 16) -> DataFrame:
@@ -148,13 +154,14 @@ def _pairs_by_digit(numbered: DataFrame, base: int = 16) -> DataFrame:
               .withColumn("digit", F.floor(F.col("nr") / scale) % base))
     cells = (digits.groupBy("order_id", "level", "head", "digit", "category")
              .agg(F.sum("w").alias("w")))
-    where = ["order_id", "level", "head"]
-    left = cells.select(*where, F.col("digit").alias("da"), F.col("category").alias("category_a"),
-                        F.col("w").alias("wa"))
-    right = cells.select(*where, F.col("digit").alias("db"), F.col("category").alias("category_b"),
-                         F.col("w").alias("wb"))
-    return (left.join(right, where).filter(F.col("da") < F.col("db"))
-            .select("category_a", "category_b", "wa", "wb"))
+    groups = (cells.groupBy("order_id", "level", "head")
+              .agg(F.collect_list(F.struct("digit", "category", "w")).alias("cells"))
+              .filter(F.size("cells") > 1))
+    others = F.transform(
+        F.filter("cells", lambda b: b["digit"] > F.col("a.digit")),
+        lambda b: F.struct(F.col("a.category").alias("category_a"), b["category"].alias("category_b"),
+                           (F.col("a.w") * b["w"]).alias("pairs")))
+    return groups.select("cells", F.explode("cells").alias("a")).select(F.inline(others))
 
 
 def basket_categories(items: DataFrame, products: DataFrame, min_count: int = 10,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
@@ -11,12 +13,13 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
-from storeloom.operators.ordered import history_before, ordered_scan
+from storeloom.operators.ordered import history_before, ntile, ordered_scan
 from storeloom.session import ensure_checkpoint_dir
+from storeloom.sources.writers import replace_partitions
 
 NUMERIC = [
     "total_value", "total_items", "unique_products", "unique_sellers", "payment_count",
@@ -28,31 +31,31 @@ CATEGORICAL = ["size_category", "weight_category", "category_name", "seller_tier
 LABEL = "is_delayed"
 
 
-def seller_history_features(seller_orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Per (seller, purchase moment): what was known of the seller strictly before it.
+def seller_history_features(seller_orders: DataFrame, reviews: DataFrame,
+                            carry: Sequence[str] | None = None) -> DataFrame:
+    """Per (seller, purchase moment): what was known of the seller strictly before it. With
+    ``carry``, per row of ``seller_orders``, with those columns.
 
     A delay counts from its delivery on and a score from its review on, never from the earlier
     purchase. ``seller_orders`` has one row per (seller, order).
     """
-    seen = F.col("order_delivered_customer_date")
+    seen, nil = F.col("order_delivered_customer_date"), F.lit(0).cast("bigint")
     delays = seller_orders.filter(seen.isNotNull()).select(
         "seller_id", seen.alias("at"), F.lit(1).cast("bigint").alias("deliveries"),
         F.col("delay_days").cast("bigint").alias("delay_sum"),
-        F.col("is_late").cast("bigint").alias("late"), F.lit(0).cast("bigint").alias("scores"),
-        F.lit(0).cast("bigint").alias("score_sum"))
-    nil = F.lit(0).cast("bigint")
+        F.col("is_late").cast("bigint").alias("late"), nil.alias("scores"), nil.alias("score_sum"))
     scores = (reviews.select("order_id", "review_score", "review_creation_date")
               .join(seller_orders.select("seller_id", "order_id"), "order_id")
               .select("seller_id", F.col("review_creation_date").alias("at"),
                       nil.alias("deliveries"), nil.alias("delay_sum"), nil.alias("late"),
                       F.col("review_score").isNotNull().cast("bigint").alias("scores"),
                       F.coalesce("review_score", F.lit(0)).cast("bigint").alias("score_sum")))
-    asked = seller_orders.select("seller_id", F.col("order_purchase_timestamp").alias("at"))
+    asked = seller_orders.select("seller_id", F.col("order_purchase_timestamp").alias("at"), *(carry or []))
     sums = history_before(asked, delays.unionByName(scores), "seller_id", "at",
-                          ["deliveries", "delay_sum", "late", "scores", "score_sum"])
+                          ["deliveries", "delay_sum", "late", "scores", "score_sum"], carry=carry)
     rate = C.ratio(F.col("late") * 100, F.col("deliveries"))
     return sums.select(
-        "seller_id", F.col("at").alias("order_purchase_timestamp"),
+        "seller_id", F.col("at").alias("order_purchase_timestamp"), *(carry or []),
         F.col("deliveries").alias("deliveries_before"),
         C.ratio(F.col("delay_sum"), F.col("deliveries")).alias("avg_delay_history"),
         rate.alias("delay_rate_history"),
@@ -85,12 +88,11 @@ def delay_features(metrics: DataFrame, items: DataFrame, products: DataFrame,
         F.count("*").alias("payment_count"), F.max("payment_installments").alias("max_installments"),
         F.max(F.coalesce((C.clean_lower("payment_type") == "credit_card").cast("int"), F.lit(0)))
         .alias("used_credit_card"))
+    history = seller_history_features(
+        routes, reviews, ["order_id", "seller_region", "customer_region", "distance_category"])
     rows = (asked.join(basket, "order_id").join(paid, "order_id", "left")
             .withColumn("seller_id", F.col("m.seller_id"))
-            .join(routes.select("order_id", "seller_id", "seller_region", "customer_region",
-                                "distance_category"), ["order_id", "seller_id"], "left")
-            .join(seller_history_features(routes, reviews),
-                  ["seller_id", "order_purchase_timestamp"], "left"))
+            .join(history.drop("order_purchase_timestamp"), ["order_id", "seller_id"], "left"))
     weekday = F.weekday(bought) + 1
     rows = rows.withColumn("is_holiday", F.lit(0))
     if holidays is not None:
@@ -206,6 +208,22 @@ def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
     return sorted(zip([*NUMERIC, *CATEGORICAL], map(float, weights)), key=lambda t: -t[1])
 
 
+def importance_rows(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """``rank, feature, importance``, one row per feature; the importances add up to 1."""
+    return spark.createDataFrame(
+        [(i, f, w) for i, (f, w) in enumerate(feature_importance(model), 1)],
+        "rank int, feature string, importance double")
+
+
+def calibration(predictions: DataFrame, groups: int = 10) -> DataFrame:
+    """Known outcomes in equal groups by rising probability: predicted and observed rate."""
+    known = predictions.filter(F.col("actual_outcome").isNotNull())
+    tiles = ntile(known, ["delay_probability", "order_id"], groups, "tile")
+    return tiles.groupBy("tile").agg(
+        F.count("*").alias("orders"), C.mean("delay_probability").alias("predicted_rate"),
+        C.mean("actual_outcome").alias("observed_rate"))
+
+
 def risk_level(probability: str | Column) -> Column:
     p = F.col(probability) if isinstance(probability, str) else probability
     return F.when(p > 0.7, "HIGH").when(p >= 0.4, "MEDIUM").when(p < 0.4, "LOW")
@@ -216,6 +234,67 @@ def score_orders(model: PipelineModel, features: DataFrame, version: str = "v1")
         .withColumn("model_version", F.lit(version))
 
 
+# --- kept models and predictions ------------------------------------------------------------
+
+PREDICTIONS = ("prediction_id string, order_id {}, delay_probability double, risk_level string, "
+               "predicted_at timestamp_ntz, actual_outcome int, predicted_on date, model_version string")
+
+
+def save_model(model: PipelineModel, folder: str, version: str) -> None:
+    """Keep a fitted pipeline under its version; the same version again replaces it."""
+    model.write().overwrite().save(f"{folder}/{version}")
+
+
+def load_model(folder: str, version: str) -> PipelineModel:
+    return PipelineModel.load(f"{folder}/{version}")
+
+
+def open_orders(features: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Orders of the last ``days`` before a moment that are not delivered yet."""
+    now, at = F.lit(as_of).cast("timestamp_ntz"), F.col("order_purchase_timestamp")
+    return features.filter(F.col(LABEL).isNull() & (at <= now) & (at > now - F.make_dt_interval(F.lit(days))))
+
+
+def score_batch(model: PipelineModel, features: DataFrame, version: str, predicted_at: str) -> DataFrame:
+    """Predictions of one batch as they are kept: an id of their own, and no outcome yet."""
+    rows = score_orders(model, features.drop(LABEL), version).withColumns({
+        "predicted_at": F.lit(predicted_at).cast("timestamp_ntz"),
+        "predicted_on": F.lit(predicted_at).cast("date"), "actual_outcome": F.lit(None).cast("int")})
+    rows = rows.withColumn("prediction_id", C.md5_key(["order_id", "model_version", "predicted_at"]))
+    return rows.select(*[f.split()[0] for f in PREDICTIONS.split(", ")])
+
+
+def save_predictions(scores: DataFrame, store: str) -> None:
+    """One partition per day and model version; the same batch again replaces itself."""
+    replace_partitions(scores, store, ["predicted_on", "model_version"])
+
+
+def read_predictions(spark: SparkSession, store: str, id_type: str = "bigint") -> DataFrame:
+    return spark.read.schema(PREDICTIONS.format(id_type)).parquet(store)
+
+
+def fill_outcomes(spark: SparkSession, store: str, outcomes: DataFrame, since: str | None = None,
+                  id_type: str = "bigint") -> list:
+    """Write outcomes (``order_id`` and the label, NULL while unknown) into the predictions that
+    wait for them; returns the days written.
+
+    Only days with such predictions are read whole and replaced, from ``since`` on where that is
+    given. Known outcomes stay, so the same outcomes twice change nothing.
+    """
+    held = read_predictions(spark, store, id_type)
+    if since is not None:
+        held = held.filter(F.col("predicted_on") >= F.lit(since).cast("date"))
+    known = outcomes.filter(F.col(LABEL).isNotNull()).groupBy("order_id").agg(F.max(LABEL).alias("_known"))
+    waiting = held.filter(F.col("actual_outcome").isNull()).join(known, "order_id", "left_semi")
+    # One row per day.
+    days = sorted(r[0] for r in waiting.select("predicted_on").distinct().collect())
+    if days:
+        filled = (held.filter(F.col("predicted_on").isin(days)).join(known, "order_id", "left")
+                  .withColumn("actual_outcome", F.coalesce("actual_outcome", "_known").cast("int")))
+        replace_partitions(filled.select(*held.columns), store, ["predicted_on", "model_version"])
+    return days
+
+
 def risk_alert(scores: DataFrame, limit: int = 50) -> DataFrame:
     """Orders per risk level and whether the HIGH ones call for an alert."""
     high = F.count_if(F.col("risk_level") == "HIGH")

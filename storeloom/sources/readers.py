@@ -60,6 +60,6 @@ def require_path(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(path)
 
 
-def zip_prefix(col: str) -> Column:
+def zip_prefix(col: str | Column) -> Column:
     """Five-digit zip text; leading zeros lost by an integer read come back."""
-    return F.lpad(F.col(col).cast("string"), 5, "0")
+    return F.lpad((F.col(col) if isinstance(col, str) else col).cast("string"), 5, "0")

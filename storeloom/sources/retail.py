@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cache, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom.operators.dedup import dedupe_keep_first
@@ -18,13 +18,20 @@ from storeloom.sources.readers import read_table, zip_prefix
 Reader = Callable[[str], DataFrame]
 
 
+ZIPS = 100_000
+
+
+def _zip(key: str) -> Column:
+    return zip_prefix(F.col(key) % ZIPS)
+
+
 def customers(read: Reader) -> DataFrame:
     nation = read("nation").select("n_nationkey", "n_name")
     return (read("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("customer_id"),
                     F.expr("c_custkey div 3").alias("customer_unique_id"),
-                    zip_prefix("c_nationkey").alias("customer_zip_code_prefix"),
+                    _zip("c_custkey").alias("customer_zip_code_prefix"),
                     F.col("c_mktsegment").alias("customer_city"),
                     F.col("n_name").alias("customer_state")))
 
@@ -34,7 +41,7 @@ def sellers(read: Reader) -> DataFrame:
     return (read("supplier")
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(F.col("s_suppkey").alias("seller_id"),
-                    zip_prefix("s_nationkey").alias("seller_zip_code_prefix"),
+                    _zip("s_suppkey").alias("seller_zip_code_prefix"),
                     F.col("s_name").alias("seller_city"),
                     F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("seller_state")))
 
@@ -55,7 +62,9 @@ def products(read: Reader) -> DataFrame:
 
 
 def orders(read: Reader) -> DataFrame:
+    """Orders of a weekend take ten days longer, which is what a delay model can find."""
     key, bought, status = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
+    weekend = F.when(F.weekday(bought) >= 5, 10).otherwise(0)
     return read("orders").select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -66,7 +75,7 @@ def orders(read: Reader) -> DataFrame:
         F.when(status != "P", bought + F.expr("INTERVAL '2' DAY"))
          .alias("order_delivered_carrier_date"),
         F.when(status == "F", bought + F.make_dt_interval(
-            (3 + key % 25).cast("int"), (key % 24).cast("int")))
+            (3 + key % 20 + weekend).cast("int"), (key % 24).cast("int")))
          .alias("order_delivered_customer_date"),
         (bought + F.expr("INTERVAL '20' DAY")).alias("order_estimated_delivery_date"))
 
@@ -115,7 +124,8 @@ def order_payments(read: Reader) -> DataFrame:
 
 def order_reviews(read: Reader) -> DataFrame:
     """Nine of ten orders have a review; one in five of their numbers has a whole document as its
-    text, and every document is reached."""
+    text, and every document is reached. One order in eight has a second review with another score, a
+    day later or, for every other one, at the same moment."""
     key = F.col("order_id")
     late = F.coalesce(F.col("order_delivered_customer_date")
                       > F.col("order_estimated_delivery_date"), F.lit(False))
@@ -128,27 +138,33 @@ def order_reviews(read: Reader) -> DataFrame:
                 .withColumn("_doc", F.when(key % 5 == 0, F.expr("order_id div 5")
                                                 % docs.agg(F.count("*")).scalar())
                             .otherwise(-1 - key)))
+    score = (5 - F.when(late, 2).otherwise(0) - key % 3).cast("int")
+    answered = F.when(key % 6 != 0, created + F.expr("INTERVAL '1' DAY"))
+    first = F.struct(key.alias("review_id"), score.alias("score"), created.alias("created"))
+    again = F.struct((-1 - key).alias("review_id"), (6 - score).alias("score"), F.when(
+        key % 16 == 0, created).otherwise(created + F.expr("INTERVAL '1' DAY")).alias("created"))
+    given = F.when(key % 8 == 0, F.array(first, again)).otherwise(F.array(first))
     return (reviewed.join(docs, F.col("_doc") == F.col("doc_id"), "left")
-            .select(key.alias("review_id"), key,
-                    (5 - F.when(late, 2).otherwise(0) - key % 3).cast("int").alias("review_score"),
+            .select("*", answered.alias("answered"), F.explode(given).alias("r"))
+            .select("r.review_id", key, F.col("r.score").alias("review_score"),
                     F.when(key % 4 == 0, F.concat(F.lit(" Review "), key.cast("string"),
                                                   F.lit(" "))).alias("review_comment_title"),
                     F.col("text").alias("review_comment_message"),
-                    created.alias("review_creation_date"),
-                    F.when(key % 6 != 0, created + F.expr("INTERVAL '1' DAY"))
-                     .alias("review_answer_timestamp")))
+                    F.col("r.created").alias("review_creation_date"),
+                    F.col("answered").alias("review_answer_timestamp")))
 
 
 def geolocation(read: Reader) -> DataFrame:
-    """Five readings per zip but the last one: four agree, the fifth is off by half a degree."""
-    nation = read("nation")
-    n = F.col("n_nationkey")
-    last = nation.agg(F.max("n_nationkey")).scalar()
+    """Five readings for each zip of a customer but one in 25: four agree, the fifth is off by half
+    a degree."""
+    nation = read("nation").select("n_nationkey", "n_name")
+    n = F.col("c_custkey")
     shift = F.when(F.col("copy") == 4, F.lit(0.5)).otherwise(F.lit(0.0))
     outside = F.when(n % 12 == 5, F.lit(40)).otherwise(F.lit(0))
-    return (nation.filter(n < last)
+    return (read("customer").filter((n < ZIPS) & (n % 25 != 24))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(4))))
-            .select(zip_prefix("n_nationkey").alias("geolocation_zip_code_prefix"),
+            .select(_zip("c_custkey").alias("geolocation_zip_code_prefix"),
                     (-30 + (n * 7) % 33 + shift + outside).cast("decimal(10,8)")
                     .alias("geolocation_lat"),
                     (-70 + (n * 11) % 33 + shift).cast("decimal(11,8)").alias("geolocation_lng"),
@@ -156,6 +172,11 @@ def geolocation(read: Reader) -> DataFrame:
                     F.lower("n_name").alias("geolocation_state")))
 
 
+def holidays(read: Reader) -> DataFrame:
+    """The first day of each month in which something was ordered."""
+    return read("orders").select(F.trunc("o_orderdate", "month").alias("date")).distinct()
+
+
 def state_regions(read: Reader) -> DataFrame:
     """State to region lookup, one row per state."""
     region = read("region")

@@ -1,11 +1,13 @@
 """Delay model on rows with a planted signal."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from storeloom.plans import features as ML
+from storeloom.plans import gold as G
 from tests.conftest import one, rows
 
 
@@ -42,6 +44,63 @@ def test_model_finds_the_signal(spark, features):
             for x in (0.8, 0.75, 0.9)] == ["OK", "WARNING", "OK"]
 
 
+def test_kept_model_and_predictions(spark, features, tmp_path):
+    models, store = str(tmp_path / "models"), str(tmp_path / "predictions")
+    train, later = features.filter("order_id < 400"), features.filter("order_id >= 400")
+    model = ML.train_delay_model(train, rounds=3, depth=3)
+    ML.save_model(model, models, "v1")
+    ML.save_model(model, models, "v1")
+    # A session of its own loads the model and scores alike.
+    other = ML.load_model(models, "v1")
+    plain = lambda m, df: sorted((r.order_id, r.delay_probability) for r in ML.predict(m, df).collect())
+    assert plain(model, later) == plain(other, later)
+
+    first, second = later.filter("order_id < 500"), later.filter("order_id >= 480")
+    for at, rows_ in (("2020-01-01 06:00:00", first), ("2020-01-02 06:00:00", second), ("2020-01-02 06:00:00", second)):
+        ML.save_predictions(ML.score_batch(other, rows_, "v1", at), store)
+    ML.save_predictions(ML.score_batch(other, first, "v2", "2020-01-01 06:00:00"), store)
+    held = lambda: ML.read_predictions(spark, store, "int")
+    assert held().count() == 100 + 120 + 100 and held().select("prediction_id").distinct().count() == 320
+    assert held().filter("actual_outcome IS NOT NULL OR risk_level IS NULL").count() == 0
+    before = {d: os.stat(tmp_path / "predictions" / d).st_mtime_ns for d in ("predicted_on=2020-01-02",)}
+    known = later.filter("order_id < 480").withColumn("is_delayed", F.when(F.col("order_id") % 2 == 0, F.col("is_delayed")))
+    assert [str(d) for d in ML.fill_outcomes(spark, store, known, id_type="int")] == ["2020-01-01"]
+    assert {d: os.stat(tmp_path / "predictions" / d).st_mtime_ns for d in before} == before
+    assert held().filter("actual_outcome IS NOT NULL").count() == 80 and held().count() == 320
+    assert ML.fill_outcomes(spark, store, known, id_type="int") == []
+    days = ML.fill_outcomes(spark, store, later, since="2020-01-02", id_type="int")
+    assert [str(d) for d in days] == ["2020-01-02"] and held().filter("actual_outcome IS NULL").count() == 120
+    want = {r.order_id: r.is_delayed for r in later.collect()}
+    assert all(r.actual_outcome in (None, want[r.order_id]) for r in held().collect())
+
+
+def test_open_orders(spark):
+    at = "order_purchase_timestamp"
+    df = spark.sql("SELECT * FROM VALUES (1, timestamp_ntz'2020-01-01', NULL), (2, timestamp_ntz'2020-01-05', NULL), "
+                   "(3, timestamp_ntz'2020-01-05', 1), (4, timestamp_ntz'2020-01-09', NULL), (5, NULL, NULL) "
+                   f"AS t(order_id, {at}, is_delayed)")
+    assert [r.order_id for r in ML.open_orders(df, "2020-01-08").collect()] == [2]
+
+
+def test_importance_and_calibration_rows(spark, features):
+    model = ML.train_delay_model(features, rounds=5, depth=3)
+    found = rows(ML.importance_rows(spark, model), "rank")
+    assert len(found) == len(ML.NUMERIC) + len(ML.CATEGORICAL) and found[0]["feature"] == "delay_rate_history"
+    assert abs(sum(r["importance"] for r in found) - 1) < 1e-9
+    scores = ML.score_orders(model, features)
+    tenths = rows(ML.calibration(scores), "tile")
+    assert [r["orders"] for r in tenths] == [60] * 10 and tenths[-1]["observed_rate"] > tenths[0]["observed_rate"] + 0.5
+    # A constant model has no order.
+    flat = scores.withColumn("delay_probability", F.lit(0.5))
+    assert one(ML.rank_auc(flat, "delay_probability", "actual_outcome"))["auc"] == 0.5
+
+
+def test_holidays_are_a_feature(spark):
+    holidays = spark.sql("SELECT date'2020-01-01' AS date UNION ALL SELECT date'2020-01-01'")
+    assert one(G.dim_date(spark, "2020-01-01", "2020-01-03", holidays).groupBy().agg(
+        F.count("*").alias("days"), F.count_if("is_holiday").alias("free"))) == {"days": 3, "free": 1}
+
+
 def test_many_categories_and_unknown_outcomes(spark, features):
     rows = features.withColumn("category_name", F.concat(F.lit("c"), F.col("order_id") % 300)).withColumn(
         "is_delayed", F.when(F.col("order_id") % 10 != 0, F.col("is_delayed")))
