@@ -7,7 +7,9 @@ splitting tree deals the draws of all sources out among the shards: at each node
 shards are one sample without replacement from those of the node, so their numbers by source
 follow a multivariate hypergeometric distribution and every draw lands in exactly one shard. A shard
 takes its draws of a source from consecutive places of the source's permutation, and is shuffled
-by itself.
+by itself. Sizes, targets, quotas and shares of the shards are a frame with a row per source. The tree
+is drawn first for groups of sources, about as many as a group has members, then in each group for
+its sources, given what the group has: together that is one draw for all sources.
 """
 
 from __future__ import annotations
@@ -17,19 +19,23 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeloom.llm.common import WORD, whole_text
+from storeloom.operators.ordered import ordered_scan
 from storeloom.session import cut_lineage
 
-#: A mix has a weight for each source, which somebody chose: more sources than this are refused.
-MAX_SOURCES = 100_000
+#: Sources whose shares of the shards one task draws, at least.
+LEAST_GROUP = 256
 #: Words of a block, at most; a small source has blocks of 1/256 of its words instead.
 BLOCK_WORDS = 1024
+#: Weights of the sources in order, repeating.
+DEFAULT_WEIGHTS = (3.0, 1.0, 2.0)
 LEAST_BLOCKS = 256
-#: Hash ranges of a source in which running sums are taken apart, as a power of two.
-RANGE_BITS = 12
+#: Words of the largest source in one hash range, on average; running sums are taken range by range.
+RANGE_WORDS = 1 << 20
 
 
 def word_count(text: str) -> Column:
@@ -74,16 +80,18 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) ->
     return first + int(np.searchsorted(odds, rng.random() * odds[-1], side="right"))
 
 
-def splitting_tree(quotas: Sequence[int], shards: int, seed: int = 0) -> np.ndarray:
-    """Draws of each shard (row) from each source (column); columns sum to the quotas exactly and
-    rows to the same number, to one."""
+def splitting_tree(quotas: Sequence[int], shards: int, seed: int = 0,
+                   totals: Sequence[int] | None = None) -> np.ndarray:
+    """Draws of each shard (row) from each source (column); columns sum to the quotas exactly, rows
+    to ``totals``, by default to the same number, to one."""
     out = np.zeros((shards, len(quotas)), np.int64)
     all_draws = sum(quotas)
-    sizes = [all_draws * (i + 1) // shards - all_draws * i // shards for i in range(shards)]
+    sizes = list(totals) if totals is not None else [
+        all_draws * (i + 1) // shards - all_draws * i // shards for i in range(shards)]
 
-    def split(first: int, last: int, counts: list[int]) -> None:
+    def split(first: int, last: int, places: list[int], counts: list[int]) -> None:
         if last - first == 1:
-            out[first] = counts
+            out[first, places] = counts
             return
         middle = (first + last) // 2
         rng = np.random.default_rng([seed, first, last])
@@ -93,10 +101,15 @@ def splitting_tree(quotas: Sequence[int], shards: int, seed: int = 0) -> np.ndar
             rest -= n
             left.append(hypergeometric(rng, n, rest, need))
             need -= left[-1]
-        split(first, middle, left)
-        split(middle, last, [n - x for n, x in zip(counts, left, strict=True)])
-
-    split(0, shards, list(quotas))
+        for start, end, some in ((first, middle, left),
+                                 (middle, last, [n - x for n, x in zip(counts, left, strict=True)])):
+            held = [(i, n) for i, n in zip(places, some, strict=True) if n]
+            if held:
+                split(start, end, *map(list, zip(*held, strict=True)))
+
+    held = [(i, int(n)) for i, n in enumerate(quotas) if n]
+    if held:
+        split(0, shards, *map(list, zip(*held, strict=True)))
     return out
 
 
@@ -111,25 +124,76 @@ def _permutation(seed: int, name: str | None, run: int, n: int) -> tuple[int, in
     return factor, int.from_bytes(digest[8:], "little") % n
 
 
-def mix_plan(spark: SparkSession, sizes: dict[str | None, int], weights: dict[str | None, float],
-             shards: int, share: float = 1.5, most: int = 2, seed: int = 0,
+def weighted_sources(sized: DataFrame, weights: dict[str | None, float] | DataFrame | None) -> DataFrame:
+    """``source_``, ``source_size``, ``weight`` and ``number`` (by code point, null last) of each source."""
+    sizes = sized.groupBy(F.col("source").alias("source_")).agg(F.sum("size").alias("source_size"))
+    numbered = ordered_scan(sizes, [F.col("source_").isNull(), "source_"], number="number")
+    if weights is None:
+        return numbered.withColumn("weight", F.element_at(
+            F.array(*map(F.lit, DEFAULT_WEIGHTS)), ((F.col("number") - 1) % len(DEFAULT_WEIGHTS) + 1).cast("int")))
+    if isinstance(weights, dict):
+        weights = sized.sparkSession.createDataFrame(
+            [(k, float(v)) for k, v in weights.items()], "source string, weight double")
+    given = weights.select(F.col("source").alias("_given"), F.col("weight").cast("double").alias("weight"))
+    lost = F.concat(F.lit("no weight for source "), F.coalesce(F.col("source_"), F.lit("NULL")))
+    return numbered.join(given, F.col("source_").eqNullSafe(F.col("_given")), "left").withColumn(
+        "weight", F.coalesce("weight", F.raise_error(lost).cast("double"))).drop("_given")
+
+
+def with_targets(sources: DataFrame, share: float, most: float) -> DataFrame:
+    """``sources`` with ``target``: the rounds of ``targets`` as one aggregate each. A round only
+    needs what is left and the weight that shares it; who was full stays full."""
+    limit, weight = most * F.col("source_size").cast("double"), F.col("weight")
+    total = sources.agg(F.sum("source_size"), F.sum("weight"), F.count("*")).first()
+    left, open_, full = share * (total[0] or 0), total[1] or 0.0, 0
+    while open_ > 0:
+        over = weight * F.lit(left) / F.lit(open_) >= limit
+        used, closed, n = sources.agg(F.sum(F.when(over, limit)), F.sum(F.when(over, weight)), F.count_if(over)).first()
+        if n == full:
+            break
+        full, left, open_ = n, share * total[0] - (used or 0.0), total[1] - (closed or 0.0)
+    if full == total[2]:
+        return sources.withColumn("target", limit)
+    part = F.lit(left) * weight / F.lit(open_)
+    return sources.withColumn("target", F.when(part >= limit, limit).otherwise(part))
+
+
+def mix_plan(sources: DataFrame, shards: int, share: float = 1.5, most: int = 2, seed: int = 0,
              block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per source: size, target, blocks, and for each run through the source the order of
     its blocks; ``ends`` has the draws up to the end of each shard."""
-    names = list(sizes)
-    wanted = targets([sizes[n] for n in names], [weights[n] for n in names], share, most)
-    blocks = [min(s, max(LEAST_BLOCKS, -(-s // block_words))) for s in sizes.values()]
-    quotas = [min(most * b, round(t * b / s)) if s else 0
-              for b, t, s in zip(blocks, wanted, sizes.values(), strict=True)]
-    ends = splitting_tree(quotas, shards, seed).cumsum(axis=0)
-    rows = []
-    for i, n in enumerate(names):
-        orders = [_permutation(seed, n, run, max(1, blocks[i])) for run in range(most)]
-        rows.append((n, sizes[n], wanted[i], blocks[i], quotas[i], [a for a, _ in orders],
-                     [b for _, b in orders], ends[:, i].tolist()))
-    return spark.createDataFrame(
-        rows, "source_ string, source_size long, target double, blocks long, draws long, "
-              "factors array<long>, shifts array<long>, ends array<long>")
+    size = F.col("source_size")
+    blocks = F.least(size, F.greatest(F.lit(LEAST_BLOCKS), F.ceil(size / block_words))).cast("long")
+    draws = F.when(size > 0, F.least(most * blocks, F.round(blocks * F.col("target") / size))).otherwise(0)
+    planned = cut_lineage(with_targets(sources, share, most).withColumns({"blocks": blocks})
+                          .withColumn("draws", draws.cast("long")))
+    group = max(LEAST_GROUP, math.isqrt(planned.count()))
+    grouped = planned.withColumn("group", F.expr(f"(number - 1) div {group}").cast("long"))
+    # About the square root of the number of sources.
+    sums = sorted(map(tuple, grouped.groupBy("group").agg(F.sum("draws")).collect()))
+    shares = splitting_tree([n for _, n in sums], shards, seed)
+    held = planned.sparkSession.createDataFrame(
+        [(g, shares[:, i].tolist()) for i, (g, _) in enumerate(sums)], "group long, totals array<long>")
+
+    def deal(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("number", ignore_index=True)
+        number = int(rows["group"].iloc[0])
+        ends = splitting_tree(rows["draws"].tolist(), shards, hash_seed(seed, number), rows["totals"].iloc[0]).cumsum(axis=0)
+        orders = [[_permutation(seed, name, run, max(1, n)) for run in range(most)]
+                  for name, n in zip(rows["source_"], rows["blocks"].tolist(), strict=True)]
+        return pd.DataFrame({
+            "source_": rows["source_"], "source_size": rows["source_size"], "target": rows["target"],
+            "blocks": rows["blocks"], "draws": rows["draws"], "factors": [[a for a, _ in o] for o in orders],
+            "shifts": [[b for _, b in o] for o in orders], "ends": ends.T.tolist()})
+
+    return cut_lineage(grouped.join(held, "group").groupBy("group").applyInPandas(
+        deal, "source_ string, source_size long, target double, blocks long, draws long, "
+              "factors array<long>, shifts array<long>, ends array<long>"))
+
+
+def hash_seed(seed: int, number: int) -> int:
+    """A seed of its own for the tree of each group."""
+    return int.from_bytes(hashlib.blake2b(repr((seed, number)).encode(), digest_size=6).digest(), "little")
 
 
 #: Every run and block of a document: the block's place among the source's draws.
@@ -142,41 +206,35 @@ filter(flatten(transform(sequence(0, size(factors) - 1), run ->
 #: What of the document lies in a block, and the shard that the block's draw belongs to.
 _DRAWS = """
 transform(places, x -> named_struct(
-    'run', x.run, 'shard', size(filter(ends, e -> e <= x.place)),
+    'run', x.run, 'block', x.block, 'shard', size(filter(ends, e -> e <= x.place)),
     'first', greatest(x.block * base + least(x.block, extra), start) - start,
     'words', least((x.block + 1) * base + least(x.block + 1, extra), start + size)
              - greatest(x.block * base + least(x.block, extra), start)))"""
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, shards: int = 64,
+def mix(docs: DataFrame, weights: dict[str | None, float] | DataFrame | None = None, shards: int = 64,
         share: float = 1.5, most: int = 2, seed: int = 0, block_words: int = BLOCK_WORDS,
         text: str = "text", id_col: str = "doc_id", source: str = "source",
         keep: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, source, size, source_size, target, taken, key, draws``.
 
-    ``draws`` lists what the mix takes of the document: run, shard, first word and words. The sum
+    ``draws`` lists what the mix takes of the document: run, block, shard, first word and words. The sum
     of the words is ``taken``; no run takes a word twice. ``weights`` gives a weight for each
-    source; without it the sources by code point, null last, weigh 3, 1, 2, repeating. A null
-    source is a source; a null or empty text has no words and is never taken; an empty table
+    source, as a dictionary or a frame ``source, weight``; without it the sources by code point, null
+    last, weigh 3, 1, 2, repeating. There may be any number of sources. A null source is a source; a null or empty text has no words and is never taken; an empty table
     gives an empty mix. ``key`` is a hash of id and text; rows equal in id, source and text are
     interchangeable. The same rows, weights and seed give the same mix on any cluster. ``keep``
     columns come along in a struct ``row``, whatever their names are.
     """
-    spark = docs.sparkSession
     columns = [F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"),
                word_count(text).alias("size"),
                F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("key")]
     sized = cut_lineage(docs.select(*columns))
-    found = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: give each document one of fewer groups")
-    sizes = {r.source: r.n for r in sorted(found, key=lambda r: (r.source is None, r.source or ""))}
-    if weights is None:
-        weights = {name: (3.0, 1.0, 2.0)[i % 3] for i, name in enumerate(sizes)}
-    # One row per source, at most MAX_SOURCES.
-    plan = F.broadcast(mix_plan(spark, sizes, weights, shards, share, most, seed, block_words))
+    plan = mix_plan(weighted_sources(sized, weights), shards, share, most, seed, block_words)
+    largest = plan.agg(F.max("source_size")).first()[0] or 0
+    bits = min(48, max(0, (largest // RANGE_WORDS).bit_length()))
 
-    hash_range = F.shiftrightunsigned("key", 64 - RANGE_BITS)
+    hash_range = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long")
     sums = sized.groupBy(F.col("source").alias("_source"), hash_range.alias("_at")).agg(
         F.sum("size").alias("_n"))
     before = Window.partitionBy("_source").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
@@ -204,43 +262,49 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, shards:
                         "key", "draws", *["row"] * bool(keep))
 
 
-#: Draws of a run that follow each other without a gap, joined.
+#: Draws of a run and a shard that follow each other without a gap, joined.
 _SPANS = """
 aggregate(array_sort(transform(draws, x -> named_struct(
-        'run', x.run, 'first', x.first, 'words', x.words))),
-    cast(array() as array<struct<run: int, first: bigint, words: bigint>>),
+        'run', x.run, 'first', x.first, 'shard', x.shard, 'words', x.words))),
+    cast(array() as array<struct<run: int, first: bigint, shard: int, words: bigint>>),
     (done, x) -> if(size(done) > 0 and element_at(done, -1).run = x.run
+                    and element_at(done, -1).shard = x.shard
                     and element_at(done, -1).first + element_at(done, -1).words = x.first,
         concat(slice(done, 1, size(done) - 1), array(named_struct(
-            'run', x.run, 'first', element_at(done, -1).first,
+            'run', x.run, 'first', element_at(done, -1).first, 'shard', x.shard,
             'words', element_at(done, -1).words + x.words))),
         concat(done, array(x))))"""
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The mix as rows with the columns of ``docs``: one for each stretch of a document that a run
-    takes, its text cut to that stretch where that is not the whole document. Documents that the
-    mix does not take are gone, those it takes twice come twice."""
-    names = docs.columns
-    mixed = mix(docs, text=text, keep=names, **options)
-    spans = mixed.select("row", "size", F.explode(F.expr(_SPANS)).alias("span"))
-    words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+def _stretches(docs: DataFrame, text: str, seed: int, options: dict) -> DataFrame:
+    """``row``, ``shard``, ``_order`` and the text of each stretch of a document that a run takes for
+    one shard."""
+    mixed = mix(docs, text=text, seed=seed, keep=docs.columns, **options)
+    spans = mixed.select("row", "size", "key", F.explode(F.expr(_SPANS)).alias("span"))
+    words = F.regexp_extract_all(F.col(f"row.`{text}`"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     cut = F.array_join(F.slice(words, (F.col("span.first") + 1).cast("int"),
                                F.col("span.words").cast("int")), "")
     whole = F.col("span.words") == F.col("size")
-    return spans.select(*[F.when(whole, F.col(f"row.{c}")).otherwise(cut).alias(c) if c == text
-                          else F.col(f"row.`{c}`").alias(c) for c in names])
-
-
-def write_shards(docs: DataFrame, path: str, text: str = "text", seed: int = 0, **options) -> None:
-    """The mix as Parquet, one folder per shard, each shard in an order of its own: a row for each
-    draw with ``doc_id`` and the words it takes."""
-    mixed = mix(docs, text=text, seed=seed, keep=[text], **options)
-    draws = mixed.select("doc_id", "key", "row", F.explode("draws").alias("draw"))
-    words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    order = F.xxhash64(F.lit(seed), "draw.shard", "key", "draw.run", "draw.first")
-    (draws.select(F.col("draw.shard").alias("shard"), "doc_id", order.alias("_order"),
-                  F.array_join(F.slice(words, (F.col("draw.first") + 1).cast("int"),
-                                       F.col("draw.words").cast("int")), "").alias("text"))
-     .repartition("shard").sortWithinPartitions("shard", "_order").drop("_order")
+    return spans.select("row", F.col("span.shard").alias("shard"),
+                        F.xxhash64(F.lit(seed), "span.shard", "key", "span.run", "span.first").alias("_order"),
+                        F.when(whole, F.col(f"row.`{text}`")).otherwise(cut).alias("_taken"))
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", seed: int = 0, **options) -> DataFrame:
+    """The mix as rows with the columns of ``docs``, shard by shard, each in an order of its own: a
+    row for each stretch of a document that a run takes for a shard, its text cut to that stretch where
+    that is not the whole document. Documents that the mix does not take are gone, those it takes
+    twice come twice. Nulls, empty texts and tables as in ``mix``."""
+    spans = _stretches(docs, text, seed, options).repartition("shard").sortWithinPartitions("shard", "_order")
+    return spans.select(*[F.col("_taken").alias(c) if c == text else F.col(f"row.`{c}`").alias(c)
+                          for c in docs.columns])
+
+
+def write_shards(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id", seed: int = 0,
+                 **options) -> None:
+    """The mix as Parquet, one folder per shard, each in the order of ``mixed_documents``: ``doc_id`` and
+    the words taken."""
+    spans = _stretches(docs, text, seed, {"id_col": id_col, **options})
+    (spans.repartition("shard").sortWithinPartitions("shard", "_order")
+     .select("shard", F.col(f"row.`{id_col}`").alias("doc_id"), F.col("_taken").alias("text"))
      .write.partitionBy("shard").parquet(path))

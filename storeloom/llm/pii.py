@@ -1,19 +1,22 @@
 """Personal data by fixed patterns, and by contexts learned from what those patterns find.
 
-The base kinds are regular expressions with a check on each match. Their matches are seeds: every
-base span and every other token, whatever its characters, is an instance; the one and two tokens
-before and after it are its lexical patterns. On the graph of patterns and instances, a pattern's score
-is the lower bound (Wilson) of the share of its distinct instances that are trusted, and an instance's
-score is the chance that at least one of its accepted patterns is right. Instances that reach
-``CONFIDENCE`` become trusted, which can lift further patterns, until no instance is new. One without
-a digit must also have accepted patterns for ``SHARE`` of its distinct ones, or it is a common word.
-Occurrences of the instances found this way are spans of kind ``id``. Everything is DataFrame
-functions.
+The base kinds are regular expressions with a check on each match. Their matches are seeds, and so are
+tokens of a shape that only made-up identifiers have: one alphabet and length, letters and digits
+mixed, in many values that hardly ever come twice. Every seed and every other token, whatever its
+characters, is an instance; the one and two tokens before and after it are its lexical patterns,
+where a quote, a colon and an equals sign are tokens too. On the graph of patterns and instances, a
+pattern's score is the lower bound (Wilson) of the share of its distinct instances that are trusted,
+and an instance's score is the chance that at least one of its accepted patterns is right.
+Instances that reach ``CONFIDENCE`` become trusted, which can lift further patterns, until no instance
+is new. One without a digit must also have accepted patterns for ``SHARE`` of its distinct ones, or
+it is a common word. Occurrences of the instances found this way are spans of kind ``id``.
+Everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +37,16 @@ PATTERNS = {
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: A character that stands for those of base spans, and what stands for it where texts have it.
 MASK, UNMASK = "\ue000", "\ue001"
-#: A masked span, or a token from its first to its last letter or digit.
-TOKEN = (rf"{MASK}+|[\p{{L}}\p{{N}}](?:[^\x20\x09-\x0D{MASK}]*[\p{{L}}\p{{M}}\p{{N}}])?")
+#: A sign that is a word of patterns but no instance.
+SIGN = '[:="]'
+#: A masked span, a sign, or a token from its first to its last letter or digit.
+TOKEN = (rf"{MASK}+|{SIGN}|[\p{{L}}\p{{N}}](?:[^\x20\x09-\x0D=\"{MASK}]*[\p{{L}}\p{{M}}\p{{N}}])?")
+#: What a long token with a digit has somewhere.
+LONG = "(?<![A-Za-z0-9_])(?=[A-Za-z_]*[0-9])[A-Za-z0-9_]{16}"
+#: Letters and digits of a made-up identifier, which change over twice at least.
+SHAPED = r"^(?=[A-Za-z_]*[0-9]+[A-Za-z_]+[0-9]|[0-9]*[A-Za-z_]+[0-9]+[A-Za-z_])[A-Za-z0-9_]{16,}$"
+#: Words that are looked for as parts of texts before any token is; more are not.
+FEW = 64
 CONFIDENCE = 0.9
 SHARE = 0.25
 _SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -110,37 +121,84 @@ def masked(docs: DataFrame, text: str) -> DataFrame:
         "_seeds", F.coalesce("_out.seeds", F.expr("cast(array() as array<string>)"))).drop("_spans", "_out")
 
 
-def _edges(scanned: DataFrame, *keep: str) -> DataFrame:
-    """Each instance with each of its patterns: ``keep``, ``value``, ``seed``, ``pattern``. All masked
-    stretches are alike as words of patterns; as instances they are those of ``_seeds``."""
-    tokens = F.regexp_extract_all("_masked", F.lit(TOKEN), F.lit(0))
-    none = F.array(F.lit(None).cast("string"))
-    c = F.col("_tokens")
-    around = F.arrays_zip(
-        c.alias("x"), F.concat(none, c).alias("b1"), F.concat(none, none, c).alias("b2"),
-        F.expr("slice(_tokens, 2, greatest(size(_tokens), 1))").alias("a1"),
-        F.expr("slice(_tokens, 3, greatest(size(_tokens), 1))").alias("a2"))
-    word = lambda n: F.when(F.col(n).startswith(MASK), F.lit(MASK)).otherwise(F.lower(n))
-    each = scanned.select(*keep, "_seeds", tokens.alias("_tokens")).select(*keep, "_seeds", F.posexplode(
-        around).alias("_at", "_y")).select(*keep, "_seeds", "_at", "_y.*").where("x is not null")
-    flat = each.select(*keep, "_seeds", "_at", "x", F.explode(F.array_compact(F.array(
-        F.concat(F.lit("< "), word("b1")), F.concat(F.lit("< "), word("b2"), F.lit(" "), word("b1")),
-        F.concat(F.lit("> "), word("a1")), F.concat(F.lit("> "), word("a1"), F.lit(" "), word("a2"))))
-    ).alias("pattern"))
-    return flat.select(*keep, F.col("x").alias("value"), F.col("x").startswith(MASK).alias("seed"), "pattern")
+def _word(token: str) -> str:
+    """SQL of a token as a word of patterns: all masked stretches are alike."""
+    return f"if(startswith({token}, '{MASK}'), '{MASK}', lower({token}))"
+
+
+def _patterns_at(i: str) -> str:
+    """SQL of the patterns of the token at a place."""
+    near = {k: _word(f"get(_tokens, {i} + {k})") for k in (-2, -1, 1, 2)}
+    return (f"array_compact(array(concat('< ', {near[-1]}), concat('< ', {near[-2]}, ' ', {near[-1]}), "
+            f"concat('> ', {near[1]}), concat('> ', {near[1]}, ' ', {near[2]})))")
+
+
+def _with_tokens(scanned: DataFrame) -> DataFrame:
+    return scanned.withColumn("_tokens", F.regexp_extract_all("_masked", F.lit(TOKEN), F.lit(0)))
+
+
+def _places(scanned: DataFrame) -> DataFrame:
+    """Every token of every row: ``_row``, ``_i``, ``x``; null where a row has none. (Without those, Spark
+    would match the pattern once more to see whether there are any.)"""
+    return _with_tokens(scanned).select("_row", F.posexplode_outer("_tokens").alias("_i", "x"))
+
+
+def _rows_with(scanned: DataFrame, words: DataFrame, lowered: bool = False) -> DataFrame:
+    """The rows that may have one of the words (a column ``x``) as a token: where there are few words,
+    those whose text contains one, which is far cheaper to see than tokens."""
+    few = [r.x for r in words.select("x").distinct().limit(FEW + 1).collect()]
+    if len(few) > FEW or lowered and not all(w.isascii() or w == MASK for w in few):
+        return scanned
+    text = F.lower("_masked") if lowered else F.col("_masked")
+    return scanned.where(reduce(Column.__or__, [F.contains(text, F.lit(w)) for w in few], F.lit(False)))
+
+
+def _places_of(scanned: DataFrame, values: DataFrame) -> DataFrame:
+    """Where the given tokens are: ``_row``, ``_i``. Long ones are only looked for in rows that have
+    a token as long."""
+    asked = values.select(F.col("value").alias("x"))
+    far = F.rlike(F.col("x"), F.lit(LONG))
+    near = cut_lineage(asked.where(~far))
+    found = _places(scanned.where("_long")).join(asked.where(far), "x", "left_semi")
+    others = _places(_rows_with(scanned, near)).join(near, "x", "left_semi")
+    return found.unionByName(others).select("_row", "_i")
+
+
+def _edges(scanned: DataFrame, places: DataFrame) -> DataFrame:
+    """Each instance at one of the places (``_row``, ``_i``) with each of its patterns: ``value``,
+    ``pattern``. Signs and masked stretches are none. Only the rows that have such places are
+    looked at again, and in them only those."""
+    at = places.groupBy("_row").agg(F.collect_set("_i").alias("_at"))
+    found = _with_tokens(scanned.join(at, "_row")).select(F.expr(
+        f"inline(transform(_at, i -> named_struct('value', get(_tokens, i), 'patterns', {_patterns_at('i')})))"))
+    return found.where(f"value is not null and not value rlike '^({SIGN}|{MASK}+)$'").select(
+        "value", F.explode("patterns").alias("pattern"))
+
+
+def _edges_of(scanned: DataFrame, values: DataFrame) -> DataFrame:
+    """Distinct patterns of the given instances."""
+    return _edges(scanned, _places_of(scanned, values)).distinct()
+
+
+def _edges_beside(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Distinct instances of the given patterns, by way of the word next to the instance."""
+    after = F.col("pattern").startswith("<")
+    cues = patterns.select(
+        F.when(after, F.substring_index("pattern", " ", -1)).otherwise(F.split("pattern", " ")[1]).alias("_cue"),
+        F.when(after, 1).otherwise(-1).alias("_step")).distinct()
+    cues = cut_lineage(cues)
+    rows = _rows_with(scanned, cues.select(F.col("_cue").alias("x")), lowered=True)
+    beside = _places(rows).withColumn("_cue", F.expr(_word("x"))).join(cues, "_cue").select(
+        "_row", (F.col("_i") + F.col("_step")).alias("_i"))
+    return _edges(scanned, beside).join(patterns.select("pattern"), "pattern").distinct()
 
 
 def _seed_edges(scanned: DataFrame) -> DataFrame:
     """Distinct base spans with each of their patterns: ``pattern``, ``value``."""
-    c = "_tokens"
-    word = lambda k: f"if(startswith(get({c}, i + {k}), '{MASK}'), '{MASK}', lower(get({c}, i + {k})))"
-    at = F.expr(f"filter(transform({c}, (x, i) -> if(startswith(x, '{MASK}'), i, null)), i -> i is not null)")
-    return (scanned.where("size(_seeds) > 0")
-            .withColumn(c, F.regexp_extract_all("_masked", F.lit(TOKEN), F.lit(0)))
-            .withColumn("_places", at)
-            .select(F.expr(f"""inline(transform(_places, (i, k) -> named_struct('value', get(_seeds, k), 'patterns',
-                array_compact(array(concat('< ', {word(-1)}), concat('< ', {word(-2)}, ' ', {word(-1)}),
-                                    concat('> ', {word(1)}), concat('> ', {word(1)}, ' ', {word(2)}))))))"""))
+    at = F.expr(f"filter(transform(_tokens, (x, i) -> if(startswith(x, '{MASK}'), i, null)), i -> i is not null)")
+    return (_with_tokens(scanned.where("size(_seeds) > 0")).withColumn("_found", at)
+            .select(F.expr(f"""inline(transform(_found, (i, k) -> named_struct(
+                'value', get(_seeds, k), 'patterns', {_patterns_at('i')})))"""))
             .select("value", F.explode("patterns").alias("pattern")).distinct())
 
 
@@ -151,62 +209,84 @@ def _wilson(trusted: Column, all_: Column, z: float = 1.96) -> Column:
     return (middle - spread) / (1 + z * z / all_)
 
 
+def shaped(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
+    """Tokens that look made up, as further seeds: ``value`` and ``score``, which is 1.
+
+    The shape of such a token is its alphabet (hexadecimal, letters of one case, of both) and its
+    length. A shape is trusted if the lower bound of the share of its distinct values that stand
+    between the same two tokens wherever they occur, as in copies, is ``confidence`` at least.
+    """
+    kind = (F.when(F.col("value").rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
+            .when(F.col("value").rlike("^([0-9a-z_]+|[0-9A-Z_]+)$"), "one case").otherwise("two cases"))
+    values = cut_lineage(
+        _with_tokens(scanned.where("_long"))
+        .select(F.inline(F.filter(F.transform("_tokens", lambda x, i: F.struct(
+            x.alias("value"), F.concat(F.coalesce(F.get("_tokens", i - 1), F.lit("")), F.lit(" "),
+                                       F.coalesce(F.get("_tokens", i + 1), F.lit(""))).alias("between"))),
+            lambda x: x.value.rlike(SHAPED))))
+        .groupBy("value").agg((F.min("between") == F.max("between")).alias("_once"))
+        .withColumn("shape", F.concat(kind, F.length("value").cast("string"))))
+    right = _wilson(F.count_if("_once").cast("double"), F.count("*"))
+    good = values.groupBy("shape").agg(right.alias("score")).where(F.col("score") >= confidence)
+    return values.join(good.select("shape"), "shape").select("value", F.lit(1.0).alias("score"))
+
+
 def bootstrap(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame | None:
-    """Instances found: ``value`` and ``score``; None when no pattern leads to one. ``scanned`` has
-    ``_row``, ``_masked`` and ``_seeds``.
+    """Instances found: ``value`` and ``score``; None when there is none. ``scanned`` has ``_row``,
+    ``_masked``, ``_seeds`` and ``_long`` (the row has a long token).
 
     More instances that are not trusted only lower a pattern's score. So patterns that fall short on the
-    rows with trusted instances alone are left out before the patterns of all rows are looked up.
+    rows with trusted instances alone are left out before all texts are searched for the others, by
+    the word next to the instance.
     """
     seeds = cut_lineage(_seed_edges(scanned))
     seeded = seeds.groupBy("pattern").agg(F.count("*").cast("double").alias("_seeded"))
-    found, known = None, 0
+    found = cut_lineage(shaped(scanned, confidence))
+    if found.isEmpty():
+        found = None
     while True:
-        rows = scanned.where("size(_seeds) > 0")
-        trusted = seeded.select("pattern", "_seeded")
+        trusted, rows = seeded.select("pattern", F.col("_seeded").alias("_sum")), scanned.where("size(_seeds) > 0")
         if found is not None:
-            held = cut_lineage(_edges(scanned, "_row").where("not seed").join(found, "value")
-                               .select("_row", "pattern", "value", "score"))
+            places = cut_lineage(_places_of(scanned, found))
+            trusted = trusted.unionByName(
+                _edges(scanned, places).distinct().join(found, "value").groupBy("pattern").agg(F.sum("score").alias("_sum")))
             rows = rows.unionByName(scanned.where("size(_seeds) = 0").join(
-                held.select("_row").distinct(), "_row", "left_semi"))
-            trusted = trusted.withColumnRenamed("_seeded", "_sum").unionByName(
-                held.select("pattern", "value", "score").distinct().groupBy("pattern").agg(
-                    F.sum("score").alias("_sum"))).groupBy("pattern").agg(F.sum("_sum").alias("_seeded"))
+                places.select("_row").distinct(), "_row", "left_semi").select(*rows.columns))
+        trusted = trusted.groupBy("pattern").agg(F.sum("_sum").alias("_sum"))
         # With nothing else around it, a pattern would have all of its instances trusted.
-        may = cut_lineage(trusted.where(_wilson(F.col("_seeded"), F.ceil("_seeded")) >= confidence))
+        may = cut_lineage(trusted.where(_wilson(F.col("_sum"), F.ceil("_sum")) >= confidence))
 
         def scored(part: DataFrame, may: DataFrame) -> tuple[DataFrame, DataFrame]:
-            edges = cut_lineage(_edges(part).where("not seed").select("pattern", "value").join(
-                may.select("pattern"), "pattern").distinct())
+            edges = cut_lineage(_edges_beside(part, may))
             others = edges.groupBy("pattern").agg(F.count("*").alias("_others"))
-            sums = may.join(seeded.withColumnRenamed("_seeded", "_own"), "pattern", "left").join(
-                others, "pattern", "left")
-            right = _wilson(F.col("_seeded"), F.coalesce("_own", F.lit(0.0)) + F.coalesce("_others", F.lit(0)))
-            return edges, sums.select("pattern", "_seeded", right.alias("right")).where(
-                F.col("right") >= confidence)
-
-        if may.isEmpty():
-            return found
-        may = cut_lineage(scored(rows, may)[1].select("pattern", "_seeded"))
+            right = _wilson(F.col("_sum"), F.coalesce("_seeded", F.lit(0.0)) + F.coalesce("_others", F.lit(0)))
+            return edges, cut_lineage(
+                may.join(seeded, "pattern", "left").join(others, "pattern", "left")
+                .select("pattern", "_sum", right.alias("right")).where(F.col("right") >= confidence))
+
+        for part in (rows, scanned):
+            if may.isEmpty():
+                return found
+            edges, patterns = scored(part, may)
+            may = patterns.select("pattern", "_sum")
         if may.isEmpty():
             return found
-        edges, patterns = scored(scanned, may)
-        patterns = cut_lineage(patterns)
         wrong = F.exp(F.sum(F.log1p(-F.least(F.col("right"), F.lit(1 - 1e-9)))))
         new = cut_lineage(edges.join(patterns, "pattern").groupBy("value").agg(
             (1 - wrong).alias("score"), F.count("*").alias("_accepted")).where(F.col("score") >= confidence))
         words = cut_lineage(new.where("not value rlike '[0-9]'"))
-        common = _edges(scanned).where("not seed").select("value", "pattern").join(
-            words, "value").distinct().groupBy("value").agg(
-            F.count("*").alias("_all"), F.max("_accepted").alias("_accepted")).where(
-            F.col("_accepted") < SHARE * F.col("_all"))
         if not words.isEmpty():
+            common = _edges_of(scanned, words).groupBy("value").agg(F.count("*").alias("_all")).join(
+                words, "value").where(F.col("_accepted") < SHARE * F.col("_all"))
             new = new.join(common.select("value"), "value", "left_anti")
         new = cut_lineage(new.select("value", "score"))
-        size = new.count()
-        if size <= known:
-            return found
-        found, known = new, size
+        if found is not None:
+            if new.join(found, "value", "left_anti").isEmpty():
+                return found
+            new = cut_lineage(new.unionByName(found).groupBy("value").agg(F.max("score").alias("score")))
+        elif new.isEmpty():
+            return None
+        found = new
 
 
 def detect(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
@@ -220,16 +300,15 @@ def detect(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     source = docs.select(F.col(id_col).alias("doc_id"), F.translate(
         whole_text(text), MASK, UNMASK).alias("_text"), *[F.struct(*keep).alias("row")] * bool(keep))
     scanned = cut_lineage(masked(base_spans(source, "_text"), "_text").drop("_text").withColumn(
-        "_row", F.monotonically_increasing_id()))
-    found = bootstrap(scanned.select("_row", "_masked", "_seeds"), confidence)
+        "_row", F.monotonically_increasing_id()).withColumn("_long", F.col("_masked").rlike(LONG)))
+    found = bootstrap(scanned.select("_row", "_masked", "_seeds", "_long"), confidence)
     columns = ["doc_id", F.col("_base").alias("base")]
     if found is None:
         return scanned.select(*columns, F.col("_base").alias("spans"), *["row"] * bool(keep))
     kind = F.lit(len(KINDS))
     tokens, between = match_spans(F.col("_masked"), TOKEN)
-    hits = cut_lineage(
-        scanned.select("_row", F.posexplode(tokens).alias("_i", "value")).join(found.select("value"), "value")
-        .groupBy("_row").agg(F.sort_array(F.collect_list("_i")).alias("_hits")))
+    hits = cut_lineage(_places_of(scanned, found).groupBy("_row").agg(
+        F.sort_array(F.collect_list("_i")).alias("_hits")))
     # What lies between the hit before and this one: tokens and gaps.
     length = ("aggregate(slice(_tokens, a.i + 1, i - a.i), 0, (n, t) -> n + length(t)) + "
               "aggregate(slice(_between, a.i + 1, i - a.i), 0, (n, t) -> n + length(t))")

@@ -29,7 +29,8 @@ from storeloom.llm.oracle import ORACLE
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken",
+        F.array_sort(F.array_distinct("draws.shard")).alias("shards"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"bigint(size(filter(base, x -> x.kind = {k})))").alias(f"n_{kind}")
               for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
-                        pii.span_text("spans").alias("spans"))
+                        pii.span_text("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

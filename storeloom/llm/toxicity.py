@@ -6,8 +6,9 @@ of its distinct words share. One weight vector serves all grades: with ordered t
 expected grade.
 
 Features, weights and thresholds are fitted on a bounded sample of labelled documents. The labels
-say toxic or not; the grade of a toxic document is 1, 2 or 3 by how many marked features it has
-(features far more frequent in toxic than in other labelled documents), cut at thirds.
+say toxic or not; the grade of a toxic document is 1, 2 or 3 by how much of it is toxic: the number of
+its sentences that hold a marked feature (one far more frequent in toxic than in other labelled
+documents), cut at thirds. The model sees distinct features of whole texts only, not sentences.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ BEGINNINGS = (4, 5, 6, 7)
 #: A beginning counts once more where so many distinct words share it.
 SHARED = (2, 3)
 _WORD = re.compile(r"[^\W\d_]+")
+_SENTENCE = re.compile(r"[^.!?\n]+")
 
 
 def features_of(text: str, known: Collection[str] | None = None) -> set[str]:
@@ -55,6 +57,11 @@ def features_of(text: str, known: Collection[str] | None = None) -> set[str]:
     return found if known is None else found.intersection(known)
 
 
+def marked_sentences(text: str, marked: Collection[str]) -> int:
+    """Sentences that have a marked feature."""
+    return sum(bool(features_of(x, marked)) for x in _SENTENCE.findall(text))
+
+
 @dataclass(frozen=True)
 class SeverityModel:
     """Weight of each feature and the thresholds between grades."""
@@ -161,23 +168,25 @@ def fit_severity(docs: DataFrame, labels: DataFrame, text: str = "text", id_col:
               .withColumn("z", F.round(F.abs(apart) / F.greatest(error, F.lit(1e-9)), 6))
               .where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(vocabulary).collect())
     index = {r.feature: i for i, r in enumerate(listed)}
-    marked = np.array([np.log((r.bad + 0.5) / (bad_ + 1)) - np.log(
-        (r.n - r.bad + 0.5) / (clean + 1)) > 3 for r in listed], bool)
+    marked = {r.feature for r in listed if np.log((r.bad + 0.5) / (bad_ + 1)) - np.log(
+        (r.n - r.bad + 0.5) / (clean + 1)) > 3}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            found = [sorted(index[f] for f in features_of(t, index))
-                     for t in texts_of(batch, "_text")]
+            texts, toxic_ = texts_of(batch, "_text"), batch.column(1)
+            found = [sorted(index[f] for f in features_of(t, index)) for t in texts]
+            said = [marked_sentences(t, marked) if bad else 0
+                    for t, bad in zip(texts, toxic_.to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([np.array(f, np.int32).tobytes() for f in found], pa.binary()),
-                 batch.column(1)], ["features", "toxic"])
+                 pa.array(said, pa.int64()), toxic_], ["features", "said", "toxic"])
 
     # At most ``labelled`` rows of each label, with a number for each of their features.
-    data = sorted(sample.mapInArrow(encode, "features binary, toxic int").collect(),
-                  key=lambda r: (r.toxic, bytes(r.features)))
+    data = sorted(sample.mapInArrow(encode, "features binary, said long, toxic int").collect(),
+                  key=lambda r: (r.toxic, r.said, bytes(r.features)))
     features = [np.frombuffer(r.features, np.int32) for r in data]
     bad = np.array([r.toxic for r in data])
-    found = np.array([marked[f].sum() for f in features])
+    found = np.array([r.said for r in data])
     low, high = np.quantile(found[bad == 1], [1 / 3, 2 / 3])
     grades = np.where(bad == 1, 1 + (found > low) + (found > high), 0)
     # Grades that no document has would have no threshold.

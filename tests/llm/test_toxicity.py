@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -35,6 +36,56 @@ def test_ordinal_regression_orders_grades():
     assert np.allclose(chances.sum(axis=1), 1) and (chances.argmax(axis=1) == grades).mean() > 0.95
 
 
+def loss(w, cuts, x, grades, share, decay):
+    """Weighted negative log-likelihood with its penalty, text by text."""
+    total = decay * sum(v * v for v in w) / 2
+    edges = [-math.inf, *cuts, math.inf]
+    for row, g, s in zip(x, grades, share, strict=True):
+        eta = sum(v for v, on in zip(w, row, strict=True) if on)
+        chance = 1 / (1 + math.exp(-(edges[g + 1] - eta))) if g < len(cuts) else 1.0
+        chance -= 1 / (1 + math.exp(-(edges[g] - eta))) if g else 0.0
+        total -= s * math.log(chance)
+    return total
+
+
+def test_the_fit_is_where_the_gradient_is_zero():
+    """Finite differences of the loss, written out, in every weight and threshold."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 2, (80, 4))
+    grades = np.clip(x[:, 0] + x[:, 1] + rng.integers(-1, 2, 80), 0, 3)
+    weight = rng.random(80) + 0.5
+    rows, columns = np.nonzero(x)
+    w, cuts = toxicity.fit_ordinal(rows, columns, grades, 4, weight, steps=6000, rate=0.02, decay=0.01)
+    share, h = weight / weight.sum(), 1e-5
+    point = np.concatenate([w, cuts])
+    for k in range(len(point)):
+        up, down = point.copy(), point.copy()
+        up[k], down[k] = up[k] + h, down[k] - h
+        slope = (loss(up[:4], up[4:], x, grades, share, 0.01) - loss(down[:4], down[4:], x, grades, share, 0.01)) / (2 * h)
+        assert abs(slope) < 1e-3
+    worse = point + 0.3
+    assert loss(worse[:4], worse[4:], x, grades, share, 0.01) > loss(w, cuts, x, grades, share, 0.01)
+
+
+def test_grades_follow_the_number_of_toxic_sentences(spark):
+    assert toxicity.marked_sentences("vile one. good two! vile vile three\nfour", {"vile"}) == 2
+    assert toxicity.marked_sentences("... \n!", {"vile"}) == 0 and toxicity.marked_sentences("", {"vile"}) == 0
+    rng = random.Random(3)
+    words = [f"w{c}" for c in "abcdefghijklmnop"]
+    hard = ["vile", "crude", "nasty", "foul"]
+
+    def text(k):  # of ten sentences, k hold one of the words, of which more are distinct the larger k is
+        return " ".join(" ".join(rng.choices(words, k=6) + ([hard[i % len(hard)]] if i < k else [])) + "."
+                        for i in range(10))
+
+    many = [(i, i % 10 if i % 2 else 0) for i in range(600)]
+    docs = spark.createDataFrame([(i, text(k)) for i, k in many], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k > 0)) for i, k in many], "doc_id long, toxic int")
+    got = {r.doc_id: r.severity for r in toxicity.severity(docs, toxicity.fit_severity(docs, labels)).collect()}
+    mean = [np.mean([got[i] for i, k in many if k == n]) for n in (0, 1, 3, 9)]
+    assert mean == sorted(mean) and mean[0] < 0.3 and mean[-1] > mean[1] + 0.5
+
+
 def test_awkward_input(spark, clashing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.fit_severity(clashing, none) is None
