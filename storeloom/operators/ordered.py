@@ -12,7 +12,7 @@ from storeloom.session import cut_lineage
 
 def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str | None = None,
                  running: dict[str, str] | None = None, total: str | None = None,
-                 within: Sequence[str] = ()) -> DataFrame:
+                 within: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Row number and running sums over the whole table in the given order.
 
     The rows are range-partitioned by ``order_by`` (which must identify a row, so that equal
@@ -21,13 +21,17 @@ def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str |
     settings and not by the data. Row numbers need no further exchange; running sums bring each
     stored range together again.
 
+    ``ranges`` is their number where the shuffle setting is not right for the table: choose it so that
+    a range fits a task.
+
     ``running`` maps new columns to the columns they sum, and adds the sum over all rows as
     ``<new column>_total``; ``total`` names a row-count column. With ``within``, the leading
     columns of the order, everything starts anew in each of their groups.
     """
     running = running or {}
     # The number of a row has its partition in the upper bits and counts up within it.
-    ranged = cut_lineage(df.repartitionByRange(*within, *order_by)
+    dealt = [ranges] if ranges else []
+    ranged = cut_lineage(df.repartitionByRange(*dealt, *within, *order_by)
                          .sortWithinPartitions(*within, *order_by)
                          .withColumn("_row", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_range", F.shiftright("_row", 33))
@@ -46,7 +50,7 @@ def ordered_scan(df: DataFrame, order_by: Sequence[Column | str], number: str |
     if running:
         upto = (Window.partitionBy("_range", *within).orderBy("_row")
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = ranged.repartitionByRange("_range").withColumns(
+        out = ranged.repartitionByRange(*dealt, "_range").withColumns(
             {f"_upto_{name}": F.sum(c).over(upto) for name, c in running.items()})
     same = F.col("_range") == F.col("_start_range")
     for c in within:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -47,6 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir():
         return
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if spark.conf.get("spark.checkpoint.dir", None) is None and not context.master.startswith("local") \
+            and ("://" not in warehouse or warehouse.startswith("file:")):
+        warnings.warn(f"spark.checkpoint.dir is not set and the warehouse {warehouse} may be a folder of the "
+                      "driver alone: name a folder that all executors reach", stacklevel=2)
     context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_checkpoints"))
 
 

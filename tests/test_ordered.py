@@ -134,3 +134,13 @@ def test_version_at_against_a_range_join(spark):
         got = ordered.version_at(f, v, "k", "at", "since", "until", ["name"], grain)
         assert {r.id: r.name for r in got.collect()} == want and got.columns == ["id", "k", "at", "name"]
     assert ordered.version_at(f, v.limit(0), "k", "at", "since", "until", ["name"]).filter("name IS NULL").count() == 603
+
+
+def test_the_caller_may_choose_the_ranges(spark, skewed):
+    for ranges in (1, 17):
+        scan = ordered.ordered_scan(skewed, ["v", "id"], number="nr", running={"upto": "v"}, ranges=ranges)
+        found = sorted((r.nr, r.id, r.upto) for r in scan.collect())
+        upto = 0
+        for nr, (v, i) in enumerate(sorted((r.v, r.id) for r in skewed.collect()), 1):
+            upto += v
+            assert found[nr - 1] == (nr, i, upto)
