@@ -154,14 +154,14 @@ def _rows_with(scanned: DataFrame, words: DataFrame, lowered: bool = False) -> D
 
 
 def _places_of(scanned: DataFrame, values: DataFrame) -> DataFrame:
-    """Where the given tokens are: ``_row``, ``_i``. Long ones are only looked for in rows that have
-    a token as long."""
+    """Where the given tokens are: ``value``, ``_row``, ``_i``. Long ones are only looked for in rows
+    that have a token as long."""
     asked = values.select(F.col("value").alias("x"))
     far = F.rlike(F.col("x"), F.lit(LONG))
     near = cut_lineage(asked.where(~far))
     found = _places(scanned.where("_long")).join(asked.where(far), "x", "left_semi")
     others = _places(_rows_with(scanned, near)).join(near, "x", "left_semi")
-    return found.unionByName(others).select("_row", "_i")
+    return found.unionByName(others).select(F.col("x").alias("value"), "_row", "_i")
 
 
 def _edges(scanned: DataFrame, places: DataFrame) -> DataFrame:
@@ -175,11 +175,6 @@ def _edges(scanned: DataFrame, places: DataFrame) -> DataFrame:
         "value", F.explode("patterns").alias("pattern"))
 
 
-def _edges_of(scanned: DataFrame, values: DataFrame) -> DataFrame:
-    """Distinct patterns of the given instances."""
-    return _edges(scanned, _places_of(scanned, values)).distinct()
-
-
 def _edges_beside(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
     """Distinct instances of the given patterns, by way of the word next to the instance."""
     after = F.col("pattern").startswith("<")
@@ -210,7 +205,7 @@ def _wilson(trusted: Column, all_: Column, z: float = 1.96) -> Column:
 
 
 def shaped(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
-    """Tokens that look made up, as further seeds: ``value`` and ``score``, which is 1.
+    """Tokens that look made up, as further seeds, wherever they are: ``value``, ``_row``, ``_i``.
 
     The shape of such a token is its alphabet (hexadecimal, letters of one case, of both) and its
     length. A shape is trusted if the lower bound of the share of its distinct values that stand
@@ -218,75 +213,77 @@ def shaped(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
     """
     kind = (F.when(F.col("value").rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
             .when(F.col("value").rlike("^([0-9a-z_]+|[0-9A-Z_]+)$"), "one case").otherwise("two cases"))
-    values = cut_lineage(
-        _with_tokens(scanned.where("_long"))
-        .select(F.inline(F.filter(F.transform("_tokens", lambda x, i: F.struct(
-            x.alias("value"), F.concat(F.coalesce(F.get("_tokens", i - 1), F.lit("")), F.lit(" "),
-                                       F.coalesce(F.get("_tokens", i + 1), F.lit(""))).alias("between"))),
-            lambda x: x.value.rlike(SHAPED))))
-        .groupBy("value").agg((F.min("between") == F.max("between")).alias("_once"))
-        .withColumn("shape", F.concat(kind, F.length("value").cast("string"))))
-    right = _wilson(F.count_if("_once").cast("double"), F.count("*"))
-    good = values.groupBy("shape").agg(right.alias("score")).where(F.col("score") >= confidence)
-    return values.join(good.select("shape"), "shape").select("value", F.lit(1.0).alias("score"))
+    each = cut_lineage(_with_tokens(scanned.where("_long")).select("_row", F.inline(F.filter(
+        F.transform("_tokens", lambda x, i: F.struct(
+            i.alias("_i"), x.alias("value"), F.concat(
+                F.coalesce(F.get("_tokens", i - 1), F.lit("")), F.lit(" "),
+                F.coalesce(F.get("_tokens", i + 1), F.lit(""))).alias("between"))),
+        lambda x: x.value.rlike(SHAPED)))).withColumn("shape", F.concat(kind, F.length("value").cast("string"))))
+    values = each.groupBy("shape", "value").agg((F.min("between") == F.max("between")).alias("_once"))
+    good = values.groupBy("shape").agg(_wilson(F.count_if("_once").cast("double"), F.count("*")).alias("_right"))
+    return cut_lineage(each.join(good.where(F.col("_right") >= confidence).select("shape"), "shape").select(
+        "value", "_row", "_i"))
 
 
 def bootstrap(scanned: DataFrame, confidence: float = CONFIDENCE) -> DataFrame | None:
-    """Instances found: ``value`` and ``score``; None when there is none. ``scanned`` has ``_row``,
-    ``_masked``, ``_seeds`` and ``_long`` (the row has a long token).
-
-    More instances that are not trusted only lower a pattern's score. So patterns that fall short on the
-    rows with trusted instances alone are left out before all texts are searched for the others, by
-    the word next to the instance.
+    """Where the instances found are: ``value``, ``_row``, ``_i``; None when there is none. ``scanned``
+    has ``_row``, ``_masked``, ``_seeds`` and ``_long`` (the row has a long token).
+
+    An instance keeps the score that it has when it becomes trusted, and a round only looks at patterns
+    that the instances new in it belong to: nothing has changed for the others. More instances
+    that are not trusted only lower a pattern's score. So patterns that fall short on the rows with
+    trusted instances alone are left out before all texts are searched for the others, by the word
+    next to the instance.
     """
     seeds = cut_lineage(_seed_edges(scanned))
-    seeded = seeds.groupBy("pattern").agg(F.count("*").cast("double").alias("_seeded"))
-    found = cut_lineage(shaped(scanned, confidence))
-    if found.isEmpty():
-        found = None
+    own = seeds.groupBy("pattern").agg(F.count("*").cast("double").alias("_own"))
+    fresh = shaped(scanned, confidence).withColumn("score", F.lit(1.0))
+    found, sums, touched, accepted = None, own.select("pattern", F.col("_own").alias("_sum")), own, None
     while True:
-        trusted, rows = seeded.select("pattern", F.col("_seeded").alias("_sum")), scanned.where("size(_seeds) > 0")
+        if not fresh.isEmpty():
+            places = fresh.select("value", "_row", "_i")
+            found = places if found is None else found.unionByName(places)
+            more = cut_lineage(_edges(scanned, places).distinct().join(
+                fresh.select("value", "score").distinct(), "value").groupBy("pattern").agg(F.sum("score").alias("_sum")))
+            sums = cut_lineage(sums.unionByName(more).groupBy("pattern").agg(F.sum("_sum").alias("_sum")))
+            touched = more if accepted is not None else sums
+        elif accepted is not None or found is not None:
+            return found
+        # With nothing else around it, a pattern would have all of its instances trusted.
+        may = sums.join(touched.select("pattern").distinct(), "pattern", "left_semi").where(
+            _wilson(F.col("_sum"), F.ceil("_sum")) >= confidence)
+        if accepted is not None:
+            may = may.join(accepted.select("pattern"), "pattern", "left_anti")
+        may = cut_lineage(may)
+        rows = scanned.where("size(_seeds) > 0")
         if found is not None:
-            places = cut_lineage(_places_of(scanned, found))
-            trusted = trusted.unionByName(
-                _edges(scanned, places).distinct().join(found, "value").groupBy("pattern").agg(F.sum("score").alias("_sum")))
             rows = rows.unionByName(scanned.where("size(_seeds) = 0").join(
-                places.select("_row").distinct(), "_row", "left_semi").select(*rows.columns))
-        trusted = trusted.groupBy("pattern").agg(F.sum("_sum").alias("_sum"))
-        # With nothing else around it, a pattern would have all of its instances trusted.
-        may = cut_lineage(trusted.where(_wilson(F.col("_sum"), F.ceil("_sum")) >= confidence))
-
-        def scored(part: DataFrame, may: DataFrame) -> tuple[DataFrame, DataFrame]:
-            edges = cut_lineage(_edges_beside(part, may))
-            others = edges.groupBy("pattern").agg(F.count("*").alias("_others"))
-            right = _wilson(F.col("_sum"), F.coalesce("_seeded", F.lit(0.0)) + F.coalesce("_others", F.lit(0)))
-            return edges, cut_lineage(
-                may.join(seeded, "pattern", "left").join(others, "pattern", "left")
-                .select("pattern", "_sum", right.alias("right")).where(F.col("right") >= confidence))
-
+                found.select("_row").distinct(), "_row", "left_semi").select(*rows.columns))
         for part in (rows, scanned):
             if may.isEmpty():
                 return found
-            edges, patterns = scored(part, may)
+            edges = cut_lineage(_edges_beside(part, may))
+            others = edges.groupBy("pattern").agg(F.count("*").alias("_others"))
+            right = _wilson(F.col("_sum"), F.coalesce("_own", F.lit(0.0)) + F.coalesce("_others", F.lit(0)))
+            patterns = cut_lineage(may.join(own, "pattern", "left").join(others, "pattern", "left").select(
+                "pattern", "_sum", right.alias("right")).where(F.col("right") >= confidence))
             may = patterns.select("pattern", "_sum")
-        if may.isEmpty():
-            return found
+        good = edges.join(patterns.select("pattern", "right"), "pattern")
+        accepted = good if accepted is None else accepted.unionByName(good)
+        accepted = cut_lineage(accepted)
         wrong = F.exp(F.sum(F.log1p(-F.least(F.col("right"), F.lit(1 - 1e-9)))))
-        new = cut_lineage(edges.join(patterns, "pattern").groupBy("value").agg(
-            (1 - wrong).alias("score"), F.count("*").alias("_accepted")).where(F.col("score") >= confidence))
+        new = accepted.groupBy("value").agg((1 - wrong).alias("score"), F.count("*").alias("_accepted"))
+        if found is not None:
+            new = new.join(found.select("value"), "value", "left_anti")
+        new = cut_lineage(new.where(F.col("score") >= confidence))
         words = cut_lineage(new.where("not value rlike '[0-9]'"))
         if not words.isEmpty():
-            common = _edges_of(scanned, words).groupBy("value").agg(F.count("*").alias("_all")).join(
-                words, "value").where(F.col("_accepted") < SHARE * F.col("_all"))
-            new = new.join(common.select("value"), "value", "left_anti")
-        new = cut_lineage(new.select("value", "score"))
-        if found is not None:
-            if new.join(found, "value", "left_anti").isEmpty():
-                return found
-            new = cut_lineage(new.unionByName(found).groupBy("value").agg(F.max("score").alias("score")))
-        elif new.isEmpty():
-            return None
-        found = new
+            common = _edges(scanned, _places_of(scanned, words)).distinct().groupBy("value").agg(
+                F.count("*").alias("_all")).join(words, "value").where(F.col("_accepted") < SHARE * F.col("_all"))
+            new = cut_lineage(new.join(common.select("value"), "value", "left_anti"))
+        if new.isEmpty():
+            return found
+        fresh = cut_lineage(_places_of(scanned, new).join(new.select("value", "score"), "value"))
 
 
 def detect(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
@@ -307,8 +304,7 @@ def detect(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         return scanned.select(*columns, F.col("_base").alias("spans"), *["row"] * bool(keep))
     kind = F.lit(len(KINDS))
     tokens, between = match_spans(F.col("_masked"), TOKEN)
-    hits = cut_lineage(_places_of(scanned, found).groupBy("_row").agg(
-        F.sort_array(F.collect_list("_i")).alias("_hits")))
+    hits = cut_lineage(found.groupBy("_row").agg(F.sort_array(F.collect_set("_i")).alias("_hits")))
     # What lies between the hit before and this one: tokens and gaps.
     length = ("aggregate(slice(_tokens, a.i + 1, i - a.i), 0, (n, t) -> n + length(t)) + "
               "aggregate(slice(_between, a.i + 1, i - a.i), 0, (n, t) -> n + length(t))")

@@ -144,7 +144,7 @@ def graph(texts, confidence=0.9, share=0.25):
                 new[v] = score
         if set(new) <= set(trusted):
             return set(trusted)
-        trusted = {v: max(new.get(v, 0), trusted.get(v, 0)) for v in {*new, *trusted}}
+        trusted = new | trusted  # a score stays as it was when its instance became trusted
 
 
 def secrets():
