@@ -1,4 +1,8 @@
-"""Stages from raw documents to token ids; each but the last takes and returns documents."""
+"""Stages from raw documents to token ids; each but the last takes and returns documents.
+
+An empty table passes through all stages as one, very long texts are read whole, and columns beyond
+those of ``documents`` come along whatever their names are, up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -18,27 +22,30 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, judged against their own corpus."""
+    """Documents that the quality rules keep, judged against their own corpus. A null or empty text
+    fails the base rules; repeated rows are judged alike."""
     return quality.keep_good(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts that share four fifths of their five-word runs."""
+    """One document of each class of texts that share four fifths of their five-word runs: that of
+    the least id, null ids last, and one of repeated rows. Texts without a word all stay."""
     return jaccard.keep_first(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind; null texts stay null."""
     return _with_length(pii.redact(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes, one row for each stretch of a document that one of its runs takes."""
+    """What the mix takes, shard by shard: one row for each stretch of a document that one of its
+    runs takes for a shard. Null and empty texts have no words to take; repeated rows count each."""
     return _with_length(mixing.mixed_documents(docs))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of each row's token ids and of the bytes that they decode to."""
+    """Digests of each row's token ids and of the bytes that they decode to; a null text has no ids."""
     return bpe.encoding_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                 public_tokenizers.PATTERN)
 

@@ -28,12 +28,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The frame behind a reliable checkpoint: later steps do not repeat what led to it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def whole_text(column: str) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -1,10 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""N-gram Jaccard join by bands of minimum hashes, with verification.
 
-A text is the set of its runs of five words. Texts with equal sets are one representative, which
-counts as often as it occurs. Each of the forest's tries sorts the representatives by a string of
-minimum hashes of its own; texts of similarity ``s`` share a prefix of length ``d`` in some trie with
-chance ``1 - (1 - s**d)**tries``. Prefixes are shortened from the whole string until this reaches the
-target recall at the least similarity, and what shares a prefix of that length is a node.
+A text is the set of its runs of five words, by 64-bit hashes of the runs; similarities are exact on these.
+Texts with equal sets are one representative, which counts as often as it occurs. Each band ("trie") is
+the first ``d`` of a sequence of minimum hashes of its own; texts of similarity ``s`` agree in some
+band with chance ``1 - (1 - s**d)**tries``. ``d`` is the longest that reaches the target recall at the
+least similarity, one length for all texts: this is plain banding, not the forest of sorted tries that
+shortens prefixes where the data asks for it. What agrees in a band is a node.
 
 Equal nodes of several tries are one, and a pair is looked at in the first trie that brings it
 together. Nodes are cut into blocks of bounded size, and a task meets two blocks: large nodes
@@ -253,7 +254,8 @@ def join(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     least ``similarity``, copies included. ``class_id`` is the least ``doc_id`` among the rows
     connected by links, and ``first`` is true for the rows with that id and the least text hash. A
     text of fewer than five words is one run. A null text, or one without a word, links to nothing and
-    is its own class. Null ids come after all others.
+    is its own class. Null ids come after all others; repeated rows are copies of each other. An empty
+    table gives no rows. Very long texts are read whole; other columns may have any name.
     """
     length = prefix_length(similarity, TRIES, DEPTH, recall)
     signed = cut_lineage(signatures(docs, text, id_col, length))

@@ -205,7 +205,8 @@ def scan(files: DataFrame, id_col: str = "doc_id", path: str = "path", text: str
     least ``least``, or of its SPDX tag (score 1, the expression as it stands; the tag goes first),
     ``license`` that or the one inherited from directory ``origin``. Null texts and paths count as empty
     ones; a directory with several licence files has that of the best score, then the smallest path and
-    licence. Repeated rows are scanned alike. Cosines are rounded to nine digits.
+    licence. Repeated rows are scanned alike; an empty table gives no rows. Very long texts are scanned
+    whole. Other columns are not read, whatever their names. Cosines are rounded to nine digits.
     """
     templates = TEMPLATES if templates is None else templates
     texts = TEXTS if texts is None else texts

@@ -156,8 +156,9 @@ def apply_quality(docs: DataFrame, model: QualityModel, text: str = "text",
                   keep_columns: list[str] | None = None) -> DataFrame:
     """``keep_columns`` (all columns by default) with the base counts, score and verdict.
 
-    A null text is an empty one. Repeated rows are judged one by one, alike. A result column takes
-    the place of a kept one of its name.
+    A null text is an empty one. Repeated rows are judged one by one, alike; a score equal to the
+    threshold is kept. An empty table gives no rows, a very long text is a batch of its own. A
+    result column takes the place of a kept one of its name.
     """
     kept = without(docs.columns if keep_columns is None else keep_columns, RESULTS)
     body = unused("_text", kept)

@@ -340,7 +340,8 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url: str = "url", h
     smallest id is a response and the others revisit it, all other records are responses.
 
     A null page has an empty payload. A null id comes after all others, and rows that share the
-    smallest id are all responses, as are all rows if no id is known.
+    smallest id are all responses, as are all rows if no id is known. An empty table gives no records, a
+    very long page is one record. Other columns are not read, whatever their names.
     """
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url).alias("target_uri"),

@@ -84,6 +84,22 @@ def test_pipeline(spark, tmp_path):
         docs, before_rows, before = out, rows, {r.doc_id: getattr(r, "text", "") for r in rows}
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_awkward_tables(spark, clashing, name):
+    """Nulls, repeated rows, clashing columns, long texts; then no rows at all."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, clashing, SMALL)
+    rows = out.collect()
+    if name == "byte_bpe":
+        assert len(rows) == clashing.count() and out.columns[0] == "doc_id"
+    else:
+        assert out.columns == clashing.columns
+    if name == "personal_data":
+        assert len(rows) == clashing.count() and sum(r.text is None for r in rows) == 1
+    none = stage(spark, clashing.limit(0), SMALL)
+    assert none.columns == out.columns and none.count() == 0
+
+
 def test_the_rest_imports_without_the_subpackage(tmp_path):
     for name in ("storeloom", "oracle"):
         shutil.copytree(f"{REPO}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
