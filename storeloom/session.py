@@ -59,6 +59,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _stored: list[str] = []
 
 
+def stored_frames() -> list[str]:
+    """Paths of the stored frames that are still there."""
+    return list(_stored)
+
+
+def remove_stored(spark: SparkSession, paths: list[str]) -> None:
+    """Removes stored frames that nothing reads any more."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        if name in _stored:
+            _stored.remove(name)
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes the frames that were stored inside the block. What reads them has to be written or
@@ -67,10 +82,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        while len(_stored) > before:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stored.pop())
-            path.getFileSystem(hadoop).delete(path, True)
+        remove_stored(spark, _stored[before:])
 
 
 def new_folder(spark: SparkSession) -> str:
