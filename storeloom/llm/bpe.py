@@ -29,8 +29,10 @@ from storeloom.llm.common import slices, unused, whole_text, without
 NONE = np.int64(1 << 40)
 #: Matches up to this many bytes share a tree array.
 WIDE = 64
-#: Pieces, and matches, that a worker remembers before it starts anew.
+#: Pieces that a worker remembers.
 REMEMBERED = pieces.REMEMBERED
+#: Bytes of text that are encoded at once; a worker keeps about 0.3 GB with it.
+AT_ONCE = 500_000
 
 
 def pieces_of(text: str) -> list[str]:
@@ -179,36 +181,33 @@ def ranks_of(path: str) -> Ranks:
 
 
 class Encoder:
-    """Ids of whole texts; pieces and matches that were seen before are looked up."""
+    """Ids of whole texts; pieces that were seen before are looked up."""
 
     def __init__(self, path: str, pattern: str):
         self.ranks = ranks_of(path)
         self.pattern = regex.compile(pattern)
         self.memory = pieces.Memory()
-        self.matches: dict[bytes, np.ndarray] = {}
 
     def _learn(self, new: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces that are not known yet; what they leave unknown is done at once."""
-        if len(self.matches) > REMEMBERED:
-            self.matches.clear()
+        """Ids of pieces that are not known yet; what they are made of is encoded once, all together."""
         found = []
         for p in new:
             t = p.decode()
             one = t[1:].isalpha() and (t[0] == " " or t[0].isalpha())
             found.append([p] if one else [m.encode() for m in self.pattern.findall(t)])
-        unknown = {m for ms in found for m in ms if m not in self.matches}
+        matches: dict[bytes, np.ndarray] = {}
         short = []
-        for m in unknown:
+        for m in {m for ms in found for m in ms}:
             whole = self.ranks.ids.get(m)
             if whole is not None:
-                self.matches[m] = np.array([whole], np.uint32)
+                matches[m] = np.array([whole], np.uint32)
             elif len(m) > WIDE:
-                self.matches[m] = np.array(self.ranks.one(m), np.uint32)
+                matches[m] = np.array(self.ranks.one(m), np.uint32)
             else:
                 short.append(m)
         for m, ids in zip(short, self.ranks.many(short), strict=True):
-            self.matches[m] = ids.astype(np.uint32)
-        return [self.matches[ms[0]] if len(ms) == 1 else np.concatenate([self.matches[m] for m in ms])
+            matches[m] = ids.astype(np.uint32)
+        return [matches[ms[0]] if len(ms) == 1 else np.concatenate([matches[m] for m in ms])
                 for ms in found]
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +292,7 @@ def _encoded(docs, path, pattern, text, keep, schema, names, columns) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, pattern)
-        for batch in slices(batches, body, pieces.AT_ONCE):
+        for batch in slices(batches, body, AT_ONCE):
             ids, bounds = encoder.encode_column(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *columns(ids, bounds, encoder.ranks)], [*kept, *names])

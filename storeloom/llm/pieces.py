@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces that a worker remembers before it forgets those that it rarely met.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Bytes of text that are cut at once.
-AT_ONCE = 3_000_000
+AT_ONCE = 2_000_000
 _SPACE = 0x20
 #: Bytes that are white space, or end or begin a character that may be: no cut beside them.
 _NEAR = np.zeros(256, bool)

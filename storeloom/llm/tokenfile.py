@@ -36,6 +36,8 @@ from storeloom.llm.common import slices, whole_text
 MAGIC = b"DAC1"
 SEGMENT = 1 << 20
 BLOCK = 512
+#: Pieces that a worker remembers; they are all that it holds for long.
+REMEMBERED = 300_000
 _TAIL = struct.Struct("<qqqq4s")
 
 
@@ -233,7 +235,7 @@ class LibraryEncoder:
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and the place of each text's first id."""
-        return self.memory.encode(column, self._learn, pieces.REMEMBERED)
+        return self.memory.encode(column, self._learn, REMEMBERED)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         ids, bounds = self.encode_column(pa.array(texts, pa.string()))
