@@ -36,6 +36,8 @@ DEFAULT_WEIGHTS = (3.0, 1.0, 2.0)
 LEAST_BLOCKS = 256
 #: Words of the largest source in one hash range, on average; running sums are taken range by range.
 RANGE_WORDS = 1 << 20
+#: Words of one part of a large shard, on average.
+SHARD_WORDS = 1 << 22
 
 
 def word_count(text: str) -> Column:
@@ -226,12 +228,20 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | DataFrame | None = N
     interchangeable. The same rows, weights and seed give the same mix on any cluster. ``keep``
     columns come along in a struct ``row``, whatever their names are.
     """
+    return _mixed(docs, weights, shards, share, most, seed, block_words, text, id_col, source, keep)[0]
+
+
+def _mixed(docs: DataFrame, weights: dict[str | None, float] | DataFrame | None = None, shards: int = 64,
+           share: float = 1.5, most: int = 2, seed: int = 0, block_words: int = BLOCK_WORDS,
+           text: str = "text", id_col: str = "doc_id", source: str = "source",
+           keep: Sequence[str] = ()) -> tuple[DataFrame, float]:
+    """``mix``, and the words of a shard."""
     columns = [F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"),
                word_count(text).alias("size"),
                F.xxhash64(F.lit(seed), F.col(id_col), F.col(text)).alias("key")]
     sized = cut_lineage(docs.select(*columns))
     plan = mix_plan(weighted_sources(sized, weights), shards, share, most, seed, block_words)
-    largest = plan.agg(F.max("source_size")).first()[0] or 0
+    largest, wanted = (x or 0 for x in plan.agg(F.max("source_size"), F.sum("target")).first())
     bits = min(48, max(0, (largest // RANGE_WORDS).bit_length()))
 
     hash_range = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long")
@@ -259,7 +269,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | DataFrame | None = N
              .withColumn("places", F.expr(_PLACES)).withColumn("draws", F.expr(_DRAWS)))
     taken = F.expr("aggregate(draws, 0L, (sum, x) -> sum + x.words)")
     return drawn.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"),
-                        "key", "draws", *["row"] * bool(keep))
+                        "key", "draws", *["row"] * bool(keep)), wanted / shards
 
 
 #: Draws of a run and a shard that follow each other without a gap, joined.
@@ -276,18 +286,22 @@ aggregate(array_sort(transform(draws, x -> named_struct(
         concat(done, array(x))))"""
 
 
-def _stretches(docs: DataFrame, text: str, seed: int, options: dict) -> DataFrame:
-    """``row``, ``shard``, ``_order`` and the text of each stretch of a document that a run takes for
-    one shard."""
-    mixed = mix(docs, text=text, seed=seed, keep=docs.columns, **options)
+def _shard_by_shard(docs: DataFrame, text: str, seed: int, options: dict) -> DataFrame:
+    """``row``, ``shard`` and the text of each stretch of a document that a run takes for one shard, each
+    shard together in an order of its own. A large shard is cut into parts of its order, so that no
+    task has to sort it."""
+    mixed, per_shard = _mixed(docs, text=text, seed=seed, keep=docs.columns, **options)
+    bits = min(32, (int(per_shard) // SHARD_WORDS).bit_length())
     spans = mixed.select("row", "size", "key", F.explode(F.expr(_SPANS)).alias("span"))
     words = F.regexp_extract_all(F.col(f"row.`{text}`"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     cut = F.array_join(F.slice(words, (F.col("span.first") + 1).cast("int"),
                                F.col("span.words").cast("int")), "")
     whole = F.col("span.words") == F.col("size")
-    return spans.select("row", F.col("span.shard").alias("shard"),
-                        F.xxhash64(F.lit(seed), "span.shard", "key", "span.run", "span.first").alias("_order"),
-                        F.when(whole, F.col(f"row.`{text}`")).otherwise(cut).alias("_taken"))
+    order = F.xxhash64(F.lit(seed), "span.shard", "key", "span.run", "span.first")
+    return (spans.select("row", F.col("span.shard").alias("shard"), order.alias("_order"),
+                         F.when(whole, F.col(f"row.`{text}`")).otherwise(cut).alias("_taken"))
+            .withColumn("_part", F.shiftrightunsigned("_order", 64 - bits) if bits else F.lit(0).cast("long"))
+            .repartition("shard", "_part").sortWithinPartitions("shard", "_part", "_order"))
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", seed: int = 0, **options) -> DataFrame:
@@ -295,7 +309,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", seed: int = 0, **option
     row for each stretch of a document that a run takes for a shard, its text cut to that stretch where
     that is not the whole document. Documents that the mix does not take are gone, those it takes
     twice come twice. Nulls, empty texts and tables as in ``mix``."""
-    spans = _stretches(docs, text, seed, options).repartition("shard").sortWithinPartitions("shard", "_order")
+    spans = _shard_by_shard(docs, text, seed, options)
     return spans.select(*[F.col("_taken").alias(c) if c == text else F.col(f"row.`{c}`").alias(c)
                           for c in docs.columns])
 
@@ -304,7 +318,6 @@ def write_shards(docs: DataFrame, path: str, text: str = "text", id_col: str = "
                  **options) -> None:
     """The mix as Parquet, one folder per shard, each in the order of ``mixed_documents``: ``doc_id`` and
     the words taken."""
-    spans = _stretches(docs, text, seed, {"id_col": id_col, **options})
-    (spans.repartition("shard").sortWithinPartitions("shard", "_order")
-     .select("shard", F.col(f"row.`{id_col}`").alias("doc_id"), F.col("_taken").alias("text"))
+    spans = _shard_by_shard(docs, text, seed, {"id_col": id_col, **options})
+    (spans.select("shard", F.col(f"row.`{id_col}`").alias("doc_id"), F.col("_taken").alias("text"))
      .write.partitionBy("shard").parquet(path))
