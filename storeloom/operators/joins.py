@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
 from storeloom.operators.clean import drop_null_keys
 from storeloom.operators.dedup import distinct_on
-from storeloom.operators.ordered import ordered_scan
 
 ZIP, LAT, LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
 
@@ -131,23 +130,28 @@ def customer_seller_distance(orders: DataFrame, items: DataFrame, customers: Dat
 def basket_category_pairs(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items ``a < b`` (by product) bought in one order, counted per pair of categories.
 
-    Equal products of an order first collapse to one row with a weight, and products get a global
-    number, written in base 16. Two different products differ first at exactly one digit, so
+    Equal products of an order first collapse to one row with a weight, and the products of an order
+    are numbered by it, in base 16. Two different products differ first at exactly one digit, so
     counting category totals per (order, leading digits, digit) and combining the totals of
     different digits counts every pair once. What is gathered per (order, leading digits) is at most
-    16 digits times the number of categories, however large the order is, and is paired in place.
+    16 digits times the number of categories, however large the order is, and is paired in place. An
+    order of up to 16 products has one digit.
+
+    Numbers and counts are taken where the window has brought the rows of an order together.
     """
     weights = items.groupBy("order_id", "product_id").agg(F.count("*").alias("w"))
     category = products.select("product_id", F.col("product_category_name").alias("category"))
-    numbers = ordered_scan(products.select("product_id").distinct(), ["product_id"],
-                           number="nr", total="products")
-    numbered = weights.join(category, "product_id").join(numbers, "product_id")
+    order = Window.partitionBy("order_id")
+    numbered = (weights.join(category, "product_id")
+                .withColumn("nr", F.dense_rank().over(order.orderBy("product_id")) - 1)
+                .withColumn("products", F.count("*").over(order)).filter(F.col("products") > 1))
     return _pairs_by_digit(numbered).groupBy("category_a", "category_b").agg(
         F.sum("pairs").alias("co_purchase_count"))
 
 
 def _pairs_by_digit(numbered: DataFrame, base: int = 16) -> DataFrame:
-    top = F.ceil(F.log(float(base), F.col("products").cast("double"))).cast("int")
+    """``nr`` counts from 0 and is less than ``products``, which is more than 1."""
+    top = F.ceil(F.log(float(base), F.col("products").cast("double"))).cast("int") - 1
     scale = F.pow(F.lit(base), F.col("level")).cast("bigint")
     digits = (numbered.withColumn("level", F.explode(F.sequence(F.lit(0), top)))
               .withColumn("head", F.floor(F.col("nr") / (scale * base)))

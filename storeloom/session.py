@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # What a task reads of merged partitions; its sorts and hash maps are many times that.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

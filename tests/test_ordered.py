@@ -144,3 +144,32 @@ def test_the_caller_may_choose_the_ranges(spark, skewed):
         for nr, (v, i) in enumerate(sorted((r.v, r.id) for r in skewed.collect()), 1):
             upto += v
             assert found[nr - 1] == (nr, i, upto)
+
+
+def test_basket_pairs_of_repeated_products_and_large_orders(spark):
+    """Products listed twice count per listing, and an order beyond 256 products takes three digits."""
+    items = [(1, i, i % 300) for i in range(310)] + [(2, 0, 5), (2, 1, 5), (2, 2, 7), (3, 0, 9), (4, 0, None), (4, 1, 1)]
+    listed = [(p, f"c{p % 3}") for p in range(300)] + [(7, "again")]
+    got = joins.basket_category_pairs(
+        spark.createDataFrame(items, "order_id int, order_item_id int, product_id int"),
+        spark.createDataFrame(listed, "product_id int, product_category_name string"))
+    want = {}
+    rows = [(o, p, c) for o, _, p in items for q, c in listed if p == q]
+    for oa, a, ca in rows:
+        for ob, b, cb in rows:
+            if oa == ob and a < b:
+                want[ca, cb] = want.get((ca, cb), 0) + 1
+    assert {(r["category_a"], r["category_b"]): r["co_purchase_count"] for r in got.collect()} == want
+
+
+def test_history_across_months_with_ties_and_nulls(spark):
+    day = lambda m, d: dt.datetime(2020, m, d)
+    events = [(1, day(1, 5), 3), (1, day(1, 5), 4), (1, day(3, 1), -9), (2, day(2, 2), 5), (None, day(1, 1), 7),
+              (1, None, 8)]
+    asked = [(1, day(1, 5), 10), (1, day(1, 6), 11), (1, day(2, 1), 12), (1, day(3, 1), 13), (1, day(4, 1), 14),
+             (1, day(4, 1), 15), (2, day(1, 1), 16), (None, day(1, 1), 17), (3, day(5, 5), 18)]
+    got = ordered.history_before(
+        spark.createDataFrame(asked, "k int, at timestamp_ntz, id int"),
+        spark.createDataFrame(events, "k int, at timestamp_ntz, v bigint"), "k", "at", ["v"], carry=["id"])
+    assert {r["id"]: r["v"] for r in got.collect()} == {
+        10: 0, 11: 7, 12: 7, 13: 7, 14: -2, 15: -2, 16: 0, 18: 0}
