@@ -114,35 +114,34 @@ def quantile_values(df: DataFrame, value: str, shares: Sequence[float],
 
 
 def history_before(points: DataFrame, events: DataFrame, key: str, at: str,
-                   measures: Sequence[str], grain: str = "hour",
+                   measures: Sequence[str], grain: str = "month",
                    carry: Sequence[str] | None = None) -> DataFrame:
     """For each distinct ``(key, at)`` of ``points``: sums over the events strictly before it. With
     ``carry``, for each row of ``points``, with those columns.
 
-    Events shrink to one row per key and instant before any window. Running sums work inside
-    ``(key, grain)`` slots, and the slots are carried forward by a second window that sees one row per
-    slot, so a key with a large share of the rows is spread over its slots; that second window has
-    as many rows as a key has slots, some 9 000 for a year of hours.
+    Running sums work inside ``(key, grain)`` slots, and the totals of the slots are carried forward by
+    a second window that sees one row per slot, so a key with a large share of the rows is spread over
+    its slots; that second window has as many rows as a key has slots, twelve for a year of months.
     """
-    zeros = [F.lit(0).cast(events.schema[m].dataType).alias(m) for m in measures]
+    nil, slot = F.lit(0), F.date_trunc(grain, at).alias("_slot")
+    zeros = [nil.cast(events.schema[m].dataType).alias(m) for m in measures]
     known = F.col(key).isNotNull() & F.col(at).isNotNull()
-    asked = points.filter(known).select(key, at, *zeros, F.struct(*(carry or [key])).alias("_carried"))
+    asked = points.filter(known).select(key, at, slot, F.struct(*(carry or [key])).alias("_carried"))
     if carry is None:
         asked = asked.dropDuplicates([key, at])
     nobody = F.lit(None).cast(asked.schema["_carried"].dataType).alias("_carried")
-    told = events.filter(known).groupBy(key, at).agg(*[F.sum(m).alias(m) for m in measures])
+    told = events.filter(known).select(key, at, slot, *measures)
     # Points come before the events of their own instant.
-    line = (asked.withColumn("_kind", F.lit(0))
-            .unionByName(told.select(key, at, *measures, nobody, F.lit(1).alias("_kind")))
-            .withColumn("_slot", F.date_trunc(grain, at)))
+    line = asked.select(key, at, "_slot", *zeros, "_carried", F.lit(0).alias("_kind")).unionByName(
+        told.select("*", nobody, F.lit(1).alias("_kind")))
     earlier = Window.unboundedPreceding, -1
     inside = Window.partitionBy(key, "_slot").orderBy(at, "_kind").rowsBetween(*earlier)
     across = Window.partitionBy(key).orderBy("_slot").rowsBetween(*earlier)
-    slots = (line.groupBy(key, "_slot").agg(*[F.sum(m).alias(f"_slot_{m}") for m in measures])
+    totals = told.drop(at).unionByName(points.filter(known).select(key, slot, *zeros))
+    slots = (totals.groupBy(key, "_slot").agg(*[F.sum(m).alias(f"_slot_{m}") for m in measures])
              .select(key, "_slot", *[F.sum(f"_slot_{m}").over(across).alias(f"_before_{m}")
                                      for m in measures]))
     line = line.withColumns({f"_in_{m}": F.sum(m).over(inside) for m in measures})
-    nil = F.lit(0)
     return (line.filter(F.col("_kind") == 0).join(slots, [key, "_slot"])
             .select(key, at, *[F.col(f"_carried.{c}").alias(c) for c in carry or []],
                     *[(F.coalesce(F.col(f"_in_{m}"), nil)
