@@ -36,6 +36,7 @@ class Lake:
         self.source = retail.reader(spark, base)
         self._bronze: dict[str, DataFrame] = {}
         self._silver: dict[tuple[str, bool], DataFrame] = {}
+        self._lines: dict[int, DataFrame] = {}
 
     def b(self, name: str) -> DataFrame:
         if name not in self._bronze:
@@ -67,6 +68,17 @@ class Lake:
     def raw_items(self) -> DataFrame:
         return retail.order_items_raw(self.source)
 
+    def lines(self, payload: int = 3) -> DataFrame:
+        """Silver order items for readers of the order, product, seller and, of all three columns, price."""
+        if payload not in self._lines:
+            self._lines[payload] = S.silver_order_lines(retail.order_lines(self.source, payload))
+        return self._lines[payload]
+
+    def line_metrics(self, *columns: str) -> DataFrame:
+        """Columns of the order metrics, from lines, which need fewer exchanges than whole items."""
+        return G.order_metrics(self.s("orders"), self.lines(), self.s("order_reviews"),
+                               self.s("order_payments")).select(*columns)
+
     @cached_property
     def metrics(self) -> DataFrame:
         return G.order_metrics(self.s("orders"), self.s("order_items"), self.s("order_reviews"),
@@ -107,21 +119,24 @@ class Lake:
 
     @cached_property
     def stored_seller_orders(self) -> DataFrame:
-        return cut_lineage(self.seller_orders)
-
-    @cached_property
-    def stored_routes(self) -> DataFrame:
-        return cut_lineage(G.order_routes(self.s("order_items"), self.stored_metrics,
-                                          self.s("customers"), self.s("sellers"), self.regions))
+        return cut_lineage(G.seller_orders(self.lines(), self.line_metrics(*G.SELLER_OUTCOME)).select(
+            "seller_id", "order_id", "order_purchase_timestamp", "order_delivered_customer_date", "delay_days",
+            "is_late"))
 
     @cached_property
     def stored_metrics(self) -> DataFrame:
         return cut_lineage(self.metrics)
 
+    @cached_property
+    def stored_outcomes(self) -> DataFrame:
+        return cut_lineage(self.line_metrics(*G.SALE_OUTCOME))
+
     @cached_property
     def features(self) -> DataFrame:
-        return ML.delay_features(self.stored_metrics, self.s("order_items"), self.s("products"),
-                                 self.stored_routes, self.s("order_payments"),
+        metrics = cut_lineage(self.line_metrics(
+            *G.SELLER_OUTCOME, "order_estimated_delivery_date", "total_order_value", "total_items"))
+        routes = G.order_routes(self.lines(), metrics, self.s("customers"), self.s("sellers"), self.regions)
+        return ML.delay_features(metrics, self.lines(2), self.s("products"), routes, self.s("order_payments"),
                                  self.s("order_reviews"), self.holidays)
 
     @cached_property
@@ -393,12 +408,12 @@ def seller_reviews(t):
 
 @query
 def basket_category_pairs(t):
-    return joins.basket_category_pairs(t.b("order_items"), t.b("products"))
+    return joins.basket_category_pairs(t.lines(1), t.b("products"))
 
 
 @query
 def basket_categories(t):
-    return joins.basket_categories(t.b("order_items"), t.b("products"))
+    return joins.basket_categories(t.lines(1), t.b("products"))
 
 
 @query
@@ -933,7 +948,7 @@ def fact_sales_versioned(t):
     """Sales with the key of the customer's version on the purchase day."""
     versions = _with_late_versions(t).withColumn(
         "customer_sk", C.md5_key(["customer_id", "effective_from"]))
-    return G.fact_sales(t.s("order_items"), t.stored_metrics, customer_versions=versions)
+    return G.fact_sales(t.lines(), t.stored_outcomes, customer_versions=versions)
 
 
 @query
@@ -973,7 +988,7 @@ def surrogate_key_sequence(t):
 
 @query
 def fact_sales(t):
-    return G.fact_sales(t.s("order_items"), t.stored_metrics)
+    return G.fact_sales(t.lines(), t.stored_outcomes)
 
 
 @query
@@ -982,7 +997,7 @@ def fact_sales_lookup(t):
     dims = {f"{who}s": G.surrogate_key(t.s(f"{who}s").select(f"{who}_id"), [f"{who}_id"],
                                        f"{who}_sk", how="sequence")
             for who in ("customer", "product", "seller")}
-    return G.fact_sales(t.s("order_items"), t.stored_metrics, dims)
+    return G.fact_sales(t.lines(), t.stored_outcomes, dims)
 
 
 @query

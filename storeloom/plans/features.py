@@ -13,12 +13,12 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeloom.functions import columns as C
 from storeloom.operators.ordered import history_before, ntile, ordered_scan
-from storeloom.session import ensure_checkpoint_dir
+from storeloom.session import cut_lineage, ensure_checkpoint_dir
 from storeloom.sources.writers import replace_partitions
 
 NUMERIC = [
@@ -32,9 +32,11 @@ LABEL = "is_delayed"
 
 
 def seller_history_features(seller_orders: DataFrame, reviews: DataFrame,
-                            carry: Sequence[str] | None = None) -> DataFrame:
+                            carry: Sequence[str] | None = None,
+                            asked: DataFrame | None = None) -> DataFrame:
     """Per (seller, purchase moment): what was known of the seller strictly before it. With
-    ``carry``, per row of ``seller_orders``, with those columns.
+    ``carry``, per row of ``seller_orders``, with those columns. ``asked`` are the rows of it to answer
+    for, all where it is not given.
 
     A delay counts from its delivery on and a score from its review on, never from the earlier
     purchase. ``seller_orders`` has one row per (seller, order).
@@ -50,7 +52,7 @@ def seller_history_features(seller_orders: DataFrame, reviews: DataFrame,
                       nil.alias("deliveries"), nil.alias("delay_sum"), nil.alias("late"),
                       F.col("review_score").isNotNull().cast("bigint").alias("scores"),
                       F.coalesce("review_score", F.lit(0)).cast("bigint").alias("score_sum")))
-    asked = seller_orders.select("seller_id", F.col("order_purchase_timestamp").alias("at"), *(carry or []))
+    asked = (seller_orders if asked is None else asked).select("seller_id", F.col("order_purchase_timestamp").alias("at"), *(carry or []))
     sums = history_before(asked, delays.unionByName(scores), "seller_id", "at",
                           ["deliveries", "delay_sum", "late", "scores", "score_sum"], carry=carry)
     rate = C.ratio(F.col("late") * 100, F.col("deliveries"))
@@ -76,23 +78,37 @@ def delay_features(metrics: DataFrame, items: DataFrame, products: DataFrame,
         "order_id", "order_purchase_timestamp", "order_estimated_delivery_date",
         F.col("total_order_value").cast("double").alias("total_value"), "total_items",
         F.col("is_late").cast("int").alias(LABEL))
-    per_product = (items.groupBy("order_id", "product_id", "seller_id").agg(F.count("*").alias("n"))
-                   .join(products.select("product_id", "product_weight_g", "product_volume_cm3",
-                                         "product_category_name"), "product_id", "left"))
+    per_product = items.select("order_id", "product_id", "seller_id").join(
+        products.select("product_id", "product_weight_g", "product_volume_cm3", "product_category_name"),
+        "product_id", "left")
     main = F.max(F.struct("product_weight_g", "product_id", "seller_id", "product_volume_cm3",
                           "product_category_name"))
-    basket = per_product.groupBy("order_id").agg(
-        F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("seller_id").alias("unique_sellers"), main.alias("m"))
+    # Ranks within an order, instead of distinct counts that triple the rows and send them twice. The rank of
+    # NULL comes first and does not count.
+    order = Window.partitionBy("order_id")
+    ranked = per_product.withColumns({f"_{c}": F.dense_rank().over(order.orderBy(c))
+                                      for c in ("product_id", "seller_id")})
+    distinct = lambda c: (F.max(f"_{c}") - F.max(F.col(c).isNull().cast("int"))).cast("bigint")
+    basket = cut_lineage(ranked.groupBy("order_id").agg(
+        distinct("product_id").alias("unique_products"), distinct("seller_id").alias("unique_sellers"),
+        main.alias("m")))
+    told = cut_lineage(routes.select(
+        "order_id", "seller_id", "order_purchase_timestamp", "order_delivered_customer_date", "delay_days",
+        "is_late", "seller_region", "customer_region", "distance_category")
+        .join(basket.select("order_id", F.col("m.seller_id").alias("_main")), "order_id", "left")
+        .withColumn("_main", F.coalesce(F.col("seller_id") == F.col("_main"), F.lit(False))))
     paid = payments.groupBy("order_id").agg(
         F.count("*").alias("payment_count"), F.max("payment_installments").alias("max_installments"),
         F.max(F.coalesce((C.clean_lower("payment_type") == "credit_card").cast("int"), F.lit(0)))
         .alias("used_credit_card"))
     history = seller_history_features(
-        routes, reviews, ["order_id", "seller_region", "customer_region", "distance_category"])
-    rows = (asked.join(basket, "order_id").join(paid, "order_id", "left")
-            .withColumn("seller_id", F.col("m.seller_id"))
-            .join(history.drop("order_purchase_timestamp"), ["order_id", "seller_id"], "left"))
+        told, reviews, ["order_id", "seller_region", "customer_region", "distance_category"],
+        told.filter("_main")).drop("order_purchase_timestamp").withColumnsRenamed(
+        {"order_id": "_order", "seller_id": "_seller"})
+    # By order alone, as the rows lie; the seller is a test, which an equality would make a second key.
+    same = (F.col("order_id") == F.col("_order")) & F.coalesce(
+        F.col("m.seller_id") == F.col("_seller"), F.lit(False))
+    rows = asked.join(basket, "order_id").join(paid, "order_id", "left").join(history, same, "left")
     weekday = F.weekday(bought) + 1
     rows = rows.withColumn("is_holiday", F.lit(0))
     if holidays is not None:

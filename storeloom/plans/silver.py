@@ -86,6 +86,11 @@ def silver_order_items(items: DataFrame, run_ts: str, keyed: bool = False) -> Da
     return clean.with_audit(out, run_ts)
 
 
+def silver_order_lines(lines: DataFrame) -> DataFrame:
+    """The keys and values of ``silver_order_items`` that ``lines`` has, where they have one row per key."""
+    return lines.withColumns({c: C.money(c) for c in ("price", "freight_value") if c in lines.columns})
+
+
 def silver_order_payments(payments: DataFrame, run_ts: str, keyed: bool = False) -> DataFrame:
     typed = _distinct(payments.select(
         "order_id", "payment_sequential", C.clean_lower("payment_type").alias("payment_type"),

@@ -133,3 +133,27 @@ def test_temporal_split(spark):
 
 def test_retrain_rule():
     assert ML.should_retrain(31, 0) and ML.should_retrain(0, 11) and not ML.should_retrain(30, 10)
+
+
+def test_features_of_missing_and_repeated_keys(spark):
+    """Distinct counts leave NULL out, and only the main seller's history counts."""
+    at = lambda s: F.lit(s).cast("timestamp_ntz")
+    metrics = spark.createDataFrame([(1, 10.0, 4), (2, 5.0, 1)], "order_id int, total_order_value double, total_items int") \
+        .withColumns({"order_purchase_timestamp": at("2020-02-01"), "order_estimated_delivery_date": at("2020-02-11"),
+                      "is_late": F.lit(False)})
+    items = spark.createDataFrame([(1, 7, 1), (1, 7, 2), (1, 8, 2), (1, None, None), (2, None, None)],
+                                  "order_id int, product_id int, seller_id int")
+    products = spark.createDataFrame([(7, 100, 10, "a"), (8, 300, 20, "b"), (8, 200, 30, "c")],
+                                     "product_id int, product_weight_g int, product_volume_cm3 int, "
+                                     "product_category_name string")
+    routes = spark.createDataFrame([(1, 1, "S"), (1, 2, "N"), (9, 2, "N")], "order_id int, seller_id int, seller_region string") \
+        .withColumns({"customer_region": F.lit("N"), "distance_category": F.lit("LOCAL"), "delay_days": F.lit(4),
+                      "order_purchase_timestamp": F.when(F.col("order_id") == 9, at("2020-01-01")).otherwise(at("2020-02-01")),
+                      "order_delivered_customer_date": F.when(F.col("order_id") == 9, at("2020-01-20")),
+                      "is_late": F.when(F.col("order_id") == 9, True)})
+    none = spark.createDataFrame([], "order_id int, payment_type string, payment_installments int, review_score int, "
+                                     "review_creation_date timestamp_ntz")
+    got = rows(ML.delay_features(metrics, items, products, routes, none, none), "order_id")
+    assert [(r["unique_products"], r["unique_sellers"], r["weight_g"], r["category_name"], r["seller_region"],
+             r["avg_delay_history"]) for r in got] == [
+        (2, 2, 300, "b", "N", 4.0), (0, 0, None, "unknown", None, None)]
