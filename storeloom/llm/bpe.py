@@ -188,8 +188,9 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.memory = pieces.Memory()
 
-    def _learn(self, new: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces that are not known yet; what they are made of is encoded once, all together."""
+    def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are not known yet, and how many each has; what they are made of is
+        encoded once, all together."""
         found = []
         for p in new:
             t = p.decode()
@@ -207,8 +208,10 @@ class Encoder:
                 short.append(m)
         for m, ids in zip(short, self.ranks.many(short), strict=True):
             matches[m] = ids.astype(np.uint32)
-        return [matches[ms[0]] if len(ms) == 1 else np.concatenate([matches[m] for m in ms])
-                for ms in found]
+        parts = [matches[m] for ms in found for m in ms]
+        ends = np.cumsum([0, *map(len, parts)])
+        of = np.cumsum([0, *map(len, found)])
+        return np.concatenate(parts), np.diff(ends[of])
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and the place of each text's first id."""

@@ -1,34 +1,54 @@
 """Texts as numbered pieces, for encoders that look at a piece once.
 
 A column of texts is cut, without a string for any piece, before each space that stands between two
-characters that are no white space, between an ASCII letter and a stop or line feed after it, and
+characters that are no white space, between an ASCII letter and a sign of ``_SIGN`` after it, and
 between a line feed that stands alone and an ASCII letter. No match of a split pattern crosses such
-a place if its letters never take in a stop, and its words nothing before them but one character
-that is no line feed. Equal pieces of a batch get one number, and what a worker knows of a piece is kept in one flat
-array, so that the ids of whole texts are gathered by position.
+a place if its letters never take in a sign, and its words nothing before them but one character
+that is no line feed. Equal pieces of a batch get one number, and what a worker knows of a piece is
+kept in one flat array, so that the ids of whole texts are gathered by position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 
 #: Pieces that a worker remembers before it forgets those that it rarely met.
 REMEMBERED = 150_000
+#: Ids that a worker remembers for each of these pieces, long ones and short ones together.
+LONG = 8
 #: Bytes of text that are cut at once.
 AT_ONCE = 2_000_000
-_SPACE = 0x20
-#: Bytes that are white space, or end or begin a character that may be: no cut beside them.
-_NEAR = np.zeros(256, bool)
-_NEAR[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-_VISIBLE = np.zeros(256, bool)
-_VISIBLE[0x21:0x7F] = True
-_STOP = np.zeros(256, bool)
-_STOP[list(b".,;:!?\n")] = True
+#: Cut after a letter; without the apostrophe of short forms, and without signs in or at the end of names
+#: as ``<|end_of-text|>``.
+_SIGN = np.zeros(256, bool)
+_SIGN[list(b'.,;:!?"#$%&()*+<=@[\\^`{~\n')] = True
+
+
+def _within(data: np.ndarray, first: int, last: int) -> np.ndarray:
+    return data - np.uint8(first) <= np.uint8(last - first)
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Whether a piece begins at each byte, as far as the bytes around it tell."""
+    # First bytes of characters of two and three bytes that may be white space.
+    two, three = data == 0xC2, _within(data, 0xE1, 0xE3)
+    near = _within(data, 0x09, 0x0D) | _within(data, 0x1C, 0x20) | two | three
+    new = data == 0x20
+    new[:1] = new[-1:] = False
+    new[1:] &= ~near[:-1]
+    new[:-1] &= ~near[1:]
+    # Such a character before the space shows its first byte two or three back.
+    new[2:] &= ~two[:-2]
+    new[3:] &= ~three[:-3]
+    letter = _within(data | np.uint8(0x20), 0x61, 0x7A)
+    new[1:] |= letter[:-1] & _SIGN[data[1:]]
+    # What follows more than one white space can change how they are split.
+    new[2:] |= _within(data[:-2], 0x21, 0x7E) & (data[1:-1] == 0x0A) & letter[2:]
+    return new
 
 
 class Pieces:
@@ -41,17 +61,7 @@ class Pieces:
         data = np.frombuffer(data or b"", np.uint8)[offsets[0]:offsets[-1]]
         bounds = offsets - offsets[0]
         n = len(data)
-        new = np.zeros(n + 1, bool)
-        spaces = np.flatnonzero(data == _SPACE)
-        spaces = spaces[(spaces > 0) & (spaces < n - 1)]
-        # A character of two or three bytes before the space shows its first byte two or three back.
-        before = _NEAR[data[spaces - 1]] | (data[np.maximum(spaces - 2, 0)] == 0xC2) | (
-            (data[np.maximum(spaces - 3, 0)] >= 0xE1) & (data[np.maximum(spaces - 3, 0)] <= 0xE3))
-        new[spaces[~(before | _NEAR[data[spaces + 1]])]] = True
-        letter, feed = _LETTER[data], data == 0x0A
-        new[1:n] |= letter[:-1] & _STOP[data[1:]]
-        # What follows more than one white space can change how they are split.
-        new[2:n] |= _VISIBLE[data[:-2]] & feed[1:-1] & letter[2:]
+        new = np.append(_cuts(data), False)
         new[bounds] = True
         starts = np.flatnonzero(new[:n])
         ends = np.append(starts, n).astype(np.int32)
@@ -60,7 +70,7 @@ class Pieces:
         ).dictionary_encode()
         #: Number of each piece, the distinct pieces, and the first piece of each text.
         self.index = found.indices.to_numpy(zero_copy_only=False)
-        self.distinct: list[bytes] = found.dictionary.to_pylist()
+        self.distinct: list[bytes] = found.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.first = np.searchsorted(starts, bounds)
 
 
@@ -84,7 +94,7 @@ class Memory:
         """Keeps what was met in more than one batch, and what the batch at hand needs."""
         keep = self.met > 1
         keep[needed] = True
-        if keep.sum() > most // 2:
+        if keep.sum() > most // 2 or self.lengths[keep].sum() > LONG * most // 2:
             keep[:] = False
             keep[needed] = True
         kept = np.flatnonzero(keep)
@@ -94,26 +104,26 @@ class Memory:
         self.met = np.zeros(len(kept), np.int64)
         self.slots = {names[k]: i for i, k in enumerate(kept.tolist())}
 
-    def encode(self, column: pa.Array, learn: Callable[[list[bytes]], list[np.ndarray]],
+    def encode(self, column: pa.Array, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
                most: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts without nulls, and the place of each text's first id, with the
-        end of the last. ``learn`` gives the ids of pieces that are not known yet."""
+        end of the last. ``learn`` gives the ids of pieces that are not known yet one after another, and
+        how many each has."""
         pieces = Pieces(column)
-        get = self.slots.get
-        slots = np.array([get(p, -1) for p in pieces.distinct], np.int64)
+        slots = np.fromiter(map(self.slots.get, pieces.distinct, repeat(-1)), np.int64, len(pieces.distinct))
         unknown = np.flatnonzero(slots < 0)
         if len(unknown):
             new = [pieces.distinct[i] for i in unknown.tolist()]
-            found = learn(new)
+            found, lengths = learn(new)
             first = len(self.slots)
             slots[unknown] = np.arange(first, first + len(new))
             self.slots.update(zip(new, range(first, first + len(new)), strict=True))
-            self.flat = np.concatenate([self.flat, *found])
-            self.lengths = np.append(self.lengths, np.fromiter(map(len, found), np.int64, len(found)))
+            self.flat = np.append(self.flat, found)
+            self.lengths = np.append(self.lengths, lengths)
             self.starts = np.cumsum(self.lengths) - self.lengths
             self.met = np.append(self.met, np.zeros(len(new), np.int64))
         self.met[slots] += 1
         ids, lengths = self.gather(slots[pieces.index])
-        if len(self.slots) > most:
+        if len(self.slots) > most or len(self.flat) > LONG * most:
             self._forget(slots, most)
         return ids, np.concatenate([[0], np.cumsum(lengths)])[pieces.first]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -31,6 +32,61 @@ def test_library_encoder():
         assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+class _Counted:
+    """The library's tokenizer; counts the calls of its model."""
+
+    def __init__(self, library):
+        self.encode, self.calls, outer = library.encode, 0, self
+
+        class Model:
+            token_to_id = library.model.token_to_id
+
+            def tokenize(self, match, model=library.model):
+                outer.calls += 1
+                return model.tokenize(match)
+
+        self.model = Model()
+
+
+def _odd_texts(n):
+    rng = random.Random(8)
+    letters = list("aeiou tnsr  \n\t'é🙂日1295.,!#\x1c\x85\xa0　\"$%&()*+<=@[\\^`{~|>]}_-/ÿõ") + [
+        "'s", " the", "<|endoftext|>", " naïve", " word", "Word"]
+    return ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_new_pieces_are_asked_many_at_a_time():
+    library = Tokenizer.from_file(PATH)
+    encoder = tokenfile.LibraryEncoder(PATH, P.PATTERN)
+    encoder.tokenizer = counted = _Counted(library)
+    texts = [" ".join(f"{a}{b}{c}õ" for a in "klmnop") for b in "aeiouy" for c in "klmnoprstuvw"] + _odd_texts(1500)
+    for t, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert 0 < counted.calls < len(encoder.memory.slots) / 20
+
+
+def test_without_a_letter_between():
+    library = Tokenizer.from_file(PATH)
+    encoder = tokenfile.LibraryEncoder(PATH, P.PATTERN)
+    assert encoder.between is not None
+    encoder.between = None
+    texts = _odd_texts(200)
+    for t, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+@pytest.mark.parametrize("most", [3, 200, 100_000])
+def test_memory_is_bounded_by_pieces_and_ids(most, monkeypatch):
+    monkeypatch.setattr(tokenfile, "REMEMBERED", most)
+    library = Tokenizer.from_file(PATH)
+    encoder = tokenfile.LibraryEncoder(PATH, P.PATTERN)
+    for k, t in enumerate(_odd_texts(60) + ["日本語" * 40 + str(k) for k in range(60)]):
+        ids = encoder.encode([t, "the end"])[0].tolist()
+        assert ids == library.encode(t, add_special_tokens=False).ids, repr(t)
+        assert len(encoder.memory.slots) == len(encoder.memory.lengths)
+        assert len(encoder.memory.flat) <= max(8 * most, 2 * len(ids) + 10)
+
+
 def test_files(spark, clashing, texts, monkeypatch):
     folder = shared_folder(spark, "test")
     files = tokenfile.write_tokens(clashing, PATH, P.PATTERN, folder)
