@@ -21,7 +21,7 @@ REMEMBERED = 150_000
 #: Ids that a worker remembers for each of these pieces, long ones and short ones together.
 LONG = 8
 #: Bytes of text that are cut at once.
-AT_ONCE = 2_000_000
+AT_ONCE = 4_000_000
 #: Cut after a letter; without the apostrophe of short forms, and without signs in or at the end of names
 #: as ``<|end_of-text|>``.
 _SIGN = np.zeros(256, bool)
