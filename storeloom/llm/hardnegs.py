@@ -1,99 +1,127 @@
 """Hard negatives for each anchor's positives by a secondary sort of scored pairs.
 
-Vectors and anchors are packed into blocks that meet on a grid, and each meeting is one matrix
-product. Twice, pairs are shuffled by anchor and sorted inside the partitions by (anchor, descending
+Vectors and anchors are packed into blocks that meet on a grid, whose cells hold their anchors while the
+blocks of vectors pass, and each meeting is one matrix product, of rows of the same label where only those
+count. Twice, pairs are shuffled by anchor and sorted inside the partitions by (anchor, descending
 score, positives first, id), the DataFrame form of repartitionAndSortWithinPartitions, and read as a
 stream that holds counters only, never an anchor's pairs. The first stream takes each anchor's
 positives. The second one has the positives and the candidates of their windows: a positive opens
 its window of scores when it passes, a negative goes to every open window that it lies in, and a
-full window takes no more. A meeting of blocks sends only pairs that can still count: the first
-positives of each anchor, and the first negatives of each window.
+full window takes no more. A cell sends only pairs that can still count: the first positives that an
+anchor meets there, and the first negatives of each window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.topk import pack, quantised, usable
+from storeloom.llm import topk
+from storeloom.llm.topk import AT_ONCE, HELD, RESULTS, Best, Rows, first_of, meetings, pack, quantised, usable
 from storeloom.session import cut_lineage
 
+__all__ = ["bounds", "first_of", "mine", "product"]
+
 #: Vectors and anchors of a block.
 BLOCK = 4096
 ANCHOR_BLOCK = 512
 POSITIVE, NEGATIVE = 0, 1
-_KINDS = {"anchor": pa.int64(), "anchor_id": pa.int64(), "score": pa.int64(), "kind": pa.int32(),
-          "id": pa.int64()}
+_KINDS = ["anchor", "anchor_id", "score", "kind", "id"]
 _PAIR = "anchor long, anchor_id long, score long, kind int, id long"
 
 
-def first_of(scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` highest scores, highest first, ties in the order of places."""
-    if len(scores) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        places = np.flatnonzero(scores >= least)
-    else:
-        places = np.arange(len(scores))
-    return places[np.argsort(-scores[places], kind="stable")][:k]
-
-
 def bounds(score: int, low: int, high: int) -> tuple[int, int]:
     """Least and largest score n with low * score <= 100 * n <= high * score."""
     return -(-low * score // 100), high * score // 100
 
 
 def product(anchors: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Integer inner products; doubles where all sums are below 2**53, so that they are exact."""
-    most = int(np.abs(anchors).max(initial=0)) * int(np.abs(vectors).max(initial=0))
-    if most * max(anchors.shape[1], 1) < 1 << 53:
-        return (anchors.astype(np.float64) @ vectors.astype(np.float64).T).astype(np.int64)
-    return anchors @ vectors.T
-
-
-def _meetings(data: DataFrame, asked: DataFrame, head: int,
-              choose: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """Pairs that ``choose`` takes wherever a block of anchors meets one of vectors.
-
-    A vector is preceded by its label, an anchor by ``head`` numbers: id, label and what else
-    ``choose`` reads. ``choose`` gets those numbers, the ids and labels of the block's other rows in
-    the order of ids, and their scores, and returns places among them.
-    """
-    groups = max(1, int(data.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    left = data.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    right = asked.select(
-        (F.col("dim") - head + 1).alias("a_dim"), F.col("ids").alias("a_ids"),
-        F.col("vectors").alias("a_vectors"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("a_g"))
-    met = left.join(right, (F.col("g") == F.col("a_g")) & (F.col("dim") == F.col("a_dim")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                ids, vectors, keys, anchors = (c[row].as_py() for c in batch.columns)
-                ids, keys = np.frombuffer(ids, np.int64), np.frombuffer(keys, np.int64)
-                vectors = np.frombuffer(vectors, np.int64).reshape(len(ids), -1)
-                anchors = np.frombuffer(anchors, np.int64).reshape(len(keys), -1)
-                order = np.argsort(ids, kind="stable")
-                ids, labels = ids[order], vectors[order, 0]
-                scores = product(anchors[:, head:], vectors[order, 1:])
-                out: list[list[np.ndarray]] = [[], [], [], [], []]
-                for key, numbers, row_scores in zip(keys.tolist(), anchors[:, :head], scores, strict=True):
-                    own, label = int(numbers[0]), int(numbers[1])
-                    chosen = choose(numbers, ids, labels, row_scores)
-                    n = len(chosen)
-                    for column, values in zip(out, (
-                            np.full(n, key), np.full(n, own), row_scores[chosen],
-                            np.where(labels[chosen] == label, POSITIVE, NEGATIVE), ids[chosen]), strict=True):
-                        column.append(values)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), t) for c, t in zip(out, _KINDS.values(), strict=True)],
-                    names=list(_KINDS))
-
-    return met.select("ids", "vectors", "a_ids", "a_vectors").mapInArrow(run, _PAIR)
+    """Integer inner products, exact."""
+    return topk.product(Rows(anchors), np.arange(len(anchors)), Rows(vectors)).astype(np.int64)
+
+
+class Positives:
+    """Each anchor's first rows of its label and another id among those that have passed."""
+
+    def __init__(self, keys: np.ndarray, heads: np.ndarray, anchors: np.ndarray, k: int):
+        order = np.argsort(heads[:, 1], kind="stable")
+        self.keys, self.labels = keys[order], heads[order, 1]
+        self.best = Best(heads[order, 0], anchors[order].astype(np.int64), k)
+
+    def look(self, ids: np.ndarray, heads: np.ndarray, vectors: np.ndarray) -> None:
+        order = np.lexsort((ids, heads[:, 0]))
+        ids, labels, vectors = ids[order], heads[order, 0], vectors[order]
+        for label in np.intersect1d(labels, self.labels):
+            mine = np.arange(*(np.searchsorted(self.labels, label, side) for side in ("left", "right")))
+            rows = slice(*(np.searchsorted(labels, label, side) for side in ("left", "right")))
+            self.best.meet(mine, ids[rows], Rows(vectors[rows]))
+
+    def results(self) -> Iterator[list[np.ndarray]]:
+        for key, own, ids, scores in self.best.results(self.keys, self.best.own):
+            yield [key, own, scores, np.full(len(key), POSITIVE, np.int32), ids]
+
+
+class Windows:
+    """The first rows of another label and id in each window of an anchor's scores, among those that
+    have passed. A row that is first in several windows is there once."""
+
+    def __init__(self, keys: np.ndarray, heads: np.ndarray, anchors: np.ndarray, k: int, low: int, high: int):
+        self.keys, self.own, self.labels = keys, heads[:, 0], heads[:, 1]
+        self.anchors, self.k, self.passed = Rows(anchors.astype(np.int64)), k, 0
+        found = [[bounds(s, low, high) for s in scores[:n]] + [(1, 0)] * (len(scores) - n)
+                 for n, scores in zip(heads[:, 2].tolist(), heads[:, 3:].tolist(), strict=True)]
+        #: Least and largest score that still counts in each window, and those of the window itself.
+        self.window = np.array(found, np.int64).reshape(len(keys), -1, 2)
+        self.least = self.window[:, :, 0].copy()
+        self.found = [np.zeros((3, 0), np.int64)] * len(keys)  # score, id, place among all that have passed
+
+    def look(self, ids: np.ndarray, heads: np.ndarray, vectors: np.ndarray) -> None:
+        labels, vectors = heads[:, 0], Rows(vectors)
+        for start in range(0, len(self.keys), AT_ONCE):
+            some = np.arange(start, min(start + AT_ONCE, len(self.keys)))
+            scores = topk.product(self.anchors, some, vectors)
+            hit = np.zeros(len(some), bool)
+            for least, largest in zip(self.least[some].T.astype(scores.dtype),
+                                      self.window[some, :, 1].T.astype(scores.dtype), strict=True):
+                rest = np.flatnonzero(~hit)
+                here = scores if len(rest) == len(some) else scores[rest]
+                hit[rest] = ((here >= least[rest, None]) & (here <= largest[rest, None])).any(axis=1)
+            for i in np.flatnonzero(hit).tolist():
+                self._add(start + i, scores[i], ids, labels)
+        self.passed += len(ids)
+
+    def _add(self, anchor: int, scores: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> None:
+        open_ = self.least[anchor] <= self.window[anchor, :, 1]
+        least, largest = self.least[anchor][open_].min(), self.window[anchor, :, 1][open_].max()
+        places = np.flatnonzero((scores >= scores.dtype.type(least)) & (scores <= scores.dtype.type(largest)))
+        places = places[(labels[places] != self.labels[anchor]) & (ids[places] != self.own[anchor])]
+        if not len(places):
+            return
+        rows = np.concatenate([self.found[anchor], np.stack(
+            [scores[places].astype(np.int64), ids[places], self.passed + places])], axis=1)
+        rows = rows[:, np.lexsort((rows[2], rows[1], -rows[0]))]
+        falling, chosen = -rows[0], [np.zeros(0, np.int64)]
+        for window, (low, high) in enumerate(self.window[anchor].tolist()):
+            first = int(np.searchsorted(falling, -high, "left"))
+            last = min(int(np.searchsorted(falling, -low, "right")), first + self.k)
+            chosen.append(np.arange(first, last))
+            if last - first == self.k:
+                self.least[anchor, window] = rows[0, last - 1]
+        self.found[anchor] = rows[:, np.unique(np.concatenate(chosen))]
+
+    def results(self) -> Iterator[list[np.ndarray]]:
+        counts = np.array([f.shape[1] for f in self.found], np.int64)
+        step = max(1, RESULTS // max(1, self.k * self.window.shape[1]))
+        for start in range(0, len(counts), step):
+            n, part = counts[start:start + step], slice(start, start + step)
+            if n.sum():
+                score, other, _ = np.concatenate(self.found[part], axis=1)
+                yield [np.repeat(self.keys[part], n), np.repeat(self.own[part], n), score,
+                       np.full(len(score), NEGATIVE, np.int32), other]
 
 
 def _sorted_pairs(pairs: DataFrame) -> DataFrame:
@@ -148,7 +176,7 @@ def _window_negatives(pairs: DataFrame, k: int, low: int, high: int) -> DataFram
 def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int = 3,
          low: int = 50, high: int = 95, id_col: str = "vec_id", vector: str = "embedding",
          label: str = "label", scale: int = 256, block: int = BLOCK,
-         anchor_block: int = ANCHOR_BLOCK) -> DataFrame:
+         anchor_block: int = ANCHOR_BLOCK, held: int = HELD) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score``.
 
     A row's score is its integer inner product with the anchor, of vectors quantised by ``scale``;
@@ -171,34 +199,23 @@ def mine(vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives:
             F.col(id_col).cast("long").alias("id"), F.col(label).cast("long").alias("label"),
             quantised(vector, scale).alias("vector"))
 
-    data = cut_lineage(pack(clean(vectors).select(
-        "id", F.concat(F.array("label"), "vector").alias("vector")), block))
-    asked = cut_lineage(cut_lineage(clean(anchors).dropDuplicates()).withColumn(
+    data = cut_lineage(pack(clean(vectors).select("id", F.array("label").alias("head"), "vector"), block))
+    asked = cut_lineage(clean(anchors).dropDuplicates().withColumn(
         "anchor", F.monotonically_increasing_id()))
 
-    def same(numbers, ids, labels, scores):
-        places = np.flatnonzero((labels == numbers[1]) & (ids != numbers[0]))
-        return places[first_of(scores[places], positives)]
-
-    def inside(numbers, ids, labels, scores):
-        places = np.flatnonzero((labels != numbers[1]) & (ids != numbers[0]))
-        places = places[np.argsort(-scores[places], kind="stable")]
-        falling = -scores[places]
-        chosen = [np.zeros(0, np.int64)]
-        for score in numbers[3:3 + int(numbers[2])].tolist():
-            least, largest = bounds(score, low, high)
-            start = int(np.searchsorted(falling, -largest, "left"))
-            end = int(np.searchsorted(falling, -least, "right"))
-            chosen.append(np.arange(start, min(end, start + negatives)))
-        return places[np.unique(np.concatenate(chosen))]
-
-    found = cut_lineage(_first_positives(_meetings(data, pack(asked.select(
-        F.col("anchor").alias("id"), F.concat(F.array("id", "label"), "vector").alias("vector")),
-        anchor_block), 2, same), positives))
+    def first(keys, heads, rows):
+        return Positives(keys, heads, rows, positives)
+
+    def inside(keys, heads, rows):
+        return Windows(keys, heads, rows, negatives, low, high)
+
+    found = cut_lineage(_first_positives(meetings(data, cut_lineage(pack(asked.select(
+        F.col("anchor").alias("id"), F.array("id", "label").alias("head"), "vector"),
+        anchor_block)), first, _KINDS, _PAIR, held), positives))
     # At most ``positives`` scores for each anchor, filled up to that number with zeros.
     scores = found.groupBy("anchor").agg(F.collect_list("score").alias("found"))
     windows = asked.join(scores, "anchor").select(F.col("anchor").alias("id"), F.concat(
         F.array("id", "label", F.size("found").cast("long")), "found",
-        F.array_repeat(F.lit(0).cast("long"), positives - F.size("found")), "vector").alias("vector"))
-    candidates = _meetings(data, pack(windows, anchor_block), 3 + positives, inside)
+        F.array_repeat(F.lit(0).cast("long"), positives - F.size("found"))).alias("head"), "vector")
+    candidates = meetings(data, cut_lineage(pack(windows, anchor_block)), inside, _KINDS, _PAIR, held)
     return _window_negatives(found.unionByName(candidates), negatives, low, high)

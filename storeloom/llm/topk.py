@@ -1,17 +1,20 @@
 """Exact top-k inner products by the threshold algorithm over sorted per-dimension lists.
 
-All vectors are packed into blocks, the queries into smaller ones. Where a block of queries meets a block
-of vectors, each dimension of the block is one list, sorted once. A query reads its lists from the end
+All vectors are packed into blocks, and so are the queries. Groups of blocks meet on a grid whose cells
+are shuffle partitions: a cell holds its queries, whose number is bounded, and the blocks of vectors pass one
+by one. Each dimension of a block is one list. A query reads its lists from the end
 that helps it (the smallest values first where its component is negative), a few rows deeper each
 time; rows seen for the first time get their whole score. The values at the present depth bound the
-score of every row not seen yet, and the query stops as soon as that bound is below its k-th score.
-The best of each block then meet in one ranking per query.
+score of every row not seen yet, and the query stops as soon as that bound is below its k-th score, which
+it keeps from block to block. Queries whose bound tells that they would see much of a block get the
+scores of all its rows by one matrix product. The best of each cell then meet in one ranking per query.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +22,23 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storeloom.session import cut_lineage
+
 #: Vectors and queries of a block.
 BLOCK = 4096
 QUERY_BLOCK = 256
+#: Components of all queries that a cell of the grid holds, about.
+HELD = 1 << 22
 #: Depth of the first look into the lists; it doubles.
 FIRST_DEPTH = 8
-_PACKED = "block string, dim int, n int, ids binary, vectors binary"
+#: A look at more than this share of a block reads it whole.
+WHOLE = 1 / 4
+#: Queries of a matrix product.
+AT_ONCE = 256
+#: Rows of a batch of results.
+RESULTS = 1 << 16
+_PACKED = "part int, number int, dim int, n int, width int, ids binary, heads binary, vectors binary"
+_NONE = np.iinfo(np.int64).min
 
 
 def quantised(vector: str, scale: int = 256) -> Column:
@@ -38,44 +52,149 @@ def usable(vector: str) -> Column:
                                & (F.abs(x) < F.lit(float("inf")))), F.lit(False))
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest type of two, four or eight bytes."""
+    for kind in (np.int16, np.int32):
+        if not values.size or (values.min() >= np.iinfo(kind).min and values.max() <= np.iinfo(kind).max):
+            return values.astype(kind)
+    return values
+
+
 def pack(vectors: DataFrame, size: int) -> DataFrame:
-    """``id`` and ``vector`` (array<long>) as rows of up to ``size`` vectors of one dimension."""
+    """``id``, ``head`` (array<long>, of one length) and ``vector`` (array<long>) as rows of up to ``size``
+    vectors of one dimension, numbered inside their partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         number = 0
-        waiting: dict[int, list[list[np.ndarray]]] = defaultdict(lambda: [[], []])
+        waiting: dict[int, list[list[np.ndarray]]] = defaultdict(lambda: [[], [], []])
 
         def packed(dim: int) -> pa.RecordBatch:
             nonlocal number
-            ids, rows = waiting.pop(dim)
+            ids, heads, rows = (np.concatenate(x) for x in waiting.pop(dim))
+            rows = narrow(rows)
             number += 1
             return pa.RecordBatch.from_pylist([{
-                "block": f"{part}-{number}", "dim": dim, "n": sum(map(len, ids)),
-                "ids": np.concatenate(ids).tobytes(), "vectors": np.concatenate(rows).tobytes()}],
-                pa.schema([("block", pa.string()), ("dim", pa.int32()), ("n", pa.int32()),
-                           ("ids", pa.binary()), ("vectors", pa.binary())]))
+                "part": part, "number": number, "dim": dim, "n": len(ids), "width": rows.itemsize,
+                "ids": ids.tobytes(), "heads": heads.tobytes(), "vectors": rows.tobytes()}],
+                pa.schema([*((c, pa.int32()) for c in ("part", "number", "dim", "n", "width")),
+                           *((c, pa.binary()) for c in ("ids", "heads", "vectors"))]))
 
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            dims = pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            heads = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            heads = heads.reshape(len(ids), -1)
+            dims = pa.compute.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(dims)
             for dim in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == dim)
                 values = flat[(ends[rows] - dim)[:, None] + np.arange(dim)].astype(np.int64)
                 while len(rows):
                     room = size - sum(map(len, waiting[dim][0]))
-                    waiting[dim][0].append(ids[rows[:room]].astype(np.int64))
-                    waiting[dim][1].append(values[:room])
+                    for kept, new in zip(waiting[dim], (ids[rows[:room]], heads[rows[:room]],
+                                                        values[:room]), strict=True):
+                        kept.append(new)
                     rows, values = rows[room:], values[room:]
                     if sum(map(len, waiting[dim][0])) == size:
                         yield packed(dim)
         for dim in list(waiting):
             yield packed(dim)
 
-    return vectors.select("id", "vector").mapInArrow(run, _PACKED)
+    return vectors.select("id", "head", "vector").mapInArrow(run, _PACKED)
+
+
+class Rows:
+    """Vectors of whole numbers, as the types that products need, each made once."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self._made: dict[type, np.ndarray] = {}
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def made(self, kind: type) -> np.ndarray:
+        if kind not in self._made:
+            self._made[kind] = self.values.astype(kind)
+        return self._made[kind]
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        """The length of each vector, or a little more."""
+        return 1.001 * np.sqrt(np.square(self.values, dtype=np.float64).sum(axis=1))
+
+
+def product(queries: Rows, some: np.ndarray, vectors: Rows) -> np.ndarray:
+    """Inner products of the queries at some places with all vectors, exact in the type that they come in: no
+    sum of products, taken in any order, is beyond the product of the lengths, and floats hold whole
+    numbers up to 2**24 or 2**53."""
+    most = queries.lengths[some].max(initial=0) * vectors.lengths.max(initial=0)
+    kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
+    return queries.made(kind)[some] @ vectors.made(kind).T
+
+
+def first_of(scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` highest scores, highest first, ties in the order of places."""
+    if len(scores) > k:
+        least = np.partition(scores, len(scores) - k)[len(scores) - k]
+        places = np.flatnonzero(scores >= least)
+    else:
+        places = np.arange(len(scores))
+    return places[np.argsort(-scores[places], kind="stable")][:k]
+
+
+class Best:
+    """The ``k`` best rows that each query has met so far, ties to the smaller id, without those of its
+    own id."""
+
+    def __init__(self, own: np.ndarray, queries: np.ndarray, k: int):
+        self.own, self.queries, self.k = own, Rows(queries), k
+        self.ids = [np.zeros(0, np.int64)] * len(own)
+        self.scores = [np.zeros(0, np.int64)] * len(own)
+        #: The k-th score of each query, the least number before there are k.
+        self.least = np.full(len(own), _NONE)
+
+    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        all_ids = np.concatenate([self.ids[query], ids])
+        all_scores = np.concatenate([self.scores[query], scores])
+        first = np.lexsort((all_ids, -all_scores))[:self.k]
+        self.ids[query], self.scores[query] = all_ids[first], all_scores[first]
+        if len(first) == self.k:
+            self.least[query] = self.scores[query][-1]
+
+    def meet(self, asked: np.ndarray, ids: np.ndarray, vectors: Rows) -> None:
+        """Queries at the places ``asked`` against all rows of a block in the order of ids."""
+        for start in range(0, len(asked), AT_ONCE):
+            some = asked[start:start + AT_ONCE]
+            scores = product(self.queries, some, vectors)
+            lowest = _NONE if scores.dtype == np.int64 else -np.inf
+            own = self.own[some]
+            left, right = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+            for i in np.flatnonzero(left < right).tolist():
+                scores[i, left[i]:right[i]] = lowest
+            for i in np.flatnonzero(scores.max(axis=1) >= self.least[some].astype(scores.dtype)).tolist():
+                query, row = int(some[i]), scores[i]
+                places = np.flatnonzero(row >= row.dtype.type(self.least[query]))
+                if left[i] < right[i]:
+                    places = places[(places < left[i]) | (places >= right[i])]
+                places = places[first_of(row[places], self.k)]
+                if len(places):
+                    self.add(query, ids[places], row[places].astype(np.int64))
+
+    def results(self, *columns: np.ndarray) -> Iterator[list[np.ndarray]]:
+        """The given columns, one value for each query, with its best rows' ids and scores."""
+        counts = np.array([len(x) for x in self.ids], np.int64)
+        step = max(1, RESULTS // max(1, self.k))
+        for start in range(0, len(counts), step):
+            n = counts[start:start + step]
+            if n.sum():
+                yield [*(np.repeat(c[start:start + step], n) for c in columns),
+                       np.concatenate(self.ids[start:start + step]),
+                       np.concatenate(self.scores[start:start + step])]
 
 
 class Lists:
@@ -83,17 +202,55 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(-vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(vectors, self.order, axis=0)
-        self.largest = int(np.abs(vectors).max(initial=0))
-        self.floats = vectors.astype(np.float64)
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best rows of other ids, ties to the smaller id."""
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(-self.vectors.astype(np.int64), axis=0, kind="stable")
+
+    @cached_property
+    def values(self) -> np.ndarray:
+        return np.take_along_axis(self.vectors, self.order, axis=0).astype(np.int64)
+
+    @cached_property
+    def largest(self) -> int:
+        return int(np.abs(self.vectors.astype(np.int64)).max(initial=0))
+
+    @cached_property
+    def floats(self) -> np.ndarray:
+        return self.vectors.astype(np.float64)
+
+    def depths(self) -> list[int]:
+        """Depths whose looks are at no more than a part of the block."""
+        n, dim = self.vectors.shape
+        out, depth = [1], FIRST_DEPTH
+        while depth * max(dim, 1) <= WHOLE * n:
+            out.append(depth)
+            depth *= 2
+        return out
+
+    def frontiers(self, queries: np.ndarray) -> np.ndarray:
+        """For each query and each of ``depths``, what rows not seen by that depth cannot exceed."""
+        n = len(self.vectors)
+        places = np.array(self.depths()) - 1
+        ranked = np.partition(self.vectors, np.unique([*places, *(n - 1 - places)]), axis=0)
+        small, large = ranked[places], ranked[n - 1 - places]
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        most = float(np.abs(queries).max(initial=0)) * max(
+            -float(ranked.min(initial=0)), float(ranked.max(initial=0)))
+        # Scores fit in 64 bits, but what bounds them may not.
+        kind = np.float64 if most * max(ranked.shape[1], 1) < 1 << 53 else object
+        return up.astype(kind) @ large.T.astype(kind) + down.astype(kind) @ small.T.astype(kind)
+
+    def top(self, query_id: int, query: np.ndarray, k: int,
+            floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best rows of other ids, ties to the smaller id; of rows of a score of
+        ``floor`` at least, if it is given."""
         n, dim = self.vectors.shape
         # Products and sums below 2**53 are exact as doubles.
         exact = self.largest * int(np.abs(query).max(initial=0)) * max(dim, 1) < 1 << 53
-        rows, weights = (self.floats, query.astype(np.float64)) if exact else (self.vectors, query)
+        rows, weights = (self.floats, query.astype(np.float64)) if exact \
+            else (self.vectors.astype(np.int64), query)
+        wide = np.int64 if exact else object
         up = query < 0
         order, values = self.order, self.values
         seen = np.zeros(n, bool)
@@ -110,8 +267,9 @@ class Lists:
                 new = np.arange(n)
             new = new[self.ids[new] != query_id]
             scores = (rows[new] @ weights).astype(np.int64)
-            if len(best) == k:
-                better = scores >= best[-1]
+            least = best[-1] if len(best) == k else floor
+            if least is not None:
+                better = scores >= least
                 new, scores = new[better], scores[better]
             if len(new):
                 all_ids = np.concatenate([best_ids, self.ids[new]])
@@ -121,15 +279,93 @@ class Lists:
             if not dim:
                 break
             frontier = np.where(up, values[n - upto], values[upto - 1])
-            if len(best) == k and int(frontier @ query) < best[-1]:
+            least = best[-1] if len(best) == k else floor
+            if least is not None and int(frontier.astype(wide) @ query.astype(wide)) < least:
                 break
             depth, upto = upto, min(n, 2 * upto)
         return best_ids, best
 
 
+class Search(Best):
+    """The threshold algorithm of held queries over passing blocks."""
+
+    def look(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], vectors[order]
+        deep = np.arange(len(self.own))
+        full = self.least > _NONE
+        if full.any():
+            lists = Lists(ids, vectors)
+            known = np.flatnonzero(full)
+            # At the first of these depths that is below the k-th score a query stops, or before.
+            below = np.concatenate([
+                lists.frontiers(self.queries.values[some]) < self.least[some][:, None]
+                for some in np.array_split(known, -(-len(known) // AT_ONCE))])
+            for i in known[below.any(axis=1) & ~below[:, 0]].tolist():
+                self.add(i, *lists.top(int(self.own[i]), self.queries.values[i], self.k, int(self.least[i])))
+            deep = np.concatenate([np.flatnonzero(~full), known[~below.any(axis=1)]])
+        self.meet(deep, ids, Rows(vectors))
+
+
+def meetings(data: DataFrame, asked: DataFrame, begin: Callable, names: list[str], schema: str,
+             held: int = HELD) -> DataFrame:
+    """What packed queries find among packed vectors of their dimension, on a grid.
+
+    Blocks of queries are dealt to as many groups as keep about ``held`` components each, those of vectors
+    to as many as give the session's number of shuffle partitions; every two groups are a cell, which is
+    one partition. There ``begin(keys, heads, queries)`` makes what the cell holds of a dimension, its
+    ``look(ids, heads, vectors)`` gets each block, and its ``results()`` are lists of columns.
+    """
+    spark = data.sparkSession
+    held_here = asked.agg(F.sum(F.col("n").cast("long") * F.greatest("dim", F.lit(1)))).first()[0] or 0
+    across = max(1, -(-held_here // held))
+    down = max(1, min(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // across), data.count()))
+
+    def dealt(groups: int) -> Column:
+        """Each partition deals its blocks in turn, from a place of its own."""
+        return F.pmod(F.xxhash64("part") + F.col("number"), F.lit(groups)).cast("int")
+
+    def every(groups: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+
+    columns = ["dim", "n", "width", "ids", "heads", "vectors"]
+    left = data.select(dealt(down).alias("row"), every(across).alias("col"), F.lit(1).alias("kind"), *columns)
+    right = asked.select(dealt(across).alias("col"), every(down).alias("row"), F.lit(0).alias("kind"), *columns)
+    met = left.unionByName(right).withColumn("cell", F.col("row") * across + F.col("col"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked_here, holds = None, [], None
+
+        def found() -> Iterator[pa.RecordBatch]:
+            for columns in holds.results() if holds else ():
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+        for batch in batches:
+            for row in range(batch.num_rows):
+                cell, kind, dim, n, width, ids, heads, vectors = (c[row].as_py() for c in batch.columns)
+                if (cell, dim) != at:
+                    yield from found()
+                    at, asked_here, holds = (cell, dim), [], None
+                block = (np.frombuffer(ids, np.int64),
+                         np.frombuffer(heads, np.int64).reshape(n, len(heads) // 8 // n),
+                         np.frombuffer(vectors, f"i{width}").reshape(n, dim))
+                if kind == 0:
+                    asked_here.append(block)
+                    continue
+                if asked_here:
+                    holds = begin(*(np.concatenate(x) for x in zip(*asked_here, strict=True)))
+                    asked_here = []
+                if holds:
+                    holds.look(*block)
+        yield from found()
+
+    return (met.repartitionById(down * across, "cell").sortWithinPartitions("cell", "dim", "kind")
+            .select("cell", "kind", *columns).mapInArrow(run, schema))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
           vector: str = "embedding", scale: int = 256, block: int = BLOCK,
-          query_block: int = QUERY_BLOCK) -> DataFrame:
+          query_block: int = QUERY_BLOCK, held: int = HELD) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the ``k`` best rows of ``vectors`` by the inner
     product of quantised vectors, ties to the smaller id, all if there are fewer.
 
@@ -142,37 +378,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id"
         return df.where(usable(vector) & F.col(id_col).isNotNull()).select(
             F.col(id_col).cast("long").alias("id"), quantised(vector, scale).alias("vector"))
 
-    spark = vectors.sparkSession
-    groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    data = pack(clean(vectors), block).withColumn("g", F.pmod(F.xxhash64("block"), F.lit(groups)))
-    asked = pack(clean(queries).dropDuplicates(), query_block).select(
-        F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("q_g"))
-    met = data.join(asked, (F.col("g") == F.col("q_g")) & (F.col("dim") == F.col("q_dim")))
+    data = cut_lineage(pack(clean(vectors).withColumn("head", F.array().cast("array<long>")), block))
+    asked = cut_lineage(pack(clean(queries).dropDuplicates().select(
+        F.monotonically_increasing_id().alias("id"), F.array("id").alias("head"), "vector"), query_block))
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, lists = None, None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                name, dim, ids, rows, q_ids, q_rows = (c[row].as_py() for c in batch.columns)
-                if name != known:
-                    ids = np.frombuffer(ids, np.int64)
-                    known = name
-                    lists = Lists(ids, np.frombuffer(rows, np.int64).reshape(len(ids), dim))
-                q_ids = np.frombuffer(q_ids, np.int64)
-                q_rows = np.frombuffer(q_rows, np.int64).reshape(len(q_ids), dim)
-                found = [lists.top(int(i), q, k) for i, q in zip(q_ids, q_rows, strict=True)]
-                counts = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(q_ids, counts)),
-                    pa.array([q.tobytes() for q, n in zip(q_rows, counts, strict=True)
-                              for _ in range(n)], pa.binary()),
-                    pa.array(np.concatenate([f[0] for f in found])),
-                    pa.array(np.concatenate([f[1] for f in found]))],
-                    ["query_id", "query", "vec_id", "score"])
-
-    found = met.select("block", "dim", "ids", "vectors", "q_ids", "q_vectors").mapInArrow(
-        search, "query_id long, query binary, vec_id long, score long")
-    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    class Cell:
+        def __init__(self, keys, heads, rows):
+            self.keys, self.best = keys, Search(heads[:, 0], rows.astype(np.int64), k)
+
+        def look(self, ids, heads, rows):
+            self.best.look(ids, rows)
+
+        def results(self):
+            return self.best.results(self.keys, self.best.own)
+
+    found = meetings(data, asked, Cell, ["query", "query_id", "vec_id", "score"],
+                     "query long, query_id long, vec_id long, score long", held)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

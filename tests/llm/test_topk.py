@@ -46,3 +46,63 @@ def test_stops_early():
     lists = topk.Lists(np.arange(1000), vectors)
     ids, scores = lists.top(-1, np.array([3, 0, 0, 0]), 2)
     assert ids.tolist() == [999, 998] and scores.tolist() == [2997, 2994]
+
+
+def test_large_values_in_several_blocks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-10 ** 6, 10 ** 6, 3) * (5 if i % 9 else 1)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = topk.top_k(df, df.where("vec_id % 10 = 0"), 3, block=128)
+    assert Counter(map(tuple, got.collect())) == brute(rows, 3, 10)
+
+
+def test_each_block_passes_once_for_a_group_of_queries(spark):
+    rows = [(i, [float(i), 1.0] if i % 4 else [1.0, 2.0, float(i)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3).selectExpr(
+        "vec_id AS id", "array(vec_id, -vec_id) AS head", "transform(embedding, x -> bigint(x)) AS vector")
+    data, asked = topk.pack(df, 16).localCheckpoint(), topk.pack(df.where("id % 2 = 0"), 4).localCheckpoint()
+
+    class Counts:
+        def __init__(self, keys, heads, queries):
+            assert (heads[:, 0] == keys).all() and (heads[:, 1] == -keys).all() and len(queries) == len(keys)
+            self.keys, self.met = keys, []
+
+        def look(self, ids, heads, vectors):
+            assert vectors.dtype == np.int16 and (heads[:, 0] == ids).all()
+            self.met.append(ids)
+
+        def results(self):
+            met = np.concatenate(self.met)
+            yield [np.repeat(self.keys, len(met)), np.tile(met, len(self.keys)),
+                   np.full(len(met) * len(self.keys), len(self.keys))]
+
+    for held in (1, 60, 1 << 22):
+        found = topk.meetings(data, asked, Counts, ["q", "v", "held"], "q long, v long, held long", held).collect()
+        want = {(q, v) for q in range(0, 200, 2) for v in range(200) if (q % 4 == 0) == (v % 4 == 0)}
+        assert len(found) == len(want) and {(r.q, r.v) for r in found} == want
+        if held > 60:
+            # All queries of a dimension are in one place, whatever the number of their blocks.
+            assert {r.held for r in found} == {50}
+
+
+def test_bound_is_kept_from_block_to_block(monkeypatch):
+    rng = np.random.default_rng(4)
+    good = rng.integers(50, 90, (300, 3))
+    bad = rng.integers(-20, 20, (300, 3))
+    queries = rng.integers(1, 9, (10, 3))
+    search = topk.Search(np.arange(10), queries, 4)
+    search.look(np.arange(300, 600), good)
+    products = []
+    monkeypatch.setattr(topk, "product", lambda *a: products.append(a))
+    search.look(np.arange(600, 900), bad)
+    assert not products
+    monkeypatch.undo()
+    spread = np.zeros((600, 3), np.int64)
+    spread[:, 0] = np.arange(600)
+    search.look(np.arange(600), spread)
+    rows = np.concatenate([good, bad, spread])
+    ids = np.concatenate([np.arange(300, 900), np.arange(600)])
+    for q in range(10):
+        scores = rows @ queries[q]
+        first = [i for i in np.lexsort((ids, -scores)) if ids[i] != q][:4]
+        assert search.ids[q].tolist() == ids[first].tolist() and search.scores[q].tolist() == scores[first].tolist()
