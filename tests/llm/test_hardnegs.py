@@ -73,3 +73,37 @@ def test_first_scores_with_ties():
     assert least > largest
     big = np.full((1, 4), 1 << 28)
     assert hardnegs.product(big, big).tolist() == [[1 << 58]]
+
+
+def test_a_cell_sends_no_more_however_many_blocks_pass():
+    rng = np.random.default_rng(8)
+    vectors, labels = rng.integers(-9, 30, (600, 4)), rng.integers(0, 3, 600)
+    ids = rng.permutation(600) // 2  # each id twice
+    vectors[100:140], ids[100:140], labels[100:140] = vectors[100], ids[100], labels[100]
+    anchors = np.arange(0, 600, 20)
+    heads = np.stack([ids[anchors], labels[anchors]], axis=1)
+    first = hardnegs.Positives(anchors, heads, vectors[anchors], 5)
+    for start in range(0, 600, 7):
+        part = slice(start, start + 7)
+        first.look(ids[part], labels[part, None], vectors[part])
+    found = [np.concatenate(c) for c in zip(*first.results(), strict=True)]
+    scores = {int(a): sorted((-int(s), int(i)) for k, _, s, _, i in zip(*found, strict=True) if k == a) for a in anchors}
+    for a in anchors.tolist():
+        every = sorted((-int(vectors[a] @ v), int(i)) for v, i, y in zip(vectors, ids, labels, strict=True)
+                       if y == labels[a] and i != ids[a])
+        assert scores[a] == every[:5]
+    heads = np.array([[*h, 5, *(-s for s, _ in scores[int(a)])] for a, h in zip(anchors, heads, strict=True)])
+    inside = hardnegs.Windows(anchors, heads, vectors[anchors], 3, 50, 95)
+    for start in range(0, 600, 7):
+        part = slice(start, start + 7)
+        inside.look(ids[part], labels[part, None], vectors[part])
+    found = [np.concatenate(c) for c in zip(*inside.results(), strict=True)]
+    for a in anchors.tolist():
+        sent = Counter((-int(s), int(i)) for k, _, s, _, i in zip(*found, strict=True) if k == a)
+        every = Counter((-int(vectors[a] @ v), int(i)) for v, i, y in zip(vectors, ids, labels, strict=True)
+                        if y != labels[a] and i != ids[a])
+        assert sum(sent.values()) <= 15 and sent <= every
+        for positive, _ in scores[a]:
+            low, high = hardnegs.bounds(-positive, 50, 95)
+            window = [x for x in sorted(every.elements()) if low <= -x[0] <= high][:3]
+            assert [x for x in sorted(sent.elements()) if low <= -x[0] <= high][:3] == window
