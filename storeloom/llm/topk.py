@@ -35,6 +35,8 @@ FIRST_DEPTH = 8
 WHOLE = 1 / 4
 #: Queries of a matrix product.
 AT_ONCE = 256
+#: Rows of a block whose best score tells how low the k-th can be.
+GROUP = 64
 #: Rows of a batch of results.
 RESULTS = 1 << 16
 _PACKED = "part int, number int, dim int, n int, width int, ids binary, heads binary, vectors binary"
@@ -147,54 +149,92 @@ def first_of(scores: np.ndarray, k: int) -> np.ndarray:
     return places[np.argsort(-scores[places], kind="stable")][:k]
 
 
+def lowest_of(scores: np.ndarray) -> float | int:
+    return _NONE if scores.dtype == np.int64 else -np.inf
+
+
+def without_own(scores: np.ndarray, own: np.ndarray, ids: np.ndarray) -> None:
+    """Gives the lowest score to rows of the queries' own ids; ``ids`` are in order."""
+    left, right = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+    for i in np.flatnonzero(left < right).tolist():
+        scores[i, left[i]:right[i]] = lowest_of(scores)
+
+
 class Best:
     """The ``k`` best rows that each query has met so far, ties to the smaller id, without those of its
     own id."""
 
     def __init__(self, own: np.ndarray, queries: np.ndarray, k: int):
         self.own, self.queries, self.k = own, Rows(queries), k
-        self.ids = [np.zeros(0, np.int64)] * len(own)
-        self.scores = [np.zeros(0, np.int64)] * len(own)
-        #: The k-th score of each query, the least number before there are k.
+        self.count = np.zeros(len(own), np.int64)
+        #: Of each query's best rows; the number tells rows of the same id apart.
+        self.ids, self.scores, self.numbers = np.zeros((3, len(own), k), np.int64)
+        #: The least score that still counts: the k-th of each query once there are k.
         self.least = np.full(len(own), _NONE)
 
-    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        all_ids = np.concatenate([self.ids[query], ids])
-        all_scores = np.concatenate([self.scores[query], scores])
-        first = np.lexsort((all_ids, -all_scores))[:self.k]
-        self.ids[query], self.scores[query] = all_ids[first], all_scores[first]
-        if len(first) == self.k:
-            self.least[query] = self.scores[query][-1]
+    def add(self, queries: np.ndarray, ids: np.ndarray, scores: np.ndarray, numbers: np.ndarray) -> None:
+        """More rows that the queries at these places have met."""
+        touched = np.unique(queries)
+        count = self.count[touched]
+        old = np.arange(self.k) < count[:, None]
+        at = np.concatenate([np.repeat(touched, count), queries])
+        ids = np.concatenate([self.ids[touched][old], ids])
+        scores = np.concatenate([self.scores[touched][old], scores])
+        numbers = np.concatenate([self.numbers[touched][old], numbers])
+        order = np.lexsort((numbers, ids, -scores, at))
+        at, ids, scores, numbers = at[order], ids[order], scores[order], numbers[order]
+        first = np.searchsorted(at, touched)
+        met = np.diff(np.append(first, len(at)))
+        rank = np.arange(len(at)) - np.repeat(first, met)
+        kept = rank < self.k
+        for mine, new in ((self.ids, ids), (self.scores, scores), (self.numbers, numbers)):
+            mine[at[kept], rank[kept]] = new[kept]
+        self.count[touched] = np.minimum(met, self.k)
+        full = touched[met >= self.k]
+        self.least[full] = self.scores[full, -1]
+
+    def take(self, some: np.ndarray, scores: np.ndarray, ids: np.ndarray, passed: int = 0) -> None:
+        """The rows of a block by their scores for the queries at the places ``some``; rows of the lowest
+        number of the scores' type take no part. ``passed`` rows came before them."""
+        n, lowest = len(ids), lowest_of(scores)
+        whole = n - n % GROUP
+        most = scores[:, :whole].reshape(len(some), -1, GROUP).max(axis=2)
+        if whole < n:
+            most = np.concatenate([most, scores[:, whole:].max(axis=1, keepdims=True)], axis=1)
+        least = self.least[some].astype(scores.dtype)
+        hit = np.flatnonzero(most.max(axis=1) >= least)
+        if not len(hit):
+            return
+        least, most = least[hit], most[hit]
+        if most.shape[1] >= self.k:
+            # The best rows of k groups are k rows.
+            least = np.maximum(least, np.partition(most, most.shape[1] - self.k, axis=1)[:, -self.k])
+        good = (scores if len(hit) == len(some) else scores[hit]) >= least[:, None]
+        at, places = np.divmod(np.flatnonzero(good.ravel()), n)
+        at = hit[at]
+        found = scores[at, places]
+        there = found > lowest
+        if there.any():
+            at, places = at[there], places[there]
+            self.add(some[at], ids[places], found[there].astype(np.int64), passed + places)
 
     def meet(self, asked: np.ndarray, ids: np.ndarray, vectors: Rows) -> None:
         """Queries at the places ``asked`` against all rows of a block in the order of ids."""
         for start in range(0, len(asked), AT_ONCE):
             some = asked[start:start + AT_ONCE]
             scores = product(self.queries, some, vectors)
-            lowest = _NONE if scores.dtype == np.int64 else -np.inf
-            own = self.own[some]
-            left, right = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
-            for i in np.flatnonzero(left < right).tolist():
-                scores[i, left[i]:right[i]] = lowest
-            for i in np.flatnonzero(scores.max(axis=1) >= self.least[some].astype(scores.dtype)).tolist():
-                query, row = int(some[i]), scores[i]
-                places = np.flatnonzero(row >= row.dtype.type(self.least[query]))
-                if left[i] < right[i]:
-                    places = places[(places < left[i]) | (places >= right[i])]
-                places = places[first_of(row[places], self.k)]
-                if len(places):
-                    self.add(query, ids[places], row[places].astype(np.int64))
+            without_own(scores, self.own[some], ids)
+            self.take(some, scores, ids)
 
     def results(self, *columns: np.ndarray) -> Iterator[list[np.ndarray]]:
         """The given columns, one value for each query, with its best rows' ids and scores."""
-        counts = np.array([len(x) for x in self.ids], np.int64)
         step = max(1, RESULTS // max(1, self.k))
-        for start in range(0, len(counts), step):
-            n = counts[start:start + step]
+        for start in range(0, len(self.count), step):
+            part = slice(start, start + step)
+            n = self.count[part]
             if n.sum():
-                yield [*(np.repeat(c[start:start + step], n) for c in columns),
-                       np.concatenate(self.ids[start:start + step]),
-                       np.concatenate(self.scores[start:start + step])]
+                there = np.arange(self.k) < n[:, None]
+                yield [*(np.repeat(c[part], n) for c in columns), self.ids[part][there], self.scores[part][there]]
 
 
 class Lists:
@@ -219,26 +259,27 @@ class Lists:
     def floats(self) -> np.ndarray:
         return self.vectors.astype(np.float64)
 
-    def depths(self) -> list[int]:
-        """Depths whose looks are at no more than a part of the block."""
+    @cached_property
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """The values that the lists have at some depths from their small and from their large end; looks to
+        these depths are at no more than a part of the block."""
         n, dim = self.vectors.shape
-        out, depth = [1], FIRST_DEPTH
+        depths, depth = [1], FIRST_DEPTH
         while depth * max(dim, 1) <= WHOLE * n:
-            out.append(depth)
+            depths.append(depth)
             depth *= 2
-        return out
+        places = np.array(depths) - 1
+        ranked = np.partition(self.vectors, np.unique([*places, *(n - 1 - places)]), axis=0)
+        return ranked[places], ranked[n - 1 - places]
 
     def frontiers(self, queries: np.ndarray) -> np.ndarray:
-        """For each query and each of ``depths``, what rows not seen by that depth cannot exceed."""
-        n = len(self.vectors)
-        places = np.array(self.depths()) - 1
-        ranked = np.partition(self.vectors, np.unique([*places, *(n - 1 - places)]), axis=0)
-        small, large = ranked[places], ranked[n - 1 - places]
+        """For each query and each depth of ``ends``, what rows not seen by that depth cannot exceed."""
+        small, large = self.ends
         up, down = np.maximum(queries, 0), np.minimum(queries, 0)
         most = float(np.abs(queries).max(initial=0)) * max(
-            -float(ranked.min(initial=0)), float(ranked.max(initial=0)))
+            -float(small.min(initial=0)), float(large.max(initial=0)))
         # Scores fit in 64 bits, but what bounds them may not.
-        kind = np.float64 if most * max(ranked.shape[1], 1) < 1 << 53 else object
+        kind = np.float64 if most * max(small.shape[1], 1) < 1 << 53 else object
         return up.astype(kind) @ large.T.astype(kind) + down.astype(kind) @ small.T.astype(kind)
 
     def top(self, query_id: int, query: np.ndarray, k: int,
@@ -302,7 +343,8 @@ class Search(Best):
                 lists.frontiers(self.queries.values[some]) < self.least[some][:, None]
                 for some in np.array_split(known, -(-len(known) // AT_ONCE))])
             for i in known[below.any(axis=1) & ~below[:, 0]].tolist():
-                self.add(i, *lists.top(int(self.own[i]), self.queries.values[i], self.k, int(self.least[i])))
+                found = lists.top(int(self.own[i]), self.queries.values[i], self.k, int(self.least[i]))
+                self.add(np.full(len(found[0]), i), *found, np.zeros(len(found[0]), np.int64))
             deep = np.concatenate([np.flatnonzero(~full), known[~below.any(axis=1)]])
         self.meet(deep, ids, Rows(vectors))
 
